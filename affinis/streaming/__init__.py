@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference processes static files only: no stream, watermark, window or
+state exists in it, so this package holds no operator.  Every operator in
+``affinis.operators`` is a ``DataFrame -> DataFrame`` function; the
+stateless ones (projections, filters, scores of a fitted model) apply to a
+streaming DataFrame unchanged.
+"""
