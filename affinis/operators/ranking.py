@@ -37,7 +37,8 @@ def ranked_hits(scored: DataFrame, truth: DataFrame, n: int = MAP_N, threshold:
     r = top_n(scored, n, threshold).join(t, ["user_id", "post_id"], "left").withColumn(
         "hit", F.coalesce("_t", F.lit(0))).drop("_t")
     w = Window.partitionBy("user_id").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return r.withColumn("cum_hits", F.sum("hit").over(w)).select("user_id", "k", "post_id", "score", "hit", "cum_hits")
+    return r.withColumn("cum_hits", F.sum("hit").over(w)).select(
+        "user_id", F.col("k").cast("bigint").alias("k"), "post_id", "score", "hit", "cum_hits")
 
 
 def recommend_lists(scored: DataFrame, n: int = MAP_N, threshold: float | None = None) -> DataFrame:

@@ -43,7 +43,7 @@ SMALL_BLOG_CAP = 15      # blog cap that binds on the test data
 
 
 def _wf(spark: SparkSession, sf_dir: str, **kw) -> Workflow:
-    return Workflow(bind(spark, sf_dir), **kw)
+    return Workflow(bind(spark, sf_dir, staged=True), **kw)
 
 
 def _post_display(posts: DataFrame) -> DataFrame:
@@ -140,6 +140,16 @@ def _precision_points(spark, sf_dir) -> DataFrame:
         F.col("threshold").alias("x"), F.col("precision").alias("y"), "position")
 
 
+def _scored_vs_truth(spark, sf_dir, fn, **kw) -> DataFrame:
+    w = _wf(spark, sf_dir)
+    return fn(w.tag_scored, w.b.truth, **kw)
+
+
+def _tag_grid(spark, sf_dir, grid) -> DataFrame:
+    w = _wf(spark, sf_dir)
+    return w.map_grid(w.tag_scored, *grid)
+
+
 def _lr_map_grid(spark, sf_dir):
     w = _wf(spark, sf_dir)
     return w.map_grid(w.lr_scored, *LR_GRID)
@@ -209,17 +219,16 @@ QUERIES: dict[str, Query] = {
     "universe_users": lambda s, d: NE.universe_users(bind(s, d).train_likes),
     "tag_user_index": lambda s, d: _wf(s, d).tag_index,
     "recommend_lists": lambda s, d: RA.recommend_lists(_wf(s, d).tag_scored),
-    "ap_at_k": lambda s, d: RA.ap_at_k(_wf(s, d).tag_scored, bind(s, d).truth),
-    "map_at_k": lambda s, d: RA.map_at_k(_wf(s, d).tag_scored, bind(s, d).truth),
-    "map_at_k_all_truth": lambda s, d: RA.map_at_k(_wf(s, d).tag_scored, bind(s, d).truth, over="all_truth"),
+    "ap_at_k": lambda s, d: _scored_vs_truth(s, d, RA.ap_at_k),
+    "map_at_k": lambda s, d: _scored_vs_truth(s, d, RA.map_at_k),
+    "map_at_k_all_truth": lambda s, d: _scored_vs_truth(s, d, RA.map_at_k, over="all_truth"),
     "likes_per_post_distribution": lambda s, d: NE.likes_per_post_distribution(bind(s, d).train_posts,
                                                                                bind(s, d).train_likes),
-    "best_map_threshold": lambda s, d: RA.best_map_threshold(
-        _wf(s, d).map_grid(_wf(s, d).tag_scored, *TAG_GRID)),
+    "best_map_threshold": lambda s, d: RA.best_map_threshold(_tag_grid(s, d, TAG_GRID)),
     "best_threshold_min_fpr": lambda s, d: CU.best_threshold_min_fpr(_tag_conf(s, d)),
     "best_threshold_max_tpr": lambda s, d: CU.best_threshold_max_tpr(_tag_conf(s, d)),
     # W: windows
-    "ranked_hits": lambda s, d: RA.ranked_hits(_wf(s, d).tag_scored, bind(s, d).truth),
+    "ranked_hits": lambda s, d: _scored_vs_truth(s, d, RA.ranked_hits),
     "confusion_by_threshold": _tag_conf,
     # T: top-k, limits
     "profile_topk": lambda s, d: PR.profile_long(bind(s, d).train_likes, bind(s, d).posts, cap=100).where(
@@ -252,7 +261,7 @@ QUERIES: dict[str, Query] = {
     "area_under_pr": lambda s, d: CU.area_under_pr(_tag_conf(s, d)),
     "roc_curve": lambda s, d: CU.roc_curve(_tag_conf(s, d)),
     "area_under_roc": lambda s, d: CU.area_under_roc(_tag_conf(s, d)),
-    "map_threshold_grid": lambda s, d: _wf(s, d).map_grid(_wf(s, d).tag_scored, *TAG_GRID_FINE),
+    "map_threshold_grid": lambda s, d: _tag_grid(s, d, TAG_GRID_FINE),
     "curve_percentile_bins": lambda s, d: CU.percentile_bins(_precision_points(s, d), CURVE_POINTS),
     "curve_linear_bins": lambda s, d: CU.linear_bins(
         CU.roc_curve(_tag_conf(s, d)).select(F.col("fpr").alias("x"), F.col("tpr").alias("y")), CURVE_POINTS),

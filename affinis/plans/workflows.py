@@ -23,14 +23,17 @@ from affinis.operators import features as FE
 from affinis.operators import models as MO
 from affinis.operators import negatives as NE
 from affinis.operators import ranking as RA
+from affinis.session import stage
 from affinis.sources.binding import Bound
 
 
 class Workflow:
     def __init__(self, bound: Bound, seed: int = 42, variant: str = "coded",
                  top_entries: int | None = 100, max_blogs: int = 1000,
-                 sample_fraction: float = CA.SAMPLE_FRACTION, sample_size: int | None = CA.SAMPLE_SIZE):
+                 sample_fraction: float = CA.SAMPLE_FRACTION, sample_size: int | None = CA.SAMPLE_SIZE,
+                 staged: bool = True):
         self.b = bound
+        self.staged = staged
         self.spark = bound.spark
         self.seed = seed
         self.variant = variant
@@ -39,12 +42,19 @@ class Workflow:
         self.sample_fraction = sample_fraction
         self.sample_size = sample_size
 
+    def _stage(self, df: DataFrame, name: str) -> DataFrame:
+        return stage(df, name) if self.staged else df
+
     # ---- feature extraction ---------------------------------------------------------------
     @cached_property
     def ctx(self) -> FE.FeatureContext:
         b = self.b
-        return FE.build_context(b.posts, b.train_likes, b.stats_user, b.stats_blog,
-                                top_entries=self.top_entries, max_blogs=self.max_blogs)
+        c = FE.build_context(b.posts, b.train_likes, b.stats_user, b.stats_blog,
+                             top_entries=self.top_entries, max_blogs=self.max_blogs)
+        if not self.staged:
+            return c
+        return FE.FeatureContext(self._stage(c.post_attrs, "post_attrs"), self._stage(c.profile, "profile"),
+                                 self._stage(c.user_totals, "user_totals"), c.prior_total)
 
     def features_of(self, pairs: DataFrame, keep: list[str] | None = None, variant: str | None = None) -> DataFrame:
         return FE.pair_features(pairs, self.ctx, variant=variant or self.variant, keep=keep)
@@ -55,7 +65,8 @@ class Workflow:
 
     @cached_property
     def negative_pairs(self) -> DataFrame:
-        return NE.negative_pairs(self.b.train_posts, self.b.train_likes, seed=self.seed)
+        return self._stage(NE.negative_pairs(self.b.train_posts, self.b.train_likes, seed=self.seed),
+                           "negative_pairs")
 
     @cached_property
     def features_false(self) -> DataFrame:
@@ -66,7 +77,7 @@ class Workflow:
         """E3 + U1 + P12: keyed positives (label 1.0) and negatives (label 0.0)."""
         pos = self.features_true.withColumn("label", F.lit(1.0))
         neg = self.features_false.withColumn("label", F.lit(0.0))
-        return pos.unionByName(neg)
+        return self._stage(pos.unionByName(neg), "training_set")
 
     @cached_property
     def sampled_users(self) -> DataFrame:
@@ -91,7 +102,7 @@ class Workflow:
     @cached_property
     def features_candidates(self) -> DataFrame:
         """Candidate features with their truth label."""
-        return self.features_of(self.labelled_candidates, keep=["label"])
+        return self._stage(self.features_of(self.labelled_candidates, keep=["label"]), "features_candidates")
 
     # ---- scoring ---------------------------------------------------------------------------
     @cached_property
@@ -100,7 +111,7 @@ class Workflow:
 
     @cached_property
     def lr_model(self):
-        return MO.fit_lr(self.training_set)
+        return MO.fit_lr(self.training_set, checkpoint=not self.staged)
 
     @cached_property
     def lr_scored(self) -> DataFrame:

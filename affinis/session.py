@@ -60,3 +60,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/affinis-scratch/{uuid.uuid4().hex}/{name}"
+
+
+def stage(df, name: str):
+    """Write ``df`` as Parquet to a fresh folder in the shared checkpoint directory and read it back.
+
+    Used at pipeline boundaries: it cuts lineage (a lost executor recomputes
+    from the written table, not from the raw inputs), turns a table that
+    feeds several branches into one scan per branch instead of one
+    recomputation per branch, and keeps column pruning and filter pushdown
+    for its readers.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinis.functions.expr import title_of
+from affinis.session import stage
 
 # Fixed values of the binding: period boundaries and the keys left out of the statistics.
 STATS_END = "1999-01-01 00:00:00"
@@ -33,9 +34,13 @@ def _ts(s: str):
 class Bound:
     """Domain tables over one directory of driver tables; every table is a lazy DataFrame."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, staged: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.staged = staged
+
+    def _maybe_stage(self, df: DataFrame, name: str) -> DataFrame:
+        return stage(df, name) if self.staged else df
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -59,16 +64,17 @@ class Bound:
             title_of("text").alias("title"),
             F.col("text").alias("content"),
         )
-        return p.join(d, "doc_id").select("post_id", "blog_id", "author_id", "language", "title",
-                                          "content", "categories", "tags")
+        return self._maybe_stage(p.join(d, "doc_id").select("post_id", "blog_id", "author_id", "language", "title",
+                                                             "content", "categories", "tags"), "posts")
 
     @cached_property
     def likes(self) -> DataFrame:
         o = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         li = self.table("lineitem").select("l_orderkey", "l_partkey")
-        return (o.join(li, o.o_orderkey == li.l_orderkey)
-                .groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("post_id"))
-                .agg(F.min("o_orderdate").alias("ts")))
+        return self._maybe_stage(
+            o.join(li, o.o_orderkey == li.l_orderkey)
+            .groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("post_id"))
+            .agg(F.min("o_orderdate").alias("ts")), "likes")
 
     def _period(self, lo: str | None, hi: str | None) -> DataFrame:
         c = F.lit(True)
@@ -129,5 +135,7 @@ class Bound:
         return self.posts
 
 
-def bind(spark: SparkSession, sf_dir: str) -> Bound:
-    return Bound(spark, sf_dir)
+def bind(spark: SparkSession, sf_dir: str, staged: bool = False) -> Bound:
+    """Domain tables over ``sf_dir``; with ``staged`` the base tables (posts, likes) are written once
+    to the shared checkpoint folder and read back, for pipelines that use them many times."""
+    return Bound(spark, sf_dir, staged)
