@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinis.functions.expr import FEATURES, is_finite_all, word_count
+from affinis.functions.expr import FEATURES, is_finite_all, title_words_of
 
 
 def drop_any_null(df: DataFrame) -> DataFrame:
@@ -43,4 +43,4 @@ def finite_features(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 def title_word_counts(posts: DataFrame) -> DataFrame:
     """(post_id, title_words)."""
-    return posts.select("post_id", word_count("title").alias("title_words"))
+    return posts.select("post_id", title_words_of(posts).alias("title_words"))

@@ -15,13 +15,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinis.functions.expr import FEATURES, safe_div, word_count
+from affinis.functions.expr import FEATURES, safe_div, title_words_of
 from affinis.operators import profiles as PR
 
 
 @dataclass
 class FeatureContext:
-    post_attrs: DataFrame      # post_id, blog_id, author_id, language, categories, tags, title_len, blog_likes, avg_likes_per_post
+    post_attrs: DataFrame      # post_id, blog_id, title_len, labels, blog_likes, avg_likes_per_post
     profile: DataFrame         # user_id, kind, key, cnt (truncated maps + blog rows from the statistics)
     user_totals: DataFrame     # user_id, tot_*, tl_*, has_blog_map, blog_total
     prior_total: Column        # scalar: sum of blog likes over all blogs
@@ -29,8 +29,14 @@ class FeatureContext:
 
 def build_context(posts: DataFrame, train_likes: DataFrame, stats_user: DataFrame, stats_blog: DataFrame,
                   top_entries: int | None = PR.TOP_ENTRIES,
-                  max_blogs: int = PR.MAX_BLOGS_PER_USER) -> FeatureContext:
-    profile = PR.profile_long(train_likes, posts, cap=top_entries)
+                  max_blogs: int = PR.MAX_BLOGS_PER_USER, stage=None) -> FeatureContext:
+    """Profiles, totals and post attributes for ``pair_features``.
+
+    ``stage(df, name)``, when given, materialises the profile and the post
+    attributes (both feed several joins) before anything is derived from them.
+    """
+    stage = stage or (lambda df, name: df)
+    profile = stage(PR.profile_long(train_likes, posts, cap=top_entries), "profile")
     totals = PR.user_profile_totals(profile)
 
     own = PR.capped_stats_users(stats_user, max_blogs)
@@ -44,25 +50,31 @@ def build_context(posts: DataFrame, train_likes: DataFrame, stats_user: DataFram
     prior_total = blog_likes.agg(F.sum("blog_likes")).scalar()
     mean_likes = stats_blog.agg(safe_div(F.sum("num_likes"), F.sum("num_posts"))).scalar()
     blog_avg = stats_blog.select("blog_id", safe_div("num_likes", "num_posts").alias("_avg"), F.lit(True).alias("_known"))
-    attrs = (posts.select("post_id", "blog_id", "author_id", "language", "categories", "tags",
-                          word_count("title").alias("title_len"))
+    attrs = (posts.select("post_id", "blog_id", title_words_of(posts).alias("title_len"), post_labels().alias("labels"))
              .join(blog_likes, "blog_id", "left")
              .join(blog_avg, "blog_id", "left")
              .withColumn("avg_likes_per_post", F.when(F.col("_known"), F.col("_avg")).otherwise(mean_likes))
              .drop("_avg", "_known"))
-    return FeatureContext(attrs, profile.unionByName(blog_rows), totals, prior_total)
+    return FeatureContext(stage(attrs, "post_attrs"), profile.unionByName(blog_rows), totals, prior_total)
 
 
-def _pair_labels(p: DataFrame) -> DataFrame:
+def post_labels() -> Column:
+    """Per post, every (kind, key) a profile is matched on: categories, tags, language, author, blog.
+
+    Built once per post, so a pair only explodes a ready array.
+    """
     def kv(kind, key):
         return F.struct(F.lit(kind).alias("kind"), key.cast("string").alias("key"))
-    items = F.concat(
+    return F.concat(
         F.transform("categories", lambda c: kv("category", c)),
         F.transform("tags", lambda t: kv("tag", t)),
         F.array(kv("language", F.col("language")), kv("author", F.col("author_id")), kv("blog", F.col("blog_id"))),
     )
-    return (p.select("user_id", "post_id", F.explode(items).alias("kv"))
-            .select("user_id", "post_id", F.col("kv.kind").alias("kind"), F.col("kv.key").alias("key")))
+
+
+def _sum_of_distinct(values: Column) -> Column:
+    """Sum of the distinct non-null values in the group (a pair has at most one value per label)."""
+    return F.aggregate(F.array_distinct(F.collect_list(values)), F.lit(0).cast("bigint"), lambda a, x: a + x)
 
 
 def pair_features(pairs: DataFrame, ctx: FeatureContext, variant: str = "coded",
@@ -77,21 +89,22 @@ def pair_features(pairs: DataFrame, ctx: FeatureContext, variant: str = "coded",
     base = pairs.select("user_id", "post_id", *keep)
     p = base.join(ctx.user_totals, "user_id").join(ctx.post_attrs, "post_id")
     k = F.col("kind")
-    matched = _pair_labels(p).join(ctx.profile, ["user_id", "kind", "key"])
+    labels = (p.select("user_id", "post_id", F.explode("labels").alias("kv"))
+              .select("user_id", "post_id", F.col("kv.kind").alias("kind"), F.col("kv.key").alias("key")))
+    matched = labels.join(ctx.profile, ["user_id", "kind", "key"])
+    coded = variant == "coded"
+    set_sum = _sum_of_distinct if coded else F.sum
     agg = matched.groupBy("user_id", "post_id").agg(
-        F.sum_distinct(F.when(k == "category", F.col("cnt"))).alias("cat_sd"),
-        F.sum(F.when(k == "category", F.col("cnt"))).alias("cat_s"),
-        F.sum_distinct(F.when(k == "tag", F.col("cnt"))).alias("tag_sd"),
-        F.sum(F.when(k == "tag", F.col("cnt"))).alias("tag_s"),
+        set_sum(F.when(k == "category", F.col("cnt"))).alias("cat"),
+        set_sum(F.when(k == "tag", F.col("cnt"))).alias("tag"),
         F.max(F.when(k == "language", F.col("cnt"))).alias("lang_cnt"),
         F.max(F.when(k == "author", F.col("cnt"))).alias("author_cnt"),
         F.max(F.when(k == "blog", F.col("cnt"))).alias("own_blog_likes"),
     )
-    f = p.join(agg, ["user_id", "post_id"], "left")
-    coded = variant == "coded"
+    f = p.drop("labels").join(agg, ["user_id", "post_id"], "left")
     z = F.lit(0)
-    cat = F.coalesce(F.col("cat_sd" if coded else "cat_s"), z)
-    tag = F.coalesce(F.col("tag_sd" if coded else "tag_s"), z)
+    cat = F.coalesce(F.col("cat"), z)
+    tag = F.coalesce(F.col("tag"), z)
     if coded:
         tl_avg = safe_div("tl_sum", "tl_n")
     else:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinis.functions.expr import safe_div, word_count
+from affinis.functions.expr import safe_div, title_words_of
 from affinis.plans.skew import top_k_per_group
 
 # The kinds of a profile, and which of them the reference cuts to
@@ -28,8 +28,9 @@ def _kv(kind: str, key) -> F.Column:
 
 
 def liked_posts(likes: DataFrame, posts: DataFrame) -> DataFrame:
-    cols = ["post_id", "categories", "tags", "language", "author_id", "title"]
-    return likes.select("user_id", "post_id").join(posts.select(*cols), "post_id")
+    cols = ["post_id", "categories", "tags", "language", "author_id"]
+    p = posts.select(*cols, title_words_of(posts).alias("title_words"))
+    return likes.select("user_id", "post_id").join(p, "post_id")
 
 
 def profile_long(likes: DataFrame, posts: DataFrame, cap: int | None = None,
@@ -52,7 +53,7 @@ def profile_long(likes: DataFrame, posts: DataFrame, cap: int | None = None,
     if "author" in kinds:
         singles.append(_kv("author", F.col("author_id")))
     if "title_len" in kinds:
-        singles.append(_kv("title_len", word_count("title")))
+        singles.append(_kv("title_len", F.col("title_words")))
     if singles:
         parts.append(F.array(*singles))
     items = parts[0] if len(parts) == 1 else F.concat(*parts)

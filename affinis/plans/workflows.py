@@ -49,12 +49,8 @@ class Workflow:
     @cached_property
     def ctx(self) -> FE.FeatureContext:
         b = self.b
-        c = FE.build_context(b.posts, b.train_likes, b.stats_user, b.stats_blog,
-                             top_entries=self.top_entries, max_blogs=self.max_blogs)
-        if not self.staged:
-            return c
-        return FE.FeatureContext(self._stage(c.post_attrs, "post_attrs"), self._stage(c.profile, "profile"),
-                                 self._stage(c.user_totals, "user_totals"), c.prior_total)
+        return FE.build_context(b.posts, b.train_likes, b.stats_user, b.stats_blog,
+                                top_entries=self.top_entries, max_blogs=self.max_blogs, stage=self._stage)
 
     def features_of(self, pairs: DataFrame, keep: list[str] | None = None, variant: str | None = None) -> DataFrame:
         return FE.pair_features(pairs, self.ctx, variant=variant or self.variant, keep=keep)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -73,5 +74,8 @@ def stage(df, name: str):
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    t = time.time()
     df.write.mode("errorifexists").parquet(path)
+    if os.environ.get("AFFINIS_TRACE"):
+        print(f"[stage] {name}: {time.time() - t:.2f}s", flush=True)
     return spark.read.parquet(path)

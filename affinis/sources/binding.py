@@ -14,7 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinis.functions.expr import title_of
+from affinis.functions.expr import title_of, word_count
 from affinis.session import stage
 
 # Fixed values of the binding: period boundaries and the keys left out of the statistics.
@@ -64,8 +64,12 @@ class Bound:
             title_of("text").alias("title"),
             F.col("text").alias("content"),
         )
-        return self._maybe_stage(p.join(d, "doc_id").select("post_id", "blog_id", "author_id", "language", "title",
-                                                             "content", "categories", "tags"), "posts")
+        j = p.join(d, "doc_id").select("post_id", "blog_id", "author_id", "language", "title",
+                                       "content", "categories", "tags")
+        if self.staged:
+            # the staged table also carries the title's word count, computed once per post
+            return stage(j.withColumn("title_words", word_count("title")), "posts")
+        return j
 
     @cached_property
     def likes(self) -> DataFrame:
