@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinis.operators.negatives import hist_by_edges
+from affinis.sources.schemas import POSTS
 
 TOP_CATEGORIES = 25
 # The notebook's histograms of likes per user: 25 equal-width bins, and edges 0..24.
@@ -31,8 +32,9 @@ def lookup_post(posts: DataFrame, blog_id: int, post_id: int) -> DataFrame:
 
 
 def check_null_fields(posts: DataFrame) -> DataFrame:
-    """Number of null values in every column of the posts table (one row)."""
-    return posts.agg(*[F.sum(F.col(c).isNull().cast("int")).cast("bigint").alias(f"null_{c}") for c in posts.columns])
+    """Number of null values in every field of the posts table (one row)."""
+    cols = [c for c in POSTS.fieldNames() if c in posts.columns]
+    return posts.agg(*[F.sum(F.col(c).isNull().cast("int")).cast("bigint").alias(f"null_{c}") for c in cols])
 
 
 def hist_equal_width(values: DataFrame, col: str, n: int = HIST_BINS) -> DataFrame:

@@ -32,11 +32,11 @@ def build_context(posts: DataFrame, train_likes: DataFrame, stats_user: DataFram
                   max_blogs: int = PR.MAX_BLOGS_PER_USER, stage=None) -> FeatureContext:
     """Profiles, totals and post attributes for ``pair_features``.
 
-    ``stage(df, name)``, when given, materialises the profile and the post
+    ``stage(name, build)``, when given, materialises the profile and the post
     attributes (both feed several joins) before anything is derived from them.
     """
-    stage = stage or (lambda df, name: df)
-    profile = stage(PR.profile_long(train_likes, posts, cap=top_entries), "profile")
+    stage = stage or (lambda name, build: build())
+    profile = stage("profile", lambda: PR.profile_long(train_likes, posts, cap=top_entries))
     totals = PR.user_profile_totals(profile)
 
     own = PR.capped_stats_users(stats_user, max_blogs)
@@ -50,12 +50,13 @@ def build_context(posts: DataFrame, train_likes: DataFrame, stats_user: DataFram
     prior_total = blog_likes.agg(F.sum("blog_likes")).scalar()
     mean_likes = stats_blog.agg(safe_div(F.sum("num_likes"), F.sum("num_posts"))).scalar()
     blog_avg = stats_blog.select("blog_id", safe_div("num_likes", "num_posts").alias("_avg"), F.lit(True).alias("_known"))
-    attrs = (posts.select("post_id", "blog_id", title_words_of(posts).alias("title_len"), post_labels().alias("labels"))
-             .join(blog_likes, "blog_id", "left")
-             .join(blog_avg, "blog_id", "left")
-             .withColumn("avg_likes_per_post", F.when(F.col("_known"), F.col("_avg")).otherwise(mean_likes))
-             .drop("_avg", "_known"))
-    return FeatureContext(stage(attrs, "post_attrs"), profile.unionByName(blog_rows), totals, prior_total)
+    attrs = stage("post_attrs", lambda: (
+        posts.select("post_id", "blog_id", title_words_of(posts).alias("title_len"), post_labels().alias("labels"))
+        .join(blog_likes, "blog_id", "left")
+        .join(blog_avg, "blog_id", "left")
+        .withColumn("avg_likes_per_post", F.when(F.col("_known"), F.col("_avg")).otherwise(mean_likes))
+        .drop("_avg", "_known")))
+    return FeatureContext(attrs, profile.unionByName(blog_rows), totals, prior_total)
 
 
 def post_labels() -> Column:

@@ -23,7 +23,7 @@ from affinis.operators import features as FE
 from affinis.operators import models as MO
 from affinis.operators import negatives as NE
 from affinis.operators import ranking as RA
-from affinis.session import stage
+from affinis.session import stage_once
 from affinis.sources.binding import Bound
 
 
@@ -42,8 +42,16 @@ class Workflow:
         self.sample_fraction = sample_fraction
         self.sample_size = sample_size
 
-    def _stage(self, df: DataFrame, name: str) -> DataFrame:
-        return stage(df, name) if self.staged else df
+    @cached_property
+    def key(self) -> tuple:
+        """Inputs and parameters that determine every staged table of this workflow."""
+        return (self.b.signature(["part", "documents", "orders", "lineitem"]), self.seed, self.variant,
+                self.top_entries, self.max_blogs, self.sample_fraction, self.sample_size)
+
+    def _stage(self, name: str, build) -> DataFrame:
+        if not self.staged:
+            return build()
+        return stage_once(self.spark, name, self.key, build)
 
     # ---- feature extraction ---------------------------------------------------------------
     @cached_property
@@ -61,8 +69,8 @@ class Workflow:
 
     @cached_property
     def negative_pairs(self) -> DataFrame:
-        return self._stage(NE.negative_pairs(self.b.train_posts, self.b.train_likes, seed=self.seed),
-                           "negative_pairs")
+        return self._stage("negative_pairs",
+                           lambda: NE.negative_pairs(self.b.train_posts, self.b.train_likes, seed=self.seed))
 
     @cached_property
     def features_false(self) -> DataFrame:
@@ -71,9 +79,8 @@ class Workflow:
     @cached_property
     def training_set(self) -> DataFrame:
         """E3 + U1 + P12: keyed positives (label 1.0) and negatives (label 0.0)."""
-        pos = self.features_true.withColumn("label", F.lit(1.0))
-        neg = self.features_false.withColumn("label", F.lit(0.0))
-        return self._stage(pos.unionByName(neg), "training_set")
+        return self._stage("training_set", lambda: self.features_true.withColumn("label", F.lit(1.0)).unionByName(
+            self.features_false.withColumn("label", F.lit(0.0))))
 
     @cached_property
     def sampled_users(self) -> DataFrame:
@@ -98,7 +105,8 @@ class Workflow:
     @cached_property
     def features_candidates(self) -> DataFrame:
         """Candidate features with their truth label."""
-        return self._stage(self.features_of(self.labelled_candidates, keep=["label"]), "features_candidates")
+        return self._stage("features_candidates",
+                           lambda: self.features_of(self.labelled_candidates, keep=["label"]))
 
     # ---- scoring ---------------------------------------------------------------------------
     @cached_property

@@ -63,6 +63,43 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/affinis-scratch/{uuid.uuid4().hex}/{name}"
 
 
+_STAGED: dict[tuple, str] = {}
+
+
+def input_signature(spark: SparkSession, paths: list[str]) -> tuple:
+    """(path, total bytes, latest modification time) of each input, read through Hadoop's FileSystem."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    sig = []
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        if not fs.exists(hp):
+            sig.append((p, -1, -1))
+            continue
+        size, mtime = 0, 0
+        for st in fs.listStatus(hp):
+            size += st.getLen()
+            mtime = max(mtime, st.getModificationTime())
+        sig.append((p, size, mtime))
+    return tuple(sig)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    return hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hp)
+
+
+def _write(df, name: str) -> str:
+    path = scratch_path(df.sparkSession, name)
+    t = time.time()
+    df.write.mode("errorifexists").parquet(path)
+    if os.environ.get("AFFINIS_TRACE"):
+        print(f"[stage] {name}: {time.time() - t:.2f}s", flush=True)
+    return path
+
+
 def stage(df, name: str):
     """Write ``df`` as Parquet to a fresh folder in the shared checkpoint directory and read it back.
 
@@ -72,10 +109,19 @@ def stage(df, name: str):
     recomputation per branch, and keeps column pruning and filter pushdown
     for its readers.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    t = time.time()
-    df.write.mode("errorifexists").parquet(path)
-    if os.environ.get("AFFINIS_TRACE"):
-        print(f"[stage] {name}: {time.time() - t:.2f}s", flush=True)
+    return df.sparkSession.read.parquet(_write(df, name))
+
+
+def stage_once(spark: SparkSession, name: str, key: tuple, build):
+    """``stage(build(), name)``, reused within this Spark application for the same key.
+
+    ``key`` must identify the inputs (see ``input_signature``) and every
+    parameter of ``build``; a changed input file gives a new key and a fresh
+    table.
+    """
+    k = (spark.sparkContext.applicationId, ensure_checkpoint_dir(spark), name) + tuple(key)
+    path = _STAGED.get(k)
+    if path is None or not _exists(spark, path):
+        path = _write(build(), name)
+        _STAGED[k] = path
     return spark.read.parquet(path)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinis.functions.expr import title_of, word_count
-from affinis.session import stage
+from affinis.session import input_signature, stage_once
 
 # Fixed values of the binding: period boundaries and the keys left out of the statistics.
 STATS_END = "1999-01-01 00:00:00"
@@ -39,14 +39,24 @@ class Bound:
         self.sf_dir = sf_dir.rstrip("/")
         self.staged = staged
 
-    def _maybe_stage(self, df: DataFrame, name: str) -> DataFrame:
-        return stage(df, name) if self.staged else df
+    def signature(self, names: list[str]) -> tuple:
+        return input_signature(self.spark, [f"{self.sf_dir}/{n}.parquet" for n in names])
+
+    def _maybe_stage(self, name: str, inputs: list[str], build) -> DataFrame:
+        if not self.staged:
+            return build()
+        return stage_once(self.spark, name, self.signature(inputs), build)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
     def posts(self) -> DataFrame:
+        # the staged table also carries the title's word count, computed once per post
+        return self._maybe_stage("posts", ["part", "documents"],
+                                 lambda: self._posts().withColumn("title_words", word_count("title")))
+
+    def _posts(self) -> DataFrame:
         docs = self.table("documents")
         part = self.table("part")
         n_docs = docs.agg(F.count(F.lit(1))).scalar()
@@ -64,21 +74,17 @@ class Bound:
             title_of("text").alias("title"),
             F.col("text").alias("content"),
         )
-        j = p.join(d, "doc_id").select("post_id", "blog_id", "author_id", "language", "title",
-                                       "content", "categories", "tags")
-        if self.staged:
-            # the staged table also carries the title's word count, computed once per post
-            return stage(j.withColumn("title_words", word_count("title")), "posts")
-        return j
+        return p.join(d, "doc_id").select("post_id", "blog_id", "author_id", "language", "title",
+                                          "content", "categories", "tags")
 
     @cached_property
     def likes(self) -> DataFrame:
         o = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         li = self.table("lineitem").select("l_orderkey", "l_partkey")
-        return self._maybe_stage(
+        return self._maybe_stage("likes", ["orders", "lineitem"], lambda: (
             o.join(li, o.o_orderkey == li.l_orderkey)
             .groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("post_id"))
-            .agg(F.min("o_orderdate").alias("ts")), "likes")
+            .agg(F.min("o_orderdate").alias("ts"))))
 
     def _period(self, lo: str | None, hi: str | None) -> DataFrame:
         c = F.lit(True)
