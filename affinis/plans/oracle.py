@@ -390,6 +390,8 @@ Q["negative_counts"] = "SELECT post_id, n_likes, n_neg FROM neg_counts"
 Q["negative_pairs"] = "SELECT user_id, post_id FROM neg_pairs"
 Q["split_train_holdout"] = f"""SELECT user_id, post_id, label,
   CASE WHEN {h('42', "'s'", 'user_id', 'post_id')} < 0.8 THEN 'train' ELSE 'holdout' END AS split FROM training"""
+Q["check_test_users_without_profile"] = ("SELECT count(*) AS n_users_no_profile FROM test_users "
+                                         "WHERE user_id NOT IN (SELECT user_id FROM user_totals)")
 Q["tag_scores"] = "SELECT user_id, post_id, label, tags_likelihood AS score FROM feat_cand"
 Q["precision_by_threshold"] = "SELECT threshold, precision FROM pts"
 Q["recall_by_threshold"] = "SELECT threshold, recall FROM pts"

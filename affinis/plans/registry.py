@@ -140,6 +140,18 @@ def _precision_points(spark, sf_dir) -> DataFrame:
         F.col("threshold").alias("x"), F.col("precision").alias("y"), "position")
 
 
+def _holdout_metrics(spark, sf_dir) -> DataFrame:
+    c = CU.confusion_by_threshold(_wf(spark, sf_dir).holdout_scored)
+    return CU.area_under_roc(c).select("area_under_roc", CU.area_under_pr(c).scalar().alias("area_under_pr"))
+
+
+def _test_users_without_profile(spark, sf_dir) -> DataFrame:
+    w = _wf(spark, sf_dir)
+    u = w.b.test_users
+    return u.join(w.ctx.user_totals.select("user_id"), "user_id", "left_anti").agg(
+        F.count(F.lit(1)).alias("n_users_no_profile"))
+
+
 def _scored_vs_truth(spark, sf_dir, fn, **kw) -> DataFrame:
     w = _wf(spark, sf_dir)
     return fn(w.tag_scored, w.b.truth, **kw)
@@ -253,6 +265,9 @@ QUERIES: dict[str, Query] = {
     "lr_weights": lambda s, d: MO.lr_weights(_wf(s, d).lr_model, s),
     "lr_scores": lambda s, d: _wf(s, d).lr_scored,
     "lr_map_grid": _lr_map_grid,
+    "lr_best_map_threshold": lambda s, d: RA.best_map_threshold(_lr_map_grid(s, d)),
+    "lr_holdout_metrics": _holdout_metrics,
+    "check_test_users_without_profile": _test_users_without_profile,
     # C: curves and tuning
     "precision_by_threshold": lambda s, d: CU.precision_by_threshold(_tag_conf(s, d)),
     "recall_by_threshold": lambda s, d: CU.recall_by_threshold(_tag_conf(s, d)),
@@ -269,6 +284,6 @@ QUERIES: dict[str, Query] = {
 }
 
 # Queries with no SQL oracle (model fitting): checked by row count and by pytest invariants.
-ROWS_ONLY = {"lr_weights", "lr_scores", "lr_map_grid"}
+ROWS_ONLY = {"lr_weights", "lr_scores", "lr_map_grid", "lr_best_map_threshold", "lr_holdout_metrics"}
 
 FEATURE_COLUMNS = FEATURES

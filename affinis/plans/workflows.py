@@ -27,6 +27,9 @@ from affinis.session import stage_once
 from affinis.sources.binding import Bound
 
 
+_MODELS: dict[tuple, object] = {}
+
+
 class Workflow:
     def __init__(self, bound: Bound, seed: int = 42, variant: str = "coded",
                  top_entries: int | None = 100, max_blogs: int = 1000,
@@ -115,12 +118,25 @@ class Workflow:
 
     @cached_property
     def lr_model(self):
-        return MO.fit_lr(self.training_set, checkpoint=not self.staged)
+        """M1, fitted once per training set (the staged training table is keyed the same way)."""
+        if not self.staged:
+            return MO.fit_lr(self.training_set)
+        k = (self.spark.sparkContext.applicationId,) + self.key
+        if k not in _MODELS:
+            _MODELS[k] = MO.fit_lr(self.training_set, checkpoint=False)
+        return _MODELS[k]
 
     @cached_property
     def lr_scored(self) -> DataFrame:
         return MO.lr_scores(self.lr_model, self.features_candidates, keep=["label"])
 
+    @cached_property
+    def holdout_scored(self) -> DataFrame:
+        """Classifier evaluation (training data only): fit on the 80 % split, score the 20 % holdout."""
+        split = NE.split_train_holdout(self.training_set, seed=self.seed)
+        model = MO.fit_lr(split.where(F.col("split") == "train"), checkpoint=not self.staged)
+        return MO.lr_scores(model, split.where(F.col("split") == "holdout"), keep=["label"])
+
     # ---- evaluation ------------------------------------------------------------------------
     def map_grid(self, scored: DataFrame, lo: int, hi: int, step: int) -> DataFrame:
         return RA.map_threshold_grid(scored, self.b.truth, lo, hi, step)
