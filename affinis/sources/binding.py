@@ -109,6 +109,9 @@ class Bound:
     @cached_property
     def stats_user(self) -> DataFrame:
         """Long form (user_id, blog_id, likes, num_likes)."""
+        return self._maybe_stage("stats_user", ["part", "documents", "orders", "lineitem"], self._stats_user)
+
+    def _stats_user(self) -> DataFrame:
         ub = (self.stats_likes.join(self.posts.select("post_id", "blog_id"), "post_id")
               .groupBy("user_id", "blog_id").agg(F.count(F.lit(1)).alias("likes"))
               .where(F.pmod("user_id", F.lit(STATS_USER_SKIP_MOD)) != 0))
@@ -118,6 +121,9 @@ class Bound:
     @cached_property
     def stats_blog(self) -> DataFrame:
         """(blog_id, num_likes, num_posts)."""
+        return self._maybe_stage("stats_blog", ["part", "documents", "orders", "lineitem"], self._stats_blog)
+
+    def _stats_blog(self) -> DataFrame:
         posts = self.posts.select("post_id", "blog_id")
         n_posts = posts.groupBy("blog_id").agg(F.count(F.lit(1)).alias("num_posts"))
         n_likes = (self.stats_likes.join(posts, "post_id")
