@@ -22,6 +22,17 @@ def sample_users(users: DataFrame, fraction: float = SAMPLE_FRACTION, n: int | N
     return h.select(col)
 
 
+def sample_users_native(users: DataFrame, fraction: float = SAMPLE_FRACTION, n: int | None = SAMPLE_SIZE,
+                        seed: int = SEED, col: str = "user_id") -> DataFrame:
+    """N1 with Spark's own Bernoulli sampler (``DataFrame.sample``), then the n smallest ids.
+
+    Reproducible for a fixed seed and input partitioning; the hash form
+    ``sample_users`` is the one with an exact SQL oracle.
+    """
+    s = users.select(col).distinct().sample(withReplacement=False, fraction=fraction, seed=seed)
+    return s.orderBy(col).limit(n) if n is not None else s
+
+
 def posts_in_truth(posts: DataFrame, truth: DataFrame) -> DataFrame:
     """Test posts that somebody liked in the truth."""
     return posts.join(truth.select("post_id"), "post_id", "left_semi")

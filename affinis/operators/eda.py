@@ -98,6 +98,15 @@ def count_distinct_keys(stats_user: DataFrame, train_likes: DataFrame, posts: Da
         stats_blog.agg(F.count(F.lit(1))).scalar().alias("n_stats_blogs"))
 
 
+def count_distinct_keys_approx(stats_user: DataFrame, train_likes: DataFrame, posts: DataFrame,
+                               rsd: float = 0.01) -> DataFrame:
+    """A18, sketch form: HyperLogLog++ estimates of the same distinct counts (one pass, fixed memory)."""
+    return stats_user.agg(F.approx_count_distinct("user_id", rsd).alias("n_stats_users")).select(
+        "n_stats_users",
+        train_likes.agg(F.approx_count_distinct("user_id", rsd)).scalar().alias("n_like_users"),
+        posts.agg(F.approx_count_distinct("blog_id", rsd)).scalar().alias("n_post_blogs"))
+
+
 def preview(df: DataFrame, keys: list[str], n: int = 10) -> DataFrame:
     """T5: first n rows by key (``take`` / ``show``)."""
     return df.orderBy(*keys).limit(n)

@@ -145,3 +145,10 @@ def split_train_holdout(rows: DataFrame, fraction: float = TRAIN_FRACTION, seed:
     """Adds ``split`` = 'train' when h(seed, 's', user, post) < fraction, else 'holdout'."""
     h = unit_hash(F.lit(seed), F.lit("s"), F.col("user_id"), F.col("post_id"))
     return rows.withColumn("split", F.when(h < fraction, F.lit("train")).otherwise(F.lit("holdout")))
+
+
+def split_train_holdout_native(rows: DataFrame, fraction: float = TRAIN_FRACTION, seed: int = SEED) -> DataFrame:
+    """N4 with ``DataFrame.randomSplit``; adds ``split`` = 'train' / 'holdout'."""
+    train, holdout = rows.randomSplit([fraction, 1.0 - fraction], seed=seed)
+    return (train.withColumn("split", F.lit("train"))
+            .unionByName(holdout.withColumn("split", F.lit("holdout"))))

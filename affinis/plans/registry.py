@@ -228,6 +228,8 @@ QUERIES: dict[str, Query] = {
         bind(s, d).stats_user.groupBy("user_id").agg(F.max("num_likes").alias("num_likes")), "num_likes"),
     "count_distinct_keys": lambda s, d: ED.count_distinct_keys(bind(s, d).stats_user, bind(s, d).train_likes,
                                                                bind(s, d).posts, bind(s, d).stats_blog),
+    "count_distinct_keys_approx": lambda s, d: ED.count_distinct_keys_approx(
+        bind(s, d).stats_user, bind(s, d).train_likes, bind(s, d).posts),
     "universe_users": lambda s, d: NE.universe_users(bind(s, d).train_likes),
     "tag_user_index": lambda s, d: _wf(s, d).tag_index,
     "recommend_lists": lambda s, d: RA.recommend_lists(_wf(s, d).tag_scored),
@@ -256,10 +258,13 @@ QUERIES: dict[str, Query] = {
     "features_candidates": lambda s, d: _wf(s, d).features_candidates,
     # N: sampling
     "sample_test_users": lambda s, d: _wf(s, d).sampled_users,
+    "sample_test_users_native": lambda s, d: CA.sample_users_native(bind(s, d).test_users),
     "negative_counts": lambda s, d: NE.negative_counts(bind(s, d).train_posts, bind(s, d).train_likes),
     "negative_pairs": lambda s, d: _wf(s, d).negative_pairs,
     "split_train_holdout": lambda s, d: NE.split_train_holdout(_wf(s, d).training_set).select(
         "user_id", "post_id", "label", "split"),
+    "split_train_holdout_native": lambda s, d: NE.split_train_holdout_native(
+        _wf(s, d).training_set.select("user_id", "post_id", "label")),
     # M: models and scoring
     "tag_scores": lambda s, d: _wf(s, d).tag_scored,
     "lr_weights": lambda s, d: MO.lr_weights(_wf(s, d).lr_model, s),
@@ -283,7 +288,9 @@ QUERIES: dict[str, Query] = {
     "curve_round_x": lambda s, d: CU.round_x(_precision_points(s, d), ROUND_DIGITS),
 }
 
-# Queries with no SQL oracle (model fitting): checked by row count and by pytest invariants.
-ROWS_ONLY = {"lr_weights", "lr_scores", "lr_map_grid", "lr_best_map_threshold", "lr_holdout_metrics"}
+# Queries with no exact SQL oracle (model fitting; Spark's own samplers and sketches): checked by
+# row count and by pytest invariants.
+ROWS_ONLY = {"lr_weights", "lr_scores", "lr_map_grid", "lr_best_map_threshold", "lr_holdout_metrics",
+             "sample_test_users_native", "split_train_holdout_native", "count_distinct_keys_approx"}
 
 FEATURE_COLUMNS = FEATURES

@@ -37,3 +37,16 @@ def test_round_half_up(spark):
     assert got == [float(math.floor(v + 0.5)) for v in vals]
     got2 = [r.r for r in df.select(round_half_up("x", 2).alias("r")).collect()]
     assert got2 == [math.floor(v * 100 + 0.5) / 100 for v in vals]
+
+
+def test_native_sample_and_sketch(spark):
+    from affinis.operators.candidates import sample_users_native
+    from affinis.operators.eda import count_distinct_keys_approx
+    users = spark.range(0, 5000).withColumnRenamed("id", "user_id")
+    s = sample_users_native(users, 0.1, 100, seed=3)
+    assert s.count() == 100 and s.distinct().count() == 100
+    a = [r.user_id for r in sample_users_native(users, 0.1, 100, seed=3).collect()]
+    assert a == [r.user_id for r in s.collect()]
+    su = users.selectExpr("user_id", "user_id % 20 AS blog_id", "1 AS likes", "1 AS num_likes")
+    r = count_distinct_keys_approx(su, su, su).first()
+    assert abs(r.n_stats_users - 5000) < 250 and r.n_post_blogs == 20

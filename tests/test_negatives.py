@@ -84,3 +84,10 @@ def test_split_is_reproducible(spark, small):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
     share = sum(1 for r in a if r.split == "train") / len(a)
     assert 0.6 < share < 0.95
+
+
+def test_native_split_covers_every_row_once(spark, small):
+    _, lk = small
+    s = NE.split_train_holdout_native(lk, seed=4)
+    assert s.count() == lk.count()
+    assert s.select("user_id", "post_id").distinct().count() == lk.count()
