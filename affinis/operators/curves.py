@@ -30,7 +30,8 @@ def confusion_by_threshold(scored: DataFrame, score_col: str = "score", label_co
         F.col("threshold").isNotNull() & ~F.isnan("threshold"))
     pos = F.when(F.col("label") > 0.5, F.lit(1)).otherwise(F.lit(0))
     g = s.groupBy("threshold").agg(F.sum(pos).alias("pos"), F.sum(1 - pos).alias("neg"))
-    tot = s.agg(F.sum(pos).alias("p"), F.sum(1 - pos).alias("n"))
+    # class totals from the (much smaller) per-score table
+    tot = g.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     rt = running_totals(g, "threshold", ["pos", "neg"], descending=True, buckets=buckets)
     return rt.select("threshold", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"), "pos", "neg",
                      "position", tot.select("p").scalar().alias("n_pos"), tot.select("n").scalar().alias("n_neg"))
