@@ -88,6 +88,25 @@ def round_half_up(x, digits: int = 0) -> Column:
     return F.floor(_c(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 
 
+def count_at_or_below(x, sorted_values: list[float]) -> Column:
+    """Number of ``sorted_values`` that are <= x, as a balanced CASE WHEN binary search.
+
+    log2(n) comparisons per row, plain expressions (no lambda), so it stays
+    inside whole-stage codegen.  Used to bucket a value against histogram
+    edges, quantile split points or a threshold grid.
+    """
+    c = _c(x)
+    vals = [float(v) for v in sorted_values]
+
+    def rec(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(c >= F.lit(vals[mid]), rec(mid + 1, hi)).otherwise(rec(lo, mid))
+
+    return rec(0, len(vals))
+
+
 def finite(x) -> Column:
     """Not null, not NaN and not infinite."""
     c = _c(x)

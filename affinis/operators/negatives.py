@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinis.functions.expr import unit_hash
+from affinis.functions.expr import count_at_or_below, unit_hash
 from affinis.plans.prefix import dense_index
 
 SEED = 42
@@ -53,8 +53,7 @@ def hist_by_edges(values: DataFrame, col: str, edges: list[float]) -> DataFrame:
     e = [float(x) for x in edges]
     nb = len(e) - 1
     v = F.col(col).cast("double")
-    arr = F.array(*[F.lit(x) for x in e[1:-1]])
-    b = F.when((v >= e[0]) & (v <= e[-1]), F.least(F.size(F.filter(arr, lambda x: x <= v)), F.lit(nb - 1)))
+    b = F.when((v >= e[0]) & (v <= e[-1]), F.least(count_at_or_below(v, e[1:-1]), F.lit(nb - 1)))
     counts = values.select(b.alias("bin")).where(F.col("bin").isNotNull()).groupBy("bin").agg(
         F.count(F.lit(1)).alias("cnt"))
     return (F.broadcast(edge_bins(values.sparkSession, e)).join(counts, "bin", "left")

@@ -62,10 +62,9 @@ def profile_long(likes: DataFrame, posts: DataFrame, cap: int | None = None,
               .agg(F.count(F.lit(1)).alias("cnt")))
     if cap is None:
         return counts
-    capped = counts.where(F.col("kind").isin(CAPPED_KINDS))
-    free = counts.where(~F.col("kind").isin(CAPPED_KINDS))
-    top = top_k_per_group(capped, ["user_id", "kind"], [F.col("cnt").desc(), F.col("key").asc()], cap).drop("rank")
-    return top.unionByName(free)
+    # one pass: language and title-length maps are ranked but never cut
+    return top_k_per_group(counts, ["user_id", "kind"], [F.col("cnt").desc(), F.col("key").asc()], cap,
+                           exempt=~F.col("kind").isin(CAPPED_KINDS)).drop("rank")
 
 
 def profile_kind(likes: DataFrame, posts: DataFrame, kind: str, key_name: str, key_type: str = "string",

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from affinis.functions.expr import count_at_or_below
 from affinis.plans.skew import top_k_per_group
 
 MAP_N = 100
@@ -92,8 +93,7 @@ def map_threshold_grid(scored: DataFrame, truth: DataFrame, lo: int = 1, hi: int
     grid = grid_values(lo, hi, step)
     spark = scored.sparkSession
     h = ranked_hits(scored, truth, n).join(truth_sizes(truth), "user_id")
-    arr = F.array(*[F.lit(g) for g in grid])
-    gi = F.size(F.filter(arr, lambda t: t <= F.col("score"))) - 1
+    gi = count_at_or_below(F.col("score"), grid) - 1
     rows = h.select(
         gi.alias("gi"),
         (F.col("hit") * F.col("cum_hits") / F.col("k") / F.least(F.col("n_truth"), F.lit(n))).alias("c"),

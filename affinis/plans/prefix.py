@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from affinis.functions.expr import count_at_or_below
+
 DEFAULT_BUCKETS = 256
 
 
@@ -33,11 +35,7 @@ def _splits(df: DataFrame, col: str, buckets: int) -> list[float]:
 
 def bucket_of(col, splits: list[float]):
     """Index of the half-open interval [s_i, s_i+1) holding ``col``."""
-    c = F.col(col).cast("double")
-    if not splits:
-        return F.lit(0)
-    arr = F.array(*[F.lit(s) for s in splits])
-    return F.size(F.filter(arr, lambda s: s <= c))
+    return count_at_or_below(F.col(col).cast("double"), splits)
 
 
 def running_totals(df: DataFrame, order_col: str, value_cols: list[str],

@@ -11,23 +11,27 @@ DEFAULT_ROWS_PER_SALT = 200_000
 
 
 def top_k_per_group(df: DataFrame, group_cols: list[str], order: list[Column], k: int,
-                     rank_col: str = "rank", salts: int = DEFAULT_SALTS) -> DataFrame:
+                     rank_col: str = "rank", salts: int = DEFAULT_SALTS, exempt: Column | None = None) -> DataFrame:
     """Rows ranked 1..k inside each group by ``order`` (a total order), rank in ``rank_col``.
 
     Two phases: first the top k inside (group, salt) where the salt is a hash
     of the row, so a hot group is split over ``salts`` window partitions;
     then the final top k over at most ``k * salts`` survivors per group.
-    Every window partition is therefore bounded.
+    Every window partition is therefore bounded.  Rows matching ``exempt``
+    (a condition constant within a group) are ranked but never cut; use it
+    only for groups whose size the key domain bounds (a user's languages,
+    a user's title lengths), as their window partitions are whole groups.
     """
     cols = df.columns
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salts))
     w1 = Window.partitionBy(*group_cols, "_salt").orderBy(*order)
     w2 = Window.partitionBy(*group_cols).orderBy(*order)
+    keep = F.lit(False) if exempt is None else exempt
     first = (df.withColumn("_salt", salt)
              .withColumn("_r1", F.row_number().over(w1))
-             .where(F.col("_r1") <= k)
+             .where((F.col("_r1") <= k) | keep)
              .drop("_r1", "_salt"))
-    return first.withColumn(rank_col, F.row_number().over(w2)).where(F.col(rank_col) <= k)
+    return first.withColumn(rank_col, F.row_number().over(w2)).where((F.col(rank_col) <= k) | keep)
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: list[str],

@@ -74,7 +74,9 @@ class Bound:
             title_of("text").alias("title"),
             F.col("text").alias("content"),
         )
-        return p.join(d, "doc_id").select("post_id", "blog_id", "author_id", "language", "title",
+        # documents carry whole texts: a sort-merge join (never a broadcast of all texts), which also
+        # leaves the posts table hash-partitioned instead of in the input's split layout
+        return p.join(d.hint("merge"), "doc_id").select("post_id", "blog_id", "author_id", "language", "title",
                                           "content", "categories", "tags")
 
     @cached_property

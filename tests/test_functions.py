@@ -50,3 +50,13 @@ def test_native_sample_and_sketch(spark):
     su = users.selectExpr("user_id", "user_id % 20 AS blog_id", "1 AS likes", "1 AS num_likes")
     r = count_distinct_keys_approx(su, su, su).first()
     assert abs(r.n_stats_users - 5000) < 250 and r.n_post_blogs == 20
+
+
+def test_count_at_or_below(spark):
+    from affinis.functions.expr import count_at_or_below
+    vals = [0.1, 0.2, 0.2, 0.5, 0.9]
+    xs = [-1.0, 0.1, 0.15, 0.2, 0.3, 0.9, 2.0]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = [r.n for r in df.select(count_at_or_below("x", vals).alias("n")).collect()]
+    assert got == [sum(1 for v in vals if v <= x) for x in xs]
+    assert df.select(count_at_or_below("x", []).alias("n")).first().n == 0
