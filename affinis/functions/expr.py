@@ -88,23 +88,25 @@ def round_half_up(x, digits: int = 0) -> Column:
     return F.floor(_c(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 
 
-def count_at_or_below(x, sorted_values: list[float]) -> Column:
-    """Number of ``sorted_values`` that are <= x, as a balanced CASE WHEN binary search.
+def with_count_at_or_below(df, x, sorted_values: list[float], out: str):
+    """Add column ``out`` = number of ``sorted_values`` that are <= x (a bucket index).
 
-    log2(n) comparisons per row, plain expressions (no lambda), so it stays
-    inside whole-stage codegen.  Used to bucket a value against histogram
-    edges, quantile split points or a threshold grid.
+    Spark ML's ``Bucketizer`` does a JVM binary search over the split points,
+    so the expression stays small whatever the number of values.  NaN goes
+    past the last bucket; null stays null.
     """
-    c = _c(x)
-    vals = [float(v) for v in sorted_values]
-
-    def rec(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(c >= F.lit(vals[mid]), rec(mid + 1, hi)).otherwise(rec(lo, mid))
-
-    return rec(0, len(vals))
+    from pyspark.ml.feature import Bucketizer
+
+    vals = sorted({float(v) for v in sorted_values})
+    src = f"{out}__in"
+    d = df.withColumn(src, _c(x).cast("double"))
+    if not vals:
+        return d.withColumn(out, F.when(F.col(src).isNotNull(), F.lit(0))).drop(src)
+    splits = [float("-inf")] + vals + [float("inf")]
+    b = Bucketizer(splits=splits, inputCol=src, outputCol=out + "__b", handleInvalid="keep")
+    return (b.transform(d)
+            .withColumn(out, F.when(F.col(src).isNotNull(), F.col(out + "__b").cast("int")))
+            .drop(src, out + "__b"))
 
 
 def finite(x) -> Column:

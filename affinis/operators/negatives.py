@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinis.functions.expr import count_at_or_below, unit_hash
+from affinis.functions.expr import unit_hash, with_count_at_or_below
 from affinis.plans.prefix import dense_index
 
 SEED = 42
@@ -53,9 +53,10 @@ def hist_by_edges(values: DataFrame, col: str, edges: list[float]) -> DataFrame:
     e = [float(x) for x in edges]
     nb = len(e) - 1
     v = F.col(col).cast("double")
-    b = F.when((v >= e[0]) & (v <= e[-1]), F.least(count_at_or_below(v, e[1:-1]), F.lit(nb - 1)))
-    counts = values.select(b.alias("bin")).where(F.col("bin").isNotNull()).groupBy("bin").agg(
-        F.count(F.lit(1)).alias("cnt"))
+    inside = values.select(v.alias("_v")).where((F.col("_v") >= e[0]) & (F.col("_v") <= e[-1]))
+    counts = (with_count_at_or_below(inside, F.col("_v"), e[1:-1], "_b")
+              .select(F.least(F.col("_b"), F.lit(nb - 1)).alias("bin"))
+              .groupBy("bin").agg(F.count(F.lit(1)).alias("cnt")))
     return (F.broadcast(edge_bins(values.sparkSession, e)).join(counts, "bin", "left")
             .select("bin", "lo_edge", "hi_edge", F.coalesce("cnt", F.lit(0)).alias("cnt")))
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinis.functions.expr import count_at_or_below
+from affinis.functions.expr import with_count_at_or_below
 from affinis.plans.skew import top_k_per_group
 
 MAP_N = 100
@@ -93,9 +93,8 @@ def map_threshold_grid(scored: DataFrame, truth: DataFrame, lo: int = 1, hi: int
     grid = grid_values(lo, hi, step)
     spark = scored.sparkSession
     h = ranked_hits(scored, truth, n).join(truth_sizes(truth), "user_id")
-    gi = count_at_or_below(F.col("score"), grid) - 1
-    rows = h.select(
-        gi.alias("gi"),
+    rows = with_count_at_or_below(h, F.col("score"), grid, "_n").select(
+        (F.col("_n") - 1).alias("gi"),
         (F.col("hit") * F.col("cum_hits") / F.col("k") / F.least(F.col("n_truth"), F.lit(n))).alias("c"),
         F.when(F.col("k") == 1, F.lit(1)).otherwise(F.lit(0)).alias("u"),
     ).where(F.col("gi") >= 0)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinis.functions.expr import count_at_or_below
+from affinis.functions.expr import with_count_at_or_below
 
 DEFAULT_BUCKETS = 256
 
@@ -33,9 +33,9 @@ def _splits(df: DataFrame, col: str, buckets: int) -> list[float]:
     return out
 
 
-def bucket_of(col, splits: list[float]):
-    """Index of the half-open interval [s_i, s_i+1) holding ``col``."""
-    return count_at_or_below(F.col(col).cast("double"), splits)
+def with_bucket(df: DataFrame, col: str, splits: list[float], out: str = "_bucket") -> DataFrame:
+    """Add the index of the half-open interval [s_i, s_i+1) holding ``col``."""
+    return with_count_at_or_below(df, F.col(col), splits, out)
 
 
 def running_totals(df: DataFrame, order_col: str, value_cols: list[str],
@@ -48,7 +48,7 @@ def running_totals(df: DataFrame, order_col: str, value_cols: list[str],
     """
     tie_cols = tie_cols or []
     splits = _splits(df, order_col, buckets)
-    b = df.withColumn("_bucket", bucket_of(order_col, splits))
+    b = with_bucket(df, order_col, splits)
     if descending:
         b = b.withColumn("_bucket", F.lit(len(splits)) - F.col("_bucket"))
     aggs = [F.sum(v).alias(f"_bt_{v}") for v in value_cols] + [F.count(F.lit(1)).alias("_bt_n")]
