@@ -11,26 +11,30 @@ from pyspark.sql import SparkSession
 
 def build_session(master: str | None = None, app: str = "affinis",
                   shuffle_partitions: int | None = None) -> SparkSession:
-    """Local/test session with AQE and skew-join handling switched on.
+    """Session with AQE, partition coalescing and skew-join handling switched on.
 
-    On a cluster, ``master`` stays None and the submitting environment
-    decides; only settings that are not already present are filled in.
+    With a ``master`` (local runs, tests, bench) the shuffle partition count
+    is the number of local cores.  Without one (a cluster submit) the
+    partition count, memory and checkpoint folder come from the cluster's
+    configuration; AQE coalesces shuffle partitions to its advisory size.
     """
-    cpus = int(os.environ.get("BENCH_CPUS", "8"))
     b = SparkSession.builder.appName(app)
-    if master:
-        b = b.master(master)
-    parts = shuffle_partitions or cpus
-    for k, v in {
+    conf = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        "spark.driver.memory": "16g",
-    }.items():
+    }
+    if master:
+        b = b.master(master)
+        cpus = int(os.environ.get("BENCH_CPUS", "8"))
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
+        conf["spark.driver.memory"] = "16g"
+    elif shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
