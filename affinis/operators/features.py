@@ -73,11 +73,6 @@ def post_labels() -> Column:
     )
 
 
-def _sum_of_distinct(values: Column) -> Column:
-    """Sum of the distinct non-null values in the group (a pair has at most one value per label)."""
-    return F.aggregate(F.array_distinct(F.collect_list(values)), F.lit(0).cast("bigint"), lambda a, x: a + x)
-
-
 def pair_features(pairs: DataFrame, ctx: FeatureContext, variant: str = "coded",
                   keep: list[str] | None = None) -> DataFrame:
     """(user_id, post_id, *FEATURES[, keep...]) for every pair whose user has a profile.
@@ -92,12 +87,15 @@ def pair_features(pairs: DataFrame, ctx: FeatureContext, variant: str = "coded",
     k = F.col("kind")
     labels = (p.select("user_id", "post_id", F.explode("labels").alias("kv"))
               .select("user_id", "post_id", F.col("kv.kind").alias("kind"), F.col("kv.key").alias("key")))
-    matched = labels.join(ctx.profile, ["user_id", "kind", "key"])
+    matched = labels.join(ctx.profile, ["user_id", "kind", "key"]).select("user_id", "post_id", "kind", "cnt")
     coded = variant == "coded"
-    set_sum = _sum_of_distinct if coded else F.sum
+    if coded:
+        # equal counts of one kind collapse (a set of counts): drop duplicate (pair, kind, count) rows.
+        # Partitioning by the pair once serves both this de-duplication and the aggregate below.
+        matched = matched.repartition("user_id", "post_id").dropDuplicates(["user_id", "post_id", "kind", "cnt"])
     agg = matched.groupBy("user_id", "post_id").agg(
-        set_sum(F.when(k == "category", F.col("cnt"))).alias("cat"),
-        set_sum(F.when(k == "tag", F.col("cnt"))).alias("tag"),
+        F.sum(F.when(k == "category", F.col("cnt"))).alias("cat"),
+        F.sum(F.when(k == "tag", F.col("cnt"))).alias("tag"),
         F.max(F.when(k == "language", F.col("cnt"))).alias("lang_cnt"),
         F.max(F.when(k == "author", F.col("cnt"))).alias("author_cnt"),
         F.max(F.when(k == "blog", F.col("cnt"))).alias("own_blog_likes"),
