@@ -13,7 +13,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinis.functions.expr import FEATURES
 from affinis.operators import candidates as CA
 from affinis.operators import clean as CL
 from affinis.operators import curves as CU
@@ -292,5 +291,3 @@ QUERIES: dict[str, Query] = {
 # row count and by pytest invariants.
 ROWS_ONLY = {"lr_weights", "lr_scores", "lr_map_grid", "lr_best_map_threshold", "lr_holdout_metrics",
              "sample_test_users_native", "split_train_holdout_native", "count_distinct_keys_approx"}
-
-FEATURE_COLUMNS = FEATURES

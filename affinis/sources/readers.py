@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinis.functions.expr import FEATURES
 from affinis.sources import schemas as S
 
 _TSV = dict(sep="\t", mode="FAILFAST", nanValue="NaN", positiveInf="Infinity", negativeInf="-Infinity")
@@ -96,5 +95,3 @@ def read_test_features(spark: SparkSession, path: str) -> DataFrame:
     """User, post + seven features, tab separated."""
     return spark.read.schema(S.TEST_FEATURES).options(**_TSV).csv(path)
 
-
-FEATURE_COLUMNS = FEATURES
