@@ -60,4 +60,4 @@ SELECT p.doc_id, p.size, q.source_size, q.target,
 FROM p JOIN q ON p.source IS NOT DISTINCT FROM q.source
 """
 
-ORACLE_SQL = {}
+ORACLE_SQL = {"op9_mixing": _OP9}
