@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinis.llm import language_id, mixing, near_dup, packing, sharding
+from affinis.llm import (ann, language_id, license_scan, mixing, near_dup, packing, pii, quality_rules, sharding,
+                         url_filters)
 from affinis.llm.common import table
 
 
@@ -22,6 +23,18 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.verdicts(table(spark, sf_dir, "documents"))
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge_pages(table(spark, sf_dir, "pages"))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_spans(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -30,11 +43,21 @@ def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_language_id, op6_packing, op7_near_dup, op9_mixing)}
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_sharding, op2_language_id, op3_quality_rules, op4_url_filters, op5_pii, op6_packing, op7_near_dup,
+    op8_license_scan, op9_mixing, op10_ann)}
 
 # op9: the same line of documents, as one window per source.
 _OP9 = r"""
@@ -60,4 +83,37 @@ SELECT p.doc_id, p.size, q.source_size, q.target,
 FROM p JOIN q ON p.source IS NOT DISTINCT FROM q.source
 """
 
-ORACLE_SQL = {"op9_mixing": _OP9}
+# op4: the rules tried one by one, longest first.
+_OP4 = r"""
+WITH u AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 1, 's'),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 2, 's') AS path FROM pages),
+r AS (
+  SELECT *, CASE
+    WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule
+  FROM u)
+SELECT page_id, host, path, rule, CASE
+  WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+  WHEN host = 'spam-farm.example.org' OR ends_with(host, '.spam-farm.example.org') THEN 'block' ELSE 'allow' END AS verdict
+FROM r
+"""
+
+# op10: every query against every row.
+_OP10 = """
+WITH v AS (
+  SELECT DISTINCT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+ORACLE_SQL = {"op4_url_filters": _OP4, "op9_mixing": _OP9, "op10_ann": _OP10}

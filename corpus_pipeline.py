@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinis.llm import language_id, mixing, near_dup, packing
+from affinis.llm import language_id, mixing, near_dup, packing, pii
 from affinis.llm.common import table
 from affinis.llm.queries import tokenizer_path
 from affinis.session import stage
@@ -20,6 +20,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return near_dup.keep_one(docs)
 
 
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 5: personal data and what reveals it is replaced."""
+    return pii.sanitise(docs)
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: documents of each source up to its target, some twice, shuffled."""
     return mixing.mix(docs).select(*docs.columns)
@@ -30,7 +35,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, tokenizer_path())
 
 
-STAGES = [("language", language), ("near_duplicates", near_duplicates), ("mixture", mixture), ("pack", pack)]
+STAGES = [("language", language), ("near_duplicates", near_duplicates), ("pii", private),
+          ("mixture", mixture), ("pack", pack)]
 
 # language ID and packing learn and choose in ways that SQL cannot express; the tests compare with brute force
 ORACLE_SQL = None
