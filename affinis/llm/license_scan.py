@@ -133,7 +133,7 @@ def rules() -> tuple[Rule, ...]:
         for name in names:
             for v in VERSIONS.get(label, ()):
                 v0 = v + ("(?: 0)?" if " " not in v else "")
-                out.append(_rule(f"{label}-{v.replace(' ', '.')}", name, f"{_UNDER}?{name}(?: version)?(?: v)? {v0}{_LATER}", 80, 1.0))
+                out.append(_rule(f"{label}-{v.replace(' ', '.')}", name, f"{_UNDER}?{name} (?:version |v )?v?{v0}{_LATER}", 80, 1.0))
                 out.append(_rule(f"{label}-{v.replace(' ', '.')}", name, f"version {v0} of the {name}", 80, 1.0))
             out.append(_rule(label, name, f"{_UNDER}{name}", 70, 0.9))
             out.append(_rule(label, name, name, 50, 0.8))

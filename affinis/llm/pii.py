@@ -20,7 +20,7 @@ in time linear in the text and need no stack per repetition.
 
 Cases: a null text counts as empty and stays null; an empty table gives no
 rows; rows with equal texts get equal spans; spans that overlap are replaced
-together, under the label of the first; a null doc_id passes unchanged; extra
+together, under the label of the first (the longer, if two begin together); a null doc_id passes unchanged; extra
 columns pass unchanged (sanitised rows), or are not read (span queries).
 """
 
@@ -211,7 +211,8 @@ def sanitise(docs: DataFrame) -> DataFrame:
     t = F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(
         s["disclosure"] >= REMOVE, F.lit("")).otherwise(F.lit(TERM_LABEL)).alias("label")))
     none = F.lit([]).cast("array<struct<start:int,end:int,label:string>>")
-    rows = rows.withColumn("spans", F.array_sort(F.concat(b, F.coalesce(t, none))))
+    rows = rows.withColumn("spans", F.array_sort(F.concat(b, F.coalesce(t, none)), lambda x, y: F.when(
+        x["start"] != y["start"], x["start"] - y["start"]).otherwise(y["end"] - x["end"])))
     rows = rows.withColumn("clean", F.when(F.col("rec.text").isNotNull(), F.when(
         F.size("spans") > 0, _replaced(F.col("text"), F.col("spans"))).otherwise(F.col("text"))))
     changed = F.size("spans") > 0
