@@ -29,7 +29,7 @@ TITLE_PATTERN = r"^[^\n.]*"
 # which backtracks quadratically over a long run of non-word characters
 UP_TO_LAST_WORD = r"(?s)^(.*[\w'])"
 
-_TWO_POW_32 = 4294967296.0
+_TWO_POW_52 = 4503599627370496.0
 
 
 def _c(c) -> Column:
@@ -65,14 +65,15 @@ def title_of(text) -> Column:
 def unit_hash(*keys) -> Column:
     """Reproducible uniform number in [0, 1) from the keys.
 
-    First 32 bits of md5 over the keys joined by '|', divided by 2^32.  The
-    same value comes out of DuckDB, which gives every sample an exact oracle.
+    First 52 bits of md5 over the keys joined by '|', divided by 2^52: exact in
+    a double, and fine enough to reach every one of 10^12 users.  The same
+    value comes out of DuckDB, which gives every sample an exact oracle.
     Deterministic, so a recomputed task after an executor loss draws the
     same numbers.
     """
     parts = [(_c(k) if not isinstance(k, (int, float)) else F.lit(k)).cast("string") for k in keys]
-    hexdigits = F.substring(F.md5(F.concat_ws("|", *parts)), 1, 8)
-    return F.conv(hexdigits, 16, 10).cast("double") / F.lit(_TWO_POW_32)
+    hexdigits = F.substring(F.md5(F.concat_ws("|", *parts)), 1, 13)
+    return F.conv(hexdigits, 16, 10).cast("double") / F.lit(_TWO_POW_52)
 
 
 def safe_div(num, den) -> Column:

@@ -1,4 +1,4 @@
-"""Test-side pairs: sampled users, candidate pairs and labels."""
+"""Test-side pairs: test users or a sample, candidate pairs and labels."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from affinis.functions.expr import unit_hash
 from affinis.plans.skew import salted_join
 
 SEED = 42
+# The notebook samples a tenth of the test users and takes 100 of them.
 SAMPLE_FRACTION = 0.1
 SAMPLE_SIZE = 100
 
@@ -24,13 +25,13 @@ def sample_users(users: DataFrame, fraction: float = SAMPLE_FRACTION, n: int | N
 
 def sample_users_native(users: DataFrame, fraction: float = SAMPLE_FRACTION, n: int | None = SAMPLE_SIZE,
                         seed: int = SEED, col: str = "user_id") -> DataFrame:
-    """N1 with Spark's own Bernoulli sampler (``DataFrame.sample``), then the n smallest ids.
+    """N1 with Spark's own Bernoulli sampler (``DataFrame.sample``), then n of the sample by a seeded hash.
 
     Reproducible for a fixed seed and input partitioning; the hash form
     ``sample_users`` is the one with an exact SQL oracle.
     """
     s = users.select(col).distinct().sample(withReplacement=False, fraction=fraction, seed=seed)
-    return s.orderBy(col).limit(n) if n is not None else s
+    return s.orderBy(F.xxhash64(F.lit(seed), F.col(col)), col).limit(n) if n is not None else s
 
 
 def posts_in_truth(posts: DataFrame, truth: DataFrame) -> DataFrame:
@@ -48,8 +49,8 @@ def tag_user_index(profile: DataFrame, users: DataFrame) -> DataFrame:
 def candidate_pairs(test_posts: DataFrame, index: DataFrame) -> DataFrame:
     """(user_id, post_id) where the post carries a tag in the user's profile.
 
-    A popular tag is salted (see ``salted_join``) so its users are spread
-    over several tasks; the result is de-duplicated on the pair.
+    A popular tag is salted on both sides (see ``salted_join``), so its users
+    and its posts are spread over several tasks; pairs are de-duplicated.
     """
     pt = test_posts.select("post_id", F.explode("tags").alias("tag")).distinct()
     return salted_join(pt, index, ["tag"]).select("user_id", "post_id").distinct()

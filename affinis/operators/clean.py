@@ -23,17 +23,14 @@ def post_sets(posts: DataFrame) -> DataFrame:
     )
 
 
-def stats_user_map(stats_user: DataFrame) -> DataFrame:
-    """P3 for display: each user's blog -> likes map as a sorted 'blog:likes' string.
+def last_entries(entries: DataFrame) -> DataFrame:
+    """(user_id, blog_id, likes, ...) from list entries with their place ``pos``: the last entry of a blog wins.
 
-    The map of one user has one entry per blog the user liked, so its size is
-    bounded by the number of blogs.
+    Long form: a user's map is rows, however many blogs there are.
     """
-    return stats_user.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n_blogs"),
-        F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(F.struct("blog_id", "likes"))),
-                                     lambda e: F.concat(e["blog_id"].cast("string"), F.lit(":"),
-                                                        e["likes"].cast("string")))).alias("blog_likes"))
+    rest = [c for c in entries.columns if c not in ("user_id", "blog_id", "likes", "pos")]
+    return entries.groupBy("user_id", "blog_id").agg(F.max_by("likes", "pos").alias("likes"),
+                                                     *[F.first(c).alias(c) for c in rest])
 
 
 def finite_features(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

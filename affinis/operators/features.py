@@ -2,10 +2,12 @@
 
 Plan per batch of pairs:
   pairs -> + user totals (join on user) -> + post attributes (join on post)
-        -> explode the post's labels as (kind, key) -> join the long profile on
-           (user, kind, key) -> one aggregate per pair -> left join back.
+        -> explode the post's labels as (kind, key) -> left join the long profile on
+           (user, kind, key) -> one aggregate per pair that also carries the pair's own columns.
 One profile join serves categories, tags, language, author and blog at once,
-instead of one join per feature.
+and nothing is joined back.  A user with very many pairs is split into salts,
+and that user's totals and profile rows are copied once per salt; a post with
+very many pairs is split the same way.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 
 from affinis.functions.expr import FEATURES, safe_div, title_words_of
 from affinis.operators import profiles as PR
+from affinis.plans.skew import ROWS_PER_SALT, copied, hot_keys, salted_join, with_salt
 
 
 @dataclass
@@ -28,23 +31,24 @@ class FeatureContext:
 
 
 def build_context(posts: DataFrame, train_likes: DataFrame, stats_user: DataFrame, stats_blog: DataFrame,
-                  top_entries: int | None = PR.TOP_ENTRIES,
-                  max_blogs: int = PR.MAX_BLOGS_PER_USER, stage=None) -> FeatureContext:
+                  top_entries: int | None = None, max_blogs: int | None = None, stage=None) -> FeatureContext:
     """Profiles, totals and post attributes for ``pair_features``.
 
-    ``stage(name, build)``, when given, materialises the profile and the post
-    attributes (both feed several joins) before anything is derived from them.
+    ``top_entries`` (T1) and ``max_blogs`` (P9) cut the profiles as the
+    reference's workflow does; by default nothing is cut.
+    ``stage(name, build, *params)``, when given, writes the tables that feed
+    several joins before anything is derived from them.
     """
-    stage = stage or (lambda name, build: build())
-    profile = stage("profile", lambda: PR.profile_long(train_likes, posts, cap=top_entries))
-    totals = PR.user_profile_totals(profile)
+    stage = stage or (lambda name, build, *params: build())
+    profile = stage("profile", lambda: PR.profile_long(train_likes, posts, cap=top_entries), top_entries)
 
     own = PR.capped_stats_users(stats_user, max_blogs)
     blog_rows = own.select("user_id", F.lit("blog").alias("kind"), F.col("blog_id").cast("string").alias("key"),
                            F.col("likes").alias("cnt"))
     blog_tot = own.groupBy("user_id").agg(F.sum("likes").alias("blog_total"))
-    totals = (totals.join(blog_tot, "user_id", "left")
-              .withColumn("has_blog_map", F.col("blog_total").isNotNull()))
+    totals = stage("user_totals", lambda: (
+        PR.user_profile_totals(profile).join(blog_tot, "user_id", "left")
+        .withColumn("has_blog_map", F.col("blog_total").isNotNull())), top_entries, max_blogs)
 
     blog_likes = PR.blog_like_totals(stats_user)
     prior_total = blog_likes.agg(F.sum("blog_likes")).scalar()
@@ -74,7 +78,7 @@ def post_labels() -> Column:
 
 
 def pair_features(pairs: DataFrame, ctx: FeatureContext, variant: str = "coded",
-                  keep: list[str] | None = None) -> DataFrame:
+                  keep: list[str] | None = None, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """(user_id, post_id, *FEATURES[, keep...]) for every pair whose user has a profile.
 
     ``variant="coded"`` reproduces the reference's arithmetic (equal counts of
@@ -82,25 +86,29 @@ def pair_features(pairs: DataFrame, ctx: FeatureContext, variant: str = "coded",
     ``variant="documented"`` computes what its README describes.
     """
     keep = keep or []
-    base = pairs.select("user_id", "post_id", *keep)
-    p = base.join(ctx.user_totals, "user_id").join(ctx.post_attrs, "post_id")
+    pair = ["user_id", "post_id", *keep]
+    hot = hot_keys(pairs, ["user_id"], rows_per_salt)
+    p = salted_join(pairs.select(*pair), ctx.post_attrs, ["post_id"], rows_per_salt=rows_per_salt)
+    p = with_salt(p, hot, "user_id", "post_id").join(copied(ctx.user_totals, hot, "user_id"), ["user_id", "salt"])
+    own = [c for c in p.columns if c not in (*pair, "salt", "labels")]
     k = F.col("kind")
-    labels = (p.select("user_id", "post_id", F.explode("labels").alias("kv"))
-              .select("user_id", "post_id", F.col("kv.kind").alias("kind"), F.col("kv.key").alias("key")))
-    matched = labels.join(ctx.profile, ["user_id", "kind", "key"]).select("user_id", "post_id", "kind", "cnt")
+    labels = p.select(*pair, "salt", *own, F.explode("labels").alias("kv")).select("*", "kv.kind", "kv.key").drop("kv")
+    matched = labels.join(copied(ctx.profile, hot, "user_id"), ["user_id", "salt", "kind", "key"], "left")
     coded = variant == "coded"
+    carried = [F.first(c).alias(c) for c in own]          # equal in all rows of a pair
+    # partitioning by the pair once serves both aggregates below
+    matched = matched.repartition(*pair[:2])
     if coded:
-        # equal counts of one kind collapse (a set of counts): drop duplicate (pair, kind, count) rows.
-        # Partitioning by the pair once serves both this de-duplication and the aggregate below.
-        matched = matched.repartition("user_id", "post_id").dropDuplicates(["user_id", "post_id", "kind", "cnt"])
-    agg = matched.groupBy("user_id", "post_id").agg(
+        # equal counts of one kind collapse (a set of counts)
+        matched = matched.groupBy(*pair, "kind", "cnt").agg(*carried)
+    f = matched.groupBy(*pair).agg(
+        *carried,
         F.sum(F.when(k == "category", F.col("cnt"))).alias("cat"),
         F.sum(F.when(k == "tag", F.col("cnt"))).alias("tag"),
         F.max(F.when(k == "language", F.col("cnt"))).alias("lang_cnt"),
         F.max(F.when(k == "author", F.col("cnt"))).alias("author_cnt"),
         F.max(F.when(k == "blog", F.col("cnt"))).alias("own_blog_likes"),
     )
-    f = p.drop("labels").join(agg, ["user_id", "post_id"], "left")
     z = F.lit(0)
     cat = F.coalesce(F.col("cat"), z)
     tag = F.coalesce(F.col("tag"), z)
@@ -125,8 +133,3 @@ def pair_features(pairs: DataFrame, ctx: FeatureContext, variant: str = "coded",
 def users_without_profile(pairs: DataFrame, ctx: FeatureContext) -> DataFrame:
     """J1 check: pairs whose user has no profile (the reference fails on them)."""
     return pairs.join(ctx.user_totals.select("user_id"), "user_id", "left_anti")
-
-
-def avg_likes_per_post_of_posts(posts: DataFrame, ctx: FeatureContext) -> DataFrame:
-    """(post_id, avg_likes_per_post) with the global mean for blogs without statistics."""
-    return ctx.post_attrs.join(posts.select("post_id"), "post_id", "left_semi").select("post_id", "avg_likes_per_post")

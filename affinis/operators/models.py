@@ -18,20 +18,20 @@ from pyspark.sql import functions as F
 from affinis.functions.expr import FEATURES, is_finite_all
 from affinis.session import ensure_checkpoint_dir
 
+# The reference's fit.
 MAX_ITER = 20
 REG_PARAM = 0.01
 
 
 def assemble(df: DataFrame) -> DataFrame:
-    """The seven features as one vector column, rows with undefined values skipped."""
-    clean = df.where(is_finite_all(FEATURES))
-    return VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="skip").transform(clean)
+    """The seven features as one vector column; undefined values become NaN components."""
+    return VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep").transform(df)
 
 
 def fit_lr(training: DataFrame, max_iter: int = MAX_ITER, reg_param: float = REG_PARAM,
            checkpoint: bool = True) -> LogisticRegressionModel:
     """M1: L2-regularised, standardised logistic regression on (label, *FEATURES)."""
-    data = assemble(training).select("label", "features")
+    data = assemble(training.where(is_finite_all(FEATURES))).select("label", "features")     # P4
     if checkpoint:
         ensure_checkpoint_dir(training.sparkSession)
         data = data.checkpoint(eager=True)
@@ -48,10 +48,14 @@ def lr_weights(model: LogisticRegressionModel, spark) -> DataFrame:
 
 
 def lr_scores(model: LogisticRegressionModel, pairs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """M3 + P13: (user_id, post_id, score[, keep]) with score = P(label = 1)."""
+    """M3 + P13: (user_id, post_id, score[, keep]) with score = P(label = 1).
+
+    Every pair stays; one with an undefined feature has a null score.
+    """
     keep = keep or []
     t = model.transform(assemble(pairs))
-    return t.select("user_id", "post_id", *keep, vector_to_array("probability")[1].alias("score"))
+    score = F.when(is_finite_all(FEATURES), vector_to_array("probability")[1])
+    return t.select("user_id", "post_id", *keep, score.alias("score"))
 
 
 def tag_scores(features: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -9,10 +9,10 @@ are reproducible and a recomputed task draws the same users.
 The non-liking users are never materialised.  Users get a dense index
 0..U-1; the j-th non-liking user of a post with liked indices l_0 < l_1 < ...
 is ``j + #{m : l_m - m <= j}`` (complement rank).  The count is done in two
-levels so no task ever handles a whole hot post: liked indices are cut
-into fixed-width index buckets; per (post, bucket) a count and offset
-(at most U / width rows per post), and inside one bucket at most ``width``
-rows.
+levels, each one window over the union of what is counted and what asks:
+first a post's index buckets (fixed width) and its draws, then the liked
+indices of one bucket and the draws that fall there.  Draws of a post are
+cut into salts of ``DRAW_ROWS``, so no window holds a whole hot post.
 """
 
 from __future__ import annotations
@@ -22,11 +22,13 @@ from pyspark.sql import functions as F
 
 from affinis.functions.expr import unit_hash, with_count_at_or_below
 from affinis.plans.prefix import dense_index
+from affinis.session import stage
 
 SEED = 42
-# The histogram of likes per post has edges 0, 1, ..., 100 (last bin closed).
+# The reference's histogram of likes per post has edges 0, 1, ..., 100 (last bin closed).
 DIST_EDGES = list(range(0, 101))
 INDEX_BUCKET_WIDTH = 1 << 16
+DRAW_ROWS = 1 << 18
 TRAIN_FRACTION = 0.8
 
 
@@ -75,17 +77,38 @@ def likes_per_post_distribution(train_posts: DataFrame, train_likes: DataFrame,
                     lo.alias("lo"), (lo + F.col("cnt")).alias("hi"))
 
 
+def _distribution(lpp: DataFrame, edges: list[float] | None) -> list[tuple[int, int]]:
+    """(likes, posts) by falling into ``edges``, or by every like count there is: at most sqrt(2 x likes) + 1 of them."""
+    if edges is None:
+        rows = lpp.groupBy("n_likes").agg(F.count(F.lit(1)).alias("cnt")).collect()
+        return sorted((r.n_likes, r.cnt) for r in rows)
+    rows = hist_by_edges(lpp, "n_likes", edges).where("cnt > 0").collect()
+    return sorted((int(r.lo_edge), r.cnt) for r in rows)
+
+
 def negative_counts(train_posts: DataFrame, train_likes: DataFrame, seed: int = SEED,
-                    edges: list[float] = DIST_EDGES) -> DataFrame:
-    """N2 + J12: (post_id, n_likes, n_neg), n_neg drawn from the likes-per-post distribution."""
-    dist = likes_per_post_distribution(train_posts, train_likes, edges).where(F.col("cnt") > 0)
-    total = dist.agg(F.sum("cnt")).scalar()
+                    edges: list[float] | None = None) -> DataFrame:
+    """N2 + J12: (post_id, n_likes, n_neg), n_neg drawn from the likes-per-post distribution.
+
+    By default the distribution holds every like count of the data.  With
+    ``edges`` (the reference: ``DIST_EDGES``) posts outside them are left out
+    of it, and it is an error if that leaves none.
+    """
     lpp = likes_per_post(train_posts, train_likes)
-    r = lpp.withColumn("_r", F.floor(unit_hash(F.lit(seed), F.lit("n"), F.col("post_id")) * total))
-    # range join against at most len(edges) bucket rows: a bounded broadcast
-    j = r.join(F.broadcast(dist.select("lo", "hi", "n_users")),
-               (F.col("_r") >= F.col("lo")) & (F.col("_r") < F.col("hi")), "left")
-    return j.select("post_id", "n_likes", F.coalesce("n_users", F.lit(0)).alias("n_neg"))
+    dist = _distribution(lpp, edges)
+    if not dist:
+        if lpp.isEmpty():
+            return lpp.withColumn("n_neg", F.lit(0).cast("bigint"))
+        raise ValueError("no post has a number of likes inside the edges: nothing to draw from")
+    upto, total = [], 0
+    for _, cnt in dist:
+        total += cnt
+        upto.append(total)
+    draw = F.floor(unit_hash(F.lit(seed), F.lit("n"), F.col("post_id")) * F.lit(total))
+    # The cumulative bucket of a draw by binary search; then a join of one row per bucket
+    values = lpp.sparkSession.createDataFrame([(i, v) for i, (v, _) in enumerate(dist)], "_b int, n_neg bigint")
+    return with_count_at_or_below(lpp, draw, [float(u) for u in upto[:-1]], "_b").join(values, "_b").select(
+        "post_id", "n_likes", "n_neg")
 
 
 def non_like_counts(train_posts: DataFrame, train_likes: DataFrame) -> DataFrame:
@@ -99,45 +122,78 @@ def non_like_counts(train_posts: DataFrame, train_likes: DataFrame) -> DataFrame
     return likes_per_post(train_posts, train_likes).withColumn("n_non_like", u - F.col("n_likes"))
 
 
-def _complement_pick(draws: DataFrame, liked: DataFrame, width: int) -> DataFrame:
-    """user index for each draw (post_id, k, j): the j-th index not in the post's liked set."""
-    lk = liked.withColumn("b", F.floor(F.col("idx") / width))
-    bs = lk.groupBy("post_id", "b").agg(F.count(F.lit(1)).alias("cnt"), F.max("idx").alias("max_idx"))
-    wb = Window.partitionBy("post_id").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    bs = bs.withColumn("c_before", F.coalesce(F.sum("cnt").over(wb), F.lit(0)))
-    # g = idx - rank of idx among the post's likes = number of non-liked indices below idx (non-decreasing)
-    bs = bs.withColumn("g_max", F.col("max_idx") - F.col("c_before") - F.col("cnt") + 1)
-    wr = Window.partitionBy("post_id", "b").orderBy("idx")
-    lk = (lk.join(bs.select("post_id", "b", "c_before"), ["post_id", "b"])
-          .withColumn("g", F.col("idx") - (F.col("c_before") + F.row_number().over(wr) - 1)))
-    # first bucket whose largest g exceeds j; every bucket before it is fully counted
-    first = (draws.join(bs.select("post_id", "b", "g_max", "c_before"), "post_id")
-             .where(F.col("g_max") > F.col("j"))
-             .groupBy("post_id", "k", "j")
-             .agg(F.min_by(F.struct("b", "c_before"), "b").alias("s"))
-             .select("post_id", "k", "j", F.col("s.b").alias("b"), F.col("s.c_before").alias("c_before")))
-    inner = (first.join(lk.select("post_id", "b", "g"), ["post_id", "b"])
-             .where(F.col("g") <= F.col("j"))
-             .groupBy("post_id", "k").agg(F.count(F.lit(1)).alias("c_in")))
-    return (draws.join(first.select("post_id", "k", "c_before"), ["post_id", "k"], "left")
-            .join(inner, ["post_id", "k"], "left")
-            .withColumn("c", F.when(F.col("c_before").isNull(), F.col("n_likes"))
-                        .otherwise(F.col("c_before") + F.coalesce("c_in", F.lit(0))))
-            .select("post_id", "k", (F.col("j") + F.col("c")).alias("idx")))
+def _complement_pick(draws: DataFrame, liked: DataFrame, width: int, many: DataFrame | None = None,
+                     draw_rows: int = DRAW_ROWS) -> DataFrame:
+    """(post_id, k, idx) of each draw (post_id, k, j, n_likes): the j-th index not in the post's liked set.
+
+    ``many`` (post_id, salts) lists the posts with more than ``draw_rows``
+    draws; it has at most draws / draw_rows rows, so it is a broadcast side.
+    """
+    if many is None:
+        many = draws.groupBy("post_id").agg((F.floor(F.max("k") / draw_rows) + 1).cast("int").alias("salts")).where("salts > 1")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt")
+    per_salt = lambda df: df.join(F.broadcast(many), "post_id", "left").select(*df.columns, copies)
+    lk = liked.select("post_id", "idx", F.floor(F.col("idx") / width).alias("b"))
+    buckets = lk.groupBy("post_id", "b").agg(F.count(F.lit(1)).alias("cnt"), F.max("idx").alias("at"))
+    null = F.lit(None).cast("bigint")
+
+    # level 1, per (post, salt): buckets (kind 0) get the likes before them, draws (kind 1) find their bucket
+    one = per_salt(buckets).select("post_id", "salt", F.lit(0).alias("kind"), "b", "cnt", "at", null.alias("k"), null.alias("j"),
+                                   null.alias("n_likes"))
+    ask = draws.select("post_id", F.floor(F.col("k") / draw_rows).cast("int").alias("salt"), F.lit(1).alias("kind"), null.alias("b"),
+                       F.lit(0).cast("bigint").alias("cnt"), null.alias("at"), F.col("k").cast("bigint").alias("k"),
+                       F.col("j").cast("bigint").alias("j"), "n_likes")
+    by_bucket = Window.partitionBy("post_id", "salt").orderBy("kind", "b").rowsBetween(Window.unboundedPreceding, -1)
+    one = one.unionByName(ask).withColumn("before", F.coalesce(F.sum("cnt").over(by_bucket), F.lit(0)))
+    # a bucket's largest number of non-liked indices below one of its own; it never falls from bucket to bucket
+    one = one.withColumn("v", F.when(F.col("kind") == 0, F.col("at") - F.col("before") - F.col("cnt") + 1).otherwise(F.col("j")))
+    # the draw's bucket is the first whose largest value exceeds j: the last one seen when values fall
+    falling = (Window.partitionBy("post_id", "salt").orderBy(F.col("v").desc(), F.col("kind").desc(), F.col("b").desc())
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    own = F.last(F.when(F.col("kind") == 0, F.struct("b", "before")), ignorenulls=True).over(falling)
+    one = one.withColumn("own", own).select("post_id", "salt", "kind", F.col("own.b").alias("b"), F.col("own.before").alias("before"),
+                                            "k", "j", "n_likes")
+
+    # level 2, per (post, bucket, salt): the bucket's header (kind 0), its liked indices (1) and the draws in it (2)
+    two = one.select("post_id", "b", "salt", F.when(F.col("kind") == 0, 0).otherwise(2).alias("kind"), null.alias("idx"), "before",
+                     "k", "j", "n_likes")
+    members = per_salt(lk).select("post_id", "b", "salt", F.lit(1).alias("kind"), "idx", null.alias("before"), null.alias("k"),
+                                  null.alias("j"), null.alias("n_likes"))
+    two = two.unionByName(members)
+    in_bucket = Window.partitionBy("post_id", "b", "salt").orderBy("kind", "idx", "k").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    is_like = F.when(F.col("kind") == 1, 1).otherwise(0)
+    head = F.first("before", ignorenulls=True).over(in_bucket)
+    two = two.withColumn("g", F.when(F.col("kind") == 1, F.col("idx") - head - (F.sum(is_like).over(in_bucket) - 1)).otherwise(F.col("j")))
+    rising = Window.partitionBy("post_id", "b", "salt").orderBy("g", "kind", "k").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    two = two.withColumn("inside", F.sum(is_like).over(rising)).where("kind = 2")
+    # a draw beyond the last bucket comes after every like of the post
+    likes_before = F.when(F.col("b").isNull(), F.col("n_likes")).otherwise(F.col("before") + F.col("inside"))
+    return two.select("post_id", "k", (F.col("j") + likes_before).alias("idx"))
 
 
 def negative_pairs(train_posts: DataFrame, train_likes: DataFrame, seed: int = SEED,
-                   edges: list[float] = DIST_EDGES, width: int = INDEX_BUCKET_WIDTH) -> DataFrame:
-    """Distinct (user_id, post_id) negatives; none of them is a like."""
-    users = dense_index(universe_users(train_likes), "user_id")
-    n_users = users.agg(F.count(F.lit(1))).scalar()
-    counts = negative_counts(train_posts, train_likes, seed, edges).withColumn("m", n_users - F.col("n_likes"))
-    draws = (counts.where((F.col("n_neg") > 0) & (F.col("m") > 0))
-             .select("post_id", "n_likes", "m", F.explode(F.sequence(F.lit(0), F.col("n_neg") - 1)).alias("k"))
+                   edges: list[float] | None = None, width: int = INDEX_BUCKET_WIDTH, draw_rows: int = DRAW_ROWS) -> DataFrame:
+    """Distinct (user_id, post_id) negatives; none of them is a like.
+
+    The user index, the numbers per post and the likes by index are written
+    first, so each is computed once and the pairs read them by scans.
+    """
+    users = stage(dense_index(stage(universe_users(train_likes), "universe"), "user_id"), "user_index")
+    n_users = users.count()
+    counts = stage(negative_counts(train_posts, train_likes, seed, edges)
+                   .withColumn("m", F.lit(n_users) - F.col("n_likes")).where("n_neg > 0 AND m > 0"), "negative_counts")
+    liked = stage(train_likes.select("user_id", "post_id").distinct().join(users, "user_id").select("post_id", "idx"), "liked_index")
+    many = counts.where(F.col("n_neg") > draw_rows).select(
+        "post_id", F.ceil(F.col("n_neg") / draw_rows).cast("int").alias("salts"))
+    # two steps, so no row holds more than ``draw_rows`` numbers
+    draws = (counts.select("*", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n_neg") / draw_rows).cast("int") - 1)).alias("s"))
+             .select("post_id", "n_likes", "m", F.explode(F.sequence(
+                 F.col("s") * draw_rows, F.least(F.col("n_neg"), (F.col("s") + 1) * draw_rows) - 1)).alias("k"))
              .withColumn("j", F.floor(unit_hash(F.lit(seed), F.lit("u"), F.col("post_id"), F.col("k")) * F.col("m")))
              .select("post_id", "k", "j", "n_likes"))
-    liked = train_likes.select("user_id", "post_id").join(users, "user_id").select("post_id", "idx")
-    picks = _complement_pick(draws, liked, width)
+    picks = _complement_pick(draws, liked, width, many, draw_rows)
     return picks.join(users, "idx").select("user_id", "post_id").distinct()
 
 

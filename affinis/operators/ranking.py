@@ -2,7 +2,7 @@
 
 Only the first n recommendations of a user count towards AP@n, and raising
 the score threshold keeps a prefix of each ranked list.  So the top n per
-user (two-phase, salted: no task sees a whole hot user) is computed once,
+user (Spark's window group limit cuts each list before the shuffle) is computed once,
 and every threshold of a grid is answered from it in a single aggregate
 over at most (grid size) groups.
 """
@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinis.functions.expr import with_count_at_or_below
-from affinis.plans.skew import top_k_per_group
 
+# Fixed value: the cut of MAP@n.
 MAP_N = 100
-ROUND = 9
+#: Post ids in one row of a recommendation list.
+LIST_ROW = 100
 
 
 def _valid(scored: DataFrame, threshold: float | None) -> DataFrame:
@@ -29,23 +30,33 @@ def _valid(scored: DataFrame, threshold: float | None) -> DataFrame:
 def top_n(scored: DataFrame, n: int = MAP_N, threshold: float | None = None) -> DataFrame:
     """T3 + T4: per user, the n best (score desc, post_id) rows, rank in ``k`` (1-based)."""
     s = _valid(scored, threshold).select("user_id", "post_id", "score")
-    return top_k_per_group(s, ["user_id"], [F.col("score").desc(), F.col("post_id").asc()], n, rank_col="k")
+    w = Window.partitionBy("user_id").orderBy(F.col("score").desc(), F.col("post_id").asc())
+    return s.withColumn("k", F.row_number().over(w)).where(F.col("k") <= n)      # Spark cuts before the shuffle
 
 
-def ranked_hits(scored: DataFrame, truth: DataFrame, n: int = MAP_N, threshold: float | None = None) -> DataFrame:
-    """(user_id, k, post_id, score, hit, cum_hits) for the top n of each user."""
+def ranked(scored: DataFrame, threshold: float | None = None) -> DataFrame:
+    """Every valid row with its rank ``k`` (1-based) in the user's list (score desc, post_id)."""
+    w = Window.partitionBy("user_id").orderBy(F.col("score").desc(), F.col("post_id").asc())
+    return _valid(scored, threshold).select("user_id", "post_id", "score").withColumn("k", F.row_number().over(w))
+
+
+def _with_hits(r: DataFrame, truth: DataFrame) -> DataFrame:
     t = truth.select("user_id", "post_id", F.lit(1).alias("_t")).distinct()
-    r = top_n(scored, n, threshold).join(t, ["user_id", "post_id"], "left").withColumn(
-        "hit", F.coalesce("_t", F.lit(0))).drop("_t")
+    r = r.join(t, ["user_id", "post_id"], "left").withColumn("hit", F.coalesce("_t", F.lit(0))).drop("_t")
     w = Window.partitionBy("user_id").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return r.withColumn("cum_hits", F.sum("hit").over(w)).select(
         "user_id", F.col("k").cast("bigint").alias("k"), "post_id", "score", "hit", "cum_hits")
 
 
-def recommend_lists(scored: DataFrame, n: int = MAP_N, threshold: float | None = None) -> DataFrame:
-    """(user_id, n_recs, recs) with the post ids of the first n recommendations in rank order."""
-    t = top_n(scored, n, threshold)
-    return t.groupBy("user_id").agg(
+def ranked_hits(scored: DataFrame, truth: DataFrame, threshold: float | None = None) -> DataFrame:
+    """(user_id, k, post_id, score, hit, cum_hits) for the whole list of each user."""
+    return _with_hits(ranked(scored, threshold), truth)
+
+
+def recommend_lists(scored: DataFrame, threshold: float | None = None, per_row: int = LIST_ROW) -> DataFrame:
+    """Each user's whole list in rank order, ``per_row`` post ids a row: (user_id, part, n_recs, recs)."""
+    t = ranked(scored, threshold).withColumn("part", F.floor((F.col("k") - 1) / per_row).cast("int"))
+    return t.groupBy("user_id", "part").agg(
         F.count(F.lit(1)).alias("n_recs"),
         F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(F.struct("k", "post_id"))),
                                      lambda x: x["post_id"].cast("string"))).alias("recs"))
@@ -57,10 +68,10 @@ def truth_sizes(truth: DataFrame) -> DataFrame:
 
 def ap_at_k(scored: DataFrame, truth: DataFrame, n: int = MAP_N, threshold: float | None = None) -> DataFrame:
     """(user_id, ap) for users with recommendations and a truth set."""
-    h = ranked_hits(scored, truth, n, threshold)
+    h = _with_hits(top_n(scored, n, threshold), truth)
     num = h.groupBy("user_id").agg(F.sum(F.col("hit") * F.col("cum_hits") / F.col("k")).alias("_s"))
     return (num.join(truth_sizes(truth), "user_id")
-            .select("user_id", F.round(F.col("_s") / F.least(F.col("n_truth"), F.lit(n)), ROUND).alias("ap")))
+            .select("user_id", (F.col("_s") / F.least(F.col("n_truth"), F.lit(n))).alias("ap")))
 
 
 def map_at_k(scored: DataFrame, truth: DataFrame, n: int = MAP_N, threshold: float | None = None,
@@ -73,8 +84,7 @@ def map_at_k(scored: DataFrame, truth: DataFrame, n: int = MAP_N, threshold: flo
     ap = ap_at_k(scored, truth, n, threshold)
     if over == "all_truth":
         ap = truth_sizes(truth).select("user_id").join(ap, "user_id", "left").fillna(0.0, ["ap"])
-    return ap.agg(F.round(F.coalesce(F.avg("ap"), F.lit(0.0)), ROUND).alias("map"),
-                  F.count(F.lit(1)).alias("n_users"))
+    return ap.agg(F.coalesce(F.avg("ap"), F.lit(0.0)).alias("map"), F.count(F.lit(1)).alias("n_users"))
 
 
 def grid_values(lo: int, hi: int, step: int) -> list[float]:
@@ -92,7 +102,7 @@ def map_threshold_grid(scored: DataFrame, truth: DataFrame, lo: int = 1, hi: int
     """
     grid = grid_values(lo, hi, step)
     spark = scored.sparkSession
-    h = ranked_hits(scored, truth, n).join(truth_sizes(truth), "user_id")
+    h = _with_hits(top_n(scored, n), truth).join(truth_sizes(truth), "user_id")
     rows = with_count_at_or_below(h, F.col("score"), grid, "_n").select(
         (F.col("_n") - 1).alias("gi"),
         (F.col("hit") * F.col("cum_hits") / F.col("k") / F.least(F.col("n_truth"), F.lit(n))).alias("c"),
@@ -106,7 +116,7 @@ def map_threshold_grid(scored: DataFrame, truth: DataFrame, lo: int = 1, hi: int
            .withColumn("n_users", F.sum(F.coalesce("nu", F.lit(0))).over(w)))
     return out.select(
         "threshold",
-        F.round(F.when(F.col("n_users") > 0, F.col("s_cum") / F.col("n_users")).otherwise(F.lit(0.0)), ROUND).alias("map"),
+        F.when(F.col("n_users") > 0, F.col("s_cum") / F.col("n_users")).otherwise(F.lit(0.0)).alias("map"),
         F.col("n_users").cast("bigint").alias("n_users"))
 
 

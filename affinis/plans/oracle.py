@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 
-H = "CAST(CAST(('0x' || substr(md5(concat_ws('|', {keys})), 1, 8)) AS BIGINT) AS DOUBLE) / CAST(4294967296 AS DOUBLE)"
+H = "CAST(CAST(('0x' || substr(md5(concat_ws('|', {keys})), 1, 13)) AS BIGINT) AS DOUBLE) / CAST(4503599627370496 AS DOUBLE)"
 
 
 def h(*keys: str) -> str:
@@ -28,9 +28,6 @@ def wc(t: str) -> str:
     return WC.format(t=t)
 
 
-DBL = "CAST({} AS DOUBLE)"
-
-
 def div(a: str, b: str) -> str:
     return f"(CAST({a} AS DOUBLE) / NULLIF(CAST({b} AS DOUBLE), 0))"
 
@@ -43,10 +40,10 @@ SELECT p.p_partkey AS post_id,
        CAST(p.p_size AS BIGINT) AS author_id,
        d.lang AS language,
        regexp_extract(d.text, '^[^\\n.]*', 0) AS title,
-       d.text AS content,
+       CAST(length(d.text) AS INTEGER) AS content_chars,
        list_distinct([p.p_type, p.p_brand]) AS categories,
-       list_distinct(string_split(p.p_name, ' ')) AS tags
-FROM part p JOIN documents d ON d.doc_id = p.p_partkey % (SELECT count(*) FROM documents)"""
+       list_distinct(list_transform(string_split(p.p_name, ' '), lambda w: w || '-' || p.topic)) AS tags
+FROM (SELECT *, CAST(p_partkey % (SELECT greatest(1, count(*) // 24) FROM part) AS VARCHAR) AS topic FROM part) p JOIN documents d ON d.doc_id = p.p_partkey % (SELECT count(*) FROM documents)"""
 
 CTE["all_likes"] = """
 SELECT o.o_custkey AS user_id, l.l_partkey AS post_id, min(o.o_orderdate) AS ts
@@ -57,16 +54,14 @@ CTE["train_likes"] = ("SELECT user_id, post_id FROM all_likes WHERE ts >= TIMEST
 CTE["test_likes"] = "SELECT user_id, post_id FROM all_likes WHERE ts >= TIMESTAMP '2000-07-01 00:00:00'"
 CTE["stats_ub"] = """
 SELECT s.user_id, p.blog_id, count(*) AS likes
-FROM stats_likes s JOIN posts p ON p.post_id = s.post_id
-WHERE s.user_id % 50 <> 0 GROUP BY 1, 2"""
+FROM stats_likes s JOIN posts p ON p.post_id = s.post_id GROUP BY 1, 2"""
 CTE["stats_user"] = """
 SELECT user_id, blog_id, likes, CAST(sum(likes) OVER (PARTITION BY user_id) AS BIGINT) AS num_likes FROM stats_ub"""
 CTE["stats_blog"] = """
 SELECT np.blog_id, CAST(coalesce(nl.num_likes, 0) AS BIGINT) AS num_likes, np.num_posts
 FROM (SELECT blog_id, count(*) AS num_posts FROM posts GROUP BY 1) np
 LEFT JOIN (SELECT p.blog_id, count(*) AS num_likes FROM stats_likes s JOIN posts p ON p.post_id = s.post_id GROUP BY 1) nl
-  ON nl.blog_id = np.blog_id
-WHERE np.blog_id < 18"""
+  ON nl.blog_id = np.blog_id"""
 CTE["truth"] = "SELECT DISTINCT user_id, post_id FROM test_likes"
 CTE["test_users"] = "SELECT DISTINCT user_id FROM test_likes"
 
@@ -87,7 +82,8 @@ SELECT user_id, kind, key, cnt FROM (
 WHERE kind NOT IN ('category', 'tag', 'author') OR rn <= {cap}"""
 
 
-CTE["profile"] = _prof_capped(100)
+CTE["profile"] = "SELECT user_id, kind, key, cnt FROM prof_raw"
+CTE["profile_100"] = _prof_capped(100)
 CTE["profile_small"] = _prof_capped(3)
 CTE["user_totals"] = """
 SELECT user_id,
@@ -101,7 +97,7 @@ SELECT user_id,
 FROM profile GROUP BY user_id"""
 CTE["own_stats"] = """
 SELECT * FROM stats_user WHERE user_id IN (SELECT user_id FROM stats_user GROUP BY user_id HAVING count(*) < 1000)"""
-CTE["own_totals"] = "SELECT user_id, CAST(sum(likes) AS BIGINT) AS blog_total FROM own_stats GROUP BY 1"
+CTE["own_totals"] = "SELECT user_id, CAST(sum(likes) AS BIGINT) AS blog_total FROM stats_user GROUP BY 1"
 CTE["blog_likes"] = "SELECT blog_id, CAST(sum(likes) AS BIGINT) AS blog_likes FROM stats_user GROUP BY 1"
 CTE["post_attrs"] = f"""
 SELECT p.post_id, p.blog_id, p.author_id, p.language, p.categories, p.tags, {wc('p.title')} AS title_len,
@@ -110,7 +106,7 @@ SELECT p.post_id, p.blog_id, p.author_id, p.language, p.categories, p.tags, {wc(
        ELSE (SELECT {div('sum(num_likes)', 'sum(num_posts)')} FROM stats_blog) END AS avg_likes_per_post
 FROM posts p LEFT JOIN blog_likes bl ON bl.blog_id = p.blog_id LEFT JOIN stats_blog sb ON sb.blog_id = p.blog_id"""
 CTE["prof_all"] = ("SELECT user_id, kind, key, cnt FROM profile UNION ALL "
-                   "SELECT user_id, 'blog', CAST(blog_id AS VARCHAR), likes FROM own_stats")
+                   "SELECT user_id, 'blog', CAST(blog_id AS VARCHAR), likes FROM stats_user")
 
 
 def features_cte(pairs: str, name: str, variant: str = "coded", keep: str = "") -> None:
@@ -171,10 +167,13 @@ SELECT bin, bin AS n_users, cnt,
 FROM (SELECT db.bin, count(x.post_id) AS cnt FROM dist_bins db
       LEFT JOIN (SELECT post_id, least(n_likes, 99) AS bin FROM lpp WHERE n_likes <= 100) x ON x.bin = db.bin
       GROUP BY db.bin)"""
+CTE["dist_all"] = """
+SELECT n_likes AS n_users, CAST(sum(count(*)) OVER (ORDER BY n_likes) - count(*) AS BIGINT) AS lo,
+  CAST(sum(count(*)) OVER (ORDER BY n_likes) AS BIGINT) AS hi, count(*) AS cnt FROM lpp GROUP BY n_likes"""
 CTE["neg_counts"] = f"""
 SELECT r.post_id, r.n_likes, coalesce(d.n_users, 0) AS n_neg FROM (
-  SELECT post_id, n_likes, floor({h('42', "'n'", 'post_id')} * (SELECT sum(cnt) FROM dist)) AS r FROM lpp) r
-LEFT JOIN (SELECT * FROM dist WHERE cnt > 0) d ON r.r >= d.lo AND r.r < d.hi"""
+  SELECT post_id, n_likes, floor({h('42', "'n'", 'post_id')} * (SELECT sum(cnt) FROM dist_all)) AS r FROM lpp) r
+LEFT JOIN dist_all d ON r.r >= d.lo AND r.r < d.hi"""
 CTE["draws"] = f"""
 SELECT post_id, n_likes, k, floor({h('42', "'u'", 'post_id', 'k')} * m) AS j FROM (
   SELECT post_id, n_likes, m, unnest(range(n_neg)) AS k FROM (
@@ -196,7 +195,7 @@ SELECT user_id FROM (SELECT user_id, {h('42', 'user_id')} AS hh FROM test_users)
 ORDER BY hh, user_id LIMIT 100"""
 CTE["tposts"] = "SELECT * FROM posts WHERE post_id IN (SELECT post_id FROM truth)"
 CTE["tag_index"] = ("SELECT DISTINCT key AS tag, user_id FROM profile WHERE kind = 'tag' "
-                    "AND user_id IN (SELECT user_id FROM sampled)")
+                    "AND user_id IN (SELECT user_id FROM test_users)")
 CTE["cands"] = """
 SELECT DISTINCT ti.user_id, pt.post_id FROM (SELECT DISTINCT post_id, unnest(tags) AS tag FROM tposts) pt
 JOIN tag_index ti ON ti.tag = pt.tag"""
@@ -209,18 +208,18 @@ CTE["scored"] = ("SELECT user_id, post_id, label, tags_likelihood AS score FROM
                  "WHERE tags_likelihood IS NOT NULL AND NOT isnan(tags_likelihood)")
 
 # ---- ranking --------------------------------------------------------------------------------
-CTE["ranked"] = """
+CTE["ranked_all"] = """
 SELECT r.user_id, r.k, r.post_id, r.score, CASE WHEN t.user_id IS NOT NULL THEN 1 ELSE 0 END AS hit
 FROM (SELECT user_id, post_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, post_id) AS k
       FROM scored) r
-LEFT JOIN truth t ON t.user_id = r.user_id AND t.post_id = r.post_id WHERE r.k <= 100"""
+LEFT JOIN truth t ON t.user_id = r.user_id AND t.post_id = r.post_id"""
 CTE["ranked_hits"] = """
 SELECT user_id, k, post_id, score, hit,
-  CAST(sum(hit) OVER (PARTITION BY user_id ORDER BY k ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cum_hits FROM ranked"""
+  CAST(sum(hit) OVER (PARTITION BY user_id ORDER BY k ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cum_hits FROM ranked_all"""
 CTE["truth_sizes"] = "SELECT user_id, count(*) AS n_truth FROM truth GROUP BY 1"
 CTE["ap_users"] = """
-SELECT h.user_id, round(sum(h.hit * h.cum_hits / h.k) / least(ts.n_truth, 100), 9) AS ap
-FROM ranked_hits h JOIN truth_sizes ts ON ts.user_id = h.user_id GROUP BY h.user_id, ts.n_truth"""
+SELECT h.user_id, sum(h.hit * h.cum_hits / h.k) / least(ts.n_truth, 100) AS ap
+FROM ranked_hits h JOIN truth_sizes ts ON ts.user_id = h.user_id WHERE h.k <= 100 GROUP BY h.user_id, ts.n_truth"""
 
 
 def grid_cte(name: str, scored: str, lo: int, hi: int, step: int) -> None:
@@ -248,23 +247,26 @@ grid_cte("tag_grid2", "scored", 1, 100, 2)
 CTE["conf0"] = """
 SELECT score AS threshold, CAST(sum(CASE WHEN label > 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS pos,
   CAST(sum(CASE WHEN label > 0.5 THEN 0 ELSE 1 END) AS BIGINT) AS neg FROM scored GROUP BY score"""
+CTE["class_sizes"] = """
+SELECT CAST(sum(CASE WHEN label > 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS p,
+  CAST(sum(CASE WHEN label > 0.5 THEN 0 ELSE 1 END) AS BIGINT) AS n FROM feat_cand"""
 CTE["conf"] = """
 SELECT threshold,
   CAST(sum(pos) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS tp,
   CAST(sum(neg) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS fp,
   pos, neg, row_number() OVER (ORDER BY threshold DESC) - 1 AS position,
-  (SELECT CAST(sum(pos) AS BIGINT) FROM conf0) AS n_pos, (SELECT CAST(sum(neg) AS BIGINT) FROM conf0) AS n_neg
+  (SELECT p FROM class_sizes) AS n_pos, (SELECT n FROM class_sizes) AS n_neg
 FROM conf0"""
 CTE["pts"] = f"""
 SELECT threshold, position, {div('tp', 'tp + fp')} AS precision, {div('tp', 'n_pos')} AS recall,
   {div('fp', 'n_neg')} AS fpr, {div('tp', 'n_pos')} AS tpr FROM conf"""
 CTE["roc_pts"] = """
-SELECT CAST(NULL AS DOUBLE) AS threshold, CAST(0.0 AS DOUBLE) AS fpr, CAST(0.0 AS DOUBLE) AS tpr
-UNION ALL SELECT NULL, CAST(1.0 AS DOUBLE), CAST(1.0 AS DOUBLE)
-UNION ALL SELECT threshold, fpr, tpr FROM pts"""
+SELECT CAST(NULL AS DOUBLE) AS threshold, CAST(0.0 AS DOUBLE) AS fpr, CAST(0.0 AS DOUBLE) AS tpr, CAST(0 AS BIGINT) AS position
+UNION ALL SELECT NULL, CAST(1.0 AS DOUBLE), CAST(1.0 AS DOUBLE), (SELECT count(*) + 1 FROM pts)
+UNION ALL SELECT threshold, fpr, tpr, position + 1 FROM pts"""
 CTE["pr_pts"] = """
-SELECT CAST(NULL AS DOUBLE) AS threshold, CAST(0.0 AS DOUBLE) AS recall, precision FROM pts WHERE position = 0
-UNION ALL SELECT threshold, recall, precision FROM pts"""
+SELECT CAST(NULL AS DOUBLE) AS threshold, CAST(0.0 AS DOUBLE) AS recall, precision, position FROM pts WHERE position = 0
+UNION ALL SELECT threshold, recall, precision, position + 1 FROM pts"""
 
 
 def _fm(b2: float) -> str:
@@ -276,12 +278,13 @@ Q: dict[str, str] = {}
 
 POST_DISPLAY = """SELECT post_id, blog_id, author_id, language, title,
   array_to_string(list_sort(list_distinct(categories)), ',') AS categories,
-  array_to_string(list_sort(list_distinct(tags)), ',') AS tags, CAST(length(content) AS INTEGER) AS content_chars FROM posts"""
+  array_to_string(list_sort(list_distinct(tags)), ',') AS tags, content_chars FROM posts"""
 FEAT_COLS = ("categories_likelihood, tags_likelihood, language_likelihood, author_likelihood, "
              "title_length_error, blog_likelihood, avg_likes_per_post")
 
 Q["src_stats_blog"] = "SELECT blog_id, num_likes, num_posts FROM stats_blog"
 Q["src_stats_user_long"] = "SELECT user_id, blog_id, likes, num_likes FROM stats_user"
+Q["src_stats_users"] = "SELECT user_id, max(num_likes) AS num_likes FROM stats_user GROUP BY user_id"
 Q["src_posts"] = POST_DISPLAY
 Q["src_likes"] = "SELECT user_id, post_id FROM train_likes"
 Q["src_test_posts"] = POST_DISPLAY
@@ -290,25 +293,30 @@ Q["src_user_list"] = "SELECT user_id FROM test_users"
 Q["tsv_train_roundtrip"] = f"SELECT label, {FEAT_COLS} FROM training"
 Q["tsv_test_roundtrip"] = f"SELECT user_id, post_id, {FEAT_COLS} FROM feat_cand"
 
-Q["filter_any_null"] = ("SELECT post_id, blog_id, author_id, language, title FROM posts WHERE post_id IS NOT NULL "
+CTE["faulty_posts"] = """
+SELECT post_id, blog_id, author_id, CASE WHEN post_id % 7 = 3 THEN NULL ELSE title END AS title, content_chars, categories,
+  CASE WHEN post_id % 17 = 4 THEN NULL ELSE tags END AS tags,
+  CASE WHEN post_id % 13 = 6 THEN NULL WHEN post_id % 11 = 5 THEN '' ELSE language END AS language FROM posts"""
+CTE["faulty_features"] = """
+SELECT * REPLACE (CASE WHEN (user_id + post_id) % 9 = 0 THEN 'NaN'::DOUBLE WHEN (user_id + post_id) % 10 = 0 THEN 'Infinity'::DOUBLE
+  WHEN (user_id + post_id) % 11 = 0 THEN NULL ELSE tags_likelihood END AS tags_likelihood) FROM training"""
+Q["filter_any_null"] = ("SELECT post_id, blog_id, author_id, language, title FROM faulty_posts WHERE post_id IS NOT NULL "
                         "AND blog_id IS NOT NULL AND author_id IS NOT NULL AND language IS NOT NULL AND title IS NOT NULL "
-                        "AND content IS NOT NULL AND categories IS NOT NULL AND tags IS NOT NULL")
+                        "AND content_chars IS NOT NULL AND categories IS NOT NULL AND tags IS NOT NULL")
 Q["project_post_sets"] = """SELECT post_id, blog_id, author_id,
   array_to_string(list_sort(list_distinct(categories)), ',') AS categories,
   array_to_string(list_sort(list_distinct(tags)), ',') AS tags, CAST(len(list_distinct(tags)) AS INTEGER) AS n_tags FROM posts"""
-Q["stats_user_map"] = """SELECT user_id, count(*) AS n_blogs,
-  string_agg(CAST(blog_id AS VARCHAR) || ':' || CAST(likes AS VARCHAR), ' ' ORDER BY blog_id) AS blog_likes
-FROM stats_user GROUP BY user_id"""
-Q["filter_finite_features"] = (f"SELECT user_id, post_id, {FEAT_COLS}, label FROM training WHERE "
+Q["stats_user_map"] = "SELECT user_id, blog_id, likes FROM stats_user"
+Q["filter_finite_features"] = (f"SELECT user_id, post_id, {FEAT_COLS}, label FROM faulty_features WHERE "
                                + " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c}) AND NOT isinf({c})"
                                               for c in FEAT_COLS.split(", ")))
-Q["check_user_totals"] = ("SELECT count(*) AS n_mismatch FROM (SELECT user_id, sum(likes) AS s, max(num_likes) AS n "
-                          "FROM stats_user GROUP BY 1) WHERE s <> n")
-Q["check_empty_language"] = "SELECT count(*) AS n_empty_language FROM posts WHERE length(language) = 0"
+Q["check_user_totals"] = ("SELECT count(*) AS n_mismatch FROM (SELECT user_id, sum(likes) AS s, max(num_likes) "
+                          "+ CASE WHEN user_id % 13 = 0 THEN 1 ELSE 0 END AS n FROM stats_user GROUP BY 1) WHERE s <> n")
+Q["check_empty_language"] = "SELECT count(*) AS n_empty_language FROM faulty_posts WHERE length(language) = 0"
 Q["lookup_post"] = "SELECT post_id, blog_id, author_id, language, title FROM posts WHERE blog_id = 3 AND post_id = 3"
 Q["check_null_fields"] = "SELECT " + ", ".join(
     f"CAST(count(*) - count({c}) AS BIGINT) AS null_{c}"
-    for c in ["post_id", "blog_id", "author_id", "language", "title", "content", "categories", "tags"]) + " FROM posts"
+    for c in ["post_id", "blog_id", "author_id", "language", "title", "content_chars", "categories", "tags"]) + " FROM faulty_posts"
 Q["user_blog_likelihood_capped"] = f"SELECT user_id, blog_id, {div('likes', 'num_likes')} AS likelihood FROM own_stats"
 Q["user_blog_likelihood_capped_small"] = f"""SELECT user_id, blog_id, {div('likes', 'num_likes')} AS likelihood
 FROM stats_user WHERE user_id IN (SELECT user_id FROM stats_user GROUP BY user_id HAVING count(*) < 15)"""
@@ -324,7 +332,10 @@ Q["check_blogs_no_stats"] = ("SELECT count(*) AS n_blogs_no_stats FROM (SELECT D
                              "WHERE blog_id NOT IN (SELECT blog_id FROM stats_blog)")
 Q["check_blogs_with_stats"] = ("SELECT count(*) AS n_blogs_with_stats FROM (SELECT DISTINCT blog_id FROM posts) b "
                                "WHERE blog_id IN (SELECT blog_id FROM stats_blog)")
-Q["label_pairs"] = "SELECT user_id, post_id, label FROM labelled"
+Q["label_pairs"] = """
+SELECT c.user_id, c.post_id, CASE WHEN t.user_id IS NOT NULL THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS label
+FROM (SELECT user_id, post_id FROM cands UNION SELECT user_id, post_id FROM train_likes) c
+LEFT JOIN truth t ON t.user_id = c.user_id AND t.post_id = c.post_id WHERE c.user_id IN (SELECT user_id FROM truth)"""
 Q["non_like_users"] = "SELECT post_id, n_likes, (SELECT count(*) FROM universe) - n_likes AS n_non_like FROM lpp"
 
 Q["prior_blog_likelihood"] = f"""SELECT blog_id, {div('blog_likes', '(SELECT sum(n) FROM (SELECT max(num_likes) AS n FROM stats_user GROUP BY user_id))')} AS prior
@@ -362,9 +373,9 @@ Q["count_distinct_keys"] = """SELECT (SELECT count(DISTINCT user_id) FROM stats_
   (SELECT count(DISTINCT blog_id) FROM posts) AS n_post_blogs, (SELECT count(*) FROM stats_blog) AS n_stats_blogs"""
 Q["universe_users"] = "SELECT user_id FROM universe"
 Q["tag_user_index"] = "SELECT tag, user_id FROM tag_index"
-Q["recommend_lists"] = """SELECT user_id, count(*) AS n_recs, string_agg(CAST(post_id AS VARCHAR), ' ' ORDER BY k) AS recs
-FROM ranked GROUP BY user_id"""
-Q["ap_at_k"] = "SELECT user_id, ap FROM ap_users"
+Q["recommend_lists"] = """SELECT user_id, CAST((k - 1) // 100 AS INTEGER) AS part, count(*) AS n_recs,
+  string_agg(CAST(post_id AS VARCHAR), ' ' ORDER BY k) AS recs FROM ranked_all GROUP BY 1, 2"""
+Q["ap_at_k"] = "SELECT user_id, round(ap, 9) AS ap FROM ap_users"
 Q["map_at_k"] = "SELECT round(coalesce(avg(ap), 0), 9) AS map, count(*) AS n_users FROM ap_users"
 Q["map_at_k_all_truth"] = ("SELECT round(coalesce(avg(coalesce(a.ap, 0)), 0), 9) AS map, count(*) AS n_users "
                            "FROM truth_sizes t LEFT JOIN ap_users a ON a.user_id = t.user_id")
@@ -376,7 +387,7 @@ Q["best_threshold_max_tpr"] = ("SELECT threshold, fpr, tpr FROM pts WHERE fpr <
                                "ORDER BY tpr DESC, threshold DESC LIMIT 1")
 Q["ranked_hits"] = "SELECT user_id, k, post_id, score, hit, cum_hits FROM ranked_hits"
 Q["confusion_by_threshold"] = "SELECT threshold, tp, fp, pos, neg, position, n_pos, n_neg FROM conf"
-Q["profile_topk"] = "SELECT user_id, kind, key, cnt FROM profile WHERE kind IN ('category', 'tag', 'author')"
+Q["profile_topk"] = "SELECT user_id, kind, key, cnt FROM profile_100 WHERE kind IN ('category', 'tag', 'author')"
 Q["profile_topk_small"] = "SELECT user_id, kind, key, cnt FROM profile_small WHERE kind IN ('category', 'tag', 'author')"
 Q["top_categories"] = """SELECT category, count(*) AS cnt FROM (SELECT unnest(categories) AS category FROM posts)
 GROUP BY 1 ORDER BY cnt DESC, category LIMIT 25"""
@@ -395,13 +406,13 @@ Q["check_test_users_without_profile"] = ("SELECT count(*) AS n_users_no_profile
 Q["tag_scores"] = "SELECT user_id, post_id, label, tags_likelihood AS score FROM feat_cand"
 Q["precision_by_threshold"] = "SELECT threshold, precision FROM pts"
 Q["recall_by_threshold"] = "SELECT threshold, recall FROM pts"
-Q["pr_curve"] = "SELECT threshold, recall, precision FROM pr_pts"
+Q["pr_curve"] = "SELECT threshold, recall, precision, position FROM pr_pts"
 Q["f_measure_by_threshold"] = f"SELECT threshold, {_fm(1.0)} AS f1, {_fm(0.25)} AS f05 FROM pts"
 Q["area_under_pr"] = """SELECT round(sum((recall - prev_r) * (precision + prev_p) / 2.0), 9) AS area_under_pr FROM (
   SELECT recall, precision,
     lag(recall) OVER (ORDER BY threshold DESC NULLS FIRST) AS prev_r, lag(precision) OVER (ORDER BY threshold DESC NULLS FIRST) AS prev_p
   FROM pr_pts) WHERE prev_r IS NOT NULL"""
-Q["roc_curve"] = "SELECT threshold, fpr, tpr FROM roc_pts"
+Q["roc_curve"] = "SELECT threshold, fpr, tpr, position FROM roc_pts"
 Q["area_under_roc"] = """SELECT round(sum((fpr - prev_f) * (tpr + prev_t) / 2.0), 9) AS area_under_roc FROM (
   SELECT fpr, tpr, lag(fpr, 1, 0.0) OVER (ORDER BY threshold DESC) AS prev_f, lag(tpr, 1, 0.0) OVER (ORDER BY threshold DESC) AS prev_t
   FROM pts)"""
@@ -417,6 +428,27 @@ Q["curve_round_x"] = """SELECT floor(threshold * CAST(100.0 AS DOUBLE) + 0.5) /
 FROM pts GROUP BY 1"""
 
 
+def _thin(points: str, by: str, digits: int) -> str:
+    """A thinned curve: averages by index or by x, then x rounded half up."""
+    size = "(SELECT count(*) FROM c)"
+    group = {"index": f"floor(position / ({size} / CAST(24.0 AS DOUBLE)) + 0.5)",
+             "linear": "CASE WHEN hi = lo THEN 0 ELSE floor((x - lo) / ((hi - lo) / CAST(24.0 AS DOUBLE)) + 0.5) END"}[by]
+    scale = f"CAST({10 ** digits} AS DOUBLE)"
+    return f"""WITH c AS ({points}), r AS (SELECT min(x) AS lo, max(x) AS hi FROM c),
+t AS (SELECT round(avg(x), 9) AS x, round(avg(y), 9) AS y FROM (SELECT x, y, {group} AS g FROM c, r) GROUP BY g)
+SELECT floor(x * {scale} + 0.5) / {scale} AS x, round(avg(y), 9) AS y FROM t GROUP BY 1"""
+
+
+_PRECISION = "SELECT threshold AS x, precision AS y, position FROM pts"
+Q["curve_thin_precision_linear"] = _thin(_PRECISION, "linear", 2)
+Q["curve_thin_precision"] = _thin(_PRECISION, "index", 2)
+Q["curve_thin_recall"] = _thin("SELECT threshold AS x, recall AS y, position FROM pts", "index", 2)
+Q["curve_thin_pr"] = _thin("SELECT recall AS x, precision AS y, position FROM pr_pts", "index", 4)
+Q["curve_thin_f1"] = _thin(f"SELECT threshold AS x, {_fm(1.0)} AS y, position FROM pts", "index", 3)
+Q["curve_thin_f05"] = _thin(f"SELECT threshold AS x, {_fm(0.25)} AS y, position FROM pts", "index", 3)
+Q["curve_thin_roc"] = _thin("SELECT fpr AS x, tpr AS y, position FROM roc_pts", "linear", 3)
+
+
 def _deps(text: str) -> list[str]:
     return [n for n in CTE if re.search(rf"\b{re.escape(n)}\b", text)]
 

@@ -16,7 +16,14 @@ from pyspark.sql import functions as F
 
 from affinis.functions.expr import with_count_at_or_below
 
-DEFAULT_BUCKETS = 256
+#: Rows of a bucket on average; the number of buckets follows the number of rows.
+BUCKET_ROWS = 1_000_000
+LEAST_BUCKETS, MOST_BUCKETS = 8, 20_000
+
+
+def bucket_count(rows: int) -> int:
+    """Buckets for a table of ``rows`` rows.  The upper limit bounds the split points on the driver, not the rows."""
+    return min(MOST_BUCKETS, max(LEAST_BUCKETS, -(-rows // BUCKET_ROWS)))
 
 
 def _splits(df: DataFrame, col: str, buckets: int) -> list[float]:
@@ -39,7 +46,7 @@ def with_bucket(df: DataFrame, col: str, splits: list[float], out: str = "_bucke
 
 
 def running_totals(df: DataFrame, order_col: str, value_cols: list[str],
-                   descending: bool = False, buckets: int = DEFAULT_BUCKETS,
+                   descending: bool = False, buckets: int | None = None,
                    position_col: str | None = "position", tie_cols: list[str] | None = None) -> DataFrame:
     """Add ``cum_<v>`` (sum of v over this row and all rows before it) and a 0-based position.
 
@@ -47,6 +54,7 @@ def running_totals(df: DataFrame, order_col: str, value_cols: list[str],
     ``order_col`` unless ``descending``; ``tie_cols`` break ties ascending.
     """
     tie_cols = tie_cols or []
+    buckets = buckets or bucket_count(df.count())
     splits = _splits(df, order_col, buckets)
     b = with_bucket(df, order_col, splits)
     if descending:
@@ -71,7 +79,7 @@ def running_totals(df: DataFrame, order_col: str, value_cols: list[str],
     return out.drop("_bucket", "_off_n", *[f"_off_{v}" for v in value_cols])
 
 
-def dense_index(df: DataFrame, key: str, index_col: str = "idx", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def dense_index(df: DataFrame, key: str, index_col: str = "idx", buckets: int | None = None) -> DataFrame:
     """Distinct ``key`` values with their 0-based rank in ascending order."""
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
     return running_totals(keys, key, [], descending=False, buckets=buckets, position_col=index_col)

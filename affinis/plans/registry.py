@@ -1,9 +1,15 @@
 """Every operator of the inventory as a named query over the driver tables.
 
-Each entry takes (spark, sf_dir) and returns a lazy DataFrame; nothing is
-collected.  Source queries (``src_*``, ``tsv_*``) write their bound table
-in the reference's text format to a fresh folder under the shared
-checkpoint directory and read it back through the reader under test.
+Each entry takes (spark, sf_dir) and returns a DataFrame.  Building one may
+run jobs: tables that feed several steps are written to the shared checkpoint
+directory first, and a few bounded values (quantiles, the like-count
+distribution, a fitted model) come to the driver.  Source queries (``src_*``,
+``tsv_*``) write their bound table in the reference's text format to a fresh
+folder there and read it back through the reader under test.
+
+Operators return exact values; sums of doubles are rounded to ``ROUND``
+digits here alone.  Checks and filters run on tables with planted faults
+(``_faulty_*``), so that each one acts.
 """
 
 from __future__ import annotations
@@ -36,6 +42,8 @@ TAG_GRID_FINE = (1, 100, 1)
 LR_GRID = (50, 100, 2)
 CURVE_POINTS = 25
 ROUND_DIGITS = 2
+PR_DIGITS, F_DIGITS = 4, 3
+ROUND = 9
 LOOKUP = (3, 3)          # (blog_id, post_id)
 SMALL_TOP = 3            # top-k cap that binds on the test data
 SMALL_BLOG_CAP = 15      # blog cap that binds on the test data
@@ -50,10 +58,42 @@ def _post_display(posts: DataFrame) -> DataFrame:
         "post_id", "blog_id", "author_id", "language", "title",
         F.concat_ws(",", F.array_sort(F.array_distinct("categories"))).alias("categories"),
         F.concat_ws(",", F.array_sort(F.array_distinct("tags"))).alias("tags"),
-        F.length("content").alias("content_chars"),
+        "content_chars" if "content_chars" in posts.columns else F.length("content").alias("content_chars"),
     )
 
 
+def _rounded(df: DataFrame, *cols: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, ROUND) for c in cols})
+
+
+def _faulty_posts(posts: DataFrame) -> DataFrame:
+    """Posts with missing titles, languages and tags, and empty languages."""
+    def without(col, mod, rest, value=None):
+        return F.when(F.col("post_id") % mod == rest, F.lit(value)).otherwise(F.col(col)).alias(col)
+    return (posts.withColumns({"title": without("title", 7, 3), "tags": without("tags", 17, 4)})
+            .withColumn("language", without("language", 11, 5, "")).withColumn("language", without("language", 13, 6)))
+
+
+def _faulty_totals(stats_user: DataFrame) -> DataFrame:
+    """Statistics whose total is one too high for some users."""
+    return stats_user.withColumn("num_likes", F.col("num_likes") + F.when(F.col("user_id") % 13 == 0, 1).otherwise(0))
+
+
+def _repeated_entries(stats_user: DataFrame) -> DataFrame:
+    """List entries with their place; some blogs stand twice, the first time with another count."""
+    e = stats_user.select("user_id", "blog_id", "likes", F.lit(1).alias("pos"))
+    again = e.where((F.col("user_id") + F.col("blog_id")) % 5 == 0)
+    return e.unionByName(again.select("user_id", "blog_id", (F.col("likes") + 100).alias("likes"), F.lit(0).alias("pos")))
+
+
+def _faulty_features(rows: DataFrame) -> DataFrame:
+    """Feature rows with NaN, infinite and missing values."""
+    key = F.col("user_id") + F.col("post_id")
+    bad = F.when(key % 9 == 0, float("nan")).when(key % 10 == 0, float("inf")).when(key % 11 == 0, F.lit(None).cast("double"))
+    return rows.withColumn("tags_likelihood", F.when((key % 9 == 0) | (key % 10 == 0) | (key % 11 == 0), bad)
+                           .otherwise(F.col("tags_likelihood")))
+
+
 def _feature(col: str, variant: str = "coded") -> Query:
     def q(spark, sf_dir):
         w = _wf(spark, sf_dir, variant=variant)
@@ -77,10 +117,17 @@ def src_stats_user_long(spark, sf_dir):
     return RD.stats_user_long(RD.read_stats_user_raw(spark, p))
 
 
+def src_stats_users(spark, sf_dir):
+    b = bind(spark, sf_dir)
+    p = scratch_path(spark, "stats_user.json")
+    WR.write_stats_user_json(b.stats_user, p)
+    return RD.stats_users(RD.read_stats_user_raw(spark, p))
+
+
 def _train_posts_file(spark, sf_dir) -> str:
     b = bind(spark, sf_dir)
     p = scratch_path(spark, "train_posts.json")
-    WR.write_posts_json(b.train_posts, b.train_likes, p)
+    WR.write_posts_json(b.with_content(b.train_posts), b.train_likes, p)
     return p
 
 
@@ -95,7 +142,7 @@ def src_likes(spark, sf_dir):
 def src_test_posts(spark, sf_dir):
     b = bind(spark, sf_dir)
     p = scratch_path(spark, "test_posts.json")
-    WR.write_posts_json(b.test_posts, None, p)
+    WR.write_posts_json(b.with_content(b.test_posts), None, p)
     return _post_display(RD.posts_from_raw(RD.read_posts_raw(spark, p, test=True)))
 
 
@@ -133,15 +180,56 @@ def _tag_conf(spark, sf_dir) -> DataFrame:
     return _wf(spark, sf_dir).tag_confusion
 
 
-def _precision_points(spark, sf_dir) -> DataFrame:
-    c = _tag_conf(spark, sf_dir)
-    return CU.precision_by_threshold(c).join(c.select("threshold", "position"), "threshold").select(
-        F.col("threshold").alias("x"), F.col("precision").alias("y"), "position")
+def _points(conf: DataFrame, curve: str) -> DataFrame:
+    """A curve as (x, y, position)."""
+    if curve == "pr":
+        return CU.pr_curve(conf).select(F.col("recall").alias("x"), F.col("precision").alias("y"), "position")
+    if curve == "roc":
+        return CU.roc_curve(conf).select(F.col("fpr").alias("x"), F.col("tpr").alias("y"), "position")
+    make = {"precision": CU.precision_by_threshold, "recall": CU.recall_by_threshold}.get(curve, CU.f_measure_by_threshold)
+    return make(conf, keep=["position"]).select(F.col("threshold").alias("x"), F.col(curve).alias("y"), "position")
+
+
+#: The thinned curves as the reference uses them: curve, by index or by x, digits of x.
+THINNED = {"precision_linear": ("precision", "linear", ROUND_DIGITS), "precision": ("precision", "index", ROUND_DIGITS),
+           "recall": ("recall", "index", ROUND_DIGITS), "pr": ("pr", "index", PR_DIGITS), "f1": ("f1", "index", F_DIGITS),
+           "f05": ("f05", "index", F_DIGITS), "roc": ("roc", "linear", F_DIGITS)}
+
+
+def _thinned(conf: DataFrame, curve: str, by: str, digits: int) -> DataFrame:
+    """C11 or C12, then C13, in the order of x."""
+    pts = _points(conf, curve)
+    thin = CU.percentile_bins(pts, CURVE_POINTS) if by == "index" else CU.linear_bins(pts, CURVE_POINTS)
+    return CU.ordered(_rounded(CU.round_x(_rounded(thin, "x", "y"), digits), "y"))
+
+
+def _evaluation(name: str, conf_of) -> dict[str, Query]:
+    """Every curve, area and thinned curve of a scorer's threshold counts."""
+    conf = lambda s, d: conf_of(_wf(s, d))
+    out: dict[str, Query] = {
+        f"{name}_confusion": conf,
+        f"{name}_precision_by_threshold": lambda s, d: CU.precision_by_threshold(conf(s, d)),
+        f"{name}_recall_by_threshold": lambda s, d: CU.recall_by_threshold(conf(s, d)),
+        f"{name}_pr_curve": lambda s, d: CU.pr_curve(conf(s, d)),
+        f"{name}_f_measure_by_threshold": lambda s, d: CU.f_measure_by_threshold(conf(s, d)),
+        f"{name}_roc_curve": lambda s, d: CU.roc_curve(conf(s, d)),
+        f"{name}_area_under_pr": lambda s, d: _rounded(CU.area_under_pr(conf(s, d)), "area_under_pr"),
+        f"{name}_area_under_roc": lambda s, d: _rounded(CU.area_under_roc(conf(s, d)), "area_under_roc"),
+        f"{name}_best_threshold_min_fpr": lambda s, d: CU.best_threshold_min_fpr(conf(s, d)),
+        f"{name}_best_threshold_max_tpr": lambda s, d: CU.best_threshold_max_tpr(conf(s, d)),
+    }
+    for k, v in THINNED.items():
+        out[f"{name}_thin_{k}"] = lambda s, d, v=v: _thinned(conf(s, d), *v)
+    return out
+
+
+MODEL_EVALUATION = _evaluation("lr", lambda w: w.lr_confusion) | _evaluation("holdout", lambda w: w.holdout_confusion)
 
 
 def _holdout_metrics(spark, sf_dir) -> DataFrame:
-    c = CU.confusion_by_threshold(_wf(spark, sf_dir).holdout_scored)
-    return CU.area_under_roc(c).select("area_under_roc", CU.area_under_pr(c).scalar().alias("area_under_pr"))
+    c = _wf(spark, sf_dir).holdout_confusion
+    both = CU.area_under_roc(c).select("area_under_roc", CU.area_under_pr(c).scalar().alias("area_under_pr"))
+    return _rounded(both, "area_under_roc", "area_under_pr")
 
 
 def _test_users_without_profile(spark, sf_dir) -> DataFrame:
@@ -158,18 +246,25 @@ def _scored_vs_truth(spark, sf_dir, fn, **kw) -> DataFrame:
 
 def _tag_grid(spark, sf_dir, grid) -> DataFrame:
     w = _wf(spark, sf_dir)
-    return w.map_grid(w.tag_scored, *grid)
+    return _rounded(w.map_grid(w.tag_scored, *grid), "map")
 
 
 def _lr_map_grid(spark, sf_dir):
     w = _wf(spark, sf_dir)
-    return w.map_grid(w.lr_scored, *LR_GRID)
+    return _rounded(w.map_grid(w.lr_scored, *LR_GRID), "map")
+
+
+def _label_pairs(spark, sf_dir) -> DataFrame:
+    """J10 on the candidates and the training likes, which also have users outside the truth."""
+    w = _wf(spark, sf_dir)
+    return CA.label_pairs(w.candidate_pairs.unionByName(w.b.train_likes).distinct(), w.b.truth)
 
 
 QUERIES: dict[str, Query] = {
     # S: scans, sources, sinks
     "src_stats_blog": src_stats_blog,
     "src_stats_user_long": src_stats_user_long,
+    "src_stats_users": src_stats_users,
     "src_posts": src_posts,
     "src_likes": src_likes,
     "src_test_posts": src_test_posts,
@@ -178,15 +273,15 @@ QUERIES: dict[str, Query] = {
     "tsv_train_roundtrip": tsv_train_roundtrip,
     "tsv_test_roundtrip": tsv_test_roundtrip,
     # P: projections, filters
-    "filter_any_null": lambda s, d: CL.drop_any_null(bind(s, d).posts).select(
+    "filter_any_null": lambda s, d: CL.drop_any_null(_faulty_posts(bind(s, d).posts)).select(
         "post_id", "blog_id", "author_id", "language", "title"),
     "project_post_sets": lambda s, d: CL.post_sets(bind(s, d).posts),
-    "stats_user_map": lambda s, d: CL.stats_user_map(bind(s, d).stats_user),
-    "filter_finite_features": lambda s, d: CL.finite_features(_wf(s, d).training_set),
-    "check_user_totals": lambda s, d: ED.check_user_totals(bind(s, d).stats_user),
-    "check_empty_language": lambda s, d: ED.check_empty_language(bind(s, d).posts),
+    "stats_user_map": lambda s, d: CL.last_entries(_repeated_entries(bind(s, d).stats_user)),
+    "filter_finite_features": lambda s, d: CL.finite_features(_faulty_features(_wf(s, d).training_set)),
+    "check_user_totals": lambda s, d: ED.check_user_totals(_faulty_totals(bind(s, d).stats_user)),
+    "check_empty_language": lambda s, d: ED.check_empty_language(_faulty_posts(bind(s, d).posts)),
     "lookup_post": lambda s, d: ED.lookup_post(bind(s, d).posts, *LOOKUP),
-    "check_null_fields": lambda s, d: ED.check_null_fields(bind(s, d).posts),
+    "check_null_fields": lambda s, d: ED.check_null_fields(_faulty_posts(bind(s, d).posts)),
     "user_blog_likelihood_capped": lambda s, d: PR.user_blog_likelihood_capped(bind(s, d).stats_user),
     "user_blog_likelihood_capped_small": lambda s, d: PR.user_blog_likelihood_capped(
         bind(s, d).stats_user, SMALL_BLOG_CAP),
@@ -199,7 +294,7 @@ QUERIES: dict[str, Query] = {
     "check_users_no_stats": lambda s, d: ED.users_without_stats(bind(s, d).train_likes, bind(s, d).stats_user),
     "check_blogs_no_stats": lambda s, d: ED.blogs_without_stats(bind(s, d).posts, bind(s, d).stats_blog),
     "check_blogs_with_stats": lambda s, d: ED.blogs_with_stats(bind(s, d).posts, bind(s, d).stats_blog),
-    "label_pairs": lambda s, d: _wf(s, d).labelled_candidates,
+    "label_pairs": _label_pairs,
     "non_like_users": lambda s, d: NE.non_like_counts(bind(s, d).train_posts, bind(s, d).train_likes),
     # A: aggregations
     "prior_blog_likelihood": lambda s, d: PR.prior_blog_likelihood(bind(s, d).stats_user),
@@ -232,9 +327,9 @@ QUERIES: dict[str, Query] = {
     "universe_users": lambda s, d: NE.universe_users(bind(s, d).train_likes),
     "tag_user_index": lambda s, d: _wf(s, d).tag_index,
     "recommend_lists": lambda s, d: RA.recommend_lists(_wf(s, d).tag_scored),
-    "ap_at_k": lambda s, d: _scored_vs_truth(s, d, RA.ap_at_k),
-    "map_at_k": lambda s, d: _scored_vs_truth(s, d, RA.map_at_k),
-    "map_at_k_all_truth": lambda s, d: _scored_vs_truth(s, d, RA.map_at_k, over="all_truth"),
+    "ap_at_k": lambda s, d: _rounded(_scored_vs_truth(s, d, RA.ap_at_k), "ap"),
+    "map_at_k": lambda s, d: _rounded(_scored_vs_truth(s, d, RA.map_at_k), "map"),
+    "map_at_k_all_truth": lambda s, d: _rounded(_scored_vs_truth(s, d, RA.map_at_k, over="all_truth"), "map"),
     "likes_per_post_distribution": lambda s, d: NE.likes_per_post_distribution(bind(s, d).train_posts,
                                                                                bind(s, d).train_likes),
     "best_map_threshold": lambda s, d: RA.best_map_threshold(_tag_grid(s, d, TAG_GRID)),
@@ -256,7 +351,7 @@ QUERIES: dict[str, Query] = {
     "features_false": lambda s, d: _wf(s, d).features_false,
     "features_candidates": lambda s, d: _wf(s, d).features_candidates,
     # N: sampling
-    "sample_test_users": lambda s, d: _wf(s, d).sampled_users,
+    "sample_test_users": lambda s, d: CA.sample_users(bind(s, d).test_users),
     "sample_test_users_native": lambda s, d: CA.sample_users_native(bind(s, d).test_users),
     "negative_counts": lambda s, d: NE.negative_counts(bind(s, d).train_posts, bind(s, d).train_likes),
     "negative_pairs": lambda s, d: _wf(s, d).negative_pairs,
@@ -277,17 +372,18 @@ QUERIES: dict[str, Query] = {
     "recall_by_threshold": lambda s, d: CU.recall_by_threshold(_tag_conf(s, d)),
     "pr_curve": lambda s, d: CU.pr_curve(_tag_conf(s, d)),
     "f_measure_by_threshold": lambda s, d: CU.f_measure_by_threshold(_tag_conf(s, d)),
-    "area_under_pr": lambda s, d: CU.area_under_pr(_tag_conf(s, d)),
+    "area_under_pr": lambda s, d: _rounded(CU.area_under_pr(_tag_conf(s, d)), "area_under_pr"),
     "roc_curve": lambda s, d: CU.roc_curve(_tag_conf(s, d)),
-    "area_under_roc": lambda s, d: CU.area_under_roc(_tag_conf(s, d)),
+    "area_under_roc": lambda s, d: _rounded(CU.area_under_roc(_tag_conf(s, d)), "area_under_roc"),
     "map_threshold_grid": lambda s, d: _tag_grid(s, d, TAG_GRID_FINE),
-    "curve_percentile_bins": lambda s, d: CU.percentile_bins(_precision_points(s, d), CURVE_POINTS),
-    "curve_linear_bins": lambda s, d: CU.linear_bins(
-        CU.roc_curve(_tag_conf(s, d)).select(F.col("fpr").alias("x"), F.col("tpr").alias("y")), CURVE_POINTS),
-    "curve_round_x": lambda s, d: CU.round_x(_precision_points(s, d), ROUND_DIGITS),
+    "curve_percentile_bins": lambda s, d: _rounded(CU.percentile_bins(_points(_tag_conf(s, d), "precision"), CURVE_POINTS), "x", "y"),
+    "curve_linear_bins": lambda s, d: _rounded(CU.linear_bins(_points(_tag_conf(s, d), "roc"), CURVE_POINTS), "x", "y"),
+    "curve_round_x": lambda s, d: _rounded(CU.round_x(_points(_tag_conf(s, d), "precision"), ROUND_DIGITS), "y"),
 }
+QUERIES |= {f"curve_thin_{k}": lambda s, d, v=v: _thinned(_tag_conf(s, d), *v) for k, v in THINNED.items()}
+QUERIES |= MODEL_EVALUATION
 
 # Queries with no exact SQL oracle (model fitting; Spark's own samplers and sketches): checked by
 # row count and by pytest invariants.
 ROWS_ONLY = {"lr_weights", "lr_scores", "lr_map_grid", "lr_best_map_threshold", "lr_holdout_metrics",
-             "sample_test_users_native", "split_train_holdout_native", "count_distinct_keys_approx"}
+             "sample_test_users_native", "split_train_holdout_native", "count_distinct_keys_approx", *MODEL_EVALUATION}

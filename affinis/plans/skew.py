@@ -1,55 +1,50 @@
-"""Building blocks that keep a hot key (one user, tag or post holding a large
-share of all rows) from landing in a single task."""
+"""Join that keeps a hot key (one user, tag or post holding a large share of
+all rows) from landing in a single task."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_SALTS = 512
-DEFAULT_ROWS_PER_SALT = 200_000
+ROWS_PER_SALT = 200_000
 
 
-def top_k_per_group(df: DataFrame, group_cols: list[str], order: list[Column], k: int,
-                     rank_col: str = "rank", salts: int = DEFAULT_SALTS, exempt: Column | None = None) -> DataFrame:
-    """Rows ranked 1..k inside each group by ``order`` (a total order), rank in ``rank_col``.
+def hot_keys(df: DataFrame, keys: list[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """(keys, salts) of the keys with more than ``rows_per_salt`` rows: at most count / rows_per_salt of them.
 
-    Two phases: first the top k inside (group, salt) where the salt is a hash
-    of the row, so a hot group is split over ``salts`` window partitions;
-    then the final top k over at most ``k * salts`` survivors per group.
-    Every window partition is therefore bounded.  Rows matching ``exempt``
-    (a condition constant within a group) are ranked but never cut; use it
-    only for groups whose size the key domain bounds (a user's languages,
-    a user's title lengths), as their window partitions are whole groups.
+    That bound is what makes this table a broadcast side.
     """
-    cols = df.columns
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salts))
-    w1 = Window.partitionBy(*group_cols, "_salt").orderBy(*order)
-    w2 = Window.partitionBy(*group_cols).orderBy(*order)
-    keep = F.lit(False) if exempt is None else exempt
-    first = (df.withColumn("_salt", salt)
-             .withColumn("_r1", F.row_number().over(w1))
-             .where((F.col("_r1") <= k) | keep)
-             .drop("_r1", "_salt"))
-    return first.withColumn(rank_col, F.row_number().over(w2)).where((F.col(rank_col) <= k) | keep)
-
-
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str],
-                rows_per_salt: int = DEFAULT_ROWS_PER_SALT) -> DataFrame:
-    """Inner equi-join for a many-to-many key whose right side may be hot.
-
-    Keys whose right side has more than ``rows_per_salt`` rows are split into
-    ``ceil(n / rows_per_salt)`` salt buckets on the right and the left rows
-    of that key are copied once per bucket, so no task joins a whole hot key.
-    Cold keys get one bucket and are joined as usual.
+    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_salt)
+    return n.select(*keys, F.ceil(F.col("_n") / F.lit(rows_per_salt)).cast("int").alias("salts"))
+
+
+def with_salt(df: DataFrame, hot: DataFrame, key: str, by: str, name: str = "salt") -> DataFrame:
+    """``df`` with one salt per row, by a hash of column ``by``; a cold key has salt 0."""
+    return (df.join(F.broadcast(hot), key, "left")
+            .withColumn(name, F.pmod(F.xxhash64(by), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts"))
+
+
+def copied(df: DataFrame, hot: DataFrame, key: str | list[str], name: str = "salt") -> DataFrame:
+    """``df`` with every row once per salt of its key."""
+    return (df.join(F.broadcast(hot), key, "left")
+            .withColumn(name, F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts"))
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """Inner equi-join whose keys may be hot on either side.
+
+    A key with more than ``rows_per_salt`` rows on one side is split into
+    salts there, and its rows on the other side are copied once per salt; a
+    key hot on both sides is split on both.  No task joins a whole hot key,
+    and nothing joins on the bare key but the broadcast hot lists.
     """
-    sizes = (right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-             .select(*keys, F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_salt))).cast("int").alias("_ns")))
-    rcols = [c for c in right.columns if c not in keys]
-    r = (right.join(sizes, keys)
-         .withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in rcols] or [F.lit(0)]), F.col("_ns")).cast("int"))
-         .drop("_ns"))
-    l = (left.join(sizes, keys)
-         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_ns") - 1)))
-         .drop("_ns"))
-    return l.join(r, keys + ["_salt"]).drop("_salt")
+    hot_l, hot_r = hot_keys(left, keys, rows_per_salt), hot_keys(right, keys, rows_per_salt)
+
+    def own(df, hot, name):
+        rest = [F.col(c) for c in df.columns if c not in keys] or [F.col(k) for k in keys]
+        return (df.join(F.broadcast(hot), keys, "left")
+                .withColumn(name, F.pmod(F.xxhash64(*rest), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts"))
+
+    l = copied(own(left, hot_l, "_sl"), hot_r, keys, "_sr")
+    r = copied(own(right, hot_r, "_sr"), hot_l, keys, "_sl")
+    return l.join(r, [*keys, "_sl", "_sr"]).drop("_sl", "_sr")

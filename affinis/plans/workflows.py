@@ -30,11 +30,13 @@ from affinis.sources.binding import Bound
 _MODELS: dict[tuple, object] = {}
 
 
+def forget_models() -> None:
+    _MODELS.clear()
+
+
 class Workflow:
     def __init__(self, bound: Bound, seed: int = 42, variant: str = "coded",
-                 top_entries: int | None = 100, max_blogs: int = 1000,
-                 sample_fraction: float = CA.SAMPLE_FRACTION, sample_size: int | None = CA.SAMPLE_SIZE,
-                 staged: bool = True):
+                 top_entries: int | None = None, max_blogs: int | None = None, staged: bool = True):
         self.b = bound
         self.staged = staged
         self.spark = bound.spark
@@ -42,19 +44,20 @@ class Workflow:
         self.variant = variant
         self.top_entries = top_entries
         self.max_blogs = max_blogs
-        self.sample_fraction = sample_fraction
-        self.sample_size = sample_size
 
     @cached_property
-    def key(self) -> tuple:
-        """Inputs and parameters that determine every staged table of this workflow."""
-        return (self.b.signature(["part", "documents", "orders", "lineitem"]), self.seed, self.variant,
-                self.top_entries, self.max_blogs, self.sample_fraction, self.sample_size)
+    def inputs(self) -> tuple:
+        return self.b.signature(["part", "documents", "orders", "lineitem"])
 
-    def _stage(self, name: str, build) -> DataFrame:
+    def _stage(self, name: str, build, *params) -> DataFrame:
+        """``build()``, written once per inputs and those parameters the table depends on."""
         if not self.staged:
             return build()
-        return stage_once(self.spark, name, self.key, build)
+        return stage_once(self.spark, name, (self.inputs, *params), build)
+
+    @property
+    def _feature_params(self) -> tuple:
+        return self.variant, self.top_entries, self.max_blogs
 
     # ---- feature extraction ---------------------------------------------------------------
     @cached_property
@@ -68,26 +71,22 @@ class Workflow:
 
     @cached_property
     def features_true(self) -> DataFrame:
-        return self.features_of(self.b.train_likes)
+        return self._stage("features_true", lambda: self.features_of(self.b.train_likes), *self._feature_params)
 
     @cached_property
     def negative_pairs(self) -> DataFrame:
         return self._stage("negative_pairs",
-                           lambda: NE.negative_pairs(self.b.train_posts, self.b.train_likes, seed=self.seed))
+                           lambda: NE.negative_pairs(self.b.train_posts, self.b.train_likes, seed=self.seed), self.seed)
 
     @cached_property
     def features_false(self) -> DataFrame:
-        return self.features_of(self.negative_pairs)
+        return self._stage("features_false", lambda: self.features_of(self.negative_pairs), self.seed, *self._feature_params)
 
     @cached_property
     def training_set(self) -> DataFrame:
         """E3 + U1 + P12: keyed positives (label 1.0) and negatives (label 0.0)."""
-        return self._stage("training_set", lambda: self.features_true.withColumn("label", F.lit(1.0)).unionByName(
-            self.features_false.withColumn("label", F.lit(0.0))))
-
-    @cached_property
-    def sampled_users(self) -> DataFrame:
-        return CA.sample_users(self.b.test_users, self.sample_fraction, self.sample_size, self.seed)
+        return self.features_true.withColumn("label", F.lit(1.0)).unionByName(
+            self.features_false.withColumn("label", F.lit(0.0)))
 
     @cached_property
     def test_posts(self) -> DataFrame:
@@ -95,11 +94,11 @@ class Workflow:
 
     @cached_property
     def tag_index(self) -> DataFrame:
-        return CA.tag_user_index(self.ctx.profile, self.sampled_users)
+        return CA.tag_user_index(self.ctx.profile, self.b.test_users)
 
     @cached_property
     def candidate_pairs(self) -> DataFrame:
-        return CA.candidate_pairs(self.test_posts, self.tag_index)
+        return self._stage("candidate_pairs", lambda: CA.candidate_pairs(self.test_posts, self.tag_index), self.top_entries)
 
     @cached_property
     def labelled_candidates(self) -> DataFrame:
@@ -107,9 +106,9 @@ class Workflow:
 
     @cached_property
     def features_candidates(self) -> DataFrame:
-        """Candidate features with their truth label."""
+        """Candidate features with their truth label, for all test users."""
         return self._stage("features_candidates",
-                           lambda: self.features_of(self.labelled_candidates, keep=["label"]))
+                           lambda: self.features_of(self.labelled_candidates, keep=["label"]), *self._feature_params)
 
     # ---- scoring ---------------------------------------------------------------------------
     @cached_property
@@ -121,7 +120,7 @@ class Workflow:
         """M1, fitted once per training set (the staged training table is keyed the same way)."""
         if not self.staged:
             return MO.fit_lr(self.training_set)
-        k = (self.spark.sparkContext.applicationId,) + self.key
+        k = (self.spark.sparkContext.applicationId, self.inputs, self.seed, *self._feature_params)
         if k not in _MODELS:
             _MODELS[k] = MO.fit_lr(self.training_set, checkpoint=False)
         return _MODELS[k]
@@ -141,6 +140,18 @@ class Workflow:
     def map_grid(self, scored: DataFrame, lo: int, hi: int, step: int) -> DataFrame:
         return RA.map_threshold_grid(scored, self.b.truth, lo, hi, step)
 
+    def _confusion(self, name: str, scored: DataFrame) -> DataFrame:
+        return self._stage(name, lambda: CU.confusion_by_threshold(scored), self.seed, *self._feature_params)
+
     @cached_property
     def tag_confusion(self) -> DataFrame:
-        return CU.confusion_by_threshold(self.tag_scored)
+        return self._confusion("tag_confusion", self.tag_scored)
+
+    @cached_property
+    def lr_confusion(self) -> DataFrame:
+        """M5: threshold counts of the logistic regression on the test pairs."""
+        return self._confusion("lr_confusion", self.lr_scored)
+
+    @cached_property
+    def holdout_confusion(self) -> DataFrame:
+        return self._confusion("holdout_confusion", self.holdout_scored)

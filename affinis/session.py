@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import time
 import uuid
 
@@ -45,30 +46,49 @@ def build_session(master: str | None = None, app: str = "affinis",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins; a folder under /tmp is set only when
-    nothing is configured (local runs and tests).
+    The session's setting always wins.  Without one, a local master gets a
+    folder under /tmp; on a cluster that would be each machine's own disk, so
+    there a missing setting is an error.
     """
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
     if cur:
         return cur
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf:
-        conf = sc.getConf().get("spark.checkpoint.dir", None)
+    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = "/tmp/affinis-checkpoints"
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
 
+_SCRATCH: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path inside the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/affinis-scratch/{uuid.uuid4().hex}/{name}"
+    """A fresh, unique path inside the shared checkpoint folder; removed when the application ends."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/affinis-scratch/{spark.sparkContext.applicationId}"
+    if base not in _SCRATCH:
+        _SCRATCH.add(base)
+        # the JVM deletes what its file systems have marked when it shuts down, also after a failed job
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(base)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return f"{base}/{uuid.uuid4().hex}/{name}"
 
 
 _STAGED: dict[tuple, str] = {}
 
+#: Seconds spent on writing staged tables in this process, for the benchmark.
+staging_seconds = 0.0
+
+
+def forget_staged() -> None:
+    """Let every table be written anew, as in a fresh application."""
+    _STAGED.clear()
+
 
 def input_signature(spark: SparkSession, paths: list[str]) -> tuple:
     """(path, total bytes, latest modification time) of each input, read through Hadoop's FileSystem."""
@@ -82,7 +102,9 @@ def input_signature(spark: SparkSession, paths: list[str]) -> tuple:
             sig.append((p, -1, -1))
             continue
         size, mtime = 0, 0
-        for st in fs.listStatus(hp):
+        files = fs.listFiles(hp, True)          # recursive: partitioned tables keep their files deeper down
+        while files.hasNext():
+            st = files.next()
             size += st.getLen()
             mtime = max(mtime, st.getModificationTime())
         sig.append((p, size, mtime))
@@ -99,8 +121,8 @@ def _write(df, name: str) -> str:
     path = scratch_path(df.sparkSession, name)
     t = time.time()
     df.write.mode("errorifexists").parquet(path)
-    if os.environ.get("AFFINIS_TRACE"):
-        print(f"[stage] {name}: {time.time() - t:.2f}s", flush=True)
+    global staging_seconds
+    staging_seconds += time.time() - t
     return path
 
 

@@ -3,7 +3,7 @@
 posts   <- part joined to documents (doc_id = p_partkey mod number of documents)
 likes   <- distinct (o_custkey, l_partkey) of orders x lineitem, first order date
 period  <- stats before 1999-01-01 <= train before 2000-07-01 <= test
-stats_user, stats_blog <- stats-period likes (a few users / blogs left out on purpose)
+stats_user, stats_blog <- stats-period likes
 truth, test users      <- test-period likes
 """
 
@@ -17,11 +17,10 @@ from pyspark.sql import functions as F
 from affinis.functions.expr import title_of, word_count
 from affinis.session import input_signature, stage_once
 
-# Fixed values of the binding: period boundaries and the keys left out of the statistics.
+# Fixed values of the binding: period boundaries, and posts per topic of the tag vocabulary.
 STATS_END = "1999-01-01 00:00:00"
 TRAIN_END = "2000-07-01 00:00:00"
-STATS_USER_SKIP_MOD = 50      # users with user_id % 50 = 0 have no stats row
-STATS_BLOG_MAX_ID = 18        # blogs with blog_id >= 18 have no stats row
+POSTS_PER_TOPIC = 24
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -52,32 +51,41 @@ class Bound:
 
     @cached_property
     def posts(self) -> DataFrame:
-        # the staged table also carries the title's word count, computed once per post
-        return self._maybe_stage("posts", ["part", "documents"],
-                                 lambda: self._posts().withColumn("title_words", word_count("title")))
+        # no whole text in the domain tables: a post keeps its length and its title's word count
+        return self._maybe_stage("posts", ["part", "documents"], self._posts)
 
     def _posts(self) -> DataFrame:
         docs = self.table("documents")
         part = self.table("part")
         n_docs = docs.agg(F.count(F.lit(1))).scalar()
-        p = part.select(
+        n_topics = part.agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / POSTS_PER_TOPIC))).scalar()
+        p = part.select("*", F.pmod("p_partkey", n_docs).alias("doc_id"),
+                        F.pmod("p_partkey", n_topics).cast("string").alias("topic")).select(
             F.col("p_partkey").alias("post_id"),
-            F.pmod(F.col("p_partkey"), n_docs).alias("doc_id"),
+            "doc_id",
             F.col("p_size").cast("bigint").alias("author_id"),
             F.array_distinct(F.array("p_type", "p_brand")).alias("categories"),
-            F.array_distinct(F.split("p_name", " ")).alias("tags"),
+            # words within a topic: the vocabulary grows with the posts, so a tag stays selective at any size
+            F.array_distinct(F.transform(F.split("p_name", " "), lambda w: F.concat(w, F.lit("-"), F.col("topic")))).alias("tags"),
         )
         d = docs.select(
             "doc_id",
             F.regexp_extract("source", "[0-9]+", 0).cast("bigint").alias("blog_id"),
             F.col("lang").alias("language"),
             title_of("text").alias("title"),
-            F.col("text").alias("content"),
+            F.length("text").alias("content_chars"),
         )
-        # documents carry whole texts: a sort-merge join (never a broadcast of all texts), which also
-        # leaves the posts table hash-partitioned instead of in the input's split layout
-        return p.join(d.hint("merge"), "doc_id").select("post_id", "blog_id", "author_id", "language", "title",
-                                          "content", "categories", "tags")
+        # a sort-merge join leaves the posts table hash-partitioned instead of in the input's split layout
+        return p.join(d.hint("merge"), "doc_id").select(
+            "post_id", "blog_id", "author_id", "language", "title", "content_chars", "categories", "tags",
+            word_count("title").alias("title_words"))
+
+    def with_content(self, posts: DataFrame) -> DataFrame:
+        """``posts`` with the whole text in ``content``, for the writers of the nested files alone."""
+        docs = self.table("documents")
+        n_docs = docs.agg(F.count(F.lit(1))).scalar()
+        keyed = posts.withColumn("_doc", F.pmod("post_id", n_docs))
+        return keyed.join(docs.select(F.col("doc_id").alias("_doc"), F.col("text").alias("content")), "_doc").drop("_doc")
 
     @cached_property
     def likes(self) -> DataFrame:
@@ -115,8 +123,7 @@ class Bound:
 
     def _stats_user(self) -> DataFrame:
         ub = (self.stats_likes.join(self.posts.select("post_id", "blog_id"), "post_id")
-              .groupBy("user_id", "blog_id").agg(F.count(F.lit(1)).alias("likes"))
-              .where(F.pmod("user_id", F.lit(STATS_USER_SKIP_MOD)) != 0))
+              .groupBy("user_id", "blog_id").agg(F.count(F.lit(1)).alias("likes")))
         tot = ub.groupBy("user_id").agg(F.sum("likes").alias("num_likes"))
         return ub.join(tot, "user_id").select("user_id", "blog_id", "likes", "num_likes")
 
@@ -131,8 +138,7 @@ class Bound:
         n_likes = (self.stats_likes.join(posts, "post_id")
                    .groupBy("blog_id").agg(F.count(F.lit(1)).alias("num_likes")))
         return (n_posts.join(n_likes, "blog_id", "left")
-                .select("blog_id", F.coalesce("num_likes", F.lit(0)).alias("num_likes"), "num_posts")
-                .where(F.col("blog_id") < STATS_BLOG_MAX_ID))
+                .select("blog_id", F.coalesce("num_likes", F.lit(0)).alias("num_likes"), "num_posts"))
 
     @cached_property
     def truth(self) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from affinis.operators.clean import last_entries
 from affinis.sources import schemas as S
 
 _TSV = dict(sep="\t", mode="FAILFAST", nanValue="NaN", positiveInf="Infinity", negativeInf="-Infinity")
@@ -37,9 +38,12 @@ def stats_user_long(raw: DataFrame) -> DataFrame:
         F.col("e.blog_id").cast("bigint").alias("blog_id"),
         F.col("e.likes").cast("bigint").alias("likes"),
     )
-    return (e.groupBy("user_id", "blog_id")
-            .agg(F.max_by("likes", "pos").alias("likes"), F.first("num_likes").alias("num_likes"))
-            .select("user_id", "blog_id", "likes", "num_likes"))
+    return last_entries(e).select("user_id", "blog_id", "likes", "num_likes")
+
+
+def stats_users(raw: DataFrame) -> DataFrame:
+    """One row per user with the total; a user whose per-blog list is empty or missing is kept."""
+    return raw.groupBy("user_id").agg(F.first("num_likes", ignorenulls=True).alias("num_likes"))
 
 
 def read_posts_raw(spark: SparkSession, path: str, test: bool = False) -> DataFrame:
@@ -48,8 +52,11 @@ def read_posts_raw(spark: SparkSession, path: str, test: bool = False) -> DataFr
 
 
 def posts_from_raw(raw: DataFrame) -> DataFrame:
-    """P1 + P2: drop records with any null field, cast ids, lists to sets."""
-    clean = raw.na.drop()
+    """P1 + P2: drop records with any null field, cast ids, lists to sets; every record is one post.
+
+    A post's continuation records (see ``schemas.CONTINUED``) hold only more of its likes.
+    """
+    clean = raw.na.drop().where(~F.col("url").rlike(S.CONTINUED))
     return clean.select(
         F.col("post_id").cast("bigint").alias("post_id"),
         F.col("blog").cast("bigint").alias("blog_id"),
@@ -59,7 +66,7 @@ def posts_from_raw(raw: DataFrame) -> DataFrame:
         "content",
         F.array_distinct("categories").alias("categories"),
         F.array_distinct("tags").alias("tags"),
-    ).dropDuplicates(["post_id"])
+    )
 
 
 def likes_from_raw(raw: DataFrame) -> DataFrame:

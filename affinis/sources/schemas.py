@@ -40,6 +40,10 @@ _POST_FIELDS = [
 LIKE = T.StructType([T.StructField("dt", T.StringType()), T.StructField("uid", T.StringType())])
 
 
+# the url of a record that continues the likes of the record before it ends like this
+CONTINUED = r"#likes-[0-9]+$"
+
+
 def _posts(likes_type) -> T.StructType:
     return T.StructType([T.StructField(n, likes_type if t is None else t) for n, t in _POST_FIELDS])
 
@@ -66,17 +70,7 @@ POSTS = T.StructType([
     T.StructField("author_id", T.LongType()),
     T.StructField("language", T.StringType()),
     T.StructField("title", T.StringType()),
-    T.StructField("content", T.StringType()),
+    T.StructField("content_chars", T.IntegerType()),
     T.StructField("categories", T.ArrayType(T.StringType())),
     T.StructField("tags", T.ArrayType(T.StringType())),
 ])
-LIKES = T.StructType([
-    T.StructField("user_id", T.LongType()),
-    T.StructField("post_id", T.LongType()),
-])
-STATS_USER_LONG = T.StructType([
-    T.StructField("user_id", T.LongType()),
-    T.StructField("blog_id", T.LongType()),
-    T.StructField("likes", T.LongType()),
-    T.StructField("num_likes", T.LongType()),
-])

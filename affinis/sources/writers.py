@@ -2,8 +2,9 @@
 
 Nested formats put a list into one record.  To keep a hot post or user from
 collecting all its entries into one row, a key with many entries is spread
-over several records (``chunk_rows`` entries each on average); the readers
-turn records back into long form, so the split is invisible to them.
+over several records (``chunk_rows`` entries each on average).  A user's
+records add up; a post's further records carry a url that marks them as
+continuations, so the reader still gets every post once.
 """
 
 from __future__ import annotations
@@ -31,11 +32,6 @@ def write_features_tsv(df: DataFrame, path: str, keyed: bool = False, mode: str
     df.select(*head, *FEATURES).write.mode(mode).options(**_TSV).csv(path)
 
 
-def write_features_parquet(df: DataFrame, path: str, keyed: bool = False, mode: str = "errorifexists") -> None:
-    head = ["user_id", "post_id"] if keyed else ["label"]
-    df.select(*head, *FEATURES).write.mode(mode).parquet(path)
-
-
 def write_stats_blog_json(stats_blog: DataFrame, path: str) -> None:
     stats_blog.select("blog_id", "num_likes", "num_posts").write.mode("errorifexists").json(path)
 
@@ -52,7 +48,7 @@ def write_stats_user_json(stats_user_long: DataFrame, path: str, chunk_rows: int
 
 
 def write_posts_json(posts: DataFrame, likes: DataFrame | None, path: str, chunk_rows: int = CHUNK_ROWS) -> None:
-    """Posts with nested likes (train form) or an empty likes list (test form)."""
+    """Posts (with ``content``) with nested likes (train form) or an empty likes list (test form)."""
     base = posts.select(
         F.col("author_id").cast("string").alias("author"),
         F.col("blog_id").cast("string").alias("blog"),
@@ -71,9 +67,12 @@ def write_posts_json(posts: DataFrame, likes: DataFrame | None, path: str, chunk
         c = _chunked(lk, ["post_id"], ["user_id"], chunk_rows)
         nested = (c.groupBy("post_id", "_chunk")
                   .agg(F.collect_list(F.struct(F.lit("2000-01-01 00:00:00").alias("dt"),
-                                               F.col("user_id").cast("string").alias("uid"))).alias("likes"))
-                  .drop("_chunk"))
-        out = base.join(nested, "post_id", "left").withColumn(
+                                               F.col("user_id").cast("string").alias("uid"))).alias("likes")))
+        # the chunk with the smallest number is the post's own record
+        first = nested.groupBy("post_id").agg(F.min("_chunk").alias("_first"))
+        nested = nested.join(first, "post_id")
+        part = F.when(F.col("_chunk") != F.col("_first"), F.concat(F.lit("#likes-"), F.col("_chunk").cast("string")))
+        out = base.join(nested, "post_id", "left").withColumn("url", F.concat("url", F.coalesce(part, F.lit("")))).withColumn(
             "likes", F.coalesce("likes", F.array().cast("array<struct<dt:string,uid:string>>")))
     out.select("author", "blog", "blogname", "categories", "content", "date", "date_gmt", "language",
                "likes", "post_id", "tags", "title", "url").write.mode("errorifexists").json(path)

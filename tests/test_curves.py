@@ -9,7 +9,7 @@ from pyspark.ml.linalg import Vectors
 from affinis.operators import curves as CU
 
 
-def _conf(spark, rows, buckets=256):
+def _conf(spark, rows, buckets=None):
     df = spark.createDataFrame(rows, "score double, label double")
     return CU.confusion_by_threshold(df, buckets=buckets)
 
@@ -35,10 +35,23 @@ def test_roc_has_end_points(spark):
     assert pts[0] == (0.0, 0.0) and pts[-1] == (1.0, 1.0)
 
 
-def test_nan_scores_left_out(spark):
-    c = _conf(spark, [(float("nan"), 1.0), (0.5, 1.0), (0.4, 0.0)])
-    assert c.count() == 2
-    assert c.first().n_pos == 1
+def test_missing_scores_pass_no_threshold_but_count(spark):
+    c = _conf(spark, [(float("nan"), 1.0), (None, 0.0), (0.5, 1.0), (0.4, 0.0)])
+    rows = c.orderBy("position").collect()
+    assert [(r.threshold, r.tp, r.fp, r.n_pos, r.n_neg) for r in rows] == [(0.5, 1, 0, 2, 2), (0.4, 1, 1, 2, 2)]
+    assert max(r.recall for r in CU.recall_by_threshold(c).collect()) == 0.5
+
+
+def test_curves_are_ordered(spark):
+    rnd = random.Random(5)
+    c = _conf(spark, [(rnd.random(), float(rnd.random() < 0.4)) for _ in range(300)])
+    roc = CU.roc_curve(c).orderBy("position").collect()
+    assert [r.position for r in roc] == list(range(302))
+    assert all(a.fpr <= b.fpr and a.tpr <= b.tpr for a, b in zip(roc, roc[1:]))
+    pr = CU.pr_curve(c).orderBy("position").collect()
+    assert [r.position for r in pr] == list(range(301)) and all(a.recall <= b.recall for a, b in zip(pr, pr[1:]))
+    thin = CU.ordered(CU.round_x(CU.linear_bins(CU.roc_curve(c).selectExpr("fpr AS x", "tpr AS y"), 25), 2)).collect()
+    assert 1 < len(thin) <= 25 and [r.x for r in thin] == sorted(r.x for r in thin)
 
 
 @pytest.mark.parametrize("buckets", [1, 3, 64])

@@ -99,3 +99,18 @@ def test_pairs_without_profile_are_reported(spark, tables):
     pairs = spark.createDataFrame([(1, 4), (99, 4)], "user_id bigint, post_id bigint")
     assert FE.pair_features(pairs, ctx).count() == 1
     assert [r.user_id for r in FE.users_without_profile(pairs, ctx).collect()] == [99]
+
+
+def test_hot_user_and_hot_post_are_split(spark):
+    """One user holds a third of the pairs, one post many: the salted plan gives the plain plan's rows."""
+    posts = spark.createDataFrame([(p, p % 4, p % 3, "en", "a b", "", ["A", f"c{p % 5}"], [f"t{p % 7}"]) for p in range(120)], POSTS_SCHEMA)
+    likes = [(0, p) for p in range(60)] + [(u, (7 * u + i) % 120) for u in range(1, 30) for i in range(4)] + [(u, 5) for u in range(1, 30)]
+    lk = spark.createDataFrame(sorted(set(likes)), "user_id bigint, post_id bigint")
+    su = spark.createDataFrame([(u, b, 1 + u % 3, 4) for u in range(20) for b in range(2)],
+                               "user_id bigint, blog_id bigint, likes bigint, num_likes bigint")
+    sb = spark.createDataFrame([(b, 5, 2) for b in range(4)], "blog_id bigint, num_likes bigint, num_posts bigint")
+    ctx = FE.build_context(posts, lk, su, sb)
+    for variant in ("coded", "documented"):
+        plain = sorted(map(str, FE.pair_features(lk, ctx, variant).collect()))
+        assert plain == sorted(map(str, FE.pair_features(lk, ctx, variant, rows_per_salt=10).collect()))
+        assert len(plain) == len(set(likes))

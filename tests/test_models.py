@@ -41,3 +41,57 @@ def test_lr_scores_and_stability(spark, wf):
     s = MO.lr_scores(m1, wf.features_candidates)
     lo, hi = s.agg(F.min("score"), F.max("score")).first()
     assert 0.0 <= lo <= hi <= 1.0
+
+
+def test_weights_minimise_the_penalised_loss(spark, wf):
+    """Gradient of mean log loss + lambda/2 |w * sd|^2 (standardised columns) is near zero at the fit, by numpy."""
+    import numpy as np
+
+    m = MO.fit_lr(wf.training_set, max_iter=200)
+    rows = wf.training_set.select("label", *FEATURES).dropna().toPandas()
+    x, y = rows[FEATURES].to_numpy(), rows["label"].to_numpy()
+    sd = x.std(axis=0, ddof=1)
+    p = 1 / (1 + np.exp(-(x @ m.coefficients.toArray() + m.intercept)))
+    grad = ((p - y) @ x) / len(y) + MO.REG_PARAM * sd ** 2 * m.coefficients.toArray()
+    scaled = grad[sd > 0] / sd[sd > 0]
+    assert np.abs(scaled).max() < 1e-3 and abs((p - y).mean()) < 1e-3
+
+
+def test_scores_are_the_sigmoid_and_undefined_rows_stay(spark, wf):
+    import math
+
+    m = wf.lr_model
+    pairs = wf.features_candidates.limit(50)
+    bad = pairs.withColumn("user_id", -F.col("user_id") - 1).withColumn("author_likelihood", F.lit(float("nan"))).limit(3)
+    null = pairs.withColumn("user_id", -F.col("user_id") - 1_000_000).withColumn("blog_likelihood", F.lit(None).cast("double")).limit(2)
+    both = pairs.unionByName(bad).unionByName(null)
+    got = {(r.user_id, r.post_id): r.score for r in MO.lr_scores(m, both).collect()}
+    assert sum(v is None for v in got.values()) == 5 and len(got) == both.count()
+    w, b = m.coefficients.toArray(), m.intercept
+    for r in pairs.collect():
+        assert got[r.user_id, r.post_id] == pytest.approx(1 / (1 + math.exp(-(sum(wi * r[f] for wi, f in zip(w, FEATURES)) + b))))
+
+
+def test_areas_of_the_model_on_test_pairs_match_spark(spark, wf):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.functions import array_to_vector
+
+    from affinis.operators import curves as CU
+    from affinis.plans.registry import QUERIES
+
+    s = wf.lr_scored.where("score IS NOT NULL")
+    ev = s.select("label", array_to_vector(F.array(1 - F.col("score"), F.col("score"))).alias("rawPrediction"))
+    for metric, query in (("areaUnderROC", "lr_area_under_roc"), ("areaUnderPR", "lr_area_under_pr")):
+        want = BinaryClassificationEvaluator(metricName=metric, numBins=0).evaluate(ev)
+        assert QUERIES[query](spark, SF).first()[0] == pytest.approx(want, abs=1e-8)
+    assert CU.confusion_by_threshold(wf.lr_scored).count() > 10
+
+
+def test_both_populations_of_map_agree(spark, wf):
+    """Every test user with candidates is scored: the denominators differ only by users without a candidate."""
+    from affinis.operators import ranking as RA
+
+    users = wf.candidate_pairs.select("user_id").distinct().count()
+    joined, every = RA.map_at_k(wf.tag_scored, wf.b.truth).first(), RA.map_at_k(wf.tag_scored, wf.b.truth, over="all_truth").first()
+    assert joined.n_users == users and every.n_users == wf.b.test_users.count()
+    assert every.map == pytest.approx(joined.map * joined.n_users / every.n_users)

@@ -9,11 +9,11 @@ from affinis.operators import negatives as NE
 from affinis.operators.eda import hist_equal_width
 
 
-def _pick(spark, liked, n_users, js, width):
+def _pick(spark, liked, n_users, js, width, draw_rows=NE.DRAW_ROWS):
     draws = spark.createDataFrame([(1, k, j, len(liked)) for k, j in enumerate(js)],
                                   "post_id bigint, k int, j bigint, n_likes bigint")
     lk = spark.createDataFrame([(1, i) for i in liked] or [(2, 0)], "post_id bigint, idx bigint")
-    return [r.idx for r in NE._complement_pick(draws, lk, width).orderBy("k").collect()]
+    return [r.idx for r in NE._complement_pick(draws, lk, width, draw_rows=draw_rows).orderBy("k").collect()]
 
 
 def test_complement_rank_example(spark):
@@ -27,6 +27,7 @@ def test_complement_rank_matches_enumeration(spark, width):
     liked = sorted(rnd.sample(range(n), 9))
     free = [i for i in range(n) if i not in liked]
     assert _pick(spark, liked, n, list(range(len(free))), width) == free
+    assert _pick(spark, liked, n, list(range(len(free))), width, draw_rows=4) == free      # several salts of draws
 
 
 def test_histograms(spark):
@@ -69,6 +70,26 @@ def test_negatives_independent_of_bucket_width(spark, small):
     assert a == b and len(a) > 0
 
 
+def test_popular_posts_draw_negatives(spark):
+    """Every post has more likes than the reference's last edge: the data's own distribution still draws."""
+    likes = spark.createDataFrame([(u, p) for p in range(6) for u in range(p, 130 + p)], "user_id bigint, post_id bigint")
+    posts = spark.createDataFrame([(p,) for p in range(6)], "post_id bigint")
+    counts = NE.negative_counts(posts, likes).collect()
+    assert all(r.n_neg == 130 for r in counts)
+    neg = NE.negative_pairs(posts, likes, draw_rows=50)
+    assert neg.count() > 0 and neg.join(likes, ["user_id", "post_id"], "left_semi").count() == 0
+    assert sorted(map(tuple, neg.collect())) == sorted(map(tuple, NE.negative_pairs(posts, likes).collect()))
+    with pytest.raises(ValueError):
+        NE.negative_counts(posts, likes, edges=NE.DIST_EDGES)
+    assert NE.negative_counts(posts.limit(0), likes).collect() == []
+
+
+def test_own_distribution_equals_edges_inside_them(spark, small):
+    posts, lk = small
+    a = sorted(map(tuple, NE.negative_counts(posts, lk, seed=3).collect()))
+    assert a == sorted(map(tuple, NE.negative_counts(posts, lk, seed=3, edges=NE.DIST_EDGES).collect()))
+
+
 def test_distribution_ranges(spark, small):
     posts, lk = small
     d = NE.likes_per_post_distribution(posts, lk).orderBy("bin").collect()

@@ -10,7 +10,10 @@ import re
 
 import pytest
 
+from affinis.operators import negatives as NE
 from affinis.plans.registry import QUERIES
+from affinis.plans.workflows import Workflow
+from affinis.sources.binding import bind
 
 from conftest import SF
 
@@ -35,9 +38,31 @@ def test_plan_shape(spark, name):
             assert key in BOUNDED_ORDER_KEYS, (name, spec)
 
 
+def _nodes(plan, name):
+    return len(re.findall(rf"^[\s:+*\-()0-9]*{name}\b", plan, re.M))
+
+
 def test_scans_prune_columns_and_push_filters(spark):
-    plan = _plan(spark, "features_true")
+    wf = Workflow(bind(spark, SF, staged=True))
+    plan = wf.features_of(wf.b.train_likes)._jdf.queryExecution().executedPlan().toString()
     # the period filter reaches the Parquet scan of the staged likes table
     assert re.search(r"FileScan parquet \[user_id#\d+L,post_id#\d+L,ts#\d+\].*DataFilters: \[.*ts#", plan)
-    # the staged posts table is never read with its text column by the feature plan
-    assert "content" not in plan
+    assert _nodes(plan, "Exchange") <= 15
+
+
+def test_plan_that_writes_the_negatives(spark):
+    """The plan that is written, not the scan of what it wrote."""
+    wf = Workflow(bind(spark, SF, staged=True))
+    plan = NE.negative_pairs(wf.b.train_posts, wf.b.train_likes)._jdf.queryExecution().executedPlan().toString()
+    assert _nodes(plan, "FileScan") <= 6 and _nodes(plan, "Exchange") <= 15
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_no_staged_table_holds_texts(spark):
+    b = bind(spark, SF, staged=True)
+    assert "content" not in b.posts.columns and "text" not in b.posts.columns
+
+
+def test_candidates_are_a_small_share(spark):
+    wf = Workflow(bind(spark, "/root/testdata/sf0.01", staged=True))
+    assert 0 < wf.candidate_pairs.count() <= 0.05 * wf.b.test_users.count() * wf.b.posts.count()

@@ -1,12 +1,9 @@
-"""Hand-written plans: bucketed running totals, salted top-k and salted join."""
+"""Hand-written plans: bucketed running totals, salted join."""
 
 import random
 
-from pyspark.sql import Window
-from pyspark.sql import functions as F
-
 from affinis.plans.prefix import dense_index, running_totals
-from affinis.plans.skew import salted_join, top_k_per_group
+from affinis.plans.skew import hot_keys, salted_join, with_salt
 
 
 def test_running_totals_equal_window(spark):
@@ -27,20 +24,19 @@ def test_dense_index(spark):
     assert {r.u: r.idx for r in dense_index(df, "u", buckets=2).collect()} == {1: 0, 3: 1, 5: 2, 9: 3}
 
 
-def test_top_k_equals_row_number(spark):
-    rnd = random.Random(2)
-    rows = [(rnd.randint(0, 3) if rnd.random() < 0.5 else 0, i, rnd.randint(0, 20)) for i in range(400)]
-    df = spark.createDataFrame(rows, "g bigint, id bigint, s bigint")
-    order = [F.col("s").desc(), F.col("id").asc()]
-    got = sorted(map(tuple, top_k_per_group(df, ["g"], order, 5, salts=8).select("g", "id", "rank").collect()))
-    w = Window.partitionBy("g").orderBy(*order)
-    exp = sorted(map(tuple, df.withColumn("rank", F.row_number().over(w)).where("rank <= 5").select("g", "id", "rank").collect()))
-    assert got == exp
+def test_bucket_count_follows_rows():
+    from affinis.plans.prefix import BUCKET_ROWS, bucket_count
+    assert bucket_count(10) == bucket_count(BUCKET_ROWS) and bucket_count(100 * BUCKET_ROWS) == 100
 
 
 def test_salted_join_equals_join(spark):
-    left = spark.createDataFrame([(t, p) for t in range(3) for p in range(5)], "tag bigint, post bigint")
-    right = spark.createDataFrame([(0, u) for u in range(50)] + [(1, 7), (2, 8)], "tag bigint, user bigint")
-    got = sorted(map(tuple, salted_join(left, right, ["tag"], rows_per_salt=6).select("tag", "post", "user").collect()))
-    exp = sorted(map(tuple, left.join(right, "tag").select("tag", "post", "user").collect()))
-    assert got == exp
+    """Keys hot on the left (1), on the right (0), on both sides (3) and on none (2)."""
+    left = [(t, p) for t in range(3) for p in range(5)] + [(1, 100 + p) for p in range(40)] + [(3, p) for p in range(30)]
+    right = [(0, u) for u in range(50)] + [(1, 7), (2, 8)] + [(3, u) for u in range(20)]
+    l, r = spark.createDataFrame(left, "tag bigint, post bigint"), spark.createDataFrame(right, "tag bigint, user bigint")
+    got = sorted(map(tuple, salted_join(l, r, ["tag"], rows_per_salt=6).select("tag", "post", "user").collect()))
+    assert got == sorted((t, p, u) for t, p in left for s, u in right if s == t)
+    assert {r.tag: r.salts for r in hot_keys(l, ["tag"], 6).collect()} == {1: 8, 3: 5}
+    # every salt of a hot key holds a part of its rows
+    per = with_salt(l, hot_keys(l, ["tag"], 6), "tag", "post").where("tag = 1").groupBy("salt").count().collect()
+    assert len(per) > 4 and max(x["count"] for x in per) < 20

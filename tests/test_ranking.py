@@ -37,14 +37,19 @@ def test_map(spark, data):
 
 def test_recommend_lists(spark, data):
     s, _ = data
-    got = {r.user_id: r.recs for r in RA.recommend_lists(s).collect()}
-    assert got == {1: "1 2 3 4", 2: "5"}
+    got = {(r.user_id, r.part): (r.n_recs, r.recs) for r in RA.recommend_lists(s).collect()}
+    assert got == {(1, 0): (4, "1 2 3 4"), (2, 0): (1, "5")}
+    got = {(r.user_id, r.part): r.recs for r in RA.recommend_lists(s, per_row=3).collect()}
+    assert got == {(1, 0): "1 2 3", (1, 1): "4", (2, 0): "5"}
 
 
 def test_ranked_hits(spark, data):
     s, t = data
     rows = RA.ranked_hits(s, t).where("user_id = 1").orderBy("k").collect()
     assert [(r.k, r.hit, r.cum_hits) for r in rows] == [(1, 1, 1), (2, 0, 1), (3, 0, 1), (4, 1, 2)]
+    many = spark.createDataFrame([(1, p, 1.0 / (p + 1)) for p in range(250)], "user_id bigint, post_id bigint, score double")
+    assert RA.ranked_hits(many, t).count() == 250          # the whole list; only AP and MAP cut
+    assert RA.top_n(many, 100).count() == 100
 
 
 def test_nan_score_never_recommended(spark):

@@ -33,3 +33,11 @@ def test_input_signature_tracks_files(spark):
     s1 = input_signature(spark, [f"{SF}/part.parquet", f"{SF}/no_such.parquet"])
     assert s1[0][1] > 0 and s1[1][1] == -1
     assert s1 == input_signature(spark, [f"{SF}/part.parquet", f"{SF}/no_such.parquet"])
+
+
+def test_input_signature_sees_files_deeper_down(spark, tmp_path):
+    d = str(tmp_path / "t")
+    spark.range(10).selectExpr("id", "id % 2 AS part").write.partitionBy("part").parquet(d)
+    before = input_signature(spark, [d])
+    spark.range(99).selectExpr("id").write.mode("append").parquet(d + "/part=1")
+    assert input_signature(spark, [d]) != before

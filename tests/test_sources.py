@@ -54,3 +54,21 @@ def test_posts_json_chunks_and_nulls(spark):
     ps = RD.posts_from_raw(raw).collect()
     assert [r.post_id for r in ps] == [1] and ps[0].categories == ["A"]   # null title dropped, set semantics
     assert RD.likes_from_raw(raw).count() == 25
+
+
+def test_posts_with_one_id_in_two_blogs_are_two(spark):
+    posts = spark.createDataFrame([(1, b, 10, "en", "t", "c", ["A"], ["x"]) for b in (1, 2)],
+                                  "post_id bigint, blog_id bigint, author_id bigint, language string, title string, "
+                                  "content string, categories array<string>, tags array<string>")
+    p = scratch_path(spark, "twins.json")
+    WR.write_posts_json(posts, None, p)
+    assert sorted(r.blog_id for r in RD.posts_from_raw(RD.read_posts_raw(spark, p, test=True)).collect()) == [1, 2]
+
+
+def test_users_with_an_empty_list_stay(spark):
+    p = scratch_path(spark, "empty.json")
+    spark.createDataFrame([([("1", "2")], 2, 7), ([], 0, 8), (None, 0, 9)],
+                          "like_blog_dist array<struct<blog_id:string,likes:string>>, num_likes bigint, user_id bigint").write.json(p)
+    raw = RD.read_stats_user_raw(spark, p)
+    assert {r.user_id: r.num_likes for r in RD.stats_users(raw).collect()} == {7: 2, 8: 0, 9: 0}
+    assert [r.user_id for r in RD.stats_user_long(raw).collect()] == [7]
