@@ -43,15 +43,15 @@ MOST = 2
 SEED = 42
 N_SHARDS = 32
 BLOCKS_PER_SHARD = 16
-BUCKET_ROWS = 8192
+BUCKET_ROWS = 1024
 
 
-def _permuted(docs: DataFrame, seed: int) -> DataFrame:
-    """Each row nested, with its source, size and place key in the permutation."""
+def _permuted(docs: DataFrame, seed: int, rec: Column) -> DataFrame:
+    """``rec`` of each row, with its source, size and place key in the permutation."""
     buckets = max(1, math.ceil(docs.count() / BUCKET_ROWS))
     h = F.md5(F.concat(F.lit(f"{seed}:"), id_text(F.col("doc_id"))))
     return docs.select(
-        nested(docs, "copy", "take", "shard").alias("rec"), F.col("doc_id").alias("id"), F.col("source").alias("src"),
+        rec.alias("rec"), F.col("doc_id").alias("id"), F.col("source").alias("src"),
         word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("th"), h.alias("h"),
         F.shiftright(F.conv(F.substring(h, 1, 8), 16, 10).cast("long") * F.lit(buckets), 32).alias("bucket"))
 
@@ -98,9 +98,9 @@ def _taken(quota: Column, begin: Column, size: Column) -> Column:
 
 
 def draws(docs: DataFrame, seed: int = SEED, n_shards: int = N_SHARDS, weights=WEIGHTS, share: float = SHARE,
-          most: int = MOST) -> DataFrame:
-    """One row per document: rec (its columns), size, source_size, target, th, h, pieces (copy, take, shard) taken."""
-    rows = _permuted(docs, seed)
+          most: int = MOST, rec: Column | None = None) -> DataFrame:
+    """One row per document: rec (by default its columns), size, source_size, target, th, h, pieces (copy, take, shard) taken."""
+    rows = _permuted(docs, seed, nested(docs, "copy", "take", "shard") if rec is None else rec)
     buckets = stage(rows.groupBy("src", "bucket").agg(F.sum("size").alias("words")), "mix_buckets")
     targets = stage(source_targets(buckets.groupBy("src").agg(F.sum("words").alias("source_size")), weights, share, most),
                     "mix_targets")
@@ -147,7 +147,7 @@ def mix(docs: DataFrame, seed: int = SEED, n_shards: int = N_SHARDS, **kw) -> Da
 
 def mix_digest(docs: DataFrame) -> DataFrame:
     """Contract columns of every document, with the number of copies and the shard of the first."""
-    d = draws(docs.select("doc_id", "text", "source"))
-    return d.select("rec.doc_id", "size", "source_size", "target",
+    d = draws(docs, rec=F.col("doc_id"))
+    return d.select(F.col("rec").alias("doc_id"), "size", "source_size", "target",
                     F.aggregate("pieces", F.lit(0).cast("long"), lambda a, p: a + p["take"]).alias("taken"),
                     F.size("pieces").alias("copies"), F.get("pieces", F.lit(0))["shard"].alias("first_shard"))
