@@ -31,7 +31,7 @@ from affinis.plans.workflows import Workflow
 from affinis.session import scratch_path
 from affinis.sources import readers as RD
 from affinis.sources import writers as WR
-from affinis.sources.binding import bind
+from affinis.sources.binding import Bound, bind
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,8 +49,12 @@ SMALL_TOP = 3            # top-k cap that binds on the test data
 SMALL_BLOG_CAP = 15      # blog cap that binds on the test data
 
 
+def _bound(spark: SparkSession, sf_dir: str) -> Bound:
+    return bind(spark, sf_dir, staged=True)
+
+
 def _wf(spark: SparkSession, sf_dir: str, **kw) -> Workflow:
-    return Workflow(bind(spark, sf_dir, staged=True), **kw)
+    return Workflow(_bound(spark, sf_dir), **kw)
 
 
 def _post_display(posts: DataFrame) -> DataFrame:
@@ -104,28 +108,28 @@ def _feature(col: str, variant: str = "coded") -> Query:
 # ---- sources ------------------------------------------------------------------------------
 
 def src_stats_blog(spark, sf_dir):
-    b = bind(spark, sf_dir)
+    b = _bound(spark, sf_dir)
     p = scratch_path(spark, "stats_blog.json")
     WR.write_stats_blog_json(b.stats_blog, p)
     return RD.read_stats_blog(spark, p)
 
 
 def src_stats_user_long(spark, sf_dir):
-    b = bind(spark, sf_dir)
+    b = _bound(spark, sf_dir)
     p = scratch_path(spark, "stats_user.json")
     WR.write_stats_user_json(b.stats_user, p)
     return RD.stats_user_long(RD.read_stats_user_raw(spark, p))
 
 
 def src_stats_users(spark, sf_dir):
-    b = bind(spark, sf_dir)
+    b = _bound(spark, sf_dir)
     p = scratch_path(spark, "stats_user.json")
     WR.write_stats_user_json(b.stats_user, p)
     return RD.stats_users(RD.read_stats_user_raw(spark, p))
 
 
 def _train_posts_file(spark, sf_dir) -> str:
-    b = bind(spark, sf_dir)
+    b = _bound(spark, sf_dir)
     p = scratch_path(spark, "train_posts.json")
     WR.write_posts_json(b.with_content(b.train_posts), b.train_likes, p)
     return p
@@ -140,21 +144,21 @@ def src_likes(spark, sf_dir):
 
 
 def src_test_posts(spark, sf_dir):
-    b = bind(spark, sf_dir)
+    b = _bound(spark, sf_dir)
     p = scratch_path(spark, "test_posts.json")
     WR.write_posts_json(b.with_content(b.test_posts), None, p)
     return _post_display(RD.posts_from_raw(RD.read_posts_raw(spark, p, test=True)))
 
 
 def src_truth(spark, sf_dir):
-    b = bind(spark, sf_dir)
+    b = _bound(spark, sf_dir)
     p = scratch_path(spark, "truth.csv")
     WR.write_truth_csv(b.truth, p)
     return RD.read_truth(spark, p)
 
 
 def src_user_list(spark, sf_dir):
-    b = bind(spark, sf_dir)
+    b = _bound(spark, sf_dir)
     p = scratch_path(spark, "test_users.csv")
     WR.write_id_list(b.test_users, "user_id", p)
     return RD.read_id_list(spark, p)
@@ -273,40 +277,40 @@ QUERIES: dict[str, Query] = {
     "tsv_train_roundtrip": tsv_train_roundtrip,
     "tsv_test_roundtrip": tsv_test_roundtrip,
     # P: projections, filters
-    "filter_any_null": lambda s, d: CL.drop_any_null(_faulty_posts(bind(s, d).posts)).select(
+    "filter_any_null": lambda s, d: CL.drop_any_null(_faulty_posts(_bound(s, d).posts)).select(
         "post_id", "blog_id", "author_id", "language", "title"),
-    "project_post_sets": lambda s, d: CL.post_sets(bind(s, d).posts),
-    "stats_user_map": lambda s, d: CL.last_entries(_repeated_entries(bind(s, d).stats_user)),
+    "project_post_sets": lambda s, d: CL.post_sets(_bound(s, d).posts),
+    "stats_user_map": lambda s, d: CL.last_entries(_repeated_entries(_bound(s, d).stats_user)),
     "filter_finite_features": lambda s, d: CL.finite_features(_faulty_features(_wf(s, d).training_set)),
-    "check_user_totals": lambda s, d: ED.check_user_totals(_faulty_totals(bind(s, d).stats_user)),
-    "check_empty_language": lambda s, d: ED.check_empty_language(_faulty_posts(bind(s, d).posts)),
-    "lookup_post": lambda s, d: ED.lookup_post(bind(s, d).posts, *LOOKUP),
-    "check_null_fields": lambda s, d: ED.check_null_fields(_faulty_posts(bind(s, d).posts)),
-    "user_blog_likelihood_capped": lambda s, d: PR.user_blog_likelihood_capped(bind(s, d).stats_user),
+    "check_user_totals": lambda s, d: ED.check_user_totals(_faulty_totals(_bound(s, d).stats_user)),
+    "check_empty_language": lambda s, d: ED.check_empty_language(_faulty_posts(_bound(s, d).posts)),
+    "lookup_post": lambda s, d: ED.lookup_post(_bound(s, d).posts, *LOOKUP),
+    "check_null_fields": lambda s, d: ED.check_null_fields(_faulty_posts(_bound(s, d).posts)),
+    "user_blog_likelihood_capped": lambda s, d: PR.user_blog_likelihood_capped(_bound(s, d).stats_user),
     "user_blog_likelihood_capped_small": lambda s, d: PR.user_blog_likelihood_capped(
-        bind(s, d).stats_user, SMALL_BLOG_CAP),
-    "title_word_count": lambda s, d: CL.title_word_counts(bind(s, d).posts),
+        _bound(s, d).stats_user, SMALL_BLOG_CAP),
+    "title_word_count": lambda s, d: CL.title_word_counts(_bound(s, d).posts),
     # J: joins
     "feature_avg_likes_per_post": lambda s, d: _wf(s, d).ctx.post_attrs.select("post_id", "avg_likes_per_post"),
     "feature_blog_likelihood": _feature("blog_likelihood"),
     "semi_test_posts": lambda s, d: _wf(s, d).test_posts.select("post_id", "blog_id", "author_id", "language"),
     "candidate_pairs": lambda s, d: _wf(s, d).candidate_pairs,
-    "check_users_no_stats": lambda s, d: ED.users_without_stats(bind(s, d).train_likes, bind(s, d).stats_user),
-    "check_blogs_no_stats": lambda s, d: ED.blogs_without_stats(bind(s, d).posts, bind(s, d).stats_blog),
-    "check_blogs_with_stats": lambda s, d: ED.blogs_with_stats(bind(s, d).posts, bind(s, d).stats_blog),
+    "check_users_no_stats": lambda s, d: ED.users_without_stats(_bound(s, d).train_likes, _bound(s, d).stats_user),
+    "check_blogs_no_stats": lambda s, d: ED.blogs_without_stats(_bound(s, d).posts, _bound(s, d).stats_blog),
+    "check_blogs_with_stats": lambda s, d: ED.blogs_with_stats(_bound(s, d).posts, _bound(s, d).stats_blog),
     "label_pairs": _label_pairs,
-    "non_like_users": lambda s, d: NE.non_like_counts(bind(s, d).train_posts, bind(s, d).train_likes),
+    "non_like_users": lambda s, d: NE.non_like_counts(_bound(s, d).train_posts, _bound(s, d).train_likes),
     # A: aggregations
-    "prior_blog_likelihood": lambda s, d: PR.prior_blog_likelihood(bind(s, d).stats_user),
-    "mean_blog_likes": lambda s, d: PR.mean_blog_likes(bind(s, d).stats_blog),
-    "blog_avg_likes": lambda s, d: PR.blog_avg_likes(bind(s, d).stats_blog),
-    "user_blog_likelihood": lambda s, d: PR.user_blog_likelihood(bind(s, d).stats_user),
-    "profile_categories": lambda s, d: PR.profile_kind(bind(s, d).train_likes, bind(s, d).posts, "category", "category"),
-    "profile_tags": lambda s, d: PR.profile_kind(bind(s, d).train_likes, bind(s, d).posts, "tag", "tag"),
-    "profile_languages": lambda s, d: PR.profile_kind(bind(s, d).train_likes, bind(s, d).posts, "language", "language"),
-    "profile_authors": lambda s, d: PR.profile_kind(bind(s, d).train_likes, bind(s, d).posts, "author", "author_id",
+    "prior_blog_likelihood": lambda s, d: PR.prior_blog_likelihood(_bound(s, d).stats_user),
+    "mean_blog_likes": lambda s, d: PR.mean_blog_likes(_bound(s, d).stats_blog),
+    "blog_avg_likes": lambda s, d: PR.blog_avg_likes(_bound(s, d).stats_blog),
+    "user_blog_likelihood": lambda s, d: PR.user_blog_likelihood(_bound(s, d).stats_user),
+    "profile_categories": lambda s, d: PR.profile_kind(_bound(s, d).train_likes, _bound(s, d).posts, "category", "category"),
+    "profile_tags": lambda s, d: PR.profile_kind(_bound(s, d).train_likes, _bound(s, d).posts, "tag", "tag"),
+    "profile_languages": lambda s, d: PR.profile_kind(_bound(s, d).train_likes, _bound(s, d).posts, "language", "language"),
+    "profile_authors": lambda s, d: PR.profile_kind(_bound(s, d).train_likes, _bound(s, d).posts, "author", "author_id",
                                                     "bigint"),
-    "profile_title_lengths": lambda s, d: PR.profile_kind(bind(s, d).train_likes, bind(s, d).posts, "title_len",
+    "profile_title_lengths": lambda s, d: PR.profile_kind(_bound(s, d).train_likes, _bound(s, d).posts, "title_len",
                                                           "title_len", "int"),
     "feature_categories_likelihood": _feature("categories_likelihood"),
     "feature_tags_likelihood": _feature("tags_likelihood"),
@@ -317,21 +321,21 @@ QUERIES: dict[str, Query] = {
     "feature_title_length_error": _feature("title_length_error"),
     "feature_title_length_error_mean": _feature("title_length_error", "documented"),
     "hist_equal_width": lambda s, d: ED.hist_equal_width(
-        bind(s, d).stats_user.groupBy("user_id").agg(F.max("num_likes").alias("num_likes")), "num_likes"),
+        _bound(s, d).stats_user.groupBy("user_id").agg(F.max("num_likes").alias("num_likes")), "num_likes"),
     "hist_edges": lambda s, d: ED.hist_edges(
-        bind(s, d).stats_user.groupBy("user_id").agg(F.max("num_likes").alias("num_likes")), "num_likes"),
-    "count_distinct_keys": lambda s, d: ED.count_distinct_keys(bind(s, d).stats_user, bind(s, d).train_likes,
-                                                               bind(s, d).posts, bind(s, d).stats_blog),
+        _bound(s, d).stats_user.groupBy("user_id").agg(F.max("num_likes").alias("num_likes")), "num_likes"),
+    "count_distinct_keys": lambda s, d: ED.count_distinct_keys(_bound(s, d).stats_user, _bound(s, d).train_likes,
+                                                               _bound(s, d).posts, _bound(s, d).stats_blog),
     "count_distinct_keys_approx": lambda s, d: ED.count_distinct_keys_approx(
-        bind(s, d).stats_user, bind(s, d).train_likes, bind(s, d).posts),
-    "universe_users": lambda s, d: NE.universe_users(bind(s, d).train_likes),
+        _bound(s, d).stats_user, _bound(s, d).train_likes, _bound(s, d).posts),
+    "universe_users": lambda s, d: NE.universe_users(_bound(s, d).train_likes),
     "tag_user_index": lambda s, d: _wf(s, d).tag_index,
     "recommend_lists": lambda s, d: RA.recommend_lists(_wf(s, d).tag_scored),
     "ap_at_k": lambda s, d: _rounded(_scored_vs_truth(s, d, RA.ap_at_k), "ap"),
     "map_at_k": lambda s, d: _rounded(_scored_vs_truth(s, d, RA.map_at_k), "map"),
     "map_at_k_all_truth": lambda s, d: _rounded(_scored_vs_truth(s, d, RA.map_at_k, over="all_truth"), "map"),
-    "likes_per_post_distribution": lambda s, d: NE.likes_per_post_distribution(bind(s, d).train_posts,
-                                                                               bind(s, d).train_likes),
+    "likes_per_post_distribution": lambda s, d: NE.likes_per_post_distribution(_bound(s, d).train_posts,
+                                                                               _bound(s, d).train_likes),
     "best_map_threshold": lambda s, d: RA.best_map_threshold(_tag_grid(s, d, TAG_GRID)),
     "best_threshold_min_fpr": lambda s, d: CU.best_threshold_min_fpr(_tag_conf(s, d)),
     "best_threshold_max_tpr": lambda s, d: CU.best_threshold_max_tpr(_tag_conf(s, d)),
@@ -339,11 +343,11 @@ QUERIES: dict[str, Query] = {
     "ranked_hits": lambda s, d: _scored_vs_truth(s, d, RA.ranked_hits),
     "confusion_by_threshold": _tag_conf,
     # T: top-k, limits
-    "profile_topk": lambda s, d: PR.profile_long(bind(s, d).train_likes, bind(s, d).posts, cap=100).where(
+    "profile_topk": lambda s, d: PR.profile_long(_bound(s, d).train_likes, _bound(s, d).posts, cap=100).where(
         F.col("kind").isin(PR.CAPPED_KINDS)),
-    "profile_topk_small": lambda s, d: PR.profile_long(bind(s, d).train_likes, bind(s, d).posts, cap=SMALL_TOP).where(
+    "profile_topk_small": lambda s, d: PR.profile_long(_bound(s, d).train_likes, _bound(s, d).posts, cap=SMALL_TOP).where(
         F.col("kind").isin(PR.CAPPED_KINDS)),
-    "top_categories": lambda s, d: ED.top_categories(bind(s, d).posts),
+    "top_categories": lambda s, d: ED.top_categories(_bound(s, d).posts),
     "preview": lambda s, d: ED.preview(_wf(s, d).labelled_candidates, ["user_id", "post_id"]),
     # U / E: unions, feature rows
     "training_set": lambda s, d: _wf(s, d).training_set,
@@ -351,9 +355,9 @@ QUERIES: dict[str, Query] = {
     "features_false": lambda s, d: _wf(s, d).features_false,
     "features_candidates": lambda s, d: _wf(s, d).features_candidates,
     # N: sampling
-    "sample_test_users": lambda s, d: CA.sample_users(bind(s, d).test_users),
-    "sample_test_users_native": lambda s, d: CA.sample_users_native(bind(s, d).test_users),
-    "negative_counts": lambda s, d: NE.negative_counts(bind(s, d).train_posts, bind(s, d).train_likes),
+    "sample_test_users": lambda s, d: CA.sample_users(_bound(s, d).test_users),
+    "sample_test_users_native": lambda s, d: CA.sample_users_native(_bound(s, d).test_users),
+    "negative_counts": lambda s, d: NE.negative_counts(_bound(s, d).train_posts, _bound(s, d).train_likes),
     "negative_pairs": lambda s, d: _wf(s, d).negative_pairs,
     "split_train_holdout": lambda s, d: NE.split_train_holdout(_wf(s, d).training_set).select(
         "user_id", "post_id", "label", "split"),

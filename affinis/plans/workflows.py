@@ -102,7 +102,7 @@ class Workflow:
 
     @cached_property
     def labelled_candidates(self) -> DataFrame:
-        return CA.label_pairs(self.candidate_pairs, self.b.truth)
+        return self._stage("labelled_candidates", lambda: CA.label_pairs(self.candidate_pairs, self.b.truth), self.top_entries)
 
     @cached_property
     def features_candidates(self) -> DataFrame:
