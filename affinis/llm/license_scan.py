@@ -180,11 +180,15 @@ def detections(words: str) -> list[tuple[int, int, Rule]]:
     return taken
 
 
+def words_of(text: bytes) -> tuple[list[bytes], bytes]:
+    """The lower-case words of a UTF-8 text, and the same joined with blanks, one at both ends."""
+    parts = [p for p in text.lower().translate(_TO_BLANK).split(b" ") if p]
+    return parts, b" " + b" ".join(parts) + b" "
+
+
 def scan(text: bytes) -> tuple:
     """(n_words, n_base, first_word, last_word, base_labels, labels, score) of one UTF-8 text."""
-    parts = text.lower().translate(_TO_BLANK).split(b" ")
-    parts = [p for p in parts if p]
-    joined = b" " + b" ".join(parts) + b" "
+    parts, joined = words_of(text)
     places, base = [], set()
     for phrase, label in BASE.items():
         needle = f" {phrase} ".encode()
@@ -206,6 +210,30 @@ FIELDS = (("n_words", pa.int64(), T.LongType()), ("n_base", pa.int64(), T.LongTy
           ("labels", pa.string(), T.StringType()), ("score", pa.float64(), T.DoubleType()))
 
 
+def detect(docs: DataFrame) -> DataFrame:
+    """(doc_id, label, first_word, n_words, weight): every detection that is not suppressed, words from 0."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, label, first, n, weight = [], [], [], [], []
+            for i, text in enumerate(batch.column(1).cast(pa.binary())):
+                joined = words_of(text.as_py() or b"")[1].decode("utf-8", "replace")
+                for begin, end, rule in detections(joined):
+                    row.append(i)
+                    label.append(rule.label)
+                    first.append(joined.count(" ", 0, begin) - 1)
+                    n.append(joined.count(" ", begin, end) + 1)
+                    weight.append(rule.weight)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(row, pa.int64())), pa.array(label, pa.string()), pa.array(first, pa.int64()),
+                 pa.array(n, pa.int64()), pa.array(weight, pa.float64())],
+                names=["doc_id", "label", "first_word", "n_words", "weight"])
+
+    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("label", T.StringType()),
+                           T.StructField("first_word", T.LongType()), T.StructField("n_words", T.LongType()),
+                           T.StructField("weight", T.DoubleType())])
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
+
+
 def scan_documents(docs: DataFrame) -> DataFrame:
     """Contract columns of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

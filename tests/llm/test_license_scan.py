@@ -60,3 +60,13 @@ def test_odd_rows(odd_docs, no_docs):
     assert sorted((r.n_words, r.n_base) for r in rows) == sorted(brute(r[1])[:2] for r in odd_rows())
     assert all(r.labels == "" and r.first_word is None and r.score == 0 for r in rows)
     assert L.scan_documents(no_docs).collect() == []
+
+
+def test_detections_with_their_places(spark, odd_docs):
+    from tests.llm.conftest import SCHEMA
+
+    rows = [(1, "See: Licensed under the Apache License, Version 2.0. All rights reserved.", None, None, 0), (2, None, None, None, 0),
+            (3, "\u00e9 MIT License", None, None, 0)]
+    got = {(r.doc_id, r.label, r.first_word, r.n_words) for r in L.detect(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {(1, "apache-2.0", 1, 8), (1, "reserved", 9, 3), (3, "mit", 1, 2)}
+    assert L.detect(odd_docs).collect() == []
