@@ -23,6 +23,14 @@ def id_text(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit(""))
 
 
+def never_null(col: Column) -> Column:
+    """A text that is equal exactly where the values are equal, null with null: a plain join and grouping key.
+
+    A null-safe join hashes other expressions than a grouping does, so Spark would shuffle twice.
+    """
+    return F.when(col.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), col.cast("string")))
+
+
 def nested(df: DataFrame, *taken: str) -> Column:
     """All columns of ``df`` but those named in ``taken``, as one struct, so that helper columns cannot clash."""
     low = {t.lower() for t in taken}

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from affinis.llm.common import nested
+from affinis.llm.common import nested, never_null
 from affinis.session import stage
 
 # Fixed values of the contract.
@@ -149,7 +149,6 @@ def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = DISTAN
     prints = stage(fingerprints(docs, words), "simhash")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("th").alias("th")))
     kept = (prints.join(clusters(prints, distance), "fp").groupBy("root").agg(best.alias("k"))
-            .select("k.id", F.col("k.th").alias("kth")))
-    rows = docs.select(nested(docs).alias("rec"), F.col("doc_id").alias("rid"), F.xxhash64("text").alias("rth"))
-    return (rows.join(kept, F.expr("rid <=> id AND rth = kth"), "left_semi")
-            .dropDuplicates(["rid", "rth"]).select("rec.*"))
+            .select(never_null(F.col("k.id")).alias("rid"), F.col("k.th").alias("rth")))
+    rows = docs.select(nested(docs).alias("rec"), never_null(F.col("doc_id")).alias("rid"), F.xxhash64("text").alias("rth"))
+    return rows.join(kept, ["rid", "rth"], "left_semi").dropDuplicates(["rid", "rth"]).select("rec.*")
