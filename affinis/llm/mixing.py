@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from affinis.llm.common import id_text, nested, word_count
+from affinis.llm.common import id_text, nested, never_null, word_count
 from affinis.session import stage
 
 # Weights by source order, share of all words, most copies of a document.
@@ -44,6 +44,8 @@ SEED = 42
 N_SHARDS = 32
 BLOCKS_PER_SHARD = 16
 BUCKET_ROWS = 1024
+PART_ROWS = 4096
+BROADCAST_BLOCKS = 100_000      # a larger block table (very many sources) is joined by a shuffle
 
 
 def _permuted(docs: DataFrame, seed: int, rec: Column) -> DataFrame:
@@ -52,6 +54,7 @@ def _permuted(docs: DataFrame, seed: int, rec: Column) -> DataFrame:
     h = F.md5(F.concat(F.lit(f"{seed}:"), id_text(F.col("doc_id"))))
     return docs.select(
         rec.alias("rec"), F.col("doc_id").alias("id"), F.col("source").alias("src"),
+        never_null(F.col("source")).alias("key"),
         word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("th"), h.alias("h"),
         F.shiftright(F.conv(F.substring(h, 1, 8), 16, 10).cast("long") * F.lit(buckets), 32).alias("bucket"))
 
@@ -101,31 +104,29 @@ def draws(docs: DataFrame, seed: int = SEED, n_shards: int = N_SHARDS, weights=W
           most: int = MOST, rec: Column | None = None) -> DataFrame:
     """One row per document: rec (by default its columns), size, source_size, target, th, h, pieces (copy, take, shard) taken."""
     rows = _permuted(docs, seed, nested(docs, "copy", "take", "shard") if rec is None else rec)
-    buckets = stage(rows.groupBy("src", "bucket").agg(F.sum("size").alias("words")), "mix_buckets")
+    buckets = stage(rows.groupBy("key", "src", "bucket").agg(F.sum("size").alias("words")), "mix_buckets")
     targets = stage(source_targets(buckets.groupBy("src").agg(F.sum("words").alias("source_size")), weights, share, most),
                     "mix_targets")
     width = targets.agg(F.greatest(F.lit(1), F.ceil(F.sum("quota") / (n_shards * BLOCKS_PER_SHARD))).cast("long").alias("v"))
     lines = targets.select("*", width.scalar().alias("width"))
     tickets = stage(split_blocks(lines.select(
         "src", F.ceil(F.col("quota") / F.col("width")).cast("int").alias("n_blocks")), n_shards, seed), "mix_tickets")
-    # blocks of one source as an array (element b: the shard of block b); all arrays together hold the bounded block table
-    shards = tickets.groupBy("src").agg(F.transform(F.array_sort(F.collect_list(F.struct("block", "shard"))),
-                                                    lambda x: x["shard"]).alias("shards"))
-    ahead = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    b = buckets.alias("b").select("src", "bucket", F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("before"))
-    s = lines.alias("s").join(shards.alias("k"), F.expr("s.src <=> k.src"), "left").select(
-        "s.src", "source_size", "target", "quota", "width", "shards")
-    plan = b.alias("b").join(s.alias("s"), F.expr("b.src <=> s.src")).select("b.src", "bucket", "before", "source_size",
-                                                                          "target", "quota", "width", "shards")
-    inside = Window.partitionBy("src", "bucket").orderBy("h", "id", "size", "th").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("ahead", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    j = rows.alias("r").join(plan.alias("p"), F.expr("r.src <=> p.src AND r.bucket = p.bucket")).select(
-        "rec", "size", "source_size", "target", "quota", "width", "shards", "h", "th",
-        (F.col("before") + F.col("ahead")).alias("at"))
-    piece = [F.struct(F.lit(c).alias("copy"),
-                      _taken(F.col("quota"), F.col("at") + F.col("source_size") * c, F.col("size")).alias("take"),
-                      F.get("shards", F.floor((F.col("at") + F.col("source_size") * c) / F.col("width")).cast("int")).alias("shard"))
-             for c in range(most)]
+    ahead = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    b = buckets.select("key", "bucket", F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("before"))
+    by_key = never_null(F.col("src")).alias("key")
+    s = lines.select("*", by_key).drop("src")
+    # rows are put in order inside their bucket and meet its place by one shuffle
+    inside = Window.partitionBy("key", "bucket").orderBy("h", "id", "size", "th").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.drop("src").withColumn("ahead", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    j = rows.join(b.join(s, "key"), ["key", "bucket"])
+    small = tickets.count() <= BROADCAST_BLOCKS
+    for c in range(most):
+        begin = F.col("before") + F.col("ahead") + F.col("source_size") * c
+        j = j.withColumn(f"take{c}", _taken(F.col("quota"), begin, F.col("size")))
+        j = j.withColumn("block", F.when(F.col(f"take{c}") > 0, F.floor(begin / F.col("width")).cast("int")))
+        shards = tickets.select(by_key, "block", F.col("shard").alias(f"shard{c}"))
+        j = j.join(F.broadcast(shards) if small else shards, ["key", "block"], "left").drop("block")
+    piece = [F.struct(F.lit(c).alias("copy"), F.col(f"take{c}").alias("take"), F.col(f"shard{c}").alias("shard")) for c in range(most)]
     return j.select("rec", "size", "source_size", "target", "h", "th",
                     F.filter(F.array(*piece), lambda p: p["take"] > 0).alias("pieces"))
 
@@ -136,11 +137,13 @@ def mix(docs: DataFrame, seed: int = SEED, n_shards: int = N_SHARDS, **kw) -> Da
     The text of the one document cut at the end of a source's line keeps its first ``take`` words.
     """
     d = draws(docs, seed, n_shards, **kw).withColumn("piece", F.explode("pieces"))
+    parts = max(1, math.ceil(docs.count() * MOST / n_shards / PART_ROWS))
     cut = F.call_function("regexp_extract", F.col("rec.text"), F.concat(
         F.lit(r"^(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){"), F.col("piece.take").cast("string"), F.lit("}+")), F.lit(0))
     text = F.when(F.col("piece.take") < F.col("size"), cut).otherwise(F.col("rec.text"))
-    d = (d.repartition(F.col("piece.shard"))
-         .sortWithinPartitions(F.col("piece.shard"), F.xxhash64(F.lit(seed), "piece.copy", "h", "th")))
+    # a shard is written as parts, each a random share of its rows in random order, so no task holds a whole shard
+    d = d.withColumn("place", F.xxhash64(F.lit(seed), "piece.copy", "h", "th")).withColumn("part", F.pmod("place", F.lit(parts)))
+    d = d.repartition(F.col("piece.shard"), "part").sortWithinPartitions(F.col("piece.shard"), "part", "place")
     cols = [(text if c == "text" else F.col("rec")[c]).alias(c) for c in d.schema["rec"].dataType.names]
     return d.select(*cols, "piece.copy", "piece.take", "piece.shard")
 
