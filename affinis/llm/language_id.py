@@ -27,6 +27,7 @@ not 2; predictions read the text alone.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,7 @@ SAMPLE_DOCS = 300
 SAMPLE_PIECE = 200
 SAMPLE_CHARS = 40_000
 TABLE_CELLS = 24_000_000
+HASH_RANGE = 2 ** 40
 WINDOW = 1024
 CHARS_AT_ONCE = 2_000_000
 UND = "und"
@@ -122,8 +124,9 @@ class Model:
         self.starts = np.array(starts, np.int64)
         self.table = np.concatenate([p.ravel() for p in parts]) if parts else np.zeros(0, np.int32)
 
+    @cached_property
     def symbols(self) -> np.ndarray:
-        """Code point -> symbol."""
+        """Code point -> symbol; made once per Python worker."""
         low = _letter_classes()
         by_low = np.zeros(0x110000, np.uint16)
         by_low[np.unique(low)] = 1
@@ -144,10 +147,10 @@ def _parse(model: Model, sym: np.ndarray, at: np.ndarray, lens: np.ndarray) -> n
     return count
 
 
-def phrase_counts(model: Model, symbol_of: np.ndarray, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def phrase_counts(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(language x text) phrases, symbols per text, whether a text has a letter."""
     points = np.frombuffer("\0".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
-    sym = symbol_of[points]
+    sym = model.symbols[points]
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     owner = np.repeat(np.arange(len(texts)), lengths + 1)[:len(sym)]
     blank = sym == 0
@@ -174,11 +177,11 @@ def phrase_counts(model: Model, symbol_of: np.ndarray, texts: list[str]) -> tupl
     return total, n, letters
 
 
-def decide(model: Model, symbol_of: np.ndarray, texts: list[str]) -> tuple[list[str], list[float]]:
+def decide(model: Model, texts: list[str]) -> tuple[list[str], list[float]]:
     """(language, score) of each text; score = 1 - fewest / second-fewest phrases."""
     if not model.languages:
         return [UND] * len(texts), [0.0] * len(texts)
-    total, _, letters = phrase_counts(model, symbol_of, texts)
+    total, _, letters = phrase_counts(model, texts)
     best = total.argmin(axis=0)
     if len(model.languages) > 1:
         low = np.partition(total, 1, axis=0)
@@ -192,8 +195,14 @@ def decide(model: Model, symbol_of: np.ndarray, texts: list[str]) -> tuple[list[
 def fit(docs: DataFrame) -> Model:
     """Learn from labelled documents outside the held-out fold; the sample that reaches the driver is bounded."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    order = F.xxhash64(F.lit("language sample"), "doc_id")
-    sample = (known.select("lang", order.alias("h"), F.substring("text", 1, SAMPLE_PIECE).alias("piece"))
+    # one row per language; a hash threshold then lets about twice the sample of each language into the shuffle
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not sizes:
+        return Model({})
+    order = F.pmod(F.xxhash64(F.lit("language sample"), "doc_id"), F.lit(HASH_RANGE))
+    below = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, HASH_RANGE * 2 * SAMPLE_DOCS // n)])
+    sample = (known.where(order < below[F.col("lang")])
+              .select("lang", order.alias("h"), F.substring("text", 1, SAMPLE_PIECE).alias("piece"))
               .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h", "piece")))
               .where(F.col("rank") <= SAMPLE_DOCS).select("lang", "rank", "piece"))
     pieces: dict[str, list[tuple[int, str]]] = {}
@@ -203,9 +212,6 @@ def fit(docs: DataFrame) -> Model:
     return Model({lang: t for lang, t in texts.items() if t})
 
 
-_WORKER: dict[int, np.ndarray] = {}
-
-
 def predict(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
     """(rec, text, lang_pred, score): ``rec`` holds the columns ``carry`` of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -213,10 +219,6 @@ def predict(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        if id(m) not in _WORKER:
-            _WORKER.clear()
-            _WORKER[id(m)] = m.symbols()
-        symbol_of = _WORKER[id(m)]
         for batch in batches:
             langs, scores, part, size = [], [], [], 0
             for text in batch.column(1):
@@ -224,10 +226,10 @@ def predict(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
                 part.append(text)
                 size += len(text) + 1
                 if size >= CHARS_AT_ONCE:
-                    a, b = decide(m, symbol_of, part)
+                    a, b = decide(m, part)
                     langs, scores, part, size = langs + a, scores + b, [], 0
             if part:
-                a, b = decide(m, symbol_of, part)
+                a, b = decide(m, part)
                 langs, scores = langs + a, scores + b
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                                              names=["rec", "text", "lang_pred", "score"])

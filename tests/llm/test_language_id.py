@@ -22,7 +22,7 @@ def test_phrases_equal_brute_force():
     samples = {"a": words(rng, 60), "b": words(rng, 60, "xi po gru wen dra")}
     model = L.Model(samples)
     texts = [words(rng, 20) + " ", words(rng, 15, "xi po ka dra") + " ", "k ", "qqq ", ""]
-    total, n, letters = L.phrase_counts(model, model.symbols(), texts)
+    total, n, letters = L.phrase_counts(model, texts)
     for i, lang in enumerate(model.languages):
         want = [longest_match_parse(samples[lang], t) for t in texts]
         assert total[i].tolist() == want
@@ -34,7 +34,7 @@ def test_windows_split_long_texts_only_at_their_ends():
     sample = words(rng, 80)
     model = L.Model({"a": sample})
     text = L._squeezed(words(rng, 900)) + " "
-    total, _, _ = L.phrase_counts(model, model.symbols(), [text])
+    total, _, _ = L.phrase_counts(model, [text])
     parts = [text[i:i + L.WINDOW] for i in range(0, len(text), L.WINDOW)]
     assert total[0, 0] == sum(longest_match_parse(sample, p) for p in parts)
 
