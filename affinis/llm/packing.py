@@ -39,7 +39,7 @@ CAPACITY = 2048
 END_ID = 1
 GROUP_PIECES = 8192
 #: Entries of a worker's caches; a full cache starts anew.
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 250_000
 
 # a chunk of Latin letters, then ASCII punctuation without the apostrophe: two pieces at most, whatever stands around it
 _SIMPLE = re.compile(r"([A-Za-z]*)([!-&(-/:-@\[-`{-~]*)")
