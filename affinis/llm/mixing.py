@@ -149,8 +149,7 @@ def mix(docs: DataFrame, seed: int = SEED, n_shards: int = N_SHARDS, **kw) -> Da
 
 
 def mix_digest(docs: DataFrame) -> DataFrame:
-    """Contract columns of every document, with the number of copies and the shard of the first."""
+    """Contract columns of every document; ``taken`` adds up the pieces that the shards drew."""
     d = draws(docs, rec=F.col("doc_id"))
     return d.select(F.col("rec").alias("doc_id"), "size", "source_size", "target",
-                    F.aggregate("pieces", F.lit(0).cast("long"), lambda a, p: a + p["take"]).alias("taken"),
-                    F.size("pieces").alias("copies"), F.get("pieces", F.lit(0))["shard"].alias("first_shard"))
+                    F.aggregate("pieces", F.lit(0).cast("long"), lambda a, p: a + p["take"]).alias("taken"))
