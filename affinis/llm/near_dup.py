@@ -76,30 +76,26 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
             .mapInArrow(run, f"doc_id {id_type}, th long, fp long"))
 
 
-def variants(fp, radius: int):
-    """All values within ``radius`` bits of ``fp``, as an array column."""
-    out = F.array(fp)
-    ball = out
-    for _ in range(radius):
-        ball = F.flatten(F.transform(ball, lambda x: F.transform(
-            F.sequence(F.lit(0), F.lit(63)), lambda i: x.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i)))))
-        out = F.concat(out, ball)
-    return F.array_distinct(out) if radius > 1 else out
+def _flipped(value, bit):
+    """``value`` with one bit flipped; bit -1 flips none."""
+    return F.when(bit < 0, value).otherwise(value.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), bit)))
 
 
 def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """(a, b), a < b: stars that connect all distinct fingerprints at most ``distance`` bits apart.
 
-    ``distance`` must be 0 to 2: only then are all members of a bucket linked to each other.
+    ``distance`` must be 0 to 2: half of it is one bit at most, and all members of a bucket are linked.
     """
     if not 0 <= distance <= 2:
         raise ValueError("distance must be 0, 1 or 2")
-    radius = (distance + 1) // 2
-    bucket = Window.partitionBy("variant")
-    rows = fps.select("fp", F.explode(variants(F.col("fp"), radius)).alias("variant"))
+    bits = F.sequence(F.lit(-1), F.lit(63 if distance else -1))
+    bit, variant = F.col("bit"), F.col("variant")
+    rows = fps.select("fp", F.explode(bits).alias("bit")).select(_flipped(F.col("fp"), bit).alias("variant"), bit.cast("byte").alias("bit"))
+    # the flipped bit travels instead of the fingerprint, which the variant gives back behind the shuffle
+    rows = rows.repartition("variant").select("variant", _flipped(variant, bit.cast("int")).alias("b"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
-    return (rows.withColumn("a", F.min("fp").over(bucket)).where("fp <> a")
-            .select("a", F.col("fp").alias("b")).where(near).distinct())
+    return (rows.withColumn("a", F.min("b").over(Window.partitionBy("variant"))).where("a <> b")
+            .select("a", "b").where(near).distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
