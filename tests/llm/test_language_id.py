@@ -2,7 +2,7 @@ import random
 import zlib
 
 from affinis.llm import language_id as L
-from tests.llm.conftest import SCHEMA, odd_rows, words
+from tests.llm.odd import SCHEMA, odd_rows, words, no_docs, odd_docs  # noqa: F401
 
 
 def longest_match_parse(sample, text):

@@ -2,7 +2,7 @@ import random
 import re
 
 from affinis.llm import license_scan as L
-from tests.llm.conftest import odd_rows, words
+from tests.llm.odd import odd_rows, words, no_docs, odd_docs  # noqa: F401
 
 
 def brute(text):
@@ -63,7 +63,7 @@ def test_odd_rows(odd_docs, no_docs):
 
 
 def test_detections_with_their_places(spark, odd_docs):
-    from tests.llm.conftest import SCHEMA
+    from tests.llm.odd import SCHEMA
 
     rows = [(1, "See: Licensed under the Apache License, Version 2.0. All rights reserved.", None, None, 0), (2, None, None, None, 0),
             (3, "\u00e9 MIT License", None, None, 0)]

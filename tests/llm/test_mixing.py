@@ -5,7 +5,7 @@ from fractions import Fraction
 from pyspark.sql import functions as F
 
 from affinis.llm import mixing as M
-from tests.llm.conftest import SCHEMA, odd_rows, words
+from tests.llm.odd import SCHEMA, odd_rows, words, no_docs, odd_docs  # noqa: F401
 
 
 def brute_targets(sizes):

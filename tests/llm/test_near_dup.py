@@ -4,7 +4,7 @@ import re
 import xxhash
 
 from affinis.llm import near_dup as N
-from tests.llm.conftest import SCHEMA, odd_rows, words
+from tests.llm.odd import SCHEMA, odd_rows, words, no_docs, odd_docs  # noqa: F401
 
 
 def brute_print(text):

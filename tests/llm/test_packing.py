@@ -7,7 +7,7 @@ import pytest
 
 from affinis.llm import packing as K
 from affinis.llm.queries import tokenizer_path
-from tests.llm.conftest import SCHEMA, odd_rows, words
+from tests.llm.odd import SCHEMA, odd_rows, words, no_docs, odd_docs  # noqa: F401
 
 
 def first_fit_brute(lengths, capacity):

@@ -3,7 +3,7 @@ import random
 import re
 
 from affinis.llm import pii as P
-from tests.llm.conftest import SCHEMA, odd_rows, words
+from tests.llm.odd import SCHEMA, odd_rows, words, no_docs, odd_docs  # noqa: F401
 
 # the contract's patterns, as given
 GIVEN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

@@ -2,7 +2,7 @@ import corpus_pipeline as C
 import __spark_entry__ as E
 
 from affinis.llm.queries import ORACLE_SQL, QUERIES
-from tests.llm.conftest import odd_rows
+from tests.llm.odd import odd_rows, no_docs, odd_docs  # noqa: F401
 from tests.llm.test_near_dup import brute_components, brute_print
 from tests.llm.test_packing import check
 

@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 
 from affinis.llm import quality_rules as Q
-from tests.llm.conftest import SCHEMA, odd_rows, words
+from tests.llm.odd import SCHEMA, odd_rows, words, no_docs, odd_docs  # noqa: F401
 
 
 def brute(text):

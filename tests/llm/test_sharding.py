@@ -2,7 +2,7 @@ import zlib
 from collections import Counter
 
 from affinis.llm import sharding as S
-from tests.llm.conftest import odd_rows
+from tests.llm.odd import odd_rows, no_docs, odd_docs  # noqa: F401
 
 
 def test_all_rows_in_even_gapless_shards(odd_docs):
