@@ -34,7 +34,6 @@ HEADLINE = [
     "confusion_by_threshold",
     "area_under_roc",
     "lr_weights",
-    "lr_area_under_roc",
 ]
 
 
