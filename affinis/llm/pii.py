@@ -10,8 +10,9 @@ with P(e | t) the share of t's occurrences in the whole corpus that stand
 near e, and IC(e) = -log2 of e's share of all terms.  1 means that t tells e
 completely.  A term near an entity in at least ``MIN_CONTEXTS`` different
 contexts (copies of one passage are one context) is generalised from
-``GENERALISE`` on and removed from ``REMOVE`` on, where it stands near that
-entity; text without personal data is never changed.
+``GENERALISE`` on and removed from ``REMOVE`` on, wherever it stands: near
+that entity, further away and in texts that do not hold the entity.  A text
+with neither personal data nor a disclosing term is never changed.
 
 All columns are Spark expressions.  Positions come from the gaps between
 matches (split) beside the matches themselves.  The patterns are written
@@ -49,6 +50,7 @@ CONTEXT_CHARS = 64
 MIN_CONTEXTS = 2
 GENERALISE = 0.9
 REMOVE = 0.97
+HOT_SHARE = 1e-4        # a term with more of all occurrences is salted; at most 1 / HOT_SHARE terms have so many
 
 
 def _digits(v: Column) -> Column:
@@ -145,13 +147,18 @@ def mentions(found: DataFrame) -> DataFrame:
         "key", "entity", "context", "t.*")
 
 
-def disclosing(near: DataFrame, docs: DataFrame) -> DataFrame:
+def term_counts(docs: DataFrame) -> DataFrame:
+    """(term, n): occurrences of each term in all texts."""
+    return (docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0))).alias("term"))
+            .groupBy("term").agg(F.count(F.lit(1)).alias("n")))
+
+
+def disclosing(near: DataFrame, docs: DataFrame, words: DataFrame | None = None) -> DataFrame:
     """(entity, term, disclosure) of the terms that reach ``GENERALISE``; counts cover all documents."""
     pairs = (near.groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("c"))
              .groupBy("entity", "term").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("contexts")))
     entities = pairs.groupBy("entity").agg(F.sum("c").alias("m"))
-    words = stage(docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0))).alias("term"))
-                  .groupBy("term").agg(F.count(F.lit(1)).alias("n")), "pii_term_counts")
+    words = stage(term_counts(docs), "pii_term_counts") if words is None else words
     total = words.agg(F.sum("n")).scalar()
     known = pairs.where(F.col("contexts") >= MIN_CONTEXTS).join(entities, "entity").join(words, "term")
     share = F.least(F.lit(1.0), F.col("c") / F.col("n"))
@@ -160,13 +167,39 @@ def disclosing(near: DataFrame, docs: DataFrame) -> DataFrame:
             .where(F.col("disclosure") >= GENERALISE).select("entity", "term", "disclosure"))
 
 
-def term_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, terms): the disclosing terms of each text that has any, by start; ``found`` holds key, text and base."""
+def text_terms(docs: DataFrame, words: DataFrame, revealing: DataFrame) -> DataFrame:
+    """(key, terms): the disclosing terms of every text that holds any, near an entity or not.
+
+    Each text gives its distinct terms, which meet ``revealing`` by term.  Terms with more than ``HOT_SHARE`` of all
+    occurrences are at most 1 / ``HOT_SHARE``, so their list is broadcast: those that disclose nothing leave before the
+    shuffle, the others are cut into salts.
+    """
+    value = F.transform(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(TERM), F.lit(0)), lambda v: F.lower(v))
+    pairs = (docs.select(text_key(F.coalesce("text", F.lit(""))).alias("key"), F.monotonically_increasing_id().alias("at"),
+                         F.array_distinct(value).alias("terms"))
+             .select("key", "at", F.explode("terms").alias("term")))
+    least = words.agg(F.sum("n") * F.lit(HOT_SHARE)).scalar()
+    hot = F.broadcast(words.where(F.col("n") > least).join(revealing.select("term", F.lit(True).alias("reveals")), "term", "left")
+                      .select("term", F.ceil(F.col("n") / least).alias("salts"), F.coalesce("reveals", F.lit(False)).alias("reveals")))
+    left = (pairs.join(hot, "term", "left").where(F.col("reveals").isNull() | F.col("reveals"))
+            .select("key", "term", F.pmod("at", F.coalesce("salts", F.lit(1))).alias("salt")))
+    salted = (revealing.join(hot.select("term", "salts"), "term", "left")
+              .select("term", "disclosure", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt")))
+    hits = left.join(salted, ["term", "salt"]).groupBy("key", "term").agg(F.max("disclosure").alias("disclosure"))
+    return hits.groupBy("key").agg(F.collect_list(F.struct("term", "disclosure")).alias("terms"))
+
+
+def with_terms(docs: DataFrame, found: DataFrame, rows: DataFrame) -> DataFrame:
+    """``rows`` (of ``base_spans``) with ``terms``: start, end and disclosure of the disclosing terms in each text."""
     near = stage(mentions(found), "pii_mentions")
-    hits = near.join(disclosing(near, docs), ["entity", "term"])
-    one = hits.groupBy("key", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-    return stage(one.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "end", "disclosure"))).alias("terms")),
-                 "pii_terms")
+    words = stage(term_counts(docs), "pii_term_counts")
+    revealing = stage(disclosing(near, docs, words).groupBy("term").agg(F.max("disclosure").alias("disclosure")), "pii_revealing")
+    terms = stage(text_terms(docs, words, revealing), "pii_terms").withColumnRenamed("key", "of")
+    rows = rows.join(terms, F.col("key") == F.col("of"), "left").drop("of")
+    rows = rows.withColumns({"_by": F.map_from_entries("terms"), "_text": F.when(F.col("terms").isNotNull(), F.col("text")).otherwise("")})
+    rows = with_spans(rows, "_text", {"term": TERM}, lambda k, v: F.col("_by")[F.lower(v)].isNotNull(), "_t")
+    return rows.withColumn("terms", F.transform("_t", lambda t: F.struct(
+        t["start"].alias("start"), t["end"].alias("end"), F.col("_by")[F.lower(t["value"])].alias("disclosure")))).drop("_by", "_text", "_t")
 
 
 def _joined(spans: Column, kind: Column | None = None) -> Column:
@@ -177,11 +210,9 @@ def _joined(spans: Column, kind: Column | None = None) -> Column:
 def find_spans(docs: DataFrame) -> DataFrame:
     """Contract columns: counts and digest of the base spans, and all spans with the method's terms."""
     found = base_spans(docs, F.col("doc_id"))
-    terms = term_spans(docs, found)
-    rows = found.drop("text").alias("f").join(terms.alias("t"), F.expr("f.key = t.key"), "left")
+    rows = with_terms(docs, found, found)
     base = F.array_join(_joined(F.col("base")), ",")
-    none = F.lit([]).cast("array<struct<start:int,end:int,disclosure:double>>")
-    extra = _joined(F.coalesce("terms", none), F.lit("term"))
+    extra = _joined(F.col("terms"), F.lit("term"))
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
     return rows.select(F.col("rec").alias("doc_id"), *[count(k) for k in KINDS], F.sha2(base, 256).alias("base_sha256"),
                        F.array_join(F.concat(_joined(F.col("base")), extra), ",").alias("spans"))
@@ -204,14 +235,12 @@ def _replaced(text: Column, spans: Column) -> Column:
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data and disclosing terms replaced in ``text``; ``n_chars`` follows the new text."""
-    terms = term_spans(docs, base_spans(docs, F.lit(None).cast("int")))
-    rows = base_spans(docs, nested(docs)).alias("f").join(terms.alias("t"), F.expr("f.key = t.key"), "left")
+    rows = with_terms(docs, base_spans(docs, F.lit(None).cast("int")), base_spans(docs, nested(docs)))
     names = F.create_map(*[F.lit(x) for kv in LABELS.items() for x in kv])
     b = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), names[s["kind"]].alias("label")))
     t = F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(
         s["disclosure"] >= REMOVE, F.lit("")).otherwise(F.lit(TERM_LABEL)).alias("label")))
-    none = F.lit([]).cast("array<struct<start:int,end:int,label:string>>")
-    rows = rows.withColumn("spans", F.array_sort(F.concat(b, F.coalesce(t, none)), lambda x, y: F.when(
+    rows = rows.withColumn("spans", F.array_sort(F.concat(b, t), lambda x, y: F.when(
         x["start"] != y["start"], x["start"] - y["start"]).otherwise(y["end"] - x["end"])))
     rows = rows.withColumn("clean", F.when(F.col("rec.text").isNotNull(), F.when(
         F.size("spans") > 0, _replaced(F.col("text"), F.col("spans"))).otherwise(F.col("text"))))

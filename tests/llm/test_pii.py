@@ -77,6 +77,23 @@ def test_terms_that_reveal_an_entity_are_added_and_removed(spark):
     assert clean[2000] == "quimble calls [PHONE] at noon"
 
 
+def test_a_disclosing_term_goes_wherever_it_stands(spark, monkeypatch):
+    """Far from the address in its own text, and in a text without personal data; also where the term is hot."""
+    rng = random.Random(6)
+    far = f"{words(rng, 30)} Zorblatt writes from bob@corp.example {words(rng, 60)} ZORBLATT {words(rng, 9)}"
+    rows = leak_rows() + [(3000, far, "aa", "s", 0), (3001, f"{words(rng, 20)} zorblatt {words(rng, 20)}", "aa", "s", 0), (3002, None, "aa", "s", 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for share in (P.HOT_SHARE, 1e-5, 0.5):
+        monkeypatch.setattr(P, "HOT_SHARE", share)
+        clean = {r.doc_id: r.text for r in P.sanitise(df).collect()}
+        assert not any("zorblatt" in (t or "").lower() for t in clean.values())
+        spans = {r.doc_id: r.spans for r in P.find_spans(df).collect()}
+        for i in (3000, 3001):
+            places = {f"term:{m.start()}:{m.end()}" for m in re.finditer("zorblatt", {r[0]: r[1] for r in rows}[i].lower())}
+            assert places <= set(spans[i].split(","))
+        assert clean[0] == rows[0][1] and clean[3002] is None
+
+
 def test_disclosure_counts_equal_brute_force(spark):
     """Every flagged (entity, term) and its value, from the formula over plain Python counts."""
     import math
