@@ -3,7 +3,8 @@
 Each rule votes good (1), bad (0) or abstains (-1) on a document.  No rule
 decides alone: expectation-maximisation estimates how accurate every rule is
 and how common good documents are, from how the rules agree over all
-documents, and gives each document the posterior probability of being good.
+documents (bad, good and abstention are three outcomes, so that a rule with
+one kind of vote speaks by it too), and gives each document the posterior probability of being good.
 
 The documents meet in one aggregate, the count of each pattern of votes.
 There are at most 3 ** len(rules()) patterns, so the model is fitted on a
@@ -37,6 +38,7 @@ SYMBOLS = b"#*$%&|<>"
 ROUNDS = 100
 START_ACCURACY = 0.8
 START_PRIOR = 0.8
+PSEUDO_DOCS = 4        # documents of each class that vote as at the start
 
 _CONTINUATION = bytes(range(0x80, 0xC0))
 _UPPER = bytes(range(65, 91))
@@ -142,20 +144,29 @@ def patterns_of(codes: np.ndarray, n_rules: int) -> np.ndarray:
 def expectation_maximisation(codes: np.ndarray, counts: np.ndarray, n_rules: int,
                              rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, float]:
     """(posterior of each pattern, accuracy of each rule, share of good) from the counts of vote patterns."""
-    v = patterns_of(codes, n_rules)
-    good, bad = v == 1, v == 0
-    acc, prior = np.full((2, n_rules), START_ACCURACY), START_PRIOR       # acc[c, j]: rule j is right on class c
+    hot = (patterns_of(codes, n_rules)[:, :, None] == np.arange(3)).astype(float)      # pattern, rule, vote
+    share = np.einsum("p,prv->rv", counts, hot) + 1
+    # the start: a rule's votes as all documents have them, good and bad tilted to their class, abstention to none
+    tilt = np.array([[START_ACCURACY, 1 - START_ACCURACY, 0.5], [1 - START_ACCURACY, START_ACCURACY, 0.5]])
+    start = share * tilt[:, None, :]
+    start /= start.sum(axis=2, keepdims=True)
+    given, prior = start, START_PRIOR                       # given[c, j, v]: rule j votes v on class c
     post = np.full(len(codes), prior)
     for _ in range(rounds):
-        log1 = np.log(prior) + good @ np.log(acc[1]) + bad @ np.log(1 - acc[1])
-        log0 = np.log(1 - prior) + bad @ np.log(acc[0]) + good @ np.log(1 - acc[0])
-        post = 1 / (1 + np.exp(np.clip(log0 - log1, -700, 700)))
-        w1, w0 = post * counts, (1 - post) * counts
-        # one pseudo-vote at the starting accuracy; a rule is never worse than chance, which fixes the classes' names
-        acc[1] = (w1 @ good + START_ACCURACY) / (w1 @ (good | bad) + 1)
-        acc[0] = (w0 @ bad + START_ACCURACY) / (w0 @ (good | bad) + 1)
-        acc = np.clip(acc, 0.5, 0.999)
-        prior = float(np.clip((w1.sum() + START_PRIOR) / (counts.sum() + 1), 0.01, 0.99))
+        log0, log1 = np.einsum("prv,crv->cp", hot, np.log(given))
+        post = 1 / (1 + np.exp(np.clip(np.log(1 - prior) + log0 - np.log(prior) - log1, -700, 700)))
+        weight = np.stack([(1 - post) * counts, post * counts])
+        found = np.einsum("cp,prv->crv", weight, hot) + PSEUDO_DOCS * start
+        of = found.sum(axis=2, keepdims=True)
+        given = found / of
+        # a bad vote never speaks for good nor a good one for bad, which fixes the classes' names
+        both = found.sum(axis=0) / of.sum(axis=0)
+        for vote, right in ((0, 0), (1, 1)):
+            wrong = given[1 - right, :, vote] > given[right, :, vote]
+            given[:, wrong, vote] = both[wrong, vote]
+        given[:, :, 2] = np.maximum(1 - given[:, :, 0] - given[:, :, 1], 1e-9)
+        prior = float(np.clip((weight[1].sum() + START_PRIOR) / (counts.sum() + 1), 0.01, 0.99))
+    acc = np.stack([given[c, :, c] / (given[c, :, 0] + given[c, :, 1]) for c in (0, 1)])
     return post, acc, prior
 
 

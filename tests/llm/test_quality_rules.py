@@ -42,6 +42,24 @@ def test_accuracies_are_recovered():
     assert np.mean([verdict[c] for c in v @ 3 ** np.arange(3, -1, -1)] == y) > 0.93
 
 
+def test_rules_with_bad_votes_only_can_reject(spark):
+    """Junk that six one-sided rules flag while the other three see normal text."""
+    rng = np.random.default_rng(5)
+    sided = [i for i, name in enumerate(Q.rules()) if name in
+             ("length", "word_length", "duplicate_lines", "repeated_windows", "upper_case", "shouting")]
+    junk = rng.random(10_000) < 0.05
+    v = np.where(rng.random((10_000, 9)) < 0.98, 1, 0)                   # symbols, line ends and letters: normal
+    flagged = rng.random((10_000, 6)) < np.where(junk, 0.8, 0.01)[:, None]
+    v[:, sided] = np.where(flagged, 0, 2)
+    place = 3 ** np.arange(8, -1, -1)
+    codes, n = np.unique(v @ place, return_counts=True)
+    post = dict(zip(codes, Q.expectation_maximisation(codes, n.astype(float), 9)[0]))
+    worst, fine = np.full(9, 1), np.full(9, 1)
+    worst[sided], fine[sided] = 0, 2
+    assert post[worst @ place] < 0.5 < post[fine @ place]
+    assert np.mean([(post[c] < 0.5) == j for c, j in zip(v @ place, junk)]) > 0.98
+
+
 def test_junk_goes_and_prose_stays(spark):
     rng = random.Random(9)
     prose = lambda: "\n".join(words(rng, 12).capitalize() + "." for _ in range(8))
