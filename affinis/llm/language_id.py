@@ -177,10 +177,10 @@ def phrase_counts(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarra
     return total, n, letters
 
 
-def decide(model: Model, texts: list[str]) -> tuple[list[str], list[float]]:
-    """(language, score) of each text; score = 1 - fewest / second-fewest phrases."""
+def decide(model: Model, texts: list[str]) -> tuple[list[str], list[float], list[bool]]:
+    """(language, score, whether it has a letter) of each text; score = 1 - fewest / second-fewest phrases."""
     if not model.languages:
-        return [UND] * len(texts), [0.0] * len(texts)
+        return [UND] * len(texts), [0.0] * len(texts), [any(map(str.isalpha, t)) for t in texts]
     total, _, letters = phrase_counts(model, texts)
     best = total.argmin(axis=0)
     if len(model.languages) > 1:
@@ -189,7 +189,7 @@ def decide(model: Model, texts: list[str]) -> tuple[list[str], list[float]]:
     else:
         score = np.ones(len(texts))
     return ([model.languages[b] if ok else UND for b, ok in zip(best, letters)],
-            [float(s) if ok else 0.0 for s, ok in zip(score, letters)])
+            [float(s) if ok else 0.0 for s, ok in zip(score, letters)], letters.tolist())
 
 
 def fit(docs: DataFrame) -> Model:
@@ -213,29 +213,30 @@ def fit(docs: DataFrame) -> Model:
 
 
 def predict(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
-    """(rec, text, lang_pred, score): ``rec`` holds the columns ``carry`` of ``docs``."""
+    """(rec, text, lang_pred, score, lettered): ``rec`` holds the columns ``carry`` of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("rec"), F.col("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            langs, scores, part, size = [], [], [], 0
+            langs, scores, lettered, part, size = [], [], [], [], 0
             for text in batch.column(1):
                 text = text.as_py() or ""
                 part.append(text)
                 size += len(text) + 1
                 if size >= CHARS_AT_ONCE:
-                    a, b = decide(m, part)
-                    langs, scores, part, size = langs + a, scores + b, [], 0
+                    a, b, c = decide(m, part)
+                    langs, scores, lettered, part, size = langs + a, scores + b, lettered + c, [], 0
             if part:
-                a, b = decide(m, part)
-                langs, scores = langs + a, scores + b
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                                             names=["rec", "text", "lang_pred", "score"])
+                a, b, c = decide(m, part)
+                langs, scores, lettered = langs + a, scores + b, lettered + c
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(lettered, pa.bool_())],
+                names=["rec", "text", "lang_pred", "score", "lettered"])
 
     kind = rows.schema["rec"].dataType.simpleString()
-    return rows.mapInArrow(run, f"rec {kind}, text string, lang_pred string, score double")
+    return rows.mapInArrow(run, f"rec {kind}, text string, lang_pred string, score double, lettered boolean")
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -245,7 +246,7 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents of no language; a null lang is filled with the prediction."""
-    p = predict(docs, fit(docs), [c for c in docs.columns if c != "text"]).where(F.col("lang_pred") != UND)
-    col = {"lang": F.coalesce("rec.lang", "lang_pred"), "text": F.col("text")}
+    """``docs`` without the documents that have no letter; a null lang is filled with the prediction, if one was learned."""
+    p = predict(docs, fit(docs), [c for c in docs.columns if c != "text"]).where(F.col("lettered"))
+    col = {"lang": F.coalesce("rec.lang", F.when(F.col("lang_pred") != UND, F.col("lang_pred"))), "text": F.col("text")}
     return p.select(*[col.get(c, F.col("rec")[c]).alias(c) for c in docs.columns])

@@ -65,3 +65,13 @@ def test_stage_keeps_rows_and_fills_null_language(spark, odd_docs, no_docs):
     assert len(rows) == len([r for r in odd_rows() if r[1] and any(c.isalpha() for c in r[1])])
     assert all(r.lang for r in rows) and all(r.score == "other score" for r in rows)
     assert L.keep_identified(no_docs).collect() == [] and L.identify(no_docs).collect() == []
+
+
+def test_stage_keeps_prose_when_nothing_is_learned(spark):
+    rng = random.Random(8)
+    fold = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 == 2]
+    unlabelled = [(i, words(rng, 20), None, "s", 0) for i in range(40)] + [(50, "123 !", None, "s", 0), (51, None, None, "s", 0)]
+    held = [(i, words(rng, 20), "aa" if i in fold else None, "s", 0) for i in range(40)]
+    for rows in (unlabelled, held):
+        got = {r.doc_id: (r.text, r.lang) for r in L.keep_identified(spark.createDataFrame(rows, SCHEMA)).collect()}
+        assert got == {r[0]: (r[1], r[2]) for r in rows[:40]}
