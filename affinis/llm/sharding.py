@@ -4,7 +4,10 @@ Pass one scatters the records uniformly into buckets that fit in memory, by
 a seeded hash of the record's place in the scan (so repeated records and
 repeated keys spread as well), and writes them.  Pass two takes each bucket
 whole, applies a Fisher-Yates shuffle (Spark's ``shuffle``) and numbers the
-records.  Buckets laid end to end are one random permutation of the input;
+records.  There are as many buckets as keep the average under both
+``BUCKET_ROWS`` records and ``BUCKET_BYTES`` bytes.  A bucket that long
+records make larger than ``LARGE`` times that is ordered by a seeded hash of
+the place instead, a sort that spills.  Buckets laid end to end are one random permutation of the input;
 dealing it out in turn gives shards whose row counts differ by at most one.
 
 The scattered table is written to the shared folder, so a lost executor
@@ -21,41 +24,64 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from affinis.llm.common import nested, running_offset
 from affinis.session import stage
 
 N_SHARDS = 24
 SEED = 42
-BUCKET_ROWS = 2048     # records of a bucket on average; lower it for wide records
+BUCKET_ROWS = 2048              # records of a bucket on average, at most
+BUCKET_BYTES = 4 * 1024 * 1024  # bytes of a bucket on average, at most
+LARGE = 4                       # a bucket of more than LARGE * BUCKET_BYTES is never held in memory
 
 
-def external_shuffle(df: DataFrame, n_shards: int = N_SHARDS, seed: int = SEED,
-                     bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def record_bytes(df: DataFrame) -> Column:
+    """Bytes of a record: its texts and binaries, nested values as text, 8 for any other value."""
+    total = F.lit(8)
+    for f in df.schema.fields:
+        c, kind = F.col(f"`{f.name}`"), f.dataType
+        if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            c = c.cast("string")
+        elif not isinstance(kind, (T.StringType, T.BinaryType)):
+            total = total + 8
+            continue
+        total = total + F.coalesce(F.octet_length(c), F.lit(0))
+    return total.cast("long")
+
+
+def external_shuffle(df: DataFrame, n_shards: int = N_SHARDS, seed: int = SEED, bucket_rows: int = BUCKET_ROWS,
+                     bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """The records of ``df`` with shard (0 to n_shards - 1) and slot (gapless from 0 in its shard)."""
-    buckets = max(1, math.ceil(df.count() / bucket_rows))
+    whole = df.select(record_bytes(df).alias("bytes")).agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")).first()
+    buckets = max(1, math.ceil(whole["n"] / bucket_rows), math.ceil((whole["bytes"] or 0) / bucket_bytes))
     scattered = stage(
-        df.select(F.monotonically_increasing_id().alias("pos"), nested(df, "shard", "slot").alias("rec"))
+        df.select(F.monotonically_increasing_id().alias("pos"), record_bytes(df).alias("bytes"),
+                  nested(df, "shard", "slot").alias("rec"))
         .withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "pos"), F.lit(buckets))), "scattered")
-    offsets = running_offset(scattered.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "bucket", "n")
-    shuffled = (scattered.repartition("bucket").sortWithinPartitions("bucket", "pos")
+    sizes = stage(scattered.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")), "bucket_sizes")
+    large = sizes.where(F.col("bytes") > LARGE * bucket_bytes).select("bucket")
+    fits = scattered
+    if not large.isEmpty():
+        fits = scattered.join(large, "bucket", "left_anti")
+    shuffled = (fits.repartition("bucket").sortWithinPartitions("bucket", "pos")
                 .groupBy("bucket").agg(F.collect_list("rec").alias("recs"))
                 .select("bucket", F.posexplode(F.shuffle("recs", seed)).alias("place", "rec")))
+    if fits is not scattered:
+        by_key = Window.partitionBy("bucket").orderBy(F.xxhash64(F.lit(seed + 1), "pos"), "pos")
+        shuffled = shuffled.unionByName(scattered.join(large, "bucket", "left_semi").select(
+            "bucket", (F.row_number().over(by_key) - 1).alias("place"), "rec"))
     at = F.col("offset") + F.col("place")
-    return shuffled.join(offsets, "bucket").select(
+    return shuffled.join(running_offset(sizes, "bucket", "n"), "bucket").select(
         "rec.*", (at % n_shards).cast("int").alias("shard"), F.floor(at / n_shards).cast("long").alias("slot"))
 
 
-def digest(docs: DataFrame) -> DataFrame:
-    """(doc_id, size, text_crc32) of each document; a null text has no bytes."""
-    text = F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"),
-                       F.crc32(text).alias("text_crc32"))
-
-
 def shard_documents(docs: DataFrame) -> DataFrame:
-    return external_shuffle(digest(docs)).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
-        F.lit(None).cast("int").alias("grown_shard"))
+    """Contract columns, from the shuffled records; a null text has no bytes."""
+    text = F.coalesce("text", F.lit(""))
+    return external_shuffle(docs).select(
+        "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -2,6 +2,7 @@ import zlib
 from collections import Counter
 
 from affinis.llm import sharding as S
+from affinis.session import stage
 from tests.llm.odd import odd_rows, no_docs, odd_docs  # noqa: F401
 
 
@@ -34,5 +35,25 @@ def test_records_keep_their_columns_but_shard_and_slot(odd_docs):
     assert df.count() == odd_docs.count() and dict(df.dtypes)["shard"] == "int"
 
 
+def test_buckets_follow_bytes_and_large_ones_are_not_held(spark, monkeypatch):
+    """A bucket of long records is small in rows; one above its size gets the sort, and every record stays whole."""
+    seen = {}
+    monkeypatch.setattr(S, "stage", lambda df, name: seen.setdefault(name, stage(df, name)))
+    rows = [(i, chr(97 + i % 26) * (200_000 if i == 5 else 1000)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = S.external_shuffle(df, 7, 1, bucket_bytes=20_000).collect()
+    assert {r.doc_id: r.text for r in got} == dict(rows) and len(got) == 400
+    assert sorted(r.shard + 7 * r.slot for r in got) == list(range(400))
+    sizes = seen["bucket_sizes"].collect()
+    assert len(sizes) > 20 and sum(r.bytes > 80_000 for r in sizes) == 1
+
+
+def test_query_shuffles_whole_records(odd_docs, monkeypatch):
+    shuffled = []
+    monkeypatch.setattr(S, "external_shuffle", lambda df, f=S.external_shuffle: shuffled.append(df.columns) or f(df))
+    assert S.shard_documents(odd_docs).count() == len(odd_rows())
+    assert shuffled == [odd_docs.columns]
+
+
 def test_empty(no_docs):
     assert S.shard_documents(no_docs).collect() == []
