@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinis.llm import (ann, language_id, license_scan, mixing, near_dup, packing, pii, quality_rules, sharding,
+from affinis.llm import (ann, jaccard_join, language_id, license_scan, mixing, near_dup, packing, pii, quality_rules, sharding,
                          url_filters)
 from affinis.llm.common import table
 
@@ -55,9 +55,13 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest_embeddings(table(spark, sf_dir, "embeddings"))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_language_id, op3_quality_rules, op4_url_filters, op5_pii, op6_packing, op7_near_dup,
-    op8_license_scan, op9_mixing, op10_ann)}
+    op8_license_scan, op9_mixing, op10_ann, op11_jaccard_join)}
 
 # op9: the same line of documents, as one window per source.
 _OP9 = r"""
