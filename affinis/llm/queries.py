@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinis.llm import (ann, jaccard_join, language_id, license_scan, mixing, near_dup, packing, pii, quality_rules, sharding,
+from affinis.llm import (ann, conversations, jaccard_join, language_id, license_scan, mixing, near_dup, packing, pii, quality_rules, sharding,
                          url_filters)
 from affinis.llm.common import table
 
@@ -59,9 +59,13 @@ def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_language_id, op3_quality_rules, op4_url_filters, op5_pii, op6_packing, op7_near_dup,
-    op8_license_scan, op9_mixing, op10_ann, op11_jaccard_join)}
+    op8_license_scan, op9_mixing, op10_ann, op11_jaccard_join, op12_conversations)}
 
 # op9: the same line of documents, as one window per source.
 _OP9 = r"""
@@ -120,4 +124,88 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
-ORACLE_SQL = {"op4_url_filters": _OP4, "op9_mixing": _OP9, "op10_ann": _OP10}
+
+def _op12() -> str:
+    """op12: the edits' automaton run row by row, the best way to each state as nine digits of cost and the audit."""
+    def plus(way: str, cost: int, edits: str) -> str:
+        return f"(printf('%09d', substr({way}, 1, 9)::INT + {cost}) || substr({way}, 10) || '{edits}')"
+
+    def least(*ways: str) -> str:
+        return f"least({', '.join(ways)})"
+
+    def inserts(s: list[str]) -> list[str]:
+        return [s[0], s[1], least(s[2], *(plus(s[i], 5, "I") for i in (0, 1, 3))),
+                least(s[3], plus(s[2], 5, "I"), *(plus(s[i], 10, "II") for i in (0, 1)))]
+
+    def keep(way: str, symbol: str) -> str:
+        return f"CASE WHEN NOT gone AND initial = '{symbol}' THEN {_late(way, 0, 'K')} END"
+
+    def _late(way: str, cost: int, edit: str) -> str:
+        return f"CASE WHEN cut THEN {plus(way, cost + 5, edit)} ELSE {plus(way, cost, edit)} END"
+
+    def rerole(way: str) -> str:
+        return f"CASE WHEN NOT gone THEN {_late(way, 1, 'R')} END"
+
+    i = ["i0", "i1", "i2", "i3"]
+    gone = [plus(w, 2, "D") for w in i]
+    step = [gone[0], least(gone[1], keep("i0", "s")),
+            least(gone[2], *(f(w) for w in ("i0", "i1", "i3") for f in (lambda w: keep(w, "u"), rerole))),
+            least(gone[3], keep("i2", "a"), rerole("i2"))]
+    ways = [f"s{k}" for k in range(4)]
+    return rf"""
+WITH RECURSIVE t AS (
+  SELECT list(v ORDER BY n) AS tbl FROM (SELECT n, list_reduce([n] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0],
+      lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END) AS v
+    FROM (SELECT unnest(range(256))::BIGINT AS n))),
+k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+        lambda c: ord(c)::BIGINT), lambda a, b: xor(a >> 8, tbl[(xor(a, b) & 255) + 1])), 4294967295::BIGINT) % 20 AS kind
+  FROM conversations, t),
+d AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM k, (SELECT unnest([1, 2]) AS copy) WHERE kind <> 0 AND (copy = 1 OR kind = 3)),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, h, id) AS n,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, id) AS seen, substr(role, 1, 1) AS initial,
+    rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS ended
+  FROM (SELECT *, sha256(length(role)::VARCHAR || ':' || role || text) AS h, row_number() OVER () AS id FROM d)),
+f AS (
+  SELECT *, ended = '' AS blank, ended <> '' AND seen > 1 AS again, ended <> '' AND seen = 1 AND right(ended, 1) NOT IN ('.', '!', '?') AS cut,
+    ended = '' OR seen > 1 AS gone, lag(initial) OVER (PARTITION BY conv_id ORDER BY n) || initial AS pair FROM o),
+g AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (again) AS duplicate, count(*) FILTER (cut) AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM f GROUP BY conv_id),
+w AS (
+  SELECT conv_id, 0::BIGINT AS n, '000000000' AS s0, NULL::VARCHAR AS s1, NULL::VARCHAR AS s2, NULL::VARCHAR AS s3 FROM g
+  UNION ALL
+  SELECT conv_id, n, {", ".join(step)} FROM (
+    SELECT w.conv_id, f.n, f.initial, f.gone, f.cut, {", ".join(f"{c} AS i{j}" for j, c in enumerate(inserts(ways)))}
+    FROM w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.n = w.n + 1)),
+e AS (
+  SELECT conv_id, n, least(s0, {inserts(ways)[3]}) AS way FROM w),
+a AS (
+  SELECT g.*, substr(e.way, 1, 9)::BIGINT AS cost, substr(e.way, 10) AS audit
+  FROM g JOIN e ON e.conv_id IS NOT DISTINCT FROM g.conv_id AND e.n = g.n),
+c AS (SELECT conv_id, p, substr(audit, p, 1) AS edit FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS p FROM a)),
+q AS (
+  SELECT *, sum((edit <> 'I')::INT) OVER (PARTITION BY conv_id ORDER BY p) AS n,
+    sum((edit <> 'D')::INT) OVER (PARTITION BY conv_id ORDER BY p) AS place FROM c),
+r AS (
+  SELECT q.*, f.role, f.text, max((place = 1 AND edit = 'K' AND f.initial = 's')::INT) OVER (PARTITION BY q.conv_id) AS lead
+  FROM q LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM q.conv_id AND f.n = q.n),
+z AS (
+  SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (place - lead) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                             || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY p) AS body
+  FROM r WHERE edit <> 'D' GROUP BY conv_id)
+SELECT i.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN a ON a.conv_id IS NOT DISTINCT FROM i.conv_id
+LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM i.conv_id
+"""
+
+
+ORACLE_SQL = {"op4_url_filters": _OP4, "op9_mixing": _OP9, "op10_ann": _OP10, "op12_conversations": _op12()}
