@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinis.llm import (ann, conversations, jaccard_join, language_id, license_scan, mixing, near_dup, packing, pii, quality_rules, sharding,
+from affinis.llm import (ann, conversations, jaccard_join, language_id, lexical_search, license_scan, mixing, near_dup, packing, pii, quality_rules, sharding,
                          url_filters)
 from affinis.llm.common import table
 
@@ -63,9 +63,14 @@ def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_report(table(spark, sf_dir, "conversations"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_language_id, op3_quality_rules, op4_url_filters, op5_pii, op6_packing, op7_near_dup,
-    op8_license_scan, op9_mixing, op10_ann, op11_jaccard_join, op12_conversations)}
+    op8_license_scan, op9_mixing, op10_ann, op11_jaccard_join, op12_conversations,
+    op13_lexical_search)}
 
 # op9: the same line of documents, as one window per source.
 _OP9 = r"""
@@ -208,4 +213,28 @@ LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM i.conv_id
 """
 
 
-ORACLE_SQL = {"op4_url_filters": _OP4, "op9_mixing": _OP9, "op10_ann": _OP10, "op12_conversations": _op12()}
+# op13: every document of each item's terms.
+_OP13 = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS doc, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+n AS (SELECT doc, any_value(doc_id) AS doc_id, count(*) AS n FROM t GROUP BY doc),
+c AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM n),
+m AS (SELECT doc, doc_id, 75 + (25 * n * docs) // terms AS m FROM n, c),
+f AS (SELECT doc, term, count(*) AS tf FROM t GROUP BY doc, term),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM f GROUP BY term), c),
+i AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark))
+  GROUP BY item_id, term),
+s AS (
+  SELECT item_id, m.doc, m.doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM i JOIN w USING (term) JOIN f USING (term) JOIN m ON m.doc = f.doc GROUP BY item_id, m.doc, m.doc_id)
+SELECT * FROM (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST, doc)::INTEGER AS rank, doc_id, score
+  FROM s WHERE score > 0) WHERE rank <= 20
+"""
+
+ORACLE_SQL = {"op4_url_filters": _OP4, "op9_mixing": _OP9, "op10_ann": _OP10, "op12_conversations": _op12(),
+              "op13_lexical_search": _OP13}
