@@ -56,9 +56,13 @@ def terms(text: bytes) -> list[bytes]:
 
 def totals(docs: DataFrame) -> tuple[int, int]:
     """N, L: documents with a term, and their terms with repeats."""
-    n = F.regexp_count("text", F.lit(TERM)).cast("long")
-    r = docs.select(n.alias("n")).where("n > 0").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("terms")).first()
-    return r.docs, r.terms or 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = np.fromiter((len(terms(t.as_py() or b"")) for t in b.column(0).cast(pa.binary())), np.int64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([pa.array([int((n > 0).sum())]), pa.array([int(n.sum())])], names=["docs", "terms"])
+
+    r = docs.select("text").mapInArrow(run, "docs long, terms long").agg(F.sum("docs").alias("docs"), F.sum("terms").alias("terms")).first()
+    return r.docs or 0, r.terms or 0
 
 
 def _spread(x: np.ndarray) -> np.ndarray:
