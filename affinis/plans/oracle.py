@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import re
 
+from affinis.operators.models import FIXED_WEIGHTS
+
 H = "CAST(CAST(('0x' || substr(md5(concat_ws('|', {keys})), 1, 13)) AS BIGINT) AS DOUBLE) / CAST(4503599627370496 AS DOUBLE)"
 
 
@@ -449,6 +451,44 @@ Q["curve_thin_f05"] = _thin(f"SELECT threshold AS x, {_fm(0.25)} AS y, position
 Q["curve_thin_roc"] = _thin("SELECT fpr AS x, tpr AS y, position FROM roc_pts", "linear", 3)
 
 
+# ---- the stored model: fixed weights, then the same evaluation as the tag scorer ---------------
+_WEIGHTS = dict(zip(FEAT_COLS.split(", "), FIXED_WEIGHTS, strict=True))
+_Z = "CAST(0.0 AS DOUBLE)" + "".join(f" + CAST({w!r} AS DOUBLE) * {f}" for f, w in _WEIGHTS.items())
+_FINITE = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c}) AND NOT isinf({c})" for c in _WEIGHTS)
+CTE["stored_all"] = f"""SELECT user_id, post_id, label,
+  CASE WHEN {_FINITE} THEN round(1.0 / (1.0 + exp(-({_Z}))), 9) END AS score FROM feat_cand"""
+CTE["stored_scored"] = "SELECT * FROM stored_all WHERE score IS NOT NULL"
+_EVALUATED = ["scored", "conf0", "conf", "pts", "roc_pts", "pr_pts"]
+
+
+def _of_stored(text: str) -> str:
+    return re.sub(rf"\b({'|'.join(_EVALUATED)})\b", r"stored_\1", text)
+
+
+for _n in _EVALUATED[1:]:
+    CTE[f"stored_{_n}"] = _of_stored(CTE[_n])
+grid_cte("stored_grid", "stored_scored", 50, 100, 2)
+Q["assemble_features"] = f"SELECT user_id, post_id, {', '.join(f'CASE WHEN NOT isnan({c}) THEN {c} END AS {c}' for c in _WEIGHTS)} FROM feat_cand"
+Q["stored_weights"] = ("SELECT * FROM (VALUES " + ", ".join(f"('{f}', CAST({w!r} AS DOUBLE))" for f, w in [*_WEIGHTS.items(), ("intercept", 0.0)])
+                       + ") v(feature, weight)")
+Q["stored_scores"] = "SELECT user_id, post_id, label, score FROM stored_all"
+Q["stored_map_grid"] = "SELECT threshold, map, n_users FROM stored_grid"
+Q["stored_best_map_threshold"] = "SELECT threshold, map FROM stored_grid ORDER BY map DESC, threshold ASC LIMIT 1"
+for _q in ["precision_by_threshold", "recall_by_threshold", "pr_curve", "f_measure_by_threshold", "roc_curve", "area_under_pr",
+           "area_under_roc", "best_threshold_min_fpr", "best_threshold_max_tpr"]:
+    Q[f"stored_{_q}"] = _of_stored(Q[_q])
+Q["stored_confusion"] = _of_stored(Q["confusion_by_threshold"])
+for _q in [q for q in Q if q.startswith("curve_thin_")]:
+    Q[f"stored_{_q.removeprefix('curve_')}"] = _of_stored(Q[_q])
+# the loss, its mean derivatives and the features' deviations by their definitions
+CTE["fit_rows"] = f"SELECT *, {_Z} AS z, 1.0 / (1.0 + exp(-({_Z}))) - label AS miss FROM training WHERE {_FINITE}"
+_PENALTY = " + ".join(f"var_samp({f}) * CAST({w!r} AS DOUBLE) * CAST({w!r} AS DOUBLE)" for f, w in _WEIGHTS.items())
+Q["loss_gradient"] = " UNION ALL ".join(
+    [f"""SELECT 'loss' AS term, round(avg(CASE WHEN label > 0.5 THEN ln(1.0 + exp(-z)) ELSE z + ln(1.0 + exp(-z)) END)
+  + 0.005 * ({_PENALTY}), 9) AS value FROM fit_rows""", "SELECT 'intercept', round(avg(miss), 9) FROM fit_rows"]
+    + [f"SELECT '{f}', round(avg(miss * {f}) + 0.01 * var_samp({f}) * CAST({w!r} AS DOUBLE), 9) FROM fit_rows" for f, w in _WEIGHTS.items()])
+
+
 def _deps(text: str) -> list[str]:
     return [n for n in CTE if re.search(rf"\b{re.escape(n)}\b", text)]
 

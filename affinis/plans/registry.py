@@ -16,9 +16,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from affinis.functions.expr import FEATURES
 from affinis.operators import candidates as CA
 from affinis.operators import clean as CL
 from affinis.operators import curves as CU
@@ -258,6 +260,23 @@ def _lr_map_grid(spark, sf_dir):
     return _rounded(w.map_grid(w.lr_scored, *LR_GRID), "map")
 
 
+def _stored_map_grid(spark, sf_dir):
+    w = _wf(spark, sf_dir)
+    return _rounded(w.map_grid(w.stored_scored, *LR_GRID), "map")
+
+
+def _loss_gradient(spark, sf_dir):
+    w = _wf(spark, sf_dir)
+    return _rounded(MO.loss_and_gradient(w.training_set, w.fixed_weights), "value")
+
+
+def _assembled(spark, sf_dir):
+    """The components of the assembled vector, under the features' names again."""
+    v = MO.assemble(_wf(spark, sf_dir).features_candidates).withColumn("v", vector_to_array("features"))
+    part = lambda i: F.when(~F.isnan(F.col("v")[i]), F.col("v")[i])
+    return v.select("user_id", "post_id", *[part(i).alias(f) for i, f in enumerate(FEATURES)])
+
+
 def _label_pairs(spark, sf_dir) -> DataFrame:
     """J10 on the candidates and the training likes, which also have users outside the truth."""
     w = _wf(spark, sf_dir)
@@ -370,6 +389,13 @@ QUERIES: dict[str, Query] = {
     "lr_map_grid": _lr_map_grid,
     "lr_best_map_threshold": lambda s, d: RA.best_map_threshold(_lr_map_grid(s, d)),
     "lr_holdout_metrics": _holdout_metrics,
+    # the same model operators at fixed weights, from a stored model
+    "assemble_features": _assembled,
+    "stored_weights": lambda s, d: _wf(s, d).fixed_weights,
+    "stored_scores": lambda s, d: _wf(s, d).stored_scored,
+    "stored_map_grid": _stored_map_grid,
+    "stored_best_map_threshold": lambda s, d: RA.best_map_threshold(_stored_map_grid(s, d)),
+    "loss_gradient": _loss_gradient,
     "check_test_users_without_profile": _test_users_without_profile,
     # C: curves and tuning
     "precision_by_threshold": lambda s, d: CU.precision_by_threshold(_tag_conf(s, d)),
@@ -385,7 +411,7 @@ QUERIES: dict[str, Query] = {
     "curve_round_x": lambda s, d: _rounded(CU.round_x(_points(_tag_conf(s, d), "precision"), ROUND_DIGITS), "y"),
 }
 QUERIES |= {f"curve_thin_{k}": lambda s, d, v=v: _thinned(_tag_conf(s, d), *v) for k, v in THINNED.items()}
-QUERIES |= MODEL_EVALUATION
+QUERIES |= MODEL_EVALUATION | _evaluation("stored", lambda w: w.stored_confusion)
 
 # Queries with no exact SQL oracle (model fitting; Spark's own samplers and sketches): checked by
 # row count and by pytest invariants.

@@ -23,10 +23,13 @@ from affinis.operators import features as FE
 from affinis.operators import models as MO
 from affinis.operators import negatives as NE
 from affinis.operators import ranking as RA
-from affinis.session import stage_once
+from affinis.session import scratch_path, stage_once
 from affinis.sources.binding import Bound
 
 
+#: Digits of a stored model's scores.
+SCORE_DIGITS = 9
+
 _MODELS: dict[tuple, object] = {}
 
 
@@ -129,6 +132,19 @@ class Workflow:
     def lr_scored(self) -> DataFrame:
         return MO.lr_scores(self.lr_model, self.features_candidates, keep=["label"])
 
+    @cached_property
+    def fixed_weights(self) -> DataFrame:
+        """The fixed weights, stored in the shared folder and read back as another application would."""
+        path = scratch_path(self.spark, "weights")
+        MO.write_weights(MO.weights_table(self.spark, MO.FIXED_WEIGHTS), path)
+        return MO.read_weights(self.spark, path)
+
+    @cached_property
+    def stored_scored(self) -> DataFrame:
+        """Scores of the stored model on the test pairs, to 9 digits: thresholds are the same on any machine."""
+        return MO.stored_scores(self.fixed_weights, self.features_candidates, keep=["label"]).withColumn(
+            "score", F.round("score", SCORE_DIGITS))
+
     @cached_property
     def holdout_scored(self) -> DataFrame:
         """Classifier evaluation (training data only): fit on the 80 % split, score the 20 % holdout."""
@@ -147,6 +163,11 @@ class Workflow:
     def tag_confusion(self) -> DataFrame:
         return self._confusion("tag_confusion", self.tag_scored)
 
+    @cached_property
+    def stored_confusion(self) -> DataFrame:
+        """M5: threshold counts of the stored model on the test pairs."""
+        return self._confusion("stored_confusion", self.stored_scored)
+
     @cached_property
     def lr_confusion(self) -> DataFrame:
         """M5: threshold counts of the logistic regression on the test pairs."""

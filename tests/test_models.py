@@ -95,3 +95,38 @@ def test_both_populations_of_map_agree(spark, wf):
     joined, every = RA.map_at_k(wf.tag_scored, wf.b.truth).first(), RA.map_at_k(wf.tag_scored, wf.b.truth, over="all_truth").first()
     assert joined.n_users == users and every.n_users == wf.b.test_users.count()
     assert every.map == pytest.approx(joined.map * joined.n_users / every.n_users)
+
+
+def test_stored_weights_score_as_the_fitted_model(spark, wf, tmp_path):
+    m = MO.fit_lr(wf.training_set)
+    MO.write_weights(MO.lr_weights(m, spark), str(tmp_path / "m"))
+    stored = MO.stored_scores(MO.read_weights(spark, str(tmp_path / "m")), wf.features_candidates)
+    both = stored.withColumnRenamed("score", "a").join(MO.lr_scores(m, wf.features_candidates), ["user_id", "post_id"])
+    r = both.agg(F.count(F.lit(1)), F.max(F.abs(F.col("a") - F.col("score"))),
+                 F.sum((F.col("a").isNull() != F.col("score").isNull()).cast("int"))).first()
+    assert r[0] == wf.features_candidates.count() and r[1] < 1e-12 and r[2] == 0
+
+
+def test_weights_of_other_features_are_refused(spark, tmp_path):
+    w = MO.weights_table(spark, MO.FIXED_WEIGHTS)
+    for name, bad in (("less", w.limit(5)), ("twice", w.union(w)), ("other", w.replace("intercept", "bias", "feature"))):
+        MO.write_weights(bad, str(tmp_path / name))
+        with pytest.raises(ValueError):
+            MO.read_weights(spark, str(tmp_path / name))
+
+
+def test_gradient_is_that_of_the_loss_and_vanishes_at_the_fit(spark, wf):
+    rows = wf.training_set
+    at = lambda w, i=0.0: {r.term: r.value for r in MO.loss_and_gradient(rows, MO.weights_table(spark, w, i)).collect()}
+    base, step = at(MO.FIXED_WEIGHTS), 1e-4
+    for k in (0, 1, 5):
+        up, down = list(MO.FIXED_WEIGHTS), list(MO.FIXED_WEIGHTS)
+        up[k] += step
+        down[k] -= step
+        assert (at(up)["loss"] - at(down)["loss"]) / (2 * step) == pytest.approx(base[FEATURES[k]], rel=1e-4, abs=1e-8)
+    m = MO.fit_lr(rows, max_iter=200)
+    end = at(m.coefficients.toArray(), m.intercept)
+    assert max(abs(v) for t, v in end.items() if t != "loss") < 1e-3
+    assert end["loss"] < base["loss"]
+    plan = MO.loss_and_gradient(rows, MO.weights_table(spark, MO.FIXED_WEIGHTS))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
