@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from affinis.functions.expr import unit_hash
@@ -56,11 +56,31 @@ def candidate_pairs(test_posts: DataFrame, index: DataFrame) -> DataFrame:
     return salted_join(pt, index, ["tag"]).select("user_id", "post_id").distinct()
 
 
-def label_pairs(pairs: DataFrame, truth: DataFrame) -> DataFrame:
-    """Label 1.0 if the pair is in the truth, else 0.0; users absent from the truth are left out."""
+def known_or_counted(rows: DataFrame, flag: str, key: str, dropped: Observation | None, strict: bool) -> DataFrame:
+    """Rows of a left join whose ``flag`` is set, without it.
+
+    ``dropped`` counts the others while the rows are made (its ``n_dropped``); with ``strict`` the first one fails the job.
+    """
+    if dropped is not None:
+        rows = rows.observe(dropped, F.count(F.when(F.col(flag).isNull(), 1)).alias("n_dropped"))
+    known = F.col(flag).isNotNull()
+    if strict:
+        unknown = F.raise_error(F.concat(F.lit(f"no match for {key} "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+        known = F.when(known, F.lit(True)).otherwise(unknown.cast("boolean"))
+    return rows.where(known).drop(flag)
+
+
+def label_pairs(pairs: DataFrame, truth: DataFrame, dropped: Observation | None = None, strict: bool = False) -> DataFrame:
+    """Label 1.0 if the pair is in the truth, else 0.0; users absent from the truth are left out.
+
+    ``dropped`` and ``strict``: see ``known_or_counted``; the reference fails on such a user.
+    """
     users = truth.select("user_id").distinct()
     t = truth.select("user_id", "post_id", F.lit(1.0).alias("_hit")).distinct()
-    return (pairs.join(users, "user_id", "left_semi")
-            .join(t, ["user_id", "post_id"], "left")
+    if dropped is None and not strict:
+        known = pairs.join(users, "user_id", "left_semi")
+    else:
+        known = known_or_counted(pairs.join(users.withColumn("_known", F.lit(True)), "user_id", "left"), "_known", "user_id", dropped, strict)
+    return (known.join(t, ["user_id", "post_id"], "left")
             .withColumn("label", F.coalesce("_hit", F.lit(0.0)))
             .drop("_hit"))

@@ -23,14 +23,14 @@ def post_sets(posts: DataFrame) -> DataFrame:
     )
 
 
-def last_entries(entries: DataFrame) -> DataFrame:
+def last_entries(entries: DataFrame, *within: str) -> DataFrame:
     """(user_id, blog_id, likes, ...) from list entries with their place ``pos``: the last entry of a blog wins.
 
-    Long form: a user's map is rows, however many blogs there are.
+    ``within`` names what tells a user's lists apart.  Long form: a user's map is rows, however many blogs there are.
     """
-    rest = [c for c in entries.columns if c not in ("user_id", "blog_id", "likes", "pos")]
-    return entries.groupBy("user_id", "blog_id").agg(F.max_by("likes", "pos").alias("likes"),
-                                                     *[F.first(c).alias(c) for c in rest])
+    rest = [c for c in entries.columns if c not in ("user_id", "blog_id", "likes", "pos", *within)]
+    return entries.groupBy(*within, "user_id", "blog_id").agg(F.max_by("likes", "pos").alias("likes"),
+                                                              *[F.first(c).alias(c) for c in rest])
 
 
 def finite_features(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

@@ -14,11 +14,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from affinis.functions.expr import FEATURES, safe_div, title_words_of
 from affinis.operators import profiles as PR
+from affinis.operators.candidates import known_or_counted
 from affinis.plans.skew import ROWS_PER_SALT, copied, hot_keys, salted_join, with_salt
 
 
@@ -78,9 +79,12 @@ def post_labels() -> Column:
 
 
 def pair_features(pairs: DataFrame, ctx: FeatureContext, variant: str = "coded",
-                  keep: list[str] | None = None, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+                  keep: list[str] | None = None, rows_per_salt: int = ROWS_PER_SALT,
+                  dropped: Observation | None = None, strict: bool = False) -> DataFrame:
     """(user_id, post_id, *FEATURES[, keep...]) for every pair whose user has a profile.
 
+    ``dropped`` counts the pairs left out (``n_dropped``) in the same job; ``strict`` fails on the first one.
+
     ``variant="coded"`` reproduces the reference's arithmetic (equal counts of
     a set collapse; title-length average is likes per distinct length);
     ``variant="documented"`` computes what its README describes.
@@ -89,7 +93,11 @@ def pair_features(pairs: DataFrame, ctx: FeatureContext, variant: str = "coded",
     pair = ["user_id", "post_id", *keep]
     hot = hot_keys(pairs, ["user_id"], rows_per_salt)
     p = salted_join(pairs.select(*pair), ctx.post_attrs, ["post_id"], rows_per_salt=rows_per_salt)
-    p = with_salt(p, hot, "user_id", "post_id").join(copied(ctx.user_totals, hot, "user_id"), ["user_id", "salt"])
+    p, totals = with_salt(p, hot, "user_id", "post_id"), copied(ctx.user_totals, hot, "user_id")
+    if dropped is None and not strict:
+        p = p.join(totals, ["user_id", "salt"])
+    else:
+        p = known_or_counted(p.join(totals.withColumn("_known", F.lit(True)), ["user_id", "salt"], "left"), "_known", "user_id", dropped, strict)
     own = [c for c in p.columns if c not in (*pair, "salt", "labels")]
     k = F.col("kind")
     labels = p.select(*pair, "salt", *own, F.explode("labels").alias("kv")).select("*", "kv.kind", "kv.key").drop("kv")

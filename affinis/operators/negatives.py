@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinis.functions.expr import unit_hash, with_count_at_or_below
-from affinis.plans.prefix import dense_index
+from affinis.plans.prefix import dense_index, running_totals
+from affinis.plans.skew import salted_join
 from affinis.session import stage
 
 SEED = 42
@@ -77,38 +78,44 @@ def likes_per_post_distribution(train_posts: DataFrame, train_likes: DataFrame,
                     lo.alias("lo"), (lo + F.col("cnt")).alias("hi"))
 
 
-def _distribution(lpp: DataFrame, edges: list[float] | None) -> list[tuple[int, int]]:
-    """(likes, posts) by falling into ``edges``, or by every like count there is: at most sqrt(2 x likes) + 1 of them."""
+def _distribution(lpp: DataFrame, edges: list[float] | None) -> DataFrame:
+    """(n_neg, cnt): posts by number of likes, falling into ``edges`` or by every like count there is."""
     if edges is None:
-        rows = lpp.groupBy("n_likes").agg(F.count(F.lit(1)).alias("cnt")).collect()
-        return sorted((r.n_likes, r.cnt) for r in rows)
-    rows = hist_by_edges(lpp, "n_likes", edges).where("cnt > 0").collect()
-    return sorted((int(r.lo_edge), r.cnt) for r in rows)
+        return lpp.groupBy(F.col("n_likes").alias("n_neg")).agg(F.count(F.lit(1)).alias("cnt"))
+    return hist_by_edges(lpp, "n_likes", edges).where("cnt > 0").select(F.col("lo_edge").cast("bigint").alias("n_neg"), "cnt")
 
 
 def negative_counts(train_posts: DataFrame, train_likes: DataFrame, seed: int = SEED,
-                    edges: list[float] | None = None) -> DataFrame:
+                    edges: list[float] | None = None, buckets: int | None = None) -> DataFrame:
     """N2 + J12: (post_id, n_likes, n_neg), n_neg drawn from the likes-per-post distribution.
 
     By default the distribution holds every like count of the data.  With
     ``edges`` (the reference: ``DIST_EDGES``) posts outside them are left out
     of it, and it is an error if that leaves none.
+
+    A draw is a place in the posts ordered by likes.  The starts of the like
+    counts' ranges and the draws are merged in order of place; the ranges
+    started by then are a running count over buckets of places.
     """
-    lpp = likes_per_post(train_posts, train_likes)
-    dist = _distribution(lpp, edges)
-    if not dist:
+    lpp = stage(likes_per_post(train_posts, train_likes), "likes_per_post")
+    dist = stage(_distribution(lpp, edges), "like_distribution")
+    if dist.isEmpty():
         if lpp.isEmpty():
             return lpp.withColumn("n_neg", F.lit(0).cast("bigint"))
         raise ValueError("no post has a number of likes inside the edges: nothing to draw from")
-    upto, total = [], 0
-    for _, cnt in dist:
-        total += cnt
-        upto.append(total)
-    draw = F.floor(unit_hash(F.lit(seed), F.lit("n"), F.col("post_id")) * F.lit(total))
-    # The cumulative bucket of a draw by binary search; then a join of one row per bucket
-    values = lpp.sparkSession.createDataFrame([(i, v) for i, (v, _) in enumerate(dist)], "_b int, n_neg bigint")
-    return with_count_at_or_below(lpp, draw, [float(u) for u in upto[:-1]], "_b").join(values, "_b").select(
-        "post_id", "n_likes", "n_neg")
+    ranges = stage(running_totals(dist, "n_neg", ["cnt"], buckets=buckets, position_col="range").select(
+        "n_neg", "range", (F.col("cum_cnt") - F.col("cnt")).alias("place")), "draw_ranges")
+    total = dist.agg(F.sum("cnt")).scalar()
+    place = F.floor(unit_hash(F.lit(seed), F.lit("n"), F.col("post_id")) * total)
+    null = F.lit(None).cast("bigint")
+    merged = ranges.select(F.col("place").cast("bigint").alias("place"), F.lit(0).alias("kind"), null.alias("post_id"), null.alias("n_likes"),
+                           F.lit(1).alias("started"))
+    merged = merged.unionByName(lpp.select(place.cast("bigint").alias("place"), F.lit(1).alias("kind"), "post_id", "n_likes",
+                                           F.lit(0).alias("started")))
+    drawn = running_totals(stage(merged, "draws_and_ranges"), "place", ["started"], buckets=buckets, position_col=None,
+                           tie_cols=["kind", "post_id"])
+    drawn = drawn.where("kind = 1").select("post_id", "n_likes", (F.col("cum_started") - 1).alias("range"))
+    return salted_join(drawn, ranges.select("range", "n_neg"), ["range"]).select("post_id", "n_likes", "n_neg")
 
 
 def non_like_counts(train_posts: DataFrame, train_likes: DataFrame) -> DataFrame:
@@ -184,7 +191,9 @@ def negative_pairs(train_posts: DataFrame, train_likes: DataFrame, seed: int = S
     n_users = users.count()
     counts = stage(negative_counts(train_posts, train_likes, seed, edges)
                    .withColumn("m", F.lit(n_users) - F.col("n_likes")).where("n_neg > 0 AND m > 0"), "negative_counts")
-    liked = stage(train_likes.select("user_id", "post_id").distinct().join(users, "user_id").select("post_id", "idx"), "liked_index")
+    # a user may hold a third of the likes; the drawn indices below are uniform over the users
+    likes = train_likes.select("user_id", "post_id").distinct()
+    liked = stage(salted_join(likes, users, ["user_id"]).select("post_id", "idx"), "liked_index")
     many = counts.where(F.col("n_neg") > draw_rows).select(
         "post_id", F.ceil(F.col("n_neg") / draw_rows).cast("int").alias("salts"))
     # two steps, so no row holds more than ``draw_rows`` numbers

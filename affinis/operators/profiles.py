@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinis.functions.expr import safe_div, title_words_of
+from affinis.session import stage
 
 # The kinds of a profile, and which of them the reference cuts to
 # the 100 most frequent entries (categories, tags, authors; not language or title length);
@@ -21,6 +22,8 @@ KINDS = ["category", "tag", "language", "author", "title_len"]
 CAPPED_KINDS = ["category", "tag", "author"]
 TOP_ENTRIES = 100
 MAX_BLOGS_PER_USER = 1000
+#: Partitions of a stored profile: what an upkeep with few new users reads and writes is in proportion.
+PROFILE_BUCKETS = 64
 
 
 def _kv(kind: str, key) -> F.Column:
@@ -90,6 +93,39 @@ def user_profile_totals(profile: DataFrame) -> DataFrame:
     )
 
 
+# ---- upkeep of a stored profile -----------------------------------------------------------
+
+def _bucketed(profile: DataFrame, buckets: int) -> DataFrame:
+    return profile.select("user_id", "kind", "key", "cnt", F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int").alias("bucket"))
+
+
+def write_profile(profile: DataFrame, path: str, buckets: int = PROFILE_BUCKETS) -> None:
+    """Store a whole (uncut) profile, one partition per bucket of users."""
+    _bucketed(profile, buckets).repartition("bucket", F.pmod(F.xxhash64("key"), F.lit(8))).write.partitionBy("bucket").parquet(path)
+
+
+def read_profile(spark, path: str) -> DataFrame:
+    return spark.read.schema("user_id long, kind string, key string, cnt long, bucket int").parquet(path)
+
+
+def merge_profile(spark, path: str, more: DataFrame, buckets: int = PROFILE_BUCKETS) -> int:
+    """A10: add the counts of ``more`` (a profile of new likes) to the stored profile; the number of partitions written.
+
+    Counts of two sets of likes add up, so old likes are not read.  Only the partitions of users with new likes are
+    read and overwritten.  The merged rows are written apart first: a failed job leaves the stored profile as it was.
+    """
+    new = stage(_bucketed(more, buckets), "new_profile")
+    touched = [r.bucket for r in new.select("bucket").distinct().collect()]       # at most ``buckets`` numbers
+    if not touched:
+        return 0
+    merged = (read_profile(spark, path).where(F.col("bucket").isin(touched)).unionByName(new)
+              .groupBy("user_id", "kind", "key", "bucket").agg(F.sum("cnt").alias("cnt")))
+    merged = stage(merged.select("user_id", "kind", "key", "cnt", "bucket"), "merged_profile")
+    (merged.repartition("bucket", F.pmod(F.xxhash64("key"), F.lit(8))).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
+    return len(touched)
+
+
 # ---- statistics-based priors -------------------------------------------------------------
 
 def blog_like_totals(stats_user: DataFrame) -> DataFrame:

@@ -1,5 +1,9 @@
 """Ranking quality: ranked lists, average precision, MAP@n and the one-pass threshold grid.
 
+A whole list (``ranked_hits``, ``recommend_lists``) of up to ``RANGE_ROWS`` rows is ranked by one window.  Longer
+lists are cut at ranges of (score, post) by a range partitioning over all of them; each range gets the rows and
+hits of the ranges before it, so no task holds more than a range.
+
 Only the first n recommendations of a user count towards AP@n, and raising
 the score threshold keeps a prefix of each ranked list.  So the top n per
 user (Spark's window group limit cuts each list before the shuffle) is computed once,
@@ -9,15 +13,19 @@ over at most (grid size) groups.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinis.functions.expr import with_count_at_or_below
+from affinis.plans.skew import hot_keys
+from affinis.session import stage
 
-# Fixed value: the cut of MAP@n.
+# Fixed value: the cut of MAP@n, as the reference has it.
 MAP_N = 100
 #: Post ids in one row of a recommendation list.
 LIST_ROW = 100
+#: Rows of a user's list beyond which it is ranked range by range.
+RANGE_ROWS = 1_000_000
 
 
 def _valid(scored: DataFrame, threshold: float | None) -> DataFrame:
@@ -34,10 +42,38 @@ def top_n(scored: DataFrame, n: int = MAP_N, threshold: float | None = None) ->
     return s.withColumn("k", F.row_number().over(w)).where(F.col("k") <= n)      # Spark cuts before the shuffle
 
 
-def ranked(scored: DataFrame, threshold: float | None = None) -> DataFrame:
+def _order() -> list[Column]:
+    return [F.col("score").desc(), F.col("post_id").asc()]
+
+
+def placed(rows: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """(user_id, post_id, score, hit) rows with their rank ``k`` (1-based) and running ``cum_hits`` per user."""
+    def within(df, *part):
+        w = Window.partitionBy("user_id", *part).orderBy(*_order())
+        return df.withColumn("k", F.row_number().over(w).cast("bigint")).withColumn(
+            "cum_hits", F.sum("hit").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+    hot = hot_keys(rows, ["user_id"], range_rows)
+    ranges = hot.agg(F.sum("salts")).first()[0]
+    if not ranges:
+        return within(rows)
+    cold = rows.join(F.broadcast(hot), "user_id", "left_anti")
+    # written with the number of the range, so that it stays what it was when a task is run again
+    cut = (rows.join(F.broadcast(hot), "user_id", "left_semi").repartitionByRange(int(ranges), "user_id", *_order())
+           .withColumn("range", F.spark_partition_id()))
+    cut = stage(cut, "ranges_of_lists")
+    before = Window.partitionBy("user_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = cut.groupBy("user_id", "range").agg(F.count(F.lit(1)).alias("n"), F.sum("hit").alias("h"))
+    offsets = totals.select("user_id", "range", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("n", "h")])
+    far = within(cut, "range").join(offsets, ["user_id", "range"]).withColumns(
+        {"k": F.col("k") + F.col("n_before"), "cum_hits": F.col("cum_hits") + F.col("h_before")})
+    return within(cold).unionByName(far.select(*rows.columns, "k", "cum_hits"))
+
+
+def ranked(scored: DataFrame, threshold: float | None = None, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Every valid row with its rank ``k`` (1-based) in the user's list (score desc, post_id)."""
-    w = Window.partitionBy("user_id").orderBy(F.col("score").desc(), F.col("post_id").asc())
-    return _valid(scored, threshold).select("user_id", "post_id", "score").withColumn("k", F.row_number().over(w))
+    rows = _valid(scored, threshold).select("user_id", "post_id", "score", F.lit(0).alias("hit"))
+    return placed(rows, range_rows).select("user_id", "post_id", "score", "k")
 
 
 def _with_hits(r: DataFrame, truth: DataFrame) -> DataFrame:
@@ -48,14 +84,19 @@ def _with_hits(r: DataFrame, truth: DataFrame) -> DataFrame:
         "user_id", F.col("k").cast("bigint").alias("k"), "post_id", "score", "hit", "cum_hits")
 
 
-def ranked_hits(scored: DataFrame, truth: DataFrame, threshold: float | None = None) -> DataFrame:
+def ranked_hits(scored: DataFrame, truth: DataFrame, threshold: float | None = None,
+                range_rows: int = RANGE_ROWS) -> DataFrame:
     """(user_id, k, post_id, score, hit, cum_hits) for the whole list of each user."""
-    return _with_hits(ranked(scored, threshold), truth)
+    t = truth.select("user_id", "post_id", F.lit(1).alias("_t")).distinct()
+    rows = (_valid(scored, threshold).select("user_id", "post_id", "score").join(t, ["user_id", "post_id"], "left")
+            .withColumn("hit", F.coalesce("_t", F.lit(0))).drop("_t"))
+    return placed(rows, range_rows).select("user_id", "k", "post_id", "score", "hit", "cum_hits")
 
 
-def recommend_lists(scored: DataFrame, threshold: float | None = None, per_row: int = LIST_ROW) -> DataFrame:
+def recommend_lists(scored: DataFrame, threshold: float | None = None, per_row: int = LIST_ROW,
+                    range_rows: int = RANGE_ROWS) -> DataFrame:
     """Each user's whole list in rank order, ``per_row`` post ids a row: (user_id, part, n_recs, recs)."""
-    t = ranked(scored, threshold).withColumn("part", F.floor((F.col("k") - 1) / per_row).cast("int"))
+    t = ranked(scored, threshold, range_rows).withColumn("part", F.floor((F.col("k") - 1) / per_row).cast("int"))
     return t.groupBy("user_id", "part").agg(
         F.count(F.lit(1)).alias("n_recs"),
         F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(F.struct("k", "post_id"))),

@@ -293,6 +293,12 @@ Q["src_test_posts"] = POST_DISPLAY
 Q["src_truth"] = "SELECT user_id, post_id FROM truth"
 Q["src_user_list"] = "SELECT user_id FROM test_users"
 Q["tsv_train_roundtrip"] = f"SELECT label, {FEAT_COLS} FROM training"
+Q["parquet_train_roundtrip"] = Q["tsv_train_roundtrip"]
+Q["parquet_test_roundtrip"] = f"SELECT user_id, post_id, {FEAT_COLS} FROM feat_cand"
+Q["profile_merged"] = "SELECT user_id, kind, key, cnt FROM prof_raw"
+Q["label_pairs_dropped"] = """SELECT count(*) FILTER (user_id IN (SELECT user_id FROM truth)) AS n_labelled,
+  count(*) FILTER (user_id NOT IN (SELECT user_id FROM truth)) AS n_dropped
+FROM (SELECT user_id, post_id FROM cands UNION SELECT user_id, post_id FROM train_likes)"""
 Q["tsv_test_roundtrip"] = f"SELECT user_id, post_id, {FEAT_COLS} FROM feat_cand"
 
 CTE["faulty_posts"] = """

@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from affinis.functions.expr import FEATURES
@@ -30,7 +30,7 @@ from affinis.operators import negatives as NE
 from affinis.operators import profiles as PR
 from affinis.operators import ranking as RA
 from affinis.plans.workflows import Workflow
-from affinis.session import scratch_path
+from affinis.session import scratch_path, stage
 from affinis.sources import readers as RD
 from affinis.sources import writers as WR
 from affinis.sources.binding import Bound, bind
@@ -180,6 +180,36 @@ def tsv_test_roundtrip(spark, sf_dir):
     return RD.read_test_features(spark, p)
 
 
+def parquet_train_roundtrip(spark, sf_dir):
+    p = scratch_path(spark, "train_features.parquet")
+    WR.write_features(_wf(spark, sf_dir).training_set, p)
+    return RD.read_features(spark, p)
+
+
+def parquet_test_roundtrip(spark, sf_dir):
+    p = scratch_path(spark, "test_features.parquet")
+    WR.write_features(_wf(spark, sf_dir).features_candidates, p, keyed=True)
+    return RD.read_features(spark, p, keyed=True)
+
+
+def profile_merged(spark, sf_dir):
+    """A10: the stored profile of one half of the likes, kept up with the other half."""
+    b = _bound(spark, sf_dir)
+    second = F.pmod(F.xxhash64("user_id", "post_id"), F.lit(2)) == 1
+    p = scratch_path(spark, "profile")
+    PR.write_profile(PR.profile_long(b.train_likes.where(~second), b.posts), p)
+    PR.merge_profile(spark, p, PR.profile_long(b.train_likes.where(second), b.posts))
+    return PR.read_profile(spark, p).drop("bucket")
+
+
+def label_pairs_dropped(spark, sf_dir):
+    """Pairs left out for a user outside the truth, counted while the labels are written."""
+    w, seen = _wf(spark, sf_dir), Observation()
+    pairs = w.candidate_pairs.unionByName(w.b.train_likes).distinct()
+    n = stage(CA.label_pairs(pairs, w.b.truth, dropped=seen), "labelled_pairs").count()
+    return spark.createDataFrame([(n, seen.get["n_dropped"])], "n_labelled long, n_dropped long")
+
+
 # ---- scored-table helpers -----------------------------------------------------------------
 
 def _tag_conf(spark, sf_dir) -> DataFrame:
@@ -295,6 +325,8 @@ QUERIES: dict[str, Query] = {
     "src_user_list": src_user_list,
     "tsv_train_roundtrip": tsv_train_roundtrip,
     "tsv_test_roundtrip": tsv_test_roundtrip,
+    "parquet_train_roundtrip": parquet_train_roundtrip,
+    "parquet_test_roundtrip": parquet_test_roundtrip,
     # P: projections, filters
     "filter_any_null": lambda s, d: CL.drop_any_null(_faulty_posts(_bound(s, d).posts)).select(
         "post_id", "blog_id", "author_id", "language", "title"),
@@ -318,6 +350,7 @@ QUERIES: dict[str, Query] = {
     "check_blogs_no_stats": lambda s, d: ED.blogs_without_stats(_bound(s, d).posts, _bound(s, d).stats_blog),
     "check_blogs_with_stats": lambda s, d: ED.blogs_with_stats(_bound(s, d).posts, _bound(s, d).stats_blog),
     "label_pairs": _label_pairs,
+    "label_pairs_dropped": label_pairs_dropped,
     "non_like_users": lambda s, d: NE.non_like_counts(_bound(s, d).train_posts, _bound(s, d).train_likes),
     # A: aggregations
     "prior_blog_likelihood": lambda s, d: PR.prior_blog_likelihood(_bound(s, d).stats_user),
@@ -329,6 +362,7 @@ QUERIES: dict[str, Query] = {
     "profile_languages": lambda s, d: PR.profile_kind(_bound(s, d).train_likes, _bound(s, d).posts, "language", "language"),
     "profile_authors": lambda s, d: PR.profile_kind(_bound(s, d).train_likes, _bound(s, d).posts, "author", "author_id",
                                                     "bigint"),
+    "profile_merged": profile_merged,
     "profile_title_lengths": lambda s, d: PR.profile_kind(_bound(s, d).train_likes, _bound(s, d).posts, "title_len",
                                                           "title_len", "int"),
     "feature_categories_likelihood": _feature("categories_likelihood"),

@@ -27,23 +27,25 @@ def read_stats_user_raw(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stats_user_long(raw: DataFrame) -> DataFrame:
-    """S2 + P3: one row per (user, blog) with the like count; ids cast from strings.
+    """S2 + P3: one row per (record, blog) with the like count; ids cast from strings.
 
-    A blog listed twice for a user keeps its last entry (a map built from the
-    list overwrites earlier keys).
+    A blog listed twice in a record keeps its last entry (a map built from the
+    list overwrites earlier keys).  Two records of one user stay two records.
     """
-    e = raw.select("user_id", "num_likes", F.posexplode("like_blog_dist").alias("pos", "e"))
+    # in a step of its own: numbered before the list is exploded
+    raw = raw.withColumn("record", F.monotonically_increasing_id())
+    e = raw.select("record", "user_id", "num_likes", F.posexplode("like_blog_dist").alias("pos", "e"))
     e = e.select(
-        "user_id", "num_likes", "pos",
+        "record", "user_id", "num_likes", "pos",
         F.col("e.blog_id").cast("bigint").alias("blog_id"),
         F.col("e.likes").cast("bigint").alias("likes"),
     )
-    return last_entries(e).select("user_id", "blog_id", "likes", "num_likes")
+    return last_entries(e, "record").select("user_id", "blog_id", "likes", "num_likes")
 
 
 def stats_users(raw: DataFrame) -> DataFrame:
-    """One row per user with the total; a user whose per-blog list is empty or missing is kept."""
-    return raw.groupBy("user_id").agg(F.first("num_likes", ignorenulls=True).alias("num_likes"))
+    """Each user with the total, records of different totals apart; empty or missing per-blog lists are kept."""
+    return raw.select("user_id", "num_likes").distinct()
 
 
 def read_posts_raw(spark: SparkSession, path: str, test: bool = False) -> DataFrame:
@@ -52,11 +54,8 @@ def read_posts_raw(spark: SparkSession, path: str, test: bool = False) -> DataFr
 
 
 def posts_from_raw(raw: DataFrame) -> DataFrame:
-    """P1 + P2: drop records with any null field, cast ids, lists to sets; every record is one post.
-
-    A post's continuation records (see ``schemas.CONTINUED``) hold only more of its likes.
-    """
-    clean = raw.na.drop().where(~F.col("url").rlike(S.CONTINUED))
+    """P1 + P2: drop records with any null field, cast ids, lists to sets; every record is one post."""
+    clean = raw.na.drop()
     return clean.select(
         F.col("post_id").cast("bigint").alias("post_id"),
         F.col("blog").cast("bigint").alias("blog_id"),
@@ -102,3 +101,8 @@ def read_test_features(spark: SparkSession, path: str) -> DataFrame:
     """User, post + seven features, tab separated."""
     return spark.read.schema(S.TEST_FEATURES).options(**_TSV).csv(path)
 
+
+def read_features(spark: SparkSession, path: str, keyed: bool = False) -> DataFrame:
+    """S7 / S8 from Parquet: filters on the label or on the keys are pushed down to files and row groups."""
+    schema = S.TEST_FEATURES if keyed else S.TRAIN_FEATURES
+    return spark.read.schema(schema).parquet(path).select(schema.names)

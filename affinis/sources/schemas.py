@@ -40,10 +40,6 @@ _POST_FIELDS = [
 LIKE = T.StructType([T.StructField("dt", T.StringType()), T.StructField("uid", T.StringType())])
 
 
-# the url of a record that continues the likes of the record before it ends like this
-CONTINUED = r"#likes-[0-9]+$"
-
-
 def _posts(likes_type) -> T.StructType:
     return T.StructType([T.StructField(n, likes_type if t is None else t) for n, t in _POST_FIELDS])
 

@@ -1,10 +1,8 @@
-"""Writers (S9, S10) and the nested text formats of the reference's inputs.
+"""Writers (S9, S10) and the nested formats of the reference's inputs.
 
-Nested formats put a list into one record.  To keep a hot post or user from
-collecting all its entries into one row, a key with many entries is spread
-over several records (``chunk_rows`` entries each on average).  A user's
-records add up; a post's further records carry a url that marks them as
-continuations, so the reader still gets every post once.
+Feature files are Parquet by default: labelled rows in one folder per label, keyed rows ordered by user over range
+partitions, so that a reader of one label or of a range of users skips the other files and row groups.  The text
+form is the reference's.  A nested record holds all likes of its post, or all blogs of its user.
 """
 
 from __future__ import annotations
@@ -15,15 +13,16 @@ from pyspark.sql import functions as F
 from affinis.functions.expr import FEATURES
 
 _TSV = dict(sep="\t", nanValue="NaN", positiveInf="Infinity", negativeInf="-Infinity")
-CHUNK_ROWS = 10_000
 
 
-def _chunked(df: DataFrame, keys: list[str], item_cols: list[str], chunk_rows: int) -> DataFrame:
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return (df.join(sizes, keys)
-            .withColumn("_chunk", F.pmod(F.xxhash64(*[F.col(c) for c in item_cols]),
-                                         F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(chunk_rows)))))
-            .drop("_n"))
+def write_features(df: DataFrame, path: str, keyed: bool = False, files: int | None = None, mode: str = "errorifexists") -> None:
+    """S9 (by label) or S10 (``keyed``: by user_id, post_id) as Parquet; ``files`` sets the number of key ranges."""
+    if keyed:
+        by = [F.col("user_id"), F.col("post_id")]
+        parts = df.repartitionByRange(files, *by) if files else df.repartitionByRange(*by)
+        parts.sortWithinPartitions(*by).select("user_id", "post_id", *FEATURES).write.mode(mode).parquet(path)
+    else:
+        df.select("label", *FEATURES).sortWithinPartitions("label").write.mode(mode).partitionBy("label").parquet(path)
 
 
 def write_features_tsv(df: DataFrame, path: str, keyed: bool = False, mode: str = "errorifexists") -> None:
@@ -36,10 +35,9 @@ def write_stats_blog_json(stats_blog: DataFrame, path: str) -> None:
     stats_blog.select("blog_id", "num_likes", "num_posts").write.mode("errorifexists").json(path)
 
 
-def write_stats_user_json(stats_user_long: DataFrame, path: str, chunk_rows: int = CHUNK_ROWS) -> None:
-    """Long (user, blog, likes, num_likes) to the nested per-user record."""
-    c = _chunked(stats_user_long, ["user_id"], ["blog_id"], chunk_rows)
-    (c.groupBy("user_id", "_chunk")
+def write_stats_user_json(stats_user_long: DataFrame, path: str) -> None:
+    """Long (user, blog, likes, num_likes) to one nested record per user."""
+    (stats_user_long.groupBy("user_id")
      .agg(F.first("num_likes").alias("num_likes"),
           F.collect_list(F.struct(F.col("blog_id").cast("string").alias("blog_id"),
                                   F.col("likes").cast("string").alias("likes"))).alias("like_blog_dist"))
@@ -47,8 +45,8 @@ def write_stats_user_json(stats_user_long: DataFrame, path: str, chunk_rows: int
      .write.mode("errorifexists").json(path))
 
 
-def write_posts_json(posts: DataFrame, likes: DataFrame | None, path: str, chunk_rows: int = CHUNK_ROWS) -> None:
-    """Posts (with ``content``) with nested likes (train form) or an empty likes list (test form)."""
+def write_posts_json(posts: DataFrame, likes: DataFrame | None, path: str) -> None:
+    """Posts (with ``content``, and ``url`` if they have one) with nested likes (train form) or an empty likes list (test form)."""
     base = posts.select(
         F.col("author_id").cast("string").alias("author"),
         F.col("blog_id").cast("string").alias("blog"),
@@ -58,30 +56,22 @@ def write_posts_json(posts: DataFrame, likes: DataFrame | None, path: str, chunk
         "language",
         F.col("post_id").cast("string").alias("post_id"),
         "tags", "title",
-        F.concat(F.lit("http://blog/"), F.col("post_id").cast("string")).alias("url"),
+        F.col("url") if "url" in posts.columns else F.concat(F.lit("http://blog/"), F.col("post_id").cast("string")).alias("url"),
     )
     if likes is None:
         out = base.withColumn("likes", F.array().cast("array<string>"))
     else:
-        lk = likes.select(F.col("post_id").cast("string").alias("post_id"), "user_id")
-        c = _chunked(lk, ["post_id"], ["user_id"], chunk_rows)
-        nested = (c.groupBy("post_id", "_chunk")
-                  .agg(F.collect_list(F.struct(F.lit("2000-01-01 00:00:00").alias("dt"),
-                                               F.col("user_id").cast("string").alias("uid"))).alias("likes")))
-        # the chunk with the smallest number is the post's own record
-        first = nested.groupBy("post_id").agg(F.min("_chunk").alias("_first"))
-        nested = nested.join(first, "post_id")
-        part = F.when(F.col("_chunk") != F.col("_first"), F.concat(F.lit("#likes-"), F.col("_chunk").cast("string")))
-        out = base.join(nested, "post_id", "left").withColumn("url", F.concat("url", F.coalesce(part, F.lit("")))).withColumn(
+        nested = likes.groupBy(F.col("post_id").cast("string").alias("post_id")).agg(
+            F.collect_list(F.struct(F.lit("2000-01-01 00:00:00").alias("dt"), F.col("user_id").cast("string").alias("uid"))).alias("likes"))
+        out = base.join(nested, "post_id", "left").withColumn(
             "likes", F.coalesce("likes", F.array().cast("array<struct<dt:string,uid:string>>")))
     out.select("author", "blog", "blogname", "categories", "content", "date", "date_gmt", "language",
                "likes", "post_id", "tags", "title", "url").write.mode("errorifexists").json(path)
 
 
-def write_truth_csv(truth: DataFrame, path: str, chunk_rows: int = CHUNK_ROWS) -> None:
+def write_truth_csv(truth: DataFrame, path: str) -> None:
     """Long (user, post) to ``user,post post ...,n`` lines."""
-    c = _chunked(truth, ["user_id"], ["post_id"], chunk_rows)
-    (c.groupBy("user_id", "_chunk")
+    (truth.groupBy("user_id")
      .agg(F.concat_ws(" ", F.collect_list(F.col("post_id").cast("string"))).alias("posts"),
           F.count(F.lit(1)).cast("string").alias("extra"))
      .select("user_id", "posts", "extra")

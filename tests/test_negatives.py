@@ -112,3 +112,30 @@ def test_native_split_covers_every_row_once(spark, small):
     s = NE.split_train_holdout_native(lk, seed=4)
     assert s.count() == lk.count()
     assert s.select("user_id", "post_id").distinct().count() == lk.count()
+
+
+def test_draws_do_not_depend_on_the_buckets_and_nothing_is_collected(spark, small):
+    import inspect
+
+    posts, lk = small
+    want = sorted(map(tuple, NE.negative_counts(posts, lk, seed=5).collect()))
+    assert want == sorted(map(tuple, NE.negative_counts(posts, lk, seed=5, buckets=3).collect()))
+    assert ".collect()" not in inspect.getsource(NE)
+
+
+def test_a_user_with_most_likes(spark):
+    """One user likes every post; negatives are the same however the likes are split."""
+    from affinis.plans import skew
+
+    likes = spark.range(3000).select(F.when(F.col("id") < 2000, 1).otherwise(F.col("id") % 40 + 2).cast("bigint").alias("user_id"),
+                                     (F.col("id") % 2000).alias("post_id")).distinct()
+    posts = spark.range(2000).select(F.col("id").alias("post_id"))
+    want = sorted(map(tuple, NE.negative_pairs(posts, likes, seed=2).collect()))
+    old, skew.ROWS_PER_SALT = skew.ROWS_PER_SALT, 100
+    try:
+        split = skew.salted_join(likes, spark.range(50).select(F.col("id").alias("user_id"), F.col("id").alias("idx")), ["user_id"], 100)
+        assert split.count() == likes.count()
+        assert want == sorted(map(tuple, NE.negative_pairs(posts, likes, seed=2, draw_rows=3).collect()))
+    finally:
+        skew.ROWS_PER_SALT = old
+    assert not any(u == 1 for u, _ in want)

@@ -80,3 +80,26 @@ def test_best_threshold_tie_goes_low(spark):
     g = spark.createDataFrame([(0.1, 0.5, 1), (0.2, 0.7, 1), (0.3, 0.7, 1)], "threshold double, map double, n_users bigint")
     b = RA.best_map_threshold(g).first()
     assert (b.threshold, b.map) == (0.2, 0.7)
+
+
+def test_one_user_with_most_rows_is_ranked_in_ranges(spark):
+    """Lists ranked range by range equal lists ranked at once; no range holds a tenth of the hot list, ties included."""
+    n = 40_000
+    s = spark.range(n).select(F.when(F.col("id") % 20 == 0, F.col("id") % 7 + 2).otherwise(1).alias("user_id"), F.col("id").alias("post_id"),
+                              (F.when(F.col("id") % 3 == 0, 0.5).otherwise(F.xxhash64("id") % 1000 / 1000.0)).alias("score"))
+    t = s.where("post_id % 11 = 0").select("user_id", "post_id")
+    far, near = RA.ranked_hits(s, t, range_rows=2_500), RA.ranked_hits(s, t)
+    assert far.count() == n and far.exceptAll(near).count() == 0
+    lists = RA.recommend_lists(s, range_rows=2_500)
+    assert lists.count() == RA.recommend_lists(s).count() and lists.exceptAll(RA.recommend_lists(s)).count() == 0
+    from affinis.plans.skew import hot_keys
+    hot = hot_keys(s, ["user_id"], 2_500)
+    cut = s.join(F.broadcast(hot), "user_id", "left_semi").repartitionByRange(int(hot.agg(F.sum("salts")).first()[0]), "user_id", *RA._order())
+    sizes = [r["count"] for r in cut.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == n - n // 20 and max(sizes) < sum(sizes) / 10
+
+
+def test_a_million_rows_of_one_user(spark):
+    s = spark.range(1_000_000).select(F.lit(1).alias("user_id"), F.col("id").alias("post_id"), (F.col("id") % 5000 / 5000.0).alias("score"))
+    r = RA.ranked(s, range_rows=50_000).agg(F.max("k"), F.countDistinct("k"), F.sum((F.round(F.col("score") * 5000).cast("int") == 4999 - F.floor((F.col("k") - 1) / 200)).cast("int"))).first()
+    assert tuple(r) == (1_000_000, 1_000_000, 1_000_000)
