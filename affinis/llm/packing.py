@@ -1,8 +1,10 @@
 """Operator 6, packing: first-fit decreasing with a tournament tree of bin capacities.
 
 1. Tokenise: every whole text becomes its ids and an end id.  Ids are built
-   per white-space chunk through a bounded cache, so a word is encoded once
-   per Python worker; no tokenizer piece crosses white space.
+   per white-space chunk through a bounded cache of two generations, so a
+   frequent word is encoded once per Python worker.  Whether chunks and the
+   short way of simple ones give the tokenizer's own ids is tested when it is
+   loaded; a tokenizer that fails takes whole chunks, or whole texts.
 2. Cut: a document longer than a sequence becomes full pieces and a rest.
    The piece table (no ids) is written to the shared folder.
 3. Pack: pieces are dealt to groups at random, by a hash of their written
@@ -10,6 +12,9 @@
    the first sequence with room.  The tournament tree holds the largest
    free room of every subtree, so a step costs the logarithm of the bins.
 
+``pack`` decides on lengths alone.  ``sequences`` carries the ids along and
+puts out each sequence's ids.
+
 A group is bounded (``GROUP_PIECES`` on average), so no task grows with the
 data, and a hot source or a very long document is spread over all groups.
 
@@ -23,6 +28,7 @@ from __future__ import annotations
 import math
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -31,6 +37,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType, StringType
 
 from affinis.session import stage
 
@@ -38,15 +45,25 @@ from affinis.session import stage
 CAPACITY = 2048
 END_ID = 1
 GROUP_PIECES = 8192
-#: Entries of a worker's caches; a full cache starts anew.
-CACHE_CHUNKS = 250_000
+#: Entries of each of the two generations of a worker's caches.
+CACHE_CHUNKS = 125_000
 
-# a chunk of Latin letters, then ASCII punctuation without the apostrophe: two pieces at most, whatever stands around it
-_SIMPLE = re.compile(r"([A-Za-z]*)([!-&(-/:-@\[-`{-~]*)")
+# a chunk of Latin letters (ASCII, or U+00C0 to U+00FF without the two signs), then ASCII punctuation without the
+# apostrophe: two pieces at most, whatever stands around it
+_SIMPLE = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])*)([!-&(-/:-@\[-`{-~]*)")
+# byte-level BPE spells a byte as the character of its number, bytes without a visible one as those from 256 on
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+_SPELLED = {b: 256 + i for i, b in enumerate(_HIDDEN)}
+# what a tokenizer must treat alike whole and by chunks, and by its pieces
+_PROBES = ["Hello, world!!! (yes) a_b $5", "ab  cd\tEF\n gh\x0b.", "it's don't -- x", "caf\u00e9 \u00c0\u0301 12 3.4", "z", "word#tag;END", "... a.b.c",
+           " ".join(map(chr, range(0xC0, 0x100))), "".join(map(chr, range(0xC0, 0xD7)))]
 
 
 class ChunkIds(dict):
-    """White-space chunk (UTF-8 bytes) -> its ids as little-endian unsigned 32-bit bytes."""
+    """White-space chunk (UTF-8 bytes) -> its ids as little-endian unsigned 32-bit bytes.
+
+    A full generation becomes the old one, from which chunks that are met again return.
+    """
 
     def __init__(self, path: str):
         super().__init__()
@@ -54,34 +71,50 @@ class ChunkIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.old: dict[bytes, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {}
+        self.old_pieces: dict[bytes, bytes] = {}
+        words = [w for p in _PROBES for w in p.encode().split()]
+        self.by_chunk = all(self._whole(p) == b"".join(self._whole(w.decode()) for w in p.encode().split()) for p in _PROBES)
+        self.simple = self.by_chunk and all(self._made(w, m) == self._whole(w.decode()) for w in words if (m := _SIMPLE.fullmatch(w)))
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _piece(self, piece: str) -> bytes:
+    def _piece(self, piece: bytes) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
+            ids = self.old_pieces.get(piece)
+            if ids is None:
+                found = self.model.tokenize(piece.decode("latin-1").translate(_SPELLED))
+                ids = struct.pack(f"<{len(found)}I", *[t.id for t in found])
             if len(self.pieces) >= CACHE_CHUNKS:
-                self.pieces.clear()
-            ids = np.array([t.id for t in self.tokenizer.model.tokenize(piece)], "<u4").tobytes()
+                self.old_pieces, self.pieces = self.pieces, {}
             self.pieces[piece] = ids
         return ids
 
+    def _made(self, chunk: bytes, simple: re.Match) -> bytes:
+        letters, rest = simple.groups()
+        if not letters.isascii():
+            letters = letters.decode().lower().encode()
+        if not rest:
+            return self._piece(letters.lower())
+        return self._piece(letters.lower()) + self._piece(rest) if letters else self._piece(rest)
+
     def __missing__(self, chunk: bytes) -> bytes:
-        text = chunk.decode()
-        simple = _SIMPLE.fullmatch(text)
-        if simple:
-            ids = b"".join(self._piece(p) for p in (simple[1].lower(), simple[2]) if p)
-        else:
-            ids = self._whole(text)
+        ids = self.old.get(chunk)
+        if ids is None:
+            simple = _SIMPLE.fullmatch(chunk) if self.simple else None
+            ids = self._made(chunk, simple) if simple else self._whole(chunk.decode())
         if len(self) >= CACHE_CHUNKS:
+            self.old = dict(self)
             self.clear()
         self[chunk] = ids
         return ids
 
     def ids(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
+        return b"".join(map(self.__getitem__, text.split())) if self.by_chunk else self._whole(text.decode())
 
 
 _WORKER: dict[str, ChunkIds] = {}
@@ -157,7 +190,7 @@ def first_fit(lengths: list[int], capacity: int) -> tuple[list[int], list[int]]:
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """``pieces`` (any columns with a ``length`` of 1 to ``capacity``) with sequence_id and offset."""
-    placed = stage(pieces.withColumn("_place", F.xxhash64(F.monotonically_increasing_id())), "pieces")
+    placed = stage(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     groups = max(1, math.ceil(placed.count() / group_pieces))
 
     def pack_group(key, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -166,9 +199,25 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
         return pdf.drop(columns=["_place", "_group"]).assign(
             sequence_id=np.array(bins, np.int64) + (int(key[0]) << 32), offset=np.array(offsets, np.int64))
 
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return (placed.withColumn("_group", F.pmod("_place", F.lit(groups)))
-            .groupBy("_group").applyInPandas(pack_group, f"{out}, sequence_id long, offset long"))
+    # ids stay where they are until their sequence is known; small columns travel along
+    wide = [f.name for f in pieces.schema if not isinstance(f.dataType, (NumericType, StringType))]
+    slim = placed.drop(*wide).withColumn("_place", F.xxhash64("_row")).withColumn("_group", F.pmod("_place", F.lit(groups)))
+    if not wide:
+        slim = slim.drop("_row")
+    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema if f.name not in ("_place", "_group"))
+    packed = slim.groupBy("_group").applyInPandas(pack_group, f"{out}, sequence_id long, offset long")
+    return packed.join(placed.select("_row", *wide), "_row").drop("_row") if wide else packed
+
+
+def sequences(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID,
+              group_pieces: int = GROUP_PIECES) -> DataFrame:
+    """(sequence_id, length, ids, doc_ids, lengths): each sequence's ids, with the documents of its pieces in order."""
+    pieces = token_pieces(docs, tokenizer_path, capacity, end_id, with_ids=True)
+    one = pack(pieces.select("doc_id", "length", "ids"), capacity, group_pieces).groupBy("sequence_id").agg(
+        F.array_sort(F.collect_list(F.struct("offset", "length", "doc_id", "ids"))).alias("p"))
+    return one.select("sequence_id", F.aggregate("p", F.lit(0).cast("long"), lambda n, x: n + x["length"]).alias("length"),
+                      F.flatten(F.transform("p", lambda x: x["ids"])).alias("ids"),
+                      F.transform("p", lambda x: x["doc_id"]).alias("doc_ids"), F.transform("p", lambda x: x["length"]).alias("lengths"))
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:

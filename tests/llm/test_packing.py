@@ -80,3 +80,46 @@ def test_many_groups_fill_well(spark):
 def test_ids_of_the_pieces(odd_docs, with_ids):
     for r in K.token_pieces(odd_docs, tokenizer_path(), with_ids=with_ids).collect():
         assert zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 and len(r.ids) == r.length
+
+
+def test_written_sequences_hold_every_id(spark, odd_docs, no_docs):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(tokenizer_path())
+    got = K.sequences(odd_docs, tokenizer_path()).collect()
+    want, found = Counter(), Counter()
+    for r in odd_rows():
+        ids = t.encode(r[1] or "", add_special_tokens=False).ids + [1]
+        want.update((r[0], tuple(ids[i:i + 2048])) for i in range(0, len(ids), 2048))
+    for r in got:
+        assert len(r.ids) == r.length == sum(r.lengths) <= 2048
+        at = 0
+        for doc, n in zip(r.doc_ids, r.lengths, strict=True):
+            found[doc, tuple(r.ids[at:at + n])] += 1
+            at += n
+    assert found == want and len({r.sequence_id for r in got}) == len(got)
+    assert K.sequences(no_docs, tokenizer_path()).collect() == []
+
+
+def test_a_small_cache_gives_the_same_ids(monkeypatch):
+    monkeypatch.setattr(K, "CACHE_CHUNKS", 5)
+    small, rng = K.ChunkIds(tokenizer_path()), random.Random(8)
+    for _ in range(50):
+        x = words(rng, 40) + rng.choice((".", "!? it's", " #x,", " \u00e9t\u00e9"))
+        assert np.frombuffer(small.ids(x.encode()), "<u4").tolist() == small.tokenizer.encode(x, add_special_tokens=False).ids
+
+
+def test_other_tokenizers_keep_their_ids(tmp_path):
+    """One that keeps case, one whose pieces cross white space: tested at load, and encoded whole where they differ."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    vocab = {c: i for i, c in enumerate([*map(chr, range(33, 127)), " ", "\u00e9", "\t", "\n", "\x0b", "\u00c0", "\u0301"])}
+    cased = Tokenizer(models.BPE(vocab=vocab, merges=[]))
+    cased.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    across = Tokenizer(models.BPE(vocab=vocab | {"a ": 500, "a b": 501}, merges=[("a", " "), ("a ", "b")]))
+    for name, t, by_chunk in (("cased", cased, True), ("across", across, False)):
+        t.save(str(tmp_path / name))
+        c = K.ChunkIds(str(tmp_path / name))
+        assert c.by_chunk == by_chunk and not c.simple
+        for x in ("Ab cd!", "a b a b", "Hello, World", " it's"):
+            assert np.frombuffer(c.ids(x.encode()), "<u4").tolist() == t.encode(x, add_special_tokens=False).ids
