@@ -24,6 +24,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,8 @@ from affinis.session import stage
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 TOP = 20
 
-SHARD_DOCS = 8192
-SHARD_TERMS = 2_000_000     # terms with repeats, beyond which a shard takes no further document
+SHARD_DOCS = 4096
+SHARD_TERMS = 1_000_000     # terms with repeats, beyond which a shard takes no further document
 BUCKET = 8
 WAVE = 256
 #: Terms with repeats in one block of items.
@@ -236,6 +237,18 @@ def _numbers(column: pa.Array, i: int) -> np.ndarray:
     return column[i].values.to_numpy().astype(np.int64)
 
 
+@contextmanager
+def _one_shard_a_batch(spark) -> Iterator[None]:
+    """A Python worker gets one shard at a time, however many its task has."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def dfs(index: DataFrame, words: set[bytes]) -> dict[bytes, int]:
     """df of each of ``words`` over all shards."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,7 +262,8 @@ def dfs(index: DataFrame, words: set[bytes]) -> dict[bytes, int]:
         yield pa.RecordBatch.from_pydict({"term": pa.array(found.keys(), pa.binary()), "df": pa.array(found.values(), pa.int64())})
 
     rows = index.select("terms", "df").mapInArrow(run, "term binary, df long").groupBy("term").agg(F.sum("df").alias("df"))
-    return {bytes(r.term): r.df for r in rows.collect()}
+    with _one_shard_a_batch(index.sparkSession):
+        return {bytes(r.term): r.df for r in rows.collect()}
 
 
 def weight(df: int, n_docs: int) -> int:
@@ -313,7 +327,9 @@ def search(docs: DataFrame, items: DataFrame, k: int = TOP, shard_docs: int = SH
         for block in blocks(items, block_terms):
             names = spark.createDataFrame([(p, i) for p, (i, _) in enumerate(block)], f"item int, item_id {item_type}")
             hits = search_block(index, [bag for _, bag in block], n_docs, k)
-            best = best.unionByName(stage(hits.join(F.broadcast(names), "item").select("item_id", "doc_id", "score"), "hits"))
+            with _one_shard_a_batch(spark):
+                hits = stage(hits.join(F.broadcast(names), "item").select("item_id", "doc_id", "score"), "hits")
+            best = best.unionByName(hits)
     order = Window.partitionBy("item_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     return (best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score"))
