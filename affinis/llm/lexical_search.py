@@ -38,8 +38,8 @@ from affinis.session import stage
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 TOP = 20
 
-SHARD_DOCS = 4096
-SHARD_TERMS = 1_000_000     # terms with repeats, beyond which a shard takes no further document
+SHARD_DOCS = 2048
+SHARD_TERMS = 500_000     # terms with repeats, beyond which a shard takes no further document
 BUCKET = 8
 WAVE = 256
 #: Terms with repeats in one block of items.
@@ -234,7 +234,7 @@ def _list(values: np.ndarray) -> pa.Array:
 
 
 def _numbers(column: pa.Array, i: int) -> np.ndarray:
-    return column[i].values.to_numpy().astype(np.int64)
+    return column[i].values.to_numpy()
 
 
 @contextmanager
@@ -255,10 +255,10 @@ def dfs(index: DataFrame, words: set[bytes]) -> dict[bytes, int]:
         found: Counter = Counter()
         for b in batches:
             for i in range(b.num_rows):
-                n = _numbers(b.column(1), i)
+                n = _numbers(b.column(1), i).tolist()
                 for k, t in enumerate(b.column(0)[i].as_py().split(b" ")):
                     if t in words:
-                        found[t] += int(n[k])
+                        found[t] += n[k]
         yield pa.RecordBatch.from_pydict({"term": pa.array(found.keys(), pa.binary()), "df": pa.array(found.values(), pa.int64())})
 
     rows = index.select("terms", "df").mapInArrow(run, "term binary, df long").groupBy("term").agg(F.sum("df").alias("df"))
