@@ -1,13 +1,19 @@
 """The seven likelihood features of a (user, post) pair.
 
 Plan per batch of pairs:
-  pairs -> + user totals (join on user) -> + post attributes (join on post)
-        -> explode the post's labels as (kind, key) -> left join the long profile on
-           (user, kind, key) -> one aggregate per pair that also carries the pair's own columns.
-One profile join serves categories, tags, language, author and blog at once,
-and nothing is joined back.  A user with very many pairs is split into salts,
-and that user's totals and profile rows are copied once per salt; a post with
-very many pairs is split the same way.
+  1. pairs join the post attributes on post (a post with very many pairs is
+     split into salts, its attributes are copied once per salt);
+  2. pairs and profile rows are laid under each other and shuffled once on
+     (user, salt), a pair as one row with the array of its labels (kind, key);
+  3. inside those partitions the labels are exploded, a window over
+     (user, salt, kind, key) gives every label the count of the profile row
+     beside it, and one aggregate per pair follows;
+  4. the finished pairs meet the user totals, which alone are shuffled.
+Exploded rows are never shuffled: window, both aggregates and the last join
+take the partitioning of step 2.  A user with very many pairs is split into
+salts, and that user's totals and profile rows are copied once per salt.  A
+task holds whole profiles, which have one row per distinct label, however many
+likes the user has.
 """
 
 from __future__ import annotations
@@ -16,11 +22,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from affinis.functions.expr import FEATURES, safe_div, title_words_of
 from affinis.operators import profiles as PR
 from affinis.operators.candidates import known_or_counted
-from affinis.plans.skew import ROWS_PER_SALT, copied, hot_keys, salted_join, with_salt
+from affinis.plans.skew import ROWS_PER_SALT, copied, hot_keys, with_salt
 
 
 @dataclass
@@ -91,25 +98,24 @@ def pair_features(pairs: DataFrame, ctx: FeatureContext, variant: str = "coded",
     """
     keep = keep or []
     pair = ["user_id", "post_id", *keep]
-    hot = hot_keys(pairs, ["user_id"], rows_per_salt)
-    p = salted_join(pairs.select(*pair), ctx.post_attrs, ["post_id"], rows_per_salt=rows_per_salt)
-    p, totals = with_salt(p, hot, "user_id", "post_id"), copied(ctx.user_totals, hot, "user_id")
-    if dropped is None and not strict:
-        p = p.join(totals, ["user_id", "salt"])
-    else:
-        p = known_or_counted(p.join(totals.withColumn("_known", F.lit(True)), ["user_id", "salt"], "left"), "_known", "user_id", dropped, strict)
-    own = [c for c in p.columns if c not in (*pair, "salt", "labels")]
+    hot, hot_posts = hot_keys(pairs, ["user_id"], rows_per_salt), hot_keys(pairs, ["post_id"], rows_per_salt)
+    own = ["title_len", "blog_likes", "avg_likes_per_post"]
+    attrs = copied(ctx.post_attrs.select("post_id", "labels", *own), hot_posts, "post_id", "part")
+    p = with_salt(pairs.select(*pair), hot_posts, "post_id", "user_id", "part").join(attrs, ["post_id", "part"]).drop("part")
+    profile = copied(ctx.profile, hot, "user_id").select(
+        "user_id", "salt", F.array(F.struct("kind", "key")).alias("labels"), F.col("cnt").alias("known"))
+    rows = with_salt(p, hot, "user_id", "post_id").unionByName(profile, allowMissingColumns=True).repartition("user_id", "salt")
+    rows = rows.select(*pair, "salt", *own, "known", F.explode("labels").alias("kv")).select("*", "kv.kind", "kv.key").drop("kv")
     k = F.col("kind")
-    labels = p.select(*pair, "salt", *own, F.explode("labels").alias("kv")).select("*", "kv.kind", "kv.key").drop("kv")
-    matched = labels.join(copied(ctx.profile, hot, "user_id"), ["user_id", "salt", "kind", "key"], "left")
+    same = Window.partitionBy("user_id", "salt", "kind", "key")
+    matched = (rows.withColumn("cnt", F.when(F.col("key").isNotNull(), F.max("known").over(same)))
+               .where(F.col("known").isNull()))
     coded = variant == "coded"
     carried = [F.first(c).alias(c) for c in own]          # equal in all rows of a pair
-    # partitioning by the pair once serves both aggregates below
-    matched = matched.repartition(*pair[:2])
     if coded:
         # equal counts of one kind collapse (a set of counts)
-        matched = matched.groupBy(*pair, "kind", "cnt").agg(*carried)
-    f = matched.groupBy(*pair).agg(
+        matched = matched.groupBy(*pair, "salt", "kind", "cnt").agg(*carried)
+    f = matched.groupBy(*pair, "salt").agg(
         *carried,
         F.sum(F.when(k == "category", F.col("cnt"))).alias("cat"),
         F.sum(F.when(k == "tag", F.col("cnt"))).alias("tag"),
@@ -117,6 +123,11 @@ def pair_features(pairs: DataFrame, ctx: FeatureContext, variant: str = "coded",
         F.max(F.when(k == "author", F.col("cnt"))).alias("author_cnt"),
         F.max(F.when(k == "blog", F.col("cnt"))).alias("own_blog_likes"),
     )
+    totals = copied(ctx.user_totals, hot, "user_id")
+    if dropped is None and not strict:
+        f = f.join(totals, ["user_id", "salt"])
+    else:
+        f = known_or_counted(f.join(totals.withColumn("_known", F.lit(True)), ["user_id", "salt"], "left"), "_known", "user_id", dropped, strict)
     z = F.lit(0)
     cat = F.coalesce(F.col("cat"), z)
     tag = F.coalesce(F.col("tag"), z)

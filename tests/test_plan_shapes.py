@@ -10,6 +10,9 @@ import re
 
 import pytest
 
+from pyspark.sql import Observation
+
+from affinis.operators import features as FE
 from affinis.operators import negatives as NE
 from affinis.plans.registry import QUERIES
 from affinis.plans.workflows import Workflow
@@ -47,7 +50,37 @@ def test_scans_prune_columns_and_push_filters(spark):
     plan = wf.features_of(wf.b.train_likes)._jdf.queryExecution().executedPlan().toString()
     # the period filter reaches the Parquet scan of the staged likes table
     assert re.search(r"FileScan parquet \[user_id#\d+L,post_id#\d+L,ts#\d+\].*DataFilters: \[.*ts#", plan)
-    assert _nodes(plan, "Exchange") <= 15
+
+
+def test_features_shuffle_no_exploded_rows(spark):
+    """Rows are shuffled four times (pairs and posts by post, pairs with profiles and totals by user), counts twice."""
+    wf = Workflow(bind(spark, SF, staged=True))
+    wf.ctx
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = wf.features_of(wf.b.train_likes)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by = [re.sub(r"#\d+L?", "", b) for b in re.findall(r"[^d]Exchange hashpartitioning\((.*?), \d+\)", plan)]
+    # bare user_id, post_id: counts of the hot keys; blog_id: the prior's total
+    assert sorted(b for b in by if b not in ("user_id", "post_id", "blog_id")) == ["post_id, part"] * 2 + ["user_id, salt"] * 2
+    exploded = plan.split("Exchange hashpartitioning(user_id")[0]
+    assert "Generate explode(labels" in exploded and "Sort" in exploded
+
+
+def test_features_of_salted_pairs(spark):
+    """Every user and post split into salts: the same features, pairs of unknown users counted."""
+    wf = Workflow(bind(spark, SF, staged=True))
+    pairs = wf.b.train_likes.select("user_id", "post_id").where("post_id % 7 = 0").unionByName(
+        spark.createDataFrame([(-1, 7)], "user_id bigint, post_id bigint"))
+    for variant in ("coded", "documented"):
+        whole = FE.pair_features(pairs, wf.ctx, variant)
+        seen = Observation("seen")
+        split = FE.pair_features(pairs, wf.ctx, variant, rows_per_salt=2, dropped=seen)
+        got = sorted(map(tuple, split.collect()))
+        assert got == sorted(map(tuple, whole.collect())) and len(got) == pairs.distinct().count() - 1 - (
+            FE.users_without_profile(pairs, wf.ctx).where("user_id >= 0").distinct().count())
+        assert seen.get["n_dropped"] >= 1
 
 
 def test_plan_that_writes_the_negatives(spark):
