@@ -76,7 +76,7 @@ QUERIES = {f.__name__: f for f in (
 _OP9 = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         md5('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+         md5('42:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(md5(text), '')) AS h FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, ([5, 2, 1])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3) + 1] AS w, 2 * source_size AS cap FROM s),
 f AS (
@@ -92,7 +92,8 @@ t AS (
 q AS (SELECT *, least(floor(target + 0.5), cap)::BIGINT AS quota FROM t),
 p AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS place FROM d)
 SELECT p.doc_id, p.size, q.source_size, q.target,
-       (greatest(0, least(quota - place, size)) + greatest(0, least(quota - place - source_size, size)))::BIGINT AS taken
+       (greatest(0, least(quota - place, size)) + greatest(0, least(quota - place - source_size, size)))::BIGINT AS taken,
+       ((size > 0 AND quota > place)::INTEGER + (size > 0 AND quota - source_size > place)::INTEGER)::INTEGER AS copies
 FROM p JOIN q ON p.source IS NOT DISTINCT FROM q.source
 """
 

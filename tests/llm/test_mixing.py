@@ -98,3 +98,33 @@ def test_empty_and_wordless(spark, no_docs, odd_docs):
     blank = spark.createDataFrame([(1, None, "aa", "s", 0), (2, " ", "aa", None, 0)], SCHEMA)
     assert [(r["size"], r.target, r.taken) for r in M.mix_digest(blank).collect()] == [(0, 0.0, 0)] * 2
     assert set(odd_docs.columns) <= set(M.mix(odd_docs).columns)
+
+
+def test_taken_comes_from_the_shards(spark, monkeypatch):
+    """A block whose ticket is lost is in no shard, and its documents' words are missing from the digest."""
+    rng = random.Random(3)
+    rows = [(i, words(rng, rng.randint(1, 60)), "aa", rng.choice(["x", "y"]), 1) for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    whole = {r.doc_id: (r.taken, r.copies) for r in M.mix_digest(df).collect()}
+    split = M.split_blocks
+    monkeypatch.setattr(M, "split_blocks", lambda *a: split(*a).where("NOT (src = 'x' AND block = 0)"))
+    less = {r.doc_id: (r.taken, r.copies) for r in M.mix_digest(df).collect()}
+    lost = {i for i in whole if less[i] != whole[i]}
+    assert lost and all(rows[i][3] == "x" and less[i][1] == whole[i][1] - 1 for i in lost)
+
+
+def test_rows_without_ids_spread_over_buckets(spark):
+    rng = random.Random(4)
+    rows = [(None, words(rng, 5), "aa", "x", 1) for _ in range(3000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    per = [r["count"] for r in M._permuted(df, 1, F.lit(0)).groupBy("bucket").count().collect()]
+    assert len(per) == 3 and max(per) < 1300
+    got = M.mix_digest(df).collect()
+    assert len(got) == 3000 and sum(r.taken for r in got) == sum(2 * 5 for r in rows) * 3 // 4
+
+
+def test_places_equal_one_window(spark):
+    rng = random.Random(5)
+    b = [(k, i, rng.randint(0, 9)) for k in "ab" for i in range(50)]
+    got = {(r.key, r.bucket): r.before for r in M._places(spark.createDataFrame(b, "key string, bucket int, words long"), 8).collect()}
+    assert got == {(k, i): sum(w for q, j, w in b if q == k and j < i) for k, i, _ in b}
