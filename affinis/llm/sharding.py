@@ -5,9 +5,10 @@ a seeded hash of the record's place in the scan (so repeated records and
 repeated keys spread as well), and writes them.  Pass two takes each bucket
 whole, applies a Fisher-Yates shuffle (Spark's ``shuffle``) and numbers the
 records.  There are as many buckets as keep the average under both
-``BUCKET_ROWS`` records and ``BUCKET_BYTES`` bytes.  A bucket that long
-records make larger than ``LARGE`` times that is ordered by a seeded hash of
-the place instead, a sort that spills.  Buckets laid end to end are one random permutation of the input;
+``BUCKET_ROWS`` records and ``BUCKET_BYTES`` bytes.  Of a bucket that long
+records make larger than ``LARGE`` times that only the records' places in the
+scan (8 bytes each) are held and Fisher-Yates shuffled; the records are joined
+to them.  Buckets laid end to end are one random permutation of the input;
 dealing it out in turn gives shards whose row counts differ by at most one.
 
 The scattered table is written to the shared folder, so a lost executor
@@ -27,7 +28,6 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from affinis.llm.common import nested, running_offset
 from affinis.session import stage
@@ -56,8 +56,8 @@ def record_bytes(df: DataFrame) -> Column:
 def external_shuffle(df: DataFrame, n_shards: int = N_SHARDS, seed: int = SEED, bucket_rows: int = BUCKET_ROWS,
                      bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """The records of ``df`` with shard (0 to n_shards - 1) and slot (gapless from 0 in its shard)."""
-    whole = df.select(record_bytes(df).alias("bytes")).agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")).first()
-    buckets = max(1, math.ceil(whole["n"] / bucket_rows), math.ceil((whole["bytes"] or 0) / bucket_bytes))
+    size = df.select(record_bytes(df).alias("bytes")).agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")).first()
+    buckets = max(1, math.ceil(size["n"] / bucket_rows), math.ceil((size["bytes"] or 0) / bucket_bytes))
     scattered = stage(
         df.select(F.monotonically_increasing_id().alias("pos"), record_bytes(df).alias("bytes"),
                   nested(df, "shard", "slot").alias("rec"))
@@ -71,9 +71,10 @@ def external_shuffle(df: DataFrame, n_shards: int = N_SHARDS, seed: int = SEED,
                 .groupBy("bucket").agg(F.collect_list("rec").alias("recs"))
                 .select("bucket", F.posexplode(F.shuffle("recs", seed)).alias("place", "rec")))
     if fits is not scattered:
-        by_key = Window.partitionBy("bucket").orderBy(F.xxhash64(F.lit(seed + 1), "pos"), "pos")
-        shuffled = shuffled.unionByName(scattered.join(large, "bucket", "left_semi").select(
-            "bucket", (F.row_number().over(by_key) - 1).alias("place"), "rec"))
+        whole = scattered.join(large, "bucket", "left_semi")
+        order = (whole.groupBy("bucket").agg(F.sort_array(F.collect_list("pos")).alias("all"))
+                 .select("bucket", F.posexplode(F.shuffle("all", seed)).alias("place", "pos")))
+        shuffled = shuffled.unionByName(whole.join(order, ["bucket", "pos"]).select("bucket", "place", "rec"))
     at = F.col("offset") + F.col("place")
     return shuffled.join(running_offset(sizes, "bucket", "n"), "bucket").select(
         "rec.*", (at % n_shards).cast("int").alias("shard"), F.floor(at / n_shards).cast("long").alias("slot"))

@@ -48,6 +48,20 @@ def test_buckets_follow_bytes_and_large_ones_are_not_held(spark, monkeypatch):
     assert len(sizes) > 20 and sum(r.bytes > 80_000 for r in sizes) == 1
 
 
+def test_large_buckets_are_fisher_yates_shuffled(spark, monkeypatch):
+    """All records in buckets above their size: the places' permutation, not their order, and another seed's is another."""
+    df = spark.createDataFrame([(i, "x" * 500) for i in range(40)], "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(S, "LARGE", 0)
+    orders = set()
+    for seed in range(3):
+        got = S.external_shuffle(df, 1, seed).collect()
+        assert sorted(r.slot for r in got) == list(range(40)) and all(r.text == "x" * 500 for r in got)
+        orders.add(tuple(r.doc_id for r in sorted(got, key=lambda r: r.slot)))
+    assert len(orders) == 3 and tuple(range(40)) not in orders
+    plan = S.external_shuffle(df, 1, 0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "shuffle(" in plan and "row_number" not in plan
+
+
 def test_query_shuffles_whole_records(odd_docs, monkeypatch):
     shuffled = []
     monkeypatch.setattr(S, "external_shuffle", lambda df, f=S.external_shuffle: shuffled.append(df.columns) or f(df))
