@@ -70,3 +70,67 @@ def test_detections_with_their_places(spark, odd_docs):
     got = {(r.doc_id, r.label, r.first_word, r.n_words) for r in L.detect(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == {(1, "apache-2.0", 1, 8), (1, "reserved", 9, 3), (3, "mit", 1, 2)}
     assert L.detect(odd_docs).collect() == []
+
+
+# Notices as they are written, with the labels a reader gives them.
+NOTICES = [
+    ("Licensed under apache 2.0", "apache-2.0"),
+    ("PHP 3.0 and Elastic 1.0, no rights reserved to anyone", ""),
+    ("We upgraded to gpl 3 laps before noon", ""),
+    ("SPDX-License-Identifier: GPL-2.0-or-later", "gpl-2.0"),
+    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+     "License as published by the Free Software Foundation, either version 3 of the License", "gpl,gpl-3"),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "mit"),
+    ("Redistribution and use in source and binary forms, with or without modification, are permitted", "bsd"),
+    ("Distributed under the 3-clause BSD license.", "bsd-3-clause"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mpl-2.0"),
+    ("Copyright (c) 2019 Jane Doe. All rights reserved.", "copyright,reserved"),
+    ("Available under the Open Database License v1.0", "odbl-1.0"),
+    ("published under a Creative Commons Attribution-NonCommercial-NoDerivs 3.0 Unported", "cc-by-nc-nd-3.0"),
+    ("Released into the public domain.", "public-domain"),
+    ("licensed under terms to be agreed", "unknown-license"),
+    ("available under the GPLv3 or later", "gpl-3"),
+    ("the mit campus and the apache tribe", ""),
+]
+
+
+def test_notices():
+    assert [(t, L.scan(t.encode())[5]) for t, _ in NOTICES] == NOTICES
+
+
+def test_keywords_are_in_every_match():
+    """What the gate rests on: a rule's keyword stands in every text the rule matches."""
+    texts = [L.words_of(t.encode())[1].decode() for t, _ in NOTICES]
+    texts += [f" x licensed under the {r.gate} version 2 0 licence {r.gate} license v3 1 0 " for r in L.rules()]
+    for rule in L.rules():
+        for t in texts:
+            if rule.pattern.search(t):
+                assert rule.gate in t, (rule, t)
+
+
+def test_suppression_equals_all_pairs(monkeypatch):
+    """Random intervals of three priorities against the definition."""
+    rng = random.Random(7)
+    for _ in range(300):
+        found = [(b, b + rng.randint(1, 12), rng.randint(0, 2)) for b in (rng.randrange(40) for _ in range(rng.randint(0, 25)))]
+        fake = tuple(L.Rule(str(k), "g", type("P", (), {"finditer": lambda self, w, k=k: iter([
+            type("M", (), {"start": lambda s, d=d: d[0], "end": lambda s, d=d: d[1]})() for d in found if d[2] == k])})(), p, 1.0)
+            for k, p in enumerate((60, 50, 10)))
+        monkeypatch.setattr(L, "rules", lambda f=fake: f)
+        monkeypatch.setattr(L, "gates", lambda: type("A", (), {"iter": lambda self, w: [(0, (0, 1, 2))]})())
+        want = []
+        for b, e, i in sorted(found, key=lambda d: (-fake[d[2]].priority, d[0] - d[1], d[0], d[2])):
+            inside = any(x <= b and e <= y for x, y, _ in want)
+            crossed = fake[i].priority <= L.GENERAL and any(x < e and b < y for x, y, _ in want)
+            if not inside and not crossed:
+                want.append((b, e, fake[i]))
+        assert [(b, e, r.label) for b, e, r in L.detections(" ")] == [(b, e, r.label) for b, e, r in want]
+
+
+def test_long_texts_take_near_linear_time():
+    import time
+
+    text = b"mit license " * 90_000            # over 1 MB
+    t = time.process_time()
+    assert L.scan(text)[5] == "mit" and len(L.detections(L.words_of(text)[1].decode())) == 90_000
+    assert time.process_time() - t < 8
