@@ -110,10 +110,14 @@ r AS (
     WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
     WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
     WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule
-  FROM u)
+  FROM u),
+l AS (
+  SELECT DISTINCT host AS listed FROM u WHERE host <> '' AND substr(md5('42:' || host), 1, 1) IN ('0', '1', '2', '3')
+  UNION SELECT 'spam-farm.example.org'),
+b AS (SELECT DISTINCT h.host FROM (SELECT DISTINCT host FROM u) h JOIN l ON h.host = listed OR ends_with(h.host, '.' || listed))
 SELECT page_id, host, path, rule, CASE
   WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
-  WHEN host = 'spam-farm.example.org' OR ends_with(host, '.spam-farm.example.org') THEN 'block' ELSE 'allow' END AS verdict
+  WHEN host IN (SELECT host FROM b) THEN 'block' ELSE 'allow' END AS verdict
 FROM r
 """
 

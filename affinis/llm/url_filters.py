@@ -11,9 +11,15 @@ Keys of a URL are its host's suffixes with the beginnings of its path, in
 the shapes (labels of the host, length of the path) that the list has.  A
 key of a rule is host + path, the key of a listed host is the host alone.
 
-The bits come to the driver once per level and go out as a literal: their
-size is ``BITS_PER_KEY`` per listed key, whatever the corpus size, and a
-list above ``MAX_KEYS`` is refused.
+The bits come to the driver once per level and go out as a literal:
+``BITS_PER_KEY`` per key of the level.  A list or a universe whose levels
+would hold more than ``MAX_KEYS`` keys is split by a hash of the key into
+several cascades, each exact for its share of the keys; a key is tested
+against the cascade of its share alone.
+
+The query's host list is derived from the pages by a stated rule: a host is
+listed when md5("42:" + host) begins with one of ``LISTED_DIGITS``, about a
+quarter of all hosts, and ``BLOCKED_HOSTS`` are listed too.
 
 Cases: a null URL or one without ``://`` has an empty host and path and fits
 no rule; an empty table or list gives empty levels; repeated pages get equal
@@ -34,10 +40,12 @@ from affinis.session import stage
 # The rules of the contract, and the production host list.
 RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
 BLOCKED_HOSTS = ("spam-farm.example.org",)
+LISTED_DIGITS = "0123"
 
 BITS_PER_KEY = 10
 HASHES = 7
-MAX_KEYS = 50_000_000
+MAX_KEYS = 4_000_000        # keys of one level: 5 MB of bits
+ERRORS = 0.01               # share of keys, not listed, that pass a level, from above
 
 Shape = tuple[int, int]     # labels of the host, characters of the path
 
@@ -70,8 +78,6 @@ class Bloom:
 
     def __init__(self, keys: DataFrame, level: int):
         n = keys.count()
-        if n > MAX_KEYS:
-            raise ValueError(f"{n} keys in one level; at most {MAX_KEYS} fit the literal")
         self.level, self.size = level, 64 * max(1, math.ceil(n * BITS_PER_KEY / 64))
         places = keys.select(F.explode(F.array(*self._places(F.col("key")))).alias("bit")).select(
             F.floor(F.col("bit") / 8).alias("byte"), F.call_function("shiftleft", F.lit(1), (F.col("bit") % 8).cast("int")).alias("mask"))
@@ -118,6 +124,28 @@ class Cascade:
         return test
 
 
+class Cascades:
+    """As ``Cascade``, with no level above ``max_keys`` keys, whatever the sizes of list and universe."""
+
+    def __init__(self, listed: DataFrame, universe: DataFrame, max_keys: int = MAX_KEYS):
+        errors = universe.agg(F.approx_count_distinct("key")).first()[0] * ERRORS       # sizes the split alone
+        n = max(1, math.ceil(max(listed.distinct().count(), errors) / max_keys))
+        self.shares = [Cascade(*(t.where(self._share(F.col("key"), n) == i) if n > 1 else t for t in (listed, universe)))
+                       for i in range(n)]
+
+    @staticmethod
+    def _share(key: Column, n: int) -> Column:
+        return F.pmod(F.xxhash64(F.lit(-1), key), F.lit(n))
+
+    def member(self, key: Column) -> Column:
+        if len(self.shares) == 1:
+            return self.shares[0].member(key)
+        test = F.lit(False)
+        for i, cascade in enumerate(self.shares):
+            test = F.when(self._share(key, len(self.shares)) == i, cascade.member(key)).otherwise(test)
+        return test
+
+
 def _table(spark: SparkSession, keys) -> DataFrame:
     return spark.createDataFrame([(k,) for k in keys], "key string")
 
@@ -137,8 +165,8 @@ def judge(pages: DataFrame, allowed: DataFrame, blocked: DataFrame, hosts: DataF
     shapes = _shapes(allowed.unionByName(blocked))
     rule_keys, host_keys = keys_of(F.col("host"), F.col("path"), shapes), keys_of(F.col("host"), F.lit(""), _shapes(hosts))
     universe = urls.select(F.explode(rule_keys).alias("key"))
-    allow, block = Cascade(allowed, universe), Cascade(blocked, universe)
-    listed = Cascade(hosts, urls.select(F.explode(host_keys).alias("key")))
+    allow, block = Cascades(allowed, universe), Cascades(blocked, universe)
+    listed = Cascades(hosts, urls.select(F.explode(host_keys).alias("key")))
     fits = F.filter("rule_keys", lambda k: allow.member(k) | block.member(k))
     longest = F.array_max(F.transform(fits, lambda k: F.struct(F.length(k).alias("n"), k.alias("key"))))["key"]
     urls = urls.withColumns({"rule_keys": rule_keys, "host_keys": host_keys}).withColumn("rule", longest)
@@ -148,8 +176,16 @@ def judge(pages: DataFrame, allowed: DataFrame, blocked: DataFrame, hosts: DataF
     return urls.select("page_id", "host", "path", "rule", verdict.alias("verdict"))
 
 
+def listed_hosts(pages: DataFrame, digits: str = LISTED_DIGITS) -> DataFrame:
+    """(key): the pages' hosts whose seeded hash begins with one of ``digits``, and the fixed ones."""
+    host = url_parts(F.col("url"))[0]
+    drawn = F.md5(F.concat(F.lit("42:"), F.col("key"))).substr(1, 1).isin(*digits)
+    hosts = pages.select(host.alias("key")).where("key <> ''").where(drawn)
+    return hosts.unionByName(_table(pages.sparkSession, BLOCKED_HOSTS)).distinct()
+
+
 def judge_pages(pages: DataFrame) -> DataFrame:
-    """The contract's rules and the production host list on every page."""
+    """The contract's rules and the derived host list on every page."""
     spark = pages.sparkSession
     of = lambda action: _table(spark, [k for k, a in RULES.items() if a == action])
-    return judge(pages, of("allow"), of("block"), _table(spark, BLOCKED_HOSTS))
+    return judge(pages, of("allow"), of("block"), stage(listed_hosts(pages), "listed_hosts"))

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 from pyspark.sql import functions as F
@@ -7,7 +8,13 @@ from affinis.llm import url_filters as U
 RULES = U.RULES
 
 
-def brute(url):
+def brute_hosts(urls):
+    """The hosts of the pages whose md5 begins with 0 to 3, and the fixed ones."""
+    hosts = {brute(u, ())[0] for u in urls} - {""}
+    return {h for h in hosts if hashlib.md5(f"42:{h}".encode()).hexdigest()[0] in "0123"} | set(U.BLOCKED_HOSTS)
+
+
+def brute(url, listed):
     if url is None or "://" not in url:
         return "", "", None, "allow"
     rest = url.split("://", 1)[1]
@@ -18,7 +25,7 @@ def brute(url):
     if fits:
         rule = max(fits, key=len)
         return host, path, rule, RULES[rule]
-    bad = any(host == h or host.endswith("." + h) for h in U.BLOCKED_HOSTS)
+    bad = any(host == h or host.endswith("." + h) for h in listed)
     return host, path, None, "block" if bad else "allow"
 
 
@@ -32,9 +39,11 @@ def test_rules_hosts_and_odd_urls(spark):
     df = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)] + [(None, urls[6], "x")], "page_id long, url string, host string")
     got = U.judge_pages(df).collect()
     assert len(got) == len(urls) + 1
+    listed = brute_hosts(urls)
+    assert sum(r.rule is None and r.verdict == "block" for r in got) > 5 and len(listed) > 3
     for r in got:
         u = urls[r.page_id] if r.page_id is not None else urls[6]
-        assert (r.host, r.path, r.rule, r.verdict) == brute(u), u
+        assert (r.host, r.path, r.rule, r.verdict) == brute(u, listed), u
     assert U.judge_pages(df.limit(0)).collect() == []
 
 
@@ -52,3 +61,14 @@ def test_no_join_judges_the_pages(spark):
     df = spark.createDataFrame([(1, "http://a.com/")], "page_id long, url string")
     plan = U.judge_pages(df)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Exchange" not in plan and "Python" not in plan
+
+
+def test_lists_beyond_one_cascade_are_split(spark, monkeypatch):
+    """A list of 2000 keys where a level may hold 300, and a universe whose errors alone are above the limit."""
+    universe = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("key"))
+    want = F.xxhash64("key") % 10 == 0
+    c = U.Cascades(universe.where(want), universe, max_keys=300)
+    assert len(c.shares) >= 6 and all(b.size <= 64 * (1 + 400 * U.BITS_PER_KEY // 64) for s in c.shares for b in s.levels)
+    assert universe.where(c.member(F.col("key")) != want).count() == 0
+    few = U.Cascades(universe.where("key = 'k7'"), universe, max_keys=50)
+    assert len(few.shares) > 1 and [r.key for r in universe.where(few.member(F.col("key"))).collect()] == ["k7"]
