@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 def test_registered():
     q, o = E.queries(), E.oracle_sql()
     assert set(QUERIES) | {"pipeline"} <= set(q) and set(ORACLE_SQL) <= set(o)
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert [n for n, _ in C.STAGES] == ["language", "near_duplicates", "pii", "mixture", "pack"]
 
 
