@@ -5,12 +5,17 @@ task builds one shard's vantage-point tree and writes it as a row.  Largest
 inner product becomes smallest distance by one added coordinate that gives
 all of a shard's vectors the same norm, so the triangle inequality holds.
 
-Search: queries are cut into blocks of bounded size, and each (shard, block)
-pair is one task of bounded memory.  A block goes down the tree together;
-a subtree is skipped for a query when its ball or shell lies further than
-``factor`` times the distance of the query's k-th nearest so far.  Factor one
-is exact; a smaller factor prunes more and may miss some.  The candidates
-are then scored exactly (double precision, components in order).
+Search: the trees stay where they are written.  Queries go to them in passes
+of bounded size; each task of a pass walks its share of the trees, one at a
+time, and carries every query's k nearest from tree to tree, so that a later
+tree begins with a small radius.  A block of queries goes down a tree
+together; a subtree is skipped for a query when its ball or shell lies
+further than ``factor`` times the distance of the query's k-th nearest so
+far, and a whole tree when no vector of its largest norm could be nearer.
+Factor one is exact; a smaller factor prunes more and may miss some.  The
+candidates are scored exactly (double precision, components in order).
+The vectors are shuffled once, to their shards; a pass shuffles k rows per
+query and task, and the number of tasks follows the cluster and not the rows.
 
 A vector found many times in a shard is kept under its k + 1 smallest ids:
 no query can return more of them, as ties go to the smaller id, so the
@@ -27,14 +32,17 @@ from __future__ import annotations
 
 import io
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from affinis.session import stage
+from affinis.llm.common import one_row_a_batch
+from affinis.session import scratch_path, stage
 
 # Fixed values of the contract.
 K = 20
@@ -42,6 +50,7 @@ QUERY_EVERY = 20
 
 SHARD_ROWS = 8192
 BLOCK_ROWS = 2048
+PASS_BYTES = 32 << 20     # queries of one pass, with their nearest so far
 LEAF_ROWS = 256
 FACTOR = 1.0
 SEED = 42
@@ -107,14 +116,17 @@ def build_tree(ids: np.ndarray, vecs: np.ndarray, keep: int, leaf_rows: int = LE
 
 
 def search(tree: dict[str, np.ndarray], qids: np.ndarray, q: np.ndarray, k: int = K,
-           factor: float = FACTOR) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """(query row, vec id, score) of each query's k nearest in the tree, and the number of products computed."""
+           factor: float = FACTOR, floor: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(query row, vec id, score) of each query's k nearest in the tree, and the number of products computed.
+
+    ``floor`` holds each query's k best scores found elsewhere, ascending (-inf: none); what is worse is left out.
+    """
     ids, vecs, nodes, points, top = (tree[n] for n in ("ids", "vecs", "nodes", "points", "top"))
     q = np.ascontiguousarray(q, np.float64)
     qq = (q ** 2).sum(axis=1)
     scale = np.sqrt(qq * float(top)) + 1e-300
     slack = 1e-10 * scale                               # rounding of the matrix product
-    best = np.full((len(q), k), -np.inf)
+    best = np.full((len(q), k), -np.inf) if floor is None else floor.copy()
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     work = 0
 
@@ -149,7 +161,10 @@ def search(tree: dict[str, np.ndarray], qids: np.ndarray, q: np.ndarray, k: int
         visit(outer, rows[inside & (gap_out <= reach)])
         visit(inner, rows[~inside & (gap_in <= reach)])
 
-    visit(0, np.arange(len(q)))
+    # no product exceeds the norms' product
+    visit(0, np.flatnonzero(best[:, 0] <= scale + slack))
+    if not found:
+        return np.empty(0, np.int64), ids[:0], np.empty(0), work
     row, col, near = (np.concatenate(x) for x in zip(*found))
     ok = near >= best[row, 0] - slack[row]
     row, col = row[ok], col[ok]
@@ -176,36 +191,90 @@ def index(vectors: DataFrame, k: int = K, shard_rows: int = SHARD_ROWS) -> tuple
         tree = build_tree(pdf["vec_id"].to_numpy(), np.stack(pdf["embedding"].to_list()), k + 1)
         return pd.DataFrame({"dim": [key[0]], "shard": [key[1]], "tree": [_blob(**tree)]})
 
-    rows = _keyed(vectors).distinct().withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int"))
+    rows = _keyed(vectors).distinct().withColumn("shard", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(n)).cast("int"))
     return stage(rows.groupBy("dim", "shard").applyInPandas(build, "dim int, shard int, tree binary"), "vp_trees"), n
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float = FACTOR,
-            shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k rows of ``vectors`` nearest to each row of ``queries``."""
-    trees, shards = index(vectors, k, shard_rows)
-    blocks = max(1, math.ceil(queries.count() / block_rows))
-
-    def pack(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"dim": [key[0]], "block": [key[1]], "queries": [_blob(
-            ids=pdf["vec_id"].to_numpy(), vecs=np.stack(pdf["embedding"].to_list()).astype(np.float64))]})
-
-    def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        q = _arrays(right["queries"].iloc[0])
-        row, ids, score, _ = search(_arrays(left["tree"].iloc[0]), q["ids"], q["vecs"], k, factor)
-        return pd.DataFrame({"query_id": q["ids"][row], "vec_id": ids, "score": score})
-
-    asked = _keyed(queries).distinct().withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int"))
-    packed = stage(asked.groupBy("dim", "block").applyInPandas(pack, "dim int, block int, queries binary"), "query_blocks")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    hits = (trees.withColumn("block", every(blocks)).groupBy("dim", "shard", "block")
-            .cogroup(packed.withColumn("shard", every(shards)).groupBy("dim", "shard", "block"))
-            .applyInPandas(run, "query_id long, vec_id long, score double"))
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score")
+class Nearest:
+    """The k nearest so far of one block of queries."""
+
+    def __init__(self, ids: np.ndarray, vecs: np.ndarray, k: int):
+        self.ids, self.vecs, self.k = ids, vecs, k
+        self.row, self.vec_id, self.score = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+
+    def floor(self) -> np.ndarray:
+        """The scores so far, ascending; -inf where fewer than k were found."""
+        out = np.full((len(self.ids), self.k), -np.inf)
+        place = np.arange(len(self.row)) - np.searchsorted(self.row, self.row, side="left")
+        out[self.row, self.k - 1 - place] = self.score
+        return out
+
+    def walk(self, tree: dict[str, np.ndarray], factor: float) -> None:
+        row, ids, score, _ = search(tree, self.ids, self.vecs, self.k, factor, self.floor())
+        row, ids, score = (np.concatenate(x) for x in ((self.row, row), (self.vec_id, ids), (self.score, score)))
+        order = np.lexsort((ids, -score, row))
+        row, ids, score = row[order], ids[order], score[order]
+        first = np.arange(len(row)) - np.searchsorted(row, row, side="left") < self.k
+        self.row, self.vec_id, self.score = row[first], ids[first], score[first]
+
+
+def _blocks(rows: pa.Table, block_rows: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(dim, ids, vectors) of at most ``block_rows`` queries of one length each."""
+    ids, vecs = rows.column("vec_id").to_numpy(), rows.column("embedding").combine_chunks()
+    dims = rows.column("dim").to_numpy()
+    out = []
+    for dim in np.unique(dims):
+        own = np.flatnonzero(dims == dim)
+        flat = vecs.take(pa.array(own)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+        out += [(int(dim), ids[own[i:i + block_rows]], flat[i:i + block_rows]) for i in range(0, len(own), block_rows)]
+    return out
+
+
+def search_pass(trees: DataFrame, blocks: list[tuple[int, np.ndarray, np.ndarray]], k: int, factor: float) -> DataFrame:
+    """(query_id, vec_id, score): for each query of a pass and each task the k nearest in the task's trees."""
+    shared = trees.sparkSession.sparkContext.broadcast(blocks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        so_far = [(dim, Nearest(ids, vecs, k)) for dim, ids, vecs in shared.value]
+        for batch in batches:
+            for dim, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                tree = _arrays(blob.as_py())
+                for of, block in so_far:
+                    if of == dim:
+                        block.walk(tree, factor)
+        for _, x in so_far:
+            yield pa.RecordBatch.from_arrays([pa.array(x.ids[x.row], pa.int64()), pa.array(x.vec_id, pa.int64()), pa.array(x.score)],
+                                             names=["query_id", "vec_id", "score"])
+
+    return trees.select("dim", "tree").mapInArrow(run, "query_id long, vec_id long, score double")
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float = FACTOR, shard_rows: int = SHARD_ROWS,
+            block_rows: int = BLOCK_ROWS, pass_bytes: int = PASS_BYTES, tasks: int | None = None) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k rows of ``vectors`` nearest to each row of ``queries``.
+
+    A pass holds queries of about ``pass_bytes``; one pass at a time is on the driver.  ``tasks`` (default: two a core)
+    share the trees.
+    """
+    spark = vectors.sparkSession
+    trees, _ = index(vectors, k, shard_rows)
+    trees = trees.coalesce(tasks or 2 * spark.sparkContext.defaultParallelism)
+    asked = stage(_keyed(queries).distinct(), "queries")
+    # a query's vector, and its k nearest so far: id, score and place, twice while they are merged
+    size = asked.agg(F.sum(F.col("dim") * 8 + 48 * k)).first()[0] or 0
+    passes = -(-size // pass_bytes)
+    ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    first = lambda hits: hits.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
+    found = spark.createDataFrame([], "query_id long, vec_id long, score double")
+    if passes:
+        schema, path = found.schema, scratch_path(spark, "nearest")
+        for p in range(passes):
+            rows = asked.where(F.pmod(F.xxhash64(F.lit(1), "vec_id", "embedding"), F.lit(passes)) == p).toArrow()
+            hits = first(search_pass(trees, _blocks(rows, block_rows), k, factor)).drop("rank")
+            with one_row_a_batch(spark):
+                hits.write.parquet(f"{path}/pass={p}")
+        found = spark.read.schema(schema).parquet(path).select(schema.names)
+    return first(found).select("query_id", "rank", "vec_id", "score")
 
 
 def nearest_embeddings(vectors: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -37,6 +40,18 @@ def nested(df: DataFrame, *taken: str) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in low])
 
 
+@contextmanager
+def one_row_a_batch(spark: SparkSession) -> Iterator[None]:
+    """A Python worker gets one (large) row at a time, however many its task has."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def running_offset(df: DataFrame, key: str, size: str, group: int = 1024) -> DataFrame:
     """(key, offset): sum of ``size`` over all smaller integer keys, in two levels, so no window holds all keys."""
     sup = df.select(key, size, F.floor(F.col(key) / group).alias("_sup"))

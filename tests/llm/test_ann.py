@@ -44,6 +44,44 @@ def test_factor_one_is_exact_over_shards_and_blocks(spark):
     check(spark, vectors(), shard_rows=150, block_rows=10)
 
 
+def test_many_passes_and_trees_in_one_task_equal_brute_force(spark):
+    check(spark, vectors(700, 6, 5), shard_rows=60, block_rows=7, pass_bytes=6000, tasks=2)
+    check(spark, vectors(300, 6, 7), shard_rows=10, tasks=1)                 # trees smaller than k
+
+
+def test_nearest_so_far_is_carried_and_prunes_later_trees():
+    rows = vectors(3000, 8, 9)
+    x = np.array([r[1] for r in rows], np.float64)
+    x[2000:] *= 1e-3                                                         # a tree that cannot hold a nearer vector
+    trees = [A.build_tree(np.arange(a, a + 1000), x[a:a + 1000], 6, leaf_rows=64) for a in (0, 1000, 2000)]
+    q = np.arange(0, 2000, 20)
+    far = (x[q] @ x[:2000].T).max(axis=1) > 0.1
+    q = q[far]
+    block = A.Nearest(q, x[q], 5)
+    for tree in trees[:2]:
+        block.walk(tree, 1.0)
+    _, _, _, cold = A.search(trees[1], q, x[q], 5)
+    first = A.Nearest(q, x[q], 5)
+    first.walk(trees[0], 1.0)
+    _, _, _, warm = A.search(trees[1], q, x[q], 5, floor=first.floor())
+    assert warm < cold
+    row, ids, _, work = A.search(trees[2], q, x[q], 5, floor=block.floor())
+    assert len(row) == 0 and work == 0
+    whole = A.build_tree(np.arange(2000), x[:2000], 6)
+    row, ids, score, _ = A.search(whole, q, x[q], 5)
+    assert (row.tolist(), ids.tolist(), score.tolist()) == (block.row.tolist(), block.vec_id.tolist(), block.score.tolist())
+
+
+def test_one_id_with_many_vectors_is_spread_over_shards(spark):
+    rows = vectors(400)
+    rows = [(7, *r[1:]) if r[0] % 3 == 1 else r for r in rows]
+    df = spark.createDataFrame(rows, SCHEMA)
+    trees, n = A.index(df, shard_rows=50)
+    held = [len(A._arrays(bytes(r.tree))["ids"]) for r in trees.collect()]
+    assert n == 8 and sum(held) == 400 and max(held) < 100
+    check(spark, rows, shard_rows=50)
+
+
 def test_odd_vectors_copies_and_other_lengths(spark):
     rows = vectors(120)
     one = rows[40][1]
