@@ -27,6 +27,8 @@ columns pass unchanged (sanitised rows), or are not read (span queries).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +53,8 @@ MIN_CONTEXTS = 2
 GENERALISE = 0.9
 REMOVE = 0.97
 HOT_SHARE = 1e-4        # a term with more of all occurrences is salted; at most 1 / HOT_SHARE terms have so many
+FILTER_BITS_PER_TERM = 32
+MOST_FILTER_BITS = 1 << 26      # 8 MiB; with more terms the filter lets more rows into the (exact) join behind it
 
 
 def _digits(v: Column) -> Column:
@@ -167,17 +171,49 @@ def disclosing(near: DataFrame, docs: DataFrame, words: DataFrame | None = None)
             .where(F.col("disclosure") >= GENERALISE).select("entity", "term", "disclosure"))
 
 
+def may_be_in(terms: DataFrame, most_bits: int | None = None):
+    """A test (column -> condition) that holds for every ``term`` of ``terms`` and for few others: a Bloom filter.
+
+    Its bits are one array, built by an aggregate and read as a scalar subquery.
+    """
+    n = max(1, terms.count())
+    bits = max(64, min(most_bits or MOST_FILTER_BITS, 1 << math.ceil(math.log2(FILTER_BITS_PER_TERM * n))))
+    probes = max(1, min(5, round(math.log(2) * bits / n)))
+
+    def places(term: Column) -> list[Column]:
+        h = F.xxhash64(term)
+        low, high = h.bitwiseAND(F.lit(0x7FFFFFFF)), F.shiftrightunsigned(h, 33)
+        return [F.pmod(low + i * high, F.lit(bits)) for i in range(probes)]
+
+    word = lambda at: F.shiftright(at, 6)
+    bit = lambda at: F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))
+    at = F.col("at")
+    set_bits = terms.select(F.explode(F.array(*places(F.col("term")))).alias("at")).select(word(at).alias("word"), bit(at).alias("bits"))
+    no_bits = terms.sparkSession.range(bits // 64).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
+    words = set_bits.unionByName(no_bits).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda w: w["bits"])
+    table = stage(words.agg(ordered.alias("bits")), "term_filter").scalar()
+
+    def test(term: Column) -> Column:
+        out = F.lit(True)
+        for p in places(term):
+            out = out & (table[word(p).cast("int")].bitwiseAND(bit(p)) != 0)
+        return out
+
+    return test
+
+
 def text_terms(docs: DataFrame, words: DataFrame, revealing: DataFrame) -> DataFrame:
     """(key, terms): the disclosing terms of every text that holds any, near an entity or not.
 
-    Each text gives its distinct terms, which meet ``revealing`` by term.  Terms with more than ``HOT_SHARE`` of all
-    occurrences are at most 1 / ``HOT_SHARE``, so their list is broadcast: those that disclose nothing leave before the
-    shuffle, the others are cut into salts.
+    Each text gives its distinct terms.  Those that a Bloom filter of ``revealing`` rules out leave before the shuffle,
+    the others meet ``revealing`` by term.  Terms with more than ``HOT_SHARE`` of all occurrences are at most
+    1 / ``HOT_SHARE``, so their list is broadcast: those that disclose nothing leave too, the others are cut into salts.
     """
     value = F.transform(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(TERM), F.lit(0)), lambda v: F.lower(v))
     pairs = (docs.select(text_key(F.coalesce("text", F.lit(""))).alias("key"), F.monotonically_increasing_id().alias("at"),
                          F.array_distinct(value).alias("terms"))
-             .select("key", "at", F.explode("terms").alias("term")))
+             .select("key", "at", F.explode("terms").alias("term")).where(may_be_in(revealing)(F.col("term"))))
     least = words.agg(F.sum("n") * F.lit(HOT_SHARE)).scalar()
     hot = F.broadcast(words.where(F.col("n") > least).join(revealing.select("term", F.lit(True).alias("reveals")), "term", "left")
                       .select("term", F.ceil(F.col("n") / least).alias("salts"), F.coalesce("reveals", F.lit(False)).alias("reveals")))

@@ -126,6 +126,34 @@ def test_disclosure_counts_equal_brute_force(spark):
     assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-12 for k in got)
 
 
+def test_term_filter_holds_every_term_and_few_others(spark):
+    from pyspark.sql import functions as F
+    terms = spark.range(5000).select(F.concat(F.lit("name"), F.col("id")).alias("term"))
+    others = spark.range(5000, 55000).select(F.concat(F.lit("name"), F.col("id")).alias("term"))
+    test = P.may_be_in(terms)
+    assert terms.where(test(F.col("term"))).count() == 5000
+    assert others.where(test(F.col("term"))).count() < 50
+    small = P.may_be_in(terms, most_bits=1024)                     # too few bits: lets more through, loses none
+    assert terms.where(small(F.col("term"))).count() == 5000
+    none = P.may_be_in(terms.where("false"))
+    assert others.where(none(F.col("term"))).count() == 0
+
+
+def test_terms_of_texts_equal_the_plain_join(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    rng = random.Random(5)
+    texts = [" ".join(f"word{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}" for _ in range(30)) + " Common" for _ in range(300)]
+    docs = spark.createDataFrame([(t,) for t in texts + [None, ""]], "text string").repartition(3)
+    words = P.term_counts(docs)
+    revealing = spark.createDataFrame([("wordab", 0.9), ("wordzz", 0.95), ("common", 0.99), ("absent", 1.0)], "term string, disclosure double")
+    want = {t: {w for w in t.lower().split() if w in ("wordab", "wordzz", "common")} for t in texts}
+    keyed = {tuple(r.k): r.text for r in docs.select("text", P.text_key(F.coalesce("text", F.lit(""))).alias("k")).collect()}
+    for bits in (P.MOST_FILTER_BITS, 64):
+        monkeypatch.setattr(P, "MOST_FILTER_BITS", bits)
+        got = {keyed[tuple(r.key)]: {x.term for x in r.terms} for r in P.text_terms(docs, words, revealing).collect()}
+        assert got == {t: s for t, s in want.items() if s}
+
+
 def test_odd_rows_and_overlaps(spark, odd_docs, no_docs):
     got = P.find_spans(odd_docs).collect()
     assert len(got) == len(odd_rows())
