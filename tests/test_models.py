@@ -130,3 +130,16 @@ def test_gradient_is_that_of_the_loss_and_vanishes_at_the_fit(spark, wf):
     assert end["loss"] < base["loss"]
     plan = MO.loss_and_gradient(rows, MO.weights_table(spark, MO.FIXED_WEIGHTS))._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan
+
+
+def test_scores_after_something_was_observed(spark):
+    """The tasks that score hold no session: once anything was observed, it does not serialise."""
+    from pyspark.sql import Observation
+
+    rows = [(i, i, float(i % 2), *[float((i * (k + 3)) % 7) for k in range(len(FEATURES))]) for i in range(40)]
+    t = spark.createDataFrame(rows, ["user_id", "post_id", "label", *FEATURES])
+    seen = Observation()
+    t.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 40
+    got = MO.lr_scores(MO.fit_lr(t, checkpoint=False), t).collect()
+    assert len(got) == 40 and all(0.0 < r.score < 1.0 for r in got)
