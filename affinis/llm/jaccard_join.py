@@ -12,9 +12,11 @@
    shingles in its head has no partner.
 4. Candidates meet on prefix shingles.  First each posting list is tied to one pivot of its own, and the verified ties give
    components, so a group of near copies costs in proportion to its members.  Then sets of different components
-   that still share a list are paired; a list within one component is left out.  Pairs are kept only where sizes
-   and parity bitmaps (a lower bound of the symmetric difference) allow a link, and verified on whole sets.
-5. Components of all verified links; the smallest doc_id names one.
+   that still share a list are paired; a list within one component is left to step 5.  Pairs are kept only where
+   sizes and parity bitmaps (a lower bound of the symmetric difference) allow a link, and verified on whole sets.
+5. Within the components of the ties every set is compared with every other, block by block inside the tasks: a
+   row per set and block with its number of links leaves them, not a row per pair.
+6. Components of all verified links; the smallest doc_id names one.
 
 Cases: null, empty and white-space texts have the empty set and are linked with nothing; a text of one or two words
 is one shingle; repeated rows are linked (equal sets); a null doc_id counts as largest, and a component of null
@@ -31,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinis.llm.near_dup import components
+from affinis.plans.skew import hot_keys
 from affinis.session import stage
 
 # Fixed values of the contract.
@@ -43,6 +46,10 @@ VERIFY_COST = 4
 #: Words whose hash a worker remembers.
 MEMO = 500_000
 PARITY_LONGS = 8
+#: Sets of one component in a block, on average; two blocks meet in a task.
+BLOCK = 128
+#: Shingles that a block's table of sets is wide.
+WIDTH = 16_384
 
 
 class _Words(dict):
@@ -207,7 +214,7 @@ def star_candidates(postings: DataFrame, percent: int) -> DataFrame:
 
 
 def cross_candidates(postings: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
-    """(a, b): sets of different components that share posting lists; lists within one component are left out."""
+    """(a, b): sets of different components that share posting lists; ``links_within`` counts inside components."""
     c = comps.select(F.col("node").alias("sid"), F.col("root").alias("comp"))
     named = postings.join(c, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     named = stage(named, "named_postings")
@@ -218,8 +225,8 @@ def cross_candidates(postings: DataFrame, comps: DataFrame, percent: int) -> Dat
     return _enough(met, "x", "y")
 
 
-def verified(pairs: DataFrame, items: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b) of ``pairs`` whose whole sets, made anew from the texts, reach the similarity."""
+def verified(pairs: DataFrame, items: DataFrame, docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b) of ``pairs`` whose whole sets, made anew from the texts, reach the similarity; and those sets (sid, s)."""
     # written first: its size is known then, and texts are only shuffled where the list of their hashes is large
     needed = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
     needed = stage(needed.join(items.select("sid", "h1", "h2", "th"), "sid"), "needed_sets")
@@ -231,11 +238,72 @@ def verified(pairs: DataFrame, items: DataFrame, docs: DataFrame, words: int, pe
          .join(full.select(F.col("sid").alias("b"), F.col("s").alias("sb")), "b"))
     shared = F.size(F.array_intersect("sa", "sb"))
     j = j.select("a", "b", shared.alias("i"), (F.size("sa") + F.size("sb")).alias("both"))
-    return j.where(100 * F.col("i") >= percent * (F.col("both") - F.col("i"))).select("a", "b")
+    return j.where(100 * F.col("i") >= percent * (F.col("both") - F.col("i"))).select("a", "b"), full
+
+
+def _linked(found: list[np.ndarray], side: np.ndarray, apart: bool, percent: int) -> np.ndarray:
+    """How many of the sets ``found`` each of them is linked to; ``apart``: only to those of another side."""
+    n = np.array([len(s) for s in found], np.int64)
+    known, column = np.unique(np.concatenate(found), return_inverse=True)
+    row = np.repeat(np.arange(len(n)), n)
+    shared = np.zeros((len(n), len(n)), np.int64)
+    for start in range(0, len(known), WIDTH):
+        here = (column >= start) & (column < start + WIDTH)
+        has = np.zeros((len(n), min(WIDTH, len(known) - start)), np.float32)       # sums of at most WIDTH ones are exact
+        has[row[here], column[here] - start] = 1
+        shared += (has @ has.T).astype(np.int64)
+    linked = 100 * shared >= percent * (n[:, None] + n[None, :] - shared)
+    np.fill_diagonal(linked, False)
+    if apart:
+        linked &= side[:, None] != side[None, :]
+    return linked.sum(1)
+
+
+def links_within(full: DataFrame, comps: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """(sid, n_links): the links of each set to the others of its component, a row per block that it was compared with.
+
+    ``full``: (sid, s), the whole sets; ``comps``: (node, root) as ``components`` gives it.  A component is dealt
+    into blocks of about ``block`` sets, and every two blocks meet in one group, so a task holds two blocks at a
+    time however large the component.
+    """
+    nodes = comps.select(F.col("node").alias("sid"), "root").unionByName(comps.select(F.col("root").alias("sid"), "root").distinct())
+    hot = hot_keys(nodes, ["root"], block)          # at most a row for every ``block`` sets
+    blocks = F.coalesce("salts", F.lit(1))
+    members = (full.join(nodes, "sid").join(F.broadcast(hot), "root", "left")
+               .select("root", "sid", "s", F.pmod(F.xxhash64("sid"), blocks).cast("int").alias("own"), blocks.alias("blocks")))
+    met = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("root", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "sid", "s")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made() -> pa.RecordBatch:
+            n = _linked(found, np.array(own), key[1] != key[2], percent)
+            return pa.RecordBatch.from_arrays([pa.array(sid, pa.int64()), pa.array(n, pa.int64())], names=["sid", "n_links"])
 
-def links(items: DataFrame, docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Verified links (a, b) of distinct sets, and (node, root) of the components they make.
+        key, own, sid, found = None, [], [], []
+        for batch in batches:
+            done = []
+            keys = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
+            starts, flat = batch.column(5).offsets.to_numpy(), batch.column(5).values.to_numpy()
+            for i, (k, o, x) in enumerate(zip(keys, batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)):
+                if k != key:
+                    if key:
+                        done.append(made())
+                    key, own, sid, found = k, [], [], []
+                own.append(o)
+                sid.append(x)
+                found.append(flat[starts[i]:starts[i + 1]])
+            found = [s.copy() for s in found]       # a group that goes on does not keep its batches
+            yield from pa.Table.from_batches(done).combine_chunks().to_batches() if done else ()
+        if key:
+            yield made()
+
+    group = ["root", "lo", "hi"]
+    return met.repartition(*group).sortWithinPartitions(*group).mapInArrow(run, "sid long, n_links long")
+
+
+def links(items: DataFrame, docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT,
+          block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """(sid, n_links) of the distinct sets that have links, and (node, root) of the components these make.
 
     ``items``: (sid, h1, h2, n, th, parity, head), one row per distinct set.
     """
@@ -244,14 +312,18 @@ def links(items: DataFrame, docs: DataFrame, words: int = SHINGLE_WORDS, percent
     shared = tokens.join(counts, "token").groupBy("sid", "n").agg(F.collect_list(F.struct("df", "token")).alias("shared"))
     postings = prefixes(shared, percent).join(items.select("sid", "parity"), "sid")
     postings = stage(postings, "postings")
-    near = stage(verified(stage(star_candidates(postings, percent), "star_pairs"), items, docs, words, percent), "star_links")
-    pairs = stage(cross_candidates(postings, stage(components(near), "star_components"), percent), "cross_pairs")
-    more = stage(verified(pairs, items, docs, words, percent), "cross_links")
-    edges = near.unionByName(more)
-    return edges, components(edges)
-
-
-def jaccard_components(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+    near, full = verified(stage(star_candidates(postings, percent), "star_pairs"), items, docs, words, percent)
+    near = stage(near, "star_links")
+    comps = stage(components(near), "star_components")
+    more, _ = verified(stage(cross_candidates(postings, comps, percent), "cross_pairs"), items, docs, words, percent)
+    more = stage(more, "cross_links")
+    counts = links_within(full, comps, percent, block)
+    for side in ("a", "b"):
+        counts = counts.unionByName(more.select(F.col(side).alias("sid"), F.lit(1).cast("long").alias("n_links")))
+    return counts.groupBy("sid").agg(F.sum("n_links").alias("n_links")), components(near.unionByName(more))
+
+
+def jaccard_components(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links), one row per document.
 
     n_links counts the document's links to other distinct sets, by which copies of one set count once.
@@ -261,9 +333,7 @@ def jaccard_components(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int
         F.first("n").alias("n"), F.first("th").alias("th"), F.min("doc_id").alias("first_id"),
         F.first("parity").alias("parity"), F.first("head").alias("head"))
     items = stage(items.withColumn("sid", F.monotonically_increasing_id()), "distinct_sets")
-    edges, comps = links(items, docs, words, percent)
-    degree = (edges.select(F.col("a").alias("sid")).unionByName(edges.select(F.col("b").alias("sid")))
-              .groupBy("sid").agg(F.count(F.lit(1)).alias("n_links")))
+    degree, comps = links(items, docs, words, percent, block)
     named = (items.select("h1", "h2", "sid", "first_id").join(comps, F.col("sid") == F.col("node"), "left")
              .withColumn("root", F.coalesce("root", "sid")).join(degree, "sid", "left"))
     named = stage(named.select("h1", "h2", "root", "first_id", F.coalesce("n_links", F.lit(0)).alias("n_links")), "set_components")

@@ -79,6 +79,16 @@ def test_links_equal_brute_force(spark):
     assert sum(r.n_links > 0 for r in got) > 100
 
 
+@pytest.mark.parametrize("block", (J.BLOCK, 6))
+def test_every_link_is_counted(spark, block):
+    """Also those inside a component that the pivots' ties have already made, over one block or several."""
+    rows = near_rows()
+    got = J.jaccard_components(spark.createDataFrame(rows, SCHEMA).repartition(4), block=block).collect()
+    _, degree, of = brute(rows)
+    assert text_key((r.doc_id, r.n_shingles, r.n_links) for r in got) == text_key(
+        (r[0], len(s), degree.get(s, 0)) for r, s in zip(rows, of, strict=True))
+
+
 @pytest.mark.parametrize("percent", (80, 95))
 def test_other_thresholds(spark, percent):
     rows = near_rows()[:320]
