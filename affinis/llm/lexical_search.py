@@ -38,8 +38,9 @@ from affinis.session import stage
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 TOP = 20
 
-SHARD_DOCS = 2048
-SHARD_TERMS = 500_000     # terms with repeats, beyond which a shard takes no further document
+SHARD_DOCS = 1024
+SHARD_TERMS = 250_000     # terms with repeats, beyond which a shard takes no further document
+BATCH_DOCS = 256          # texts that are on their way to a Python worker at a time
 BUCKET = 8
 WAVE = 256
 #: Terms with repeats in one block of items.
@@ -218,31 +219,32 @@ def build_index(docs: DataFrame, n_docs: int, n_terms: int, shard_docs: int = SH
         g = Grid(place[term], doc, impact, int(max(len(df), len(n)) - 1).bit_length())
         names = np.array(list(vocabulary), dtype=object)[by_df]
         out = {"doc_ids": pa.array([[ids[i].as_py() for i in by_length]], pa.list_(ids[0].type)),
-               "terms": pa.array([b" ".join(names)], pa.binary()), "df": _list(df[by_df]), "height": pa.array([g.height], pa.int32())}
-        return pa.RecordBatch.from_pydict(out | {c: _list(getattr(g, c)) for c in GRID})
+               "terms": pa.array([b" ".join(names)], pa.binary()), "df": _stored(df[by_df]), "height": pa.array([g.height], pa.int32())}
+        return pa.RecordBatch.from_pydict(out | {c: _stored(getattr(g, c), kind) for c, kind in GRID.items()})
 
-    lists = ", ".join(f"{c} array<int>" for c in GRID)
+    grid = ", ".join(f"{c} binary" for c in GRID)
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_ids array<{id_type}>, terms binary, df array<int>, height int, {lists}")
+        run, f"doc_ids array<{id_type}>, terms binary, df binary, height int, {grid}")
 
 
-GRID = ("term", "doc", "impact", "mask", "top", "start", "stop", "child")
+#: A grid's numbers as they are stored: bytes, of which an executor holds one copy; a reader of arrays keeps levels beside them.
+GRID = {"term": "<i4", "doc": "<i4", "impact": "<i4", "mask": "u1", "top": "<i4", "start": "<i4", "stop": "<i4", "child": "<i4"}
 
 
-def _list(values: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, pa.int32()))
+def _stored(values: np.ndarray, kind: str = "<i4") -> pa.Array:
+    return pa.array([values.astype(kind).tobytes()], pa.binary())
 
 
-def _numbers(column: pa.Array, i: int) -> np.ndarray:
-    return column[i].values.to_numpy()
+def _numbers(column: pa.Array, i: int, kind: str = "<i4") -> np.ndarray:
+    return np.frombuffer(column[i].as_buffer(), kind)
 
 
 @contextmanager
-def _one_shard_a_batch(spark) -> Iterator[None]:
-    """A Python worker gets one shard at a time, however many its task has."""
+def _rows_a_batch(spark, rows: int) -> Iterator[None]:
+    """A Python worker gets ``rows`` rows at a time, however many its task has; the buffers stay small."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
-    spark.conf.set(name, "1")
+    spark.conf.set(name, str(rows))
     try:
         yield
     finally:
@@ -262,7 +264,7 @@ def dfs(index: DataFrame, words: set[bytes]) -> dict[bytes, int]:
         yield pa.RecordBatch.from_pydict({"term": pa.array(found.keys(), pa.binary()), "df": pa.array(found.values(), pa.int64())})
 
     rows = index.select("terms", "df").mapInArrow(run, "term binary, df long").groupBy("term").agg(F.sum("df").alias("df"))
-    with _one_shard_a_batch(index.sparkSession):
+    with _rows_a_batch(index.sparkSession, 1):
         return {bytes(r.term): r.df for r in rows.collect()}
 
 
@@ -283,8 +285,7 @@ def search_block(index: DataFrame, items: list[Counter], n_docs: int, k: int = T
         scores: list[list[int]] = [[] for _ in items]       # the k best of this task's shards so far
         for b in batches:
             for i in range(b.num_rows):
-                g = Grid.stored(*(_numbers(b.column(c), i) for c in GRID[:3]), b.column("height")[i].as_py(),
-                                *(_numbers(b.column(c), i) for c in GRID[3:]))
+                g = Grid.stored(**{c: _numbers(b.column(c), i, kind) for c, kind in GRID.items()}, height=b.column("height")[i].as_py())
                 row_of = {t: r for r, t in enumerate(b.column("terms")[i].as_py().split(b" ")) if t in weights}
                 ids = b.column("doc_ids")[i].values
                 hits: list[tuple] = []
@@ -319,15 +320,17 @@ def search(docs: DataFrame, items: DataFrame, k: int = TOP, shard_docs: int = SH
            block_terms: int = BLOCK_TERMS) -> DataFrame:
     """(item_id, rank, doc_id, score): the ``k`` best documents of each item with a score above 0."""
     spark = docs.sparkSession
-    n_docs, n_terms = totals(docs)
+    with _rows_a_batch(spark, BATCH_DOCS):
+        n_docs, n_terms = totals(docs)
     id_type, item_type = (t.schema[c].dataType.simpleString() for t, c in ((docs, "doc_id"), (items, "item_id")))
     best = spark.createDataFrame([], f"item_id {item_type}, doc_id {id_type}, score long")
     if n_docs:
-        index = stage(build_index(docs, n_docs, n_terms, shard_docs, shard_terms), "k2_treaps")
+        with _rows_a_batch(spark, BATCH_DOCS):
+            index = stage(build_index(docs, n_docs, n_terms, shard_docs, shard_terms), "k2_treaps")
         for block in blocks(items, block_terms):
             names = spark.createDataFrame([(p, i) for p, (i, _) in enumerate(block)], f"item int, item_id {item_type}")
             hits = search_block(index, [bag for _, bag in block], n_docs, k)
-            with _one_shard_a_batch(spark):
+            with _rows_a_batch(spark, 1):
                 hits = stage(hits.join(F.broadcast(names), "item").select("item_id", "doc_id", "score"), "hits")
             best = best.unionByName(hits)
     order = Window.partitionBy("item_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))

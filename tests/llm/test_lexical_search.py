@@ -92,3 +92,12 @@ def test_grid_holds_every_posting_and_its_maxima():
             assert all(scores[c] == s for s, c in best)
             ties = [c for c, s in enumerate(scores.tolist()) if s and len(want) == 10 and s == want[-1]]
             assert {c for s, c in best if len(want) == 10 and s == want[-1]} == set(ties)
+
+
+def test_shards_hold_their_numbers_as_bytes(odd_docs):
+    """No array columns of a posting an element: their reader keeps two levels per element beside the values."""
+    index = L.build_index(odd_docs, *L.totals(odd_docs))
+    kinds = dict(index.dtypes)
+    assert {kinds[c] for c in ("df", *L.GRID)} == {"binary"}
+    r = index.first()
+    assert len(r.term) == len(r.doc) == len(r.impact) and len(r.top) == len(r.child) == 4 * len(r.mask)
