@@ -1,10 +1,12 @@
 """Operator 6, packing: first-fit decreasing with a tournament tree of bin capacities.
 
-1. Tokenise: every whole text becomes its ids and an end id.  Ids are built
-   per white-space chunk through a bounded cache of two generations, so a
-   frequent word is encoded once per Python worker.  Whether chunks and the
-   short way of simple ones give the tokenizer's own ids is tested when it is
-   loaded; a tokenizer that fails takes whole chunks, or whole texts.
+1. Tokenise: every whole text becomes its ids and an end id.  Arrow splits a
+   run of texts (``RUN_BYTES``) at white space, numbers the distinct chunks, cuts
+   the simple ones into their two pieces and numbers those.  The ids of each
+   piece come through a bounded cache of two generations, so a frequent one is
+   encoded once per Python worker; numpy lays them out by the numbers.  Whether
+   chunks and pieces give the tokenizer's own ids is tested when it is loaded;
+   a tokenizer that fails takes whole chunks, or whole texts.
 2. Cut: a document longer than a sequence becomes full pieces and a rest.
    The piece table (no ids) is written to the shared folder.
 3. Pack: pieces are dealt to groups at random, by a hash of their written
@@ -27,7 +29,6 @@ from __future__ import annotations
 
 import math
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -35,6 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
@@ -45,12 +47,14 @@ from affinis.session import stage
 CAPACITY = 2048
 END_ID = 1
 GROUP_PIECES = 8192
-#: Entries of each of the two generations of a worker's caches.
+#: Entries of each of the two generations of a worker's cache.
 CACHE_CHUNKS = 125_000
+#: Bytes of the texts that are split at once; a longer text is a run of its own.
+RUN_BYTES = 1 << 23
 
 # a chunk of Latin letters (ASCII, or U+00C0 to U+00FF without the two signs), then ASCII punctuation without the
 # apostrophe: two pieces at most, whatever stands around it
-_SIMPLE = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])*)([!-&(-/:-@\[-`{-~]*)")
+_SIMPLE = "^(?P<letters>[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]*)(?P<rest>[!-&(-/:-@\\[-`{-~]*)$"
 # byte-level BPE spells a byte as the character of its number, bytes without a visible one as those from 256 on
 _HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
 _SPELLED = {b: 256 + i for i, b in enumerate(_HIDDEN)}
@@ -59,62 +63,99 @@ _PROBES = ["Hello, world!!! (yes) a_b $5", "ab  cd\tEF\n gh\x0b.", "it's don't -
            " ".join(map(chr, range(0xC0, 0x100))), "".join(map(chr, range(0xC0, 0xD7)))]
 
 
-class ChunkIds(dict):
-    """White-space chunk (UTF-8 bytes) -> its ids as little-endian unsigned 32-bit bytes.
+def _laid_out(table: np.ndarray, size: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of ``table`` (entry k is ``size[k]`` long) in the order of ``number``, and where each ends."""
+    long = size[number]
+    end = np.cumsum(long)
+    first = np.cumsum(size) - size
+    return table[np.repeat(first[number] - (end - long), long) + np.arange(long.sum())], end
 
-    A full generation becomes the old one, from which chunks that are met again return.
+
+class ChunkIds:
+    """Ids of texts by white-space chunks and their pieces, through a cache: piece (UTF-8) -> its ids as
+    little-endian unsigned 32-bit bytes.
+
+    A full generation becomes the old one, from which pieces that are met again return.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.old: dict[bytes, bytes] = {}
-        self.pieces: dict[bytes, bytes] = {}
-        self.old_pieces: dict[bytes, bytes] = {}
-        words = [w for p in _PROBES for w in p.encode().split()]
-        self.by_chunk = all(self._whole(p) == b"".join(self._whole(w.decode()) for w in p.encode().split()) for p in _PROBES)
-        self.simple = self.by_chunk and all(self._made(w, m) == self._whole(w.decode()) for w in words if (m := _SIMPLE.fullmatch(w)))
+        self.pieces: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        words = [w for p in _PROBES for w in _words(p)]
+        self.by_chunk = all(self._whole(p) == b"".join(self._whole(w) for w in _words(p)) for p in _PROBES)
+        self.simple = self.by_chunk
+        if self.simple:
+            ids, at = self.run_ids(pa.array(words))
+            self.simple = all(ids[a:b].tobytes() == self._whole(w) for w, a, b in zip(words, at, at[1:], strict=False))
+            self.pieces.clear()
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _piece(self, piece: bytes) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            ids = self.old_pieces.get(piece)
+    def _made(self, piece: str) -> bytes:
+        """Ids of a lower-cased piece: the model alone, as nothing but its bytes' spelling goes before it."""
+        spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_SPELLED)
+        found = self.model.tokenize(spelled)
+        return struct.pack(f"<{len(found)}I", *[t.id for t in found])
+
+    def _known(self, pieces: list[str], simple: list[bool]) -> list[bytes]:
+        out = []
+        for piece, plain in zip(pieces, simple, strict=True):
+            ids = self.pieces.get(piece)
             if ids is None:
-                found = self.model.tokenize(piece.decode("latin-1").translate(_SPELLED))
-                ids = struct.pack(f"<{len(found)}I", *[t.id for t in found])
-            if len(self.pieces) >= CACHE_CHUNKS:
-                self.old_pieces, self.pieces = self.pieces, {}
-            self.pieces[piece] = ids
-        return ids
-
-    def _made(self, chunk: bytes, simple: re.Match) -> bytes:
-        letters, rest = simple.groups()
-        if not letters.isascii():
-            letters = letters.decode().lower().encode()
-        if not rest:
-            return self._piece(letters.lower())
-        return self._piece(letters.lower()) + self._piece(rest) if letters else self._piece(rest)
-
-    def __missing__(self, chunk: bytes) -> bytes:
-        ids = self.old.get(chunk)
-        if ids is None:
-            simple = _SIMPLE.fullmatch(chunk) if self.simple else None
-            ids = self._made(chunk, simple) if simple else self._whole(chunk.decode())
-        if len(self) >= CACHE_CHUNKS:
-            self.old = dict(self)
-            self.clear()
-        self[chunk] = ids
-        return ids
+                ids = self.old.get(piece)
+                if ids is None:
+                    ids = (self._made(piece) if plain else self._whole(piece)) if piece else b""
+                if len(self.pieces) >= CACHE_CHUNKS:
+                    self.old, self.pieces = self.pieces, {}
+                self.pieces[piece] = ids
+            out.append(ids)
+        return out
 
     def ids(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split())) if self.by_chunk else self._whole(text.decode())
+        return self.run_ids(pa.array([text.decode()]))[0].tobytes()
+
+    def run_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a run of texts (no nulls), and where each text's begin, with the end of the last."""
+        if not self.by_chunk:
+            each = [np.frombuffer(self._whole(t.as_py()), "<u4") for t in texts]
+            return np.concatenate([np.zeros(0, "<u4"), *each]), np.cumsum([0, *map(len, each)])
+        split = pc.ascii_split_whitespace(texts)
+        chunks = split.flatten().dictionary_encode()
+        one = chunks.dictionary
+        parts = pc.extract_regex(one, _SIMPLE) if self.simple else pa.nulls(len(one), pa.struct([("letters", one.type), ("rest", one.type)]))
+        letters, rest = (pc.struct_field(parts, f) for f in ("letters", "rest"))
+        # a chunk is two pieces: letters and rest, or itself and nothing; none of the one sort is one of the other
+        pieces = pa.concat_arrays([pc.coalesce(pc.utf8_lower(letters), one), pc.fill_null(rest, "")]).dictionary_encode()
+        distinct = pieces.dictionary
+        simple = pc.is_valid(pc.extract_regex(distinct, _SIMPLE)) if self.simple else pc.equal(distinct, "")
+        known = self._known(distinct.to_pylist(), simple.to_pylist())
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        pair = pieces.indices.to_numpy(zero_copy_only=False).reshape(2, -1)
+        table, _ = _laid_out(np.frombuffer(b"".join(known), "<u4"), size, pair.T.ravel())
+        ids, end = _laid_out(table, size[pair[0]] + size[pair[1]], chunks.indices.to_numpy(zero_copy_only=False))
+        first = split.offsets.to_numpy() - split.offsets[0].as_py()
+        return ids, np.concatenate([[0], end])[first]
+
+
+def _words(text: str) -> list[str]:
+    return [w.decode() for w in text.encode().split()]
+
+
+def _runs(texts: pa.Array, most: int = RUN_BYTES) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, texts) of consecutive rows with about ``most`` bytes together; null is the empty text."""
+    texts = pc.fill_null(texts.cast(pa.string()), "")
+    size = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    run = (np.cumsum(size) - size) // most
+    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(texts)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if a < b:
+            yield a, texts.slice(a, b - a)
 
 
 _WORKER: dict[str, ChunkIds] = {}
@@ -136,18 +177,20 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
         cache = chunk_ids(tokenizer_path)
         for batch in batches:
             row, start, length, crc, total, ids = [], [], [], [], [], []
-            for i, text in enumerate(batch.column(1).cast(pa.binary())):
-                raw = cache.ids(text.as_py() or b"") + end
-                n = len(raw) // 4
-                for s in range(0, n, capacity):
-                    part = raw[4 * s:4 * (s + capacity)]
-                    row.append(i)
-                    start.append(s)
-                    length.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
-                    total.append(n)
-                    if with_ids:
-                        ids.append(np.frombuffer(part, "<u4").astype(np.int32))
+            for top, texts in _runs(batch.column(1)):
+                found, at = cache.run_ids(texts)
+                for i in range(len(texts)):
+                    raw = found[at[i]:at[i + 1]].tobytes() + end
+                    n = len(raw) // 4
+                    for s in range(0, n, capacity):
+                        part = raw[4 * s:4 * (s + capacity)]
+                        row.append(top + i)
+                        start.append(s)
+                        length.append(len(part) // 4)
+                        crc.append(zlib.crc32(part))
+                        total.append(n)
+                        if with_ids:
+                            ids.append(np.frombuffer(part, "<u4").astype(np.int32))
             cols = [batch.column(0).take(pa.array(row, pa.int64()))]
             cols += [pa.array(x, pa.int64()) for x in (start, length, crc, total)]
             if with_ids:

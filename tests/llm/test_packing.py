@@ -123,3 +123,22 @@ def test_other_tokenizers_keep_their_ids(tmp_path):
         assert c.by_chunk == by_chunk and not c.simple
         for x in ("Ab cd!", "a b a b", "Hello, World", " it's"):
             assert np.frombuffer(c.ids(x.encode()), "<u4").tolist() == t.encode(x, add_special_tokens=False).ids
+
+
+def test_runs_of_texts_look_a_piece_up_once(monkeypatch):
+    """Texts are taken in runs; a run asks for each distinct piece once, however often it stands there."""
+    import pyarrow as pa
+
+    rng, cache, asked = random.Random(9), K.ChunkIds(tokenizer_path()), []
+    known = cache._known
+    monkeypatch.setattr(cache, "_known", lambda pieces, simple: asked.append(pieces) or known(pieces, simple))
+    texts = [words(rng, rng.randint(0, 30)) + rng.choice(("", " it's", "  Word, word; WORD\x0b", "Été. ", " café2")) for _ in range(60)]
+    texts = ["", None, " ", *texts, "long " * 300, None]
+    for most in (1, 400, 1 << 23):
+        asked.clear()
+        found = {}
+        for top, run in K._runs(pa.array(texts).slice(1), most):
+            ids, at = cache.run_ids(run)
+            found |= {top + i: ids[at[i]:at[i + 1]].tolist() for i in range(len(run))}
+        assert [found[i] for i in range(len(texts) - 1)] == [cache.tokenizer.encode(x or "", add_special_tokens=False).ids for x in texts[1:]]
+        assert all(len(p) == len(set(p)) for p in asked) and len(asked) == {1 << 23: 1}.get(most, len(asked))
