@@ -114,3 +114,34 @@ def test_hot_user_and_hot_post_are_split(spark):
         plain = sorted(map(str, FE.pair_features(lk, ctx, variant).collect()))
         assert plain == sorted(map(str, FE.pair_features(lk, ctx, variant, rows_per_salt=10).collect()))
         assert len(plain) == len(set(likes))
+
+
+def test_exploded_rows_of_a_task_are_bounded(spark):
+    """The more rows there are, the more partitions sort them; odd labels meet only their own kind; the features stay the same."""
+    import re
+    posts = [(p, None if p % 11 == 0 else p % 4, None if p % 7 == 0 else p % 3, None if p % 5 == 0 else "en", "a b", "",
+              ["x", None if p % 3 else "l=en"], ["x", f"t{p % 7}", "", "="]) for p in range(60)]
+    posts = spark.createDataFrame(posts, POSTS_SCHEMA)
+    lk = spark.createDataFrame([(u, (7 * u + i) % 60) for u in range(40) for i in range(5)], "user_id bigint, post_id bigint")
+    su = spark.createDataFrame([(u, b, 1 + u % 3, 4) for u in range(20) for b in range(2)],
+                               "user_id bigint, blog_id bigint, likes bigint, num_likes bigint")
+    sb = spark.createDataFrame([(b, 5, 2) for b in range(4)], "blog_id bigint, num_likes bigint, num_posts bigint")
+    ctx = FE.build_context(posts, lk, su, sb)
+    pairs = spark.createDataFrame([(u, (11 * u + i) % 60) for u in range(40) for i in range(9)], "user_id bigint, post_id bigint")
+    liked, got = {}, {}
+    by_id = {r.post_id: r for r in posts.collect()}
+    for r in lk.collect():
+        liked.setdefault(r.user_id, []).append(by_id[r.post_id])
+    for rows_per_task in (1_000_000, 100):
+        f = FE.pair_features(pairs, ctx, "documented", rows_per_task=rows_per_task)
+        parts = max(map(int, re.findall(r"hashpartitioning\(user_id#\d+L, salt#\d+, (\d+)\), REPARTITION_BY_NUM", f._jdf.queryExecution().executedPlan().toString())))
+        assert parts == FE.task_count(pairs, ctx, rows_per_task) and parts >= 360 * 9 / rows_per_task
+        got[rows_per_task] = sorted(map(tuple, f.collect()), key=lambda r: r[:2])
+    assert got[100] == got[1_000_000] and len(got[100]) == pairs.distinct().count()
+    for u, p, cat, tag, lang, author, *_ in got[100]:
+        mine, post = liked[u], by_id[p]
+        share = lambda col, own: (sum(1 for q in mine for x in getattr(q, col) if x is not None and x in own)
+                                  / sum(len(getattr(q, col)) for q in mine))
+        assert cat == pytest.approx(share("categories", post.categories)) and tag == pytest.approx(share("tags", post.tags))
+        one = lambda col: 0 if getattr(post, col) is None else sum(getattr(q, col) == getattr(post, col) for q in mine) / len(mine)
+        assert lang == pytest.approx(one("language")) and author == pytest.approx(one("author_id"))
