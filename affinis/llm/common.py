@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,17 +41,22 @@ def nested(df: DataFrame, *taken: str) -> Column:
 
 
 @contextmanager
-def one_row_a_batch(spark: SparkSession) -> Iterator[None]:
-    """A Python worker gets one (large) row at a time, however many its task has."""
+def rows_a_batch(spark: SparkSession, rows: int) -> Iterator[None]:
+    """A Python worker gets at most ``rows`` rows at a time, however many its task has."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
-    spark.conf.set(name, "1")
+    spark.conf.set(name, str(rows))
     try:
         yield
     finally:
         spark.conf.set(name, before)
 
 
+def one_row_a_batch(spark: SparkSession) -> AbstractContextManager[None]:
+    """A Python worker gets one (large) row at a time, however many its task has."""
+    return rows_a_batch(spark, 1)
+
+
 def running_offset(df: DataFrame, key: str, size: str, group: int = 1024) -> DataFrame:
     """(key, offset): sum of ``size`` over all smaller integer keys, in two levels, so no window holds all keys."""
     sup = df.select(key, size, F.floor(F.col(key) / group).alias("_sup"))

@@ -41,6 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
+from affinis.llm.common import rows_a_batch
 from affinis.session import stage
 
 # Sequence length and end id of the contract.
@@ -49,6 +50,8 @@ END_ID = 1
 GROUP_PIECES = 8192
 #: Entries of each of the two generations of a worker's cache.
 CACHE_CHUNKS = 125_000
+#: Texts that are on their way to a Python worker at a time; the buffers on both sides grow with them.
+BATCH_DOCS = 2000
 #: Bytes of the texts that are split at once; a longer text is a run of its own.
 RUN_BYTES = 1 << 23
 
@@ -233,7 +236,8 @@ def first_fit(lengths: list[int], capacity: int) -> tuple[list[int], list[int]]:
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """``pieces`` (any columns with a ``length`` of 1 to ``capacity``) with sequence_id and offset."""
-    placed = stage(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    with rows_a_batch(pieces.sparkSession, BATCH_DOCS):
+        placed = stage(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     groups = max(1, math.ceil(placed.count() / group_pieces))
 
     def pack_group(key, pdf: pd.DataFrame) -> pd.DataFrame:

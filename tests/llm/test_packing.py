@@ -76,6 +76,22 @@ def test_many_groups_fill_well(spark):
     assert check(rows, K.pack(pieces, group_pieces=150).collect()) > 0.95
 
 
+def test_a_worker_gets_few_texts_at_once(spark):
+    """One large partition reaches the Python worker in bounded batches; the setting is as before afterwards."""
+    import pyarrow as pa
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([b.num_rows] * b.num_rows, pa.int64())], names=["doc_id", "n"])
+
+    name, n = "spark.sql.execution.arrow.maxRecordsPerBatch", 2 * K.BATCH_DOCS + 1
+    before = spark.conf.get(name)
+    pieces = spark.range(0, n, 1, 1).selectExpr("id AS doc_id").mapInArrow(sizes, "doc_id long, n long").selectExpr("*", "1L AS length")
+    got = K.pack(pieces).collect()
+    assert len(got) == n and max(r.n for r in got) == K.BATCH_DOCS
+    assert spark.conf.get(name) == before
+
+
 @pytest.mark.parametrize("with_ids", [True])
 def test_ids_of_the_pieces(odd_docs, with_ids):
     for r in K.token_pieces(odd_docs, tokenizer_path(), with_ids=with_ids).collect():
