@@ -145,3 +145,33 @@ def test_exploded_rows_of_a_task_are_bounded(spark):
         assert cat == pytest.approx(share("categories", post.categories)) and tag == pytest.approx(share("tags", post.tags))
         one = lambda col: 0 if getattr(post, col) is None else sum(getattr(q, col) == getattr(post, col) for q in mine) / len(mine)
         assert lang == pytest.approx(one("language")) and author == pytest.approx(one("author_id"))
+
+
+def test_sets_of_counts_are_kept_as_bits(spark):
+    """Equal counts of a kind collapse at any size of the counts, and no aggregate has a row per pair and count."""
+    import dataclasses
+    import re
+    counts = [1, 1, 2, 62, 63, 63, 64, 65, 65, 127, 128, 1000, 2 ** 40, 2 ** 40, 2 ** 40 + 63]
+    tags = [f"t{i}" for i in range(len(counts))]
+    posts = [(p, 1, 1, "en", "a b", "", [t for i, t in enumerate(tags) if i % 3 == p % 3], [t for i, t in enumerate(tags) if i >> (p % 4) & 1])
+             for p in range(12)]
+    posts = spark.createDataFrame([*posts, (12, 1, 1, "en", "a b", "", ["other"], [])], POSTS_SCHEMA)
+    pairs = spark.createDataFrame([(u, p) for u in (1, 2) for p in range(13)], "user_id bigint, post_id bigint")
+    su = spark.createDataFrame([(1, 1, 3, 3)], "user_id bigint, blog_id bigint, likes bigint, num_likes bigint")
+    sb = spark.createDataFrame([(1, 5, 2)], "blog_id bigint, num_likes bigint, num_posts bigint")
+    ctx = FE.build_context(posts, pairs, su, sb)
+    mine = {u: {t: c + (u - 1) * (i % 2) for i, (t, c) in enumerate(zip(tags, counts))} for u in (1, 2)}
+    rows = [(u, kind, t, c) for u in mine for kind in ("category", "tag") for t, c in mine[u].items()]
+    profile = spark.createDataFrame(rows, "user_id bigint, kind string, key string, cnt bigint")
+    ctx = dataclasses.replace(ctx, profile=profile.unionByName(ctx.profile.where("kind NOT IN ('category', 'tag')")))
+    by_id, totals = {r.post_id: r for r in posts.collect()}, {r.user_id: r for r in ctx.user_totals.collect()}
+    f = FE.pair_features(pairs, ctx)
+    got = f.collect()
+    assert len(got) == 26 and len(set(counts)) < len(counts)
+    for r in got:
+        post, tot = by_id[r.post_id], totals[r.user_id]
+        known = mine[r.user_id]
+        assert r.categories_likelihood == sum({known[c] for c in post.categories if c in known}) / tot.tot_category
+        assert r.tags_likelihood == sum({known[t] for t in post.tags}) / tot.tot_tag
+    keys = re.findall(r"HashAggregate\(keys=\[(.*?)\]", f._jdf.queryExecution().executedPlan().toString())
+    assert any("_block" in k for k in keys) and not any(re.search(r"\b(cnt|kind)#", k) for k in keys if "post_id" in k)

@@ -41,3 +41,8 @@ def test_input_signature_sees_files_deeper_down(spark, tmp_path):
     before = input_signature(spark, [d])
     spark.range(99).selectExpr("id").write.mode("append").parquet(d + "/part=1")
     assert input_signature(spark, [d]) != before
+
+
+def test_staged_tables_are_written_in_zstd(spark):
+    t = stage(spark.range(1000), "numbers")
+    assert t.count() == 1000 and all(f.endswith(".zstd.parquet") for f in t.inputFiles())
