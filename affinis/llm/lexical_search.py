@@ -41,6 +41,10 @@ TOP = 20
 SHARD_DOCS = 1024
 SHARD_TERMS = 250_000     # terms with repeats, beyond which a shard takes no further document
 BATCH_DOCS = 256          # texts that are on their way to a Python worker at a time
+#: Parquet options of the index: row groups of a few shards.  A row is a shard of some MB; its writer and its readers hold a whole
+#: row group at a time, and by default look at its size only after 100 rows.  Statistics would hold two shards a row group until the end.
+ROW_GROUP = {"parquet.block.size": 4 << 20, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1,
+             "parquet.column.statistics.enabled": False, "parquet.enable.dictionary": False}
 BUCKET = 8
 WAVE = 256
 #: Terms with repeats in one block of items.
@@ -326,7 +330,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = TOP, shard_docs: int = SH
     best = spark.createDataFrame([], f"item_id {item_type}, doc_id {id_type}, score long")
     if n_docs:
         with _rows_a_batch(spark, BATCH_DOCS):
-            index = stage(build_index(docs, n_docs, n_terms, shard_docs, shard_terms), "k2_treaps")
+            index = stage(build_index(docs, n_docs, n_terms, shard_docs, shard_terms), "k2_treaps", **ROW_GROUP)
         for block in blocks(items, block_terms):
             names = spark.createDataFrame([(p, i) for p, (i, _) in enumerate(block)], f"item int, item_id {item_type}")
             hits = search_block(index, [bag for _, bag in block], n_docs, k)

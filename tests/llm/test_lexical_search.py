@@ -101,3 +101,25 @@ def test_shards_hold_their_numbers_as_bytes(odd_docs):
     assert {kinds[c] for c in ("df", *L.GRID)} == {"binary"}
     r = index.first()
     assert len(r.term) == len(r.doc) == len(r.impact) and len(r.top) == len(r.child) == 4 * len(r.mask)
+
+
+def test_row_groups_of_the_index_hold_few_shards(spark, monkeypatch):
+    """Whoever reads or writes a shard holds its whole row group: that is bounded by size and not by a hundred rows."""
+    import pyarrow.parquet as pq
+    rng, kept = random.Random(5), []
+
+    def staged(df, name, **options):
+        kept.append((name, L_stage(df, name, **options)))
+        return kept[-1][1]
+
+    L_stage = L.stage
+    monkeypatch.setattr(L, "stage", staged)
+    monkeypatch.setitem(L.ROW_GROUP, "parquet.block.size", 64 << 10)
+    rows = [(i, " ".join(f"w{rng.randrange(10**9)}" for _ in range(1000)), "aa", "s", 0) for i in range(30)]
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    items = [(1, rows[3][1])]
+    assert got(L.search(docs, spark.createDataFrame(items, ITEM), shard_docs=1)) == brute(rows, items)
+    (file,) = dict(kept)["k2_treaps"].inputFiles()
+    m = pq.ParquetFile(file.removeprefix("file:")).metadata
+    assert m.num_rows == 30 and m.num_row_groups >= 10
+    assert max(m.row_group(i).num_rows for i in range(m.num_row_groups)) <= 3
