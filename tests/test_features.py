@@ -175,3 +175,19 @@ def test_sets_of_counts_are_kept_as_bits(spark):
         assert r.tags_likelihood == sum({known[t] for t in post.tags}) / tot.tot_tag
     keys = re.findall(r"HashAggregate\(keys=\[(.*?)\]", f._jdf.queryExecution().executedPlan().toString())
     assert any("_block" in k for k in keys) and not any(re.search(r"\b(cnt|kind)#", k) for k in keys if "post_id" in k)
+
+
+def test_labels_are_looked_up_and_not_sorted(spark, tables):
+    """Nothing sorts or ranks exploded labels; of a label that a profile has twice the larger count holds; labels meet their own kind."""
+    posts, likes, su, sb = tables
+    twice = su.unionByName(spark.createDataFrame([(1, 1, 9, 4)], su.schema))
+    ctx = FE.build_context(posts, likes, twice, sb)
+    pairs = spark.createDataFrame([(1, 1), (1, 4), (2, 3), (99, 4), (None, 4)], "user_id bigint, post_id bigint")
+    f = FE.pair_features(pairs, ctx)
+    plan = f._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Sort" not in plan.split("Generate explode(labels")[0]
+    got = {(r.user_id, r.post_id): r for r in f.collect()}
+    assert set(got) == {(1, 1), (1, 4), (2, 3)}
+    assert got[1, 1].blog_likelihood == pytest.approx(9 / 13) and got[1, 4].blog_likelihood == 0
+    assert got[2, 3].categories_likelihood == got[2, 3].language_likelihood == 0 and got[2, 3].tags_likelihood == pytest.approx(1 / 2)
+    assert got[2, 3].author_likelihood == 1 and got[1, 1].language_likelihood == pytest.approx(2 / 3)

@@ -99,3 +99,12 @@ def test_no_staged_table_holds_texts(spark):
 def test_candidates_are_a_small_share(spark):
     wf = Workflow(bind(spark, "/root/testdata/sf0.01", staged=True))
     assert 0 < wf.candidate_pairs.count() <= 0.05 * wf.b.test_users.count() * wf.b.posts.count()
+
+
+def test_candidates_are_made_distinct_after_their_shuffle(spark):
+    """No task holds the pairs of a tag to make them distinct: what a user and a post share meets after the shuffle."""
+    wf = Workflow(bind(spark, SF, staged=True))
+    plan = wf._candidate_pairs()._jdf.queryExecution().executedPlan().toString()
+    before, after = plan.split("REPARTITION_BY_COL")[:2]
+    assert len(re.findall(r"HashAggregate\(keys=\[user_id#\d+L, post_id#\d+L\]", before)) == 2
+    assert not re.search(r"HashAggregate\(keys=\[user_id#\d+L, post_id#\d+L\]", after)
