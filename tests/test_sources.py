@@ -102,3 +102,20 @@ def test_users_with_an_empty_list_stay(spark):
     raw = RD.read_stats_user_raw(spark, p)
     assert {r.user_id: r.num_likes for r in RD.stats_users(raw).collect()} == {7: 2, 8: 0, 9: 0}
     assert [r.user_id for r in RD.stats_user_long(raw).collect()] == [7]
+
+
+def test_feature_text_is_compressed(spark):
+    """The text of many doubles is written gzipped, and is read back to the bit."""
+    import glob
+    import gzip
+    import os
+    cols = ", ".join(f"{c} double" for c in FEATURES)
+    rows = [(u, 7 * u, *[(u + i) / 7 if (u + i) % 5 else None for i in range(7)]) for u in range(3000)]
+    df = spark.createDataFrame(rows, f"user_id bigint, post_id bigint, {cols}")
+    p = scratch_path(spark, "keyed.tsv")
+    WR.write_features_tsv(df, p, keyed=True)
+    files = glob.glob(f"{p.removeprefix('file:')}/part-*")
+    assert files and all(f.endswith(".gz") for f in files)
+    text = sum(len(gzip.open(f).read()) for f in files)
+    assert sum(map(os.path.getsize, files)) < text / 2
+    assert sorted(map(tuple, RD.read_test_features(spark, p).collect())) == sorted(rows)
