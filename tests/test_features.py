@@ -191,3 +191,22 @@ def test_labels_are_looked_up_and_not_sorted(spark, tables):
     assert got[1, 1].blog_likelihood == pytest.approx(9 / 13) and got[1, 4].blog_likelihood == 0
     assert got[2, 3].categories_likelihood == got[2, 3].language_likelihood == 0 and got[2, 3].tags_likelihood == pytest.approx(1 / 2)
     assert got[2, 3].author_likelihood == 1 and got[1, 1].language_likelihood == pytest.approx(2 / 3)
+
+
+def test_look_ups_read_few_entries_of_a_long_profile(spark):
+    """A user of 5,000 tags has many short maps instead of one long one, and the same features."""
+    n = 5000
+    tags = [f"t{i}" for i in range(n)]
+    posts = spark.createDataFrame([(p, 1, 1, "en", "a", "", ["A"], tags[p * 50:p * 50 + 50]) for p in range(n // 50)]
+                                  + [(900, 1, 2, "fr", "a", "", ["B"], ["t7", "t4999", "new"])], POSTS_SCHEMA)
+    likes = spark.createDataFrame([(1, p) for p in range(n // 50)] + [(2, 3)], "user_id bigint, post_id bigint")
+    su = spark.createDataFrame([(1, 1, 3, 3)], "user_id bigint, blog_id bigint, likes bigint, num_likes bigint")
+    sb = spark.createDataFrame([(1, 5, 2)], "blog_id bigint, num_likes bigint, num_posts bigint")
+    ctx = FE.build_context(posts, likes, su, sb)
+    none = FE.hot_keys(likes, ["user_id"])
+    maps = {r.user_id: r._tag_counts for r in FE._user_rows(ctx, none, 2).collect()}
+    assert {k: v for m in maps[1] for k, v in m.items()} == {f"t={t}": 1 for t in tags}
+    assert max(map(len, maps[1])) <= 150 and len(maps[1]) <= 100 and len(maps[2]) <= 8
+    pairs = spark.createDataFrame([(1, 900), (2, 900), (1, 3)], "user_id bigint, post_id bigint")
+    got = {(r.user_id, r.post_id): r.tags_likelihood for r in FE.pair_features(pairs, ctx, "documented").collect()}
+    assert got == {(1, 900): pytest.approx(2 / n), (2, 900): 0, (1, 3): pytest.approx(50 / n)}
